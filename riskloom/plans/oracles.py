@@ -120,3 +120,175 @@ SELECT count(*) AS initial_rows,
 FROM orders_gaps"""
 
 ORACLES["booking"] = f"WITH {BOOKING_CTE}\nSELECT * FROM booking"
+
+
+# ------------------------------------------------------ preparation / scoring
+
+SPLIT_CTE = f"""split AS (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY fraud_flag
+                                         ORDER BY md5('{Q.SPLIT_SEED}:' || booking_id), booking_id)
+                      <= floor(count(*) OVER (PARTITION BY fraud_flag) * {Q.TEST_SIZE})
+                 THEN 'test' ELSE 'train' END AS split
+  FROM booking)"""
+
+
+def _scores(src: str) -> str:
+    lr = "round(1.0::DOUBLE / (1.0::DOUBLE + exp(-(0.04::DOUBLE * (qty_sum - 130) + 60.0::DOUBLE * (avg_discount - 0.05::DOUBLE)))), 6)"
+    xgb = "round(1.0::DOUBLE / (1.0::DOUBLE + exp(-(0.6::DOUBLE * (n_items - 5) + 30.0::DOUBLE * (avg_discount - 0.05::DOUBLE)))), 6)"
+    lgb = "round(1.0::DOUBLE / (1.0::DOUBLE + exp(-(0.00002::DOUBLE * (price_sum - 250000) + 0.02::DOUBLE * (qty_sum - 130)))), 6)"
+    return f"""SELECT *, round((score_lr + score_xgb + score_lgb) / 3.0::DOUBLE, 6) AS fraud_probability
+  FROM (SELECT *, {lr} AS score_lr, {xgb} AS score_xgb, {lgb} AS score_lgb FROM {src})"""
+
+
+SCORED_CTE = f"scored AS ({_scores('booking')})"
+TEST_CTE = f"""{SPLIT_CTE},
+test AS ({_scores("(SELECT * EXCLUDE (split) FROM split WHERE split = 'test')")}),
+test_pred AS (SELECT *, CAST(CASE WHEN fraud_probability > 0.5 THEN 1 ELSE 0 END AS BIGINT) AS fraud_prediction FROM test)"""
+
+TIER = """CASE WHEN fraud_probability < 0.3 THEN 'LOW' WHEN fraud_probability < 0.7 THEN 'MEDIUM'
+            WHEN fraud_probability IS NOT NULL THEN 'HIGH' END"""
+
+PRED_CTE = f"""{SCORED_CTE},
+pred AS (
+  SELECT booking_id, fraud_probability,
+         CAST(CASE WHEN fraud_probability > 0.5 THEN 1 ELSE 0 END AS BIGINT) AS fraud_prediction,
+         {TIER} AS risk_category,
+         TIMESTAMP '{SCORED_AT}' AS prediction_timestamp
+  FROM scored)"""
+
+ORACLES["class_balance"] = f"""
+WITH {BOOKING_CTE}
+SELECT count(*) AS total_samples, count_if(fraud_flag = 1) AS n_positive, count_if(fraud_flag = 0) AS n_negative,
+       round(sum(fraud_flag)::DOUBLE / nullif(count(*), 0), 6) AS fraud_ratio,
+       round(count_if(fraud_flag = 0)::DOUBLE / nullif(count_if(fraud_flag = 1), 0), 6) AS scale_pos_weight,
+       round(count(*)::DOUBLE / nullif(2 * count_if(fraud_flag = 0), 0), 6) AS weight_negative,
+       round(count(*)::DOUBLE / nullif(2 * count_if(fraud_flag = 1), 0), 6) AS weight_positive
+FROM booking"""
+
+ORACLES["stratified_split"] = f"WITH {BOOKING_CTE},\n{SPLIT_CTE}\nSELECT booking_id, fraud_flag, split FROM split"
+
+ORACLES["dataset_profile"] = f"""
+WITH {BOOKING_CTE},
+{SPLIT_CTE}
+SELECT count(*) AS total_samples, count_if(split = 'train') AS train_samples, count_if(split = 'test') AS test_samples,
+       5 AS n_features, round(sum(fraud_flag)::DOUBLE / nullif(count(*), 0), 6) AS fraud_ratio
+FROM split"""
+
+ORACLES["soft_vote"] = f"""
+WITH {BOOKING_CTE},
+{SCORED_CTE}
+SELECT booking_id, score_lr, score_xgb, score_lgb, fraud_probability FROM scored"""
+
+ORACLES["score_table"] = f"WITH {BOOKING_CTE},\n{PRED_CTE}\nSELECT * FROM pred"
+
+ORACLES["prediction_summary"] = f"""
+WITH {BOOKING_CTE},
+{PRED_CTE}
+SELECT count(*) AS total_predictions, coalesce(sum(fraud_prediction), 0)::BIGINT AS fraud_predictions,
+       count_if(risk_category = 'LOW') AS n_low, count_if(risk_category = 'MEDIUM') AS n_medium,
+       count_if(risk_category = 'HIGH') AS n_high, round(avg(fraud_probability), 6) AS avg_fraud_probability
+FROM pred"""
+
+ORACLES["risk_tier_counts"] = f"""
+WITH {BOOKING_CTE},
+{PRED_CTE}
+SELECT risk_category, count(*) AS n FROM pred GROUP BY risk_category"""
+
+# ------------------------------------------------------------- evaluation
+
+CONF_CTE = f"""{TEST_CTE},
+conf AS (
+  SELECT count_if(fraud_flag = 0 AND fraud_prediction = 0) AS true_negatives,
+         count_if(fraud_flag = 0 AND fraud_prediction = 1) AS false_positives,
+         count_if(fraud_flag = 1 AND fraud_prediction = 0) AS false_negatives,
+         count_if(fraud_flag = 1 AND fraud_prediction = 1) AS true_positives
+  FROM test_pred),
+rates AS (
+  SELECT *, coalesce(true_positives::DOUBLE / nullif(true_positives + false_positives, 0), 0) AS p1,
+            coalesce(true_positives::DOUBLE / nullif(true_positives + false_negatives, 0), 0) AS r1,
+            coalesce(true_negatives::DOUBLE / nullif(true_negatives + false_negatives, 0), 0) AS p0,
+            coalesce(true_negatives::DOUBLE / nullif(true_negatives + false_positives, 0), 0) AS r0,
+            true_negatives + false_positives AS s0, true_positives + false_negatives AS s1,
+            (true_negatives + false_positives + false_negatives + true_positives) AS n
+  FROM conf),
+rates2 AS (
+  SELECT *, coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0) AS f1,
+            coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0) AS f0,
+            (true_positives + true_negatives)::DOUBLE / nullif(n, 0) AS acc
+  FROM rates)"""
+
+ORACLES["confusion"] = f"""
+WITH {BOOKING_CTE},
+{CONF_CTE}
+SELECT true_negatives, false_positives, false_negatives, true_positives,
+       round(acc, 6) AS accuracy, round(p1, 6) AS precision, round(r1, 6) AS recall, round(f1, 6) AS f1_score
+FROM rates2"""
+
+ORACLES["class_report"] = f"""
+WITH {BOOKING_CTE},
+{CONF_CTE}
+SELECT '0' AS class_label, round(p0, 6) AS precision, round(r0, 6) AS recall, round(f0, 6) AS f1_score, s0 AS support FROM rates2
+UNION ALL SELECT '1', round(p1, 6), round(r1, 6), round(f1, 6), s1 FROM rates2
+UNION ALL SELECT 'accuracy', NULL, NULL, round(acc, 6), n FROM rates2
+UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), n FROM rates2
+UNION ALL SELECT 'weighted avg', round((p0 * s0 + p1 * s1) / nullif(n, 0), 6), round((r0 * s0 + r1 * s1) / nullif(n, 0), 6),
+                 round((f0 * s0 + f1 * s1) / nullif(n, 0), 6), n FROM rates2"""
+
+ORACLES["business_impact"] = f"""
+WITH {BOOKING_CTE},
+{CONF_CTE}
+SELECT true_negatives, false_positives, false_negatives, true_positives,
+       true_positives * 1000.0::DOUBLE AS fraud_prevented_value, false_positives * 50.0::DOUBLE AS false_alarm_cost,
+       false_negatives * 1000.0::DOUBLE AS missed_fraud_cost,
+       true_positives * 1000.0::DOUBLE - false_positives * 50.0::DOUBLE - false_negatives * 1000.0::DOUBLE AS net_benefit
+FROM conf"""
+
+
+def _ranking_sql(src: str, label: str, score: str) -> str:
+    """Exact AUC (ties half) and average precision from distinct-score counts."""
+    return f"""g AS (SELECT {score} AS score, count_if({label} = 1) AS pos, count_if({label} = 0) AS neg
+       FROM {src} WHERE {score} IS NOT NULL GROUP BY {score}),
+c AS (SELECT *, sum(pos) OVER (ORDER BY score DESC) AS cum_pos, sum(neg) OVER (ORDER BY score DESC) AS cum_neg,
+             sum(pos) OVER () AS total_pos, sum(neg) OVER () AS total_neg FROM g)"""
+
+
+ORACLES["auc_ap"] = f"""
+WITH {BOOKING_CTE},
+{TEST_CTE},
+{_ranking_sql('test', 'fraud_flag', 'fraud_probability')}
+SELECT round(sum(neg * (cum_pos - pos + pos / 2.0)) / nullif(max(total_pos) * max(total_neg), 0), 6) AS roc_auc,
+       round(sum(CASE WHEN pos > 0 THEN pos * (cum_pos::DOUBLE / (cum_pos + cum_neg)) ELSE 0 END) / nullif(max(total_pos), 0), 6) AS pr_auc,
+       coalesce(max(total_pos), 0)::BIGINT AS n_positive, coalesce(max(total_neg), 0)::BIGINT AS n_negative
+FROM c"""
+
+DOCS_CTE = """docs AS (SELECT l.doc_id, CAST(l.toxic AS INTEGER) AS label, CAST(d.n_chars AS DOUBLE) AS score
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+
+ORACLES["auc_ap_docs"] = f"""
+WITH {DOCS_CTE},
+{_ranking_sql('docs', 'label', 'score')}
+SELECT round(sum(neg * (cum_pos - pos + pos / 2.0)) / nullif(max(total_pos) * max(total_neg), 0), 6) AS roc_auc,
+       round(sum(CASE WHEN pos > 0 THEN pos * (cum_pos::DOUBLE / (cum_pos + cum_neg)) ELSE 0 END) / nullif(max(total_pos), 0), 6) AS pr_auc,
+       coalesce(max(total_pos), 0)::BIGINT AS n_positive, coalesce(max(total_neg), 0)::BIGINT AS n_negative
+FROM c"""
+
+_ROC_SELECT = """SELECT score AS threshold, round(cum_neg::DOUBLE / nullif(total_neg, 0), 6) AS fpr,
+       round(cum_pos::DOUBLE / nullif(total_pos, 0), 6) AS tpr FROM c
+UNION ALL SELECT 'Infinity'::DOUBLE, 0.0, 0.0 FROM c HAVING count(*) > 0"""
+
+ORACLES["roc_curve"] = f"WITH {BOOKING_CTE},\n{TEST_CTE},\n{_ranking_sql('test', 'fraud_flag', 'fraud_probability')}\n{_ROC_SELECT}"
+ORACLES["roc_curve_docs"] = f"WITH {DOCS_CTE},\n{_ranking_sql('docs', 'label', 'score')}\n{_ROC_SELECT}"
+
+ORACLES["evaluation_metrics"] = f"""
+WITH {BOOKING_CTE},
+{CONF_CTE},
+{_ranking_sql('test', 'fraud_flag', 'fraud_probability')},
+rk AS (SELECT round(sum(neg * (cum_pos - pos + pos / 2.0)) / nullif(max(total_pos) * max(total_neg), 0), 6) AS roc_auc,
+              round(sum(CASE WHEN pos > 0 THEN pos * (cum_pos::DOUBLE / (cum_pos + cum_neg)) ELSE 0 END) / nullif(max(total_pos), 0), 6) AS pr_auc
+       FROM c)
+SELECT rk.roc_auc, rk.pr_auc, round(acc, 6) AS accuracy, round(p1, 6) AS precision, round(r1, 6) AS recall,
+       round(f1, 6) AS f1_score, true_negatives, false_positives, false_negatives, true_positives,
+       true_positives * 1000.0::DOUBLE AS fraud_prevented_value, false_positives * 50.0::DOUBLE AS false_alarm_cost,
+       false_negatives * 1000.0::DOUBLE AS missed_fraud_cost,
+       true_positives * 1000.0::DOUBLE - false_positives * 50.0::DOUBLE - false_negatives * 1000.0::DOUBLE AS net_benefit
+FROM rates2, rk"""

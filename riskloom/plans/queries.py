@@ -90,5 +90,131 @@ QUERIES = {
 }
 
 
+# ----------------------------------------------------------- preparation
+
+from ..operators import metrics, prep, scoring  # noqa: E402
+
+
+def split_df(spark, sf_dir):
+    return prep.stratified_split(booking_df(spark, sf_dir), derived.LABEL_COL, derived.ID_COL,
+                                 TEST_SIZE, SPLIT_SEED)
+
+
+def scored_df(spark, sf_dir, frame=None):
+    """Booking rows with the three fixed member scores and their soft vote."""
+    b = frame if frame is not None else booking_df(spark, sf_dir)
+    s = derived.member_scores(b)
+    return s.withColumn("fraud_probability", scoring.soft_vote(list(derived.MEMBER_SCORES), digits=6))
+
+
+def test_scored_df(spark, sf_dir):
+    """Test split of the booking table, scored and voted (evaluation input)."""
+    t = split_df(spark, sf_dir).where(F.col("split") == "test").drop("split")
+    s = scored_df(spark, sf_dir, t)
+    return s.withColumn("fraud_prediction", scoring.vote_class("fraud_probability"))
+
+
+def q_class_balance(spark, sf_dir):
+    return prep.class_balance(booking_df(spark, sf_dir))
+
+
+def q_stratified_split(spark, sf_dir):
+    return split_df(spark, sf_dir).select("booking_id", "fraud_flag", "split")
+
+
+def q_dataset_profile(spark, sf_dir):
+    b = booking_df(spark, sf_dir)
+    n_feat = len(prep.feature_columns(b))
+    return prep.dataset_profile(split_df(spark, sf_dir), n_feat)
+
+
+def q_soft_vote(spark, sf_dir):
+    return scored_df(spark, sf_dir).select("booking_id", *derived.MEMBER_SCORES, "fraud_probability")
+
+
+def predictions_df(spark, sf_dir):
+    s = scored_df(spark, sf_dir)
+    return scoring.prediction_rows(s, "booking_id", F.col("fraud_probability"), SCORED_AT)
+
+
+def q_score_table(spark, sf_dir):
+    return predictions_df(spark, sf_dir)
+
+
+def q_prediction_summary(spark, sf_dir):
+    return scoring.prediction_summary(predictions_df(spark, sf_dir))
+
+
+def q_risk_tier_counts(spark, sf_dir):
+    return scoring.risk_tier_counts(predictions_df(spark, sf_dir))
+
+
+# ------------------------------------------------------------ evaluation
+
+def q_confusion(spark, sf_dir):
+    return metrics.confusion_metrics(test_scored_df(spark, sf_dir), "fraud_flag", "fraud_prediction")
+
+
+def q_class_report(spark, sf_dir):
+    c = metrics.confusion_metrics(test_scored_df(spark, sf_dir), "fraud_flag", "fraud_prediction")
+    return metrics.class_report(c)
+
+
+def q_business_impact(spark, sf_dir):
+    c = metrics.confusion_metrics(test_scored_df(spark, sf_dir), "fraud_flag", "fraud_prediction")
+    return metrics.business_impact(c).select(*metrics.CONFUSION, "fraud_prevented_value", "false_alarm_cost",
+                                             "missed_fraud_cost", "net_benefit")
+
+
+def q_auc_ap(spark, sf_dir):
+    return metrics.ranking_metrics(test_scored_df(spark, sf_dir), "fraud_flag", "fraud_probability")
+
+
+def docs_scored_df(spark, sf_dir):
+    return derived.doc_scores(_t(spark, sf_dir, "labels"), _t(spark, sf_dir, "documents"))
+
+
+def q_auc_ap_docs(spark, sf_dir):
+    return metrics.ranking_metrics(docs_scored_df(spark, sf_dir), "label", "score")
+
+
+def q_roc_curve(spark, sf_dir):
+    return metrics.roc_curve(test_scored_df(spark, sf_dir), "fraud_flag", "fraud_probability")
+
+
+def q_roc_curve_docs(spark, sf_dir):
+    return metrics.roc_curve(docs_scored_df(spark, sf_dir), "label", "score")
+
+
+def q_evaluation_metrics(spark, sf_dir):
+    return metrics.evaluation_metrics(test_scored_df(spark, sf_dir), "fraud_flag", "fraud_probability")
+
+
+def q_evaluation_report(spark, sf_dir):
+    m = metrics.evaluation_metrics(test_scored_df(spark, sf_dir), "fraud_flag", "fraud_probability")
+    return metrics.evaluation_report(m, "fixed_score_ensemble")
+
+
+QUERIES.update({
+    "class_balance": q_class_balance,
+    "stratified_split": q_stratified_split,
+    "dataset_profile": q_dataset_profile,
+    "soft_vote": q_soft_vote,
+    "score_table": q_score_table,
+    "prediction_summary": q_prediction_summary,
+    "risk_tier_counts": q_risk_tier_counts,
+    "confusion": q_confusion,
+    "class_report": q_class_report,
+    "business_impact": q_business_impact,
+    "auc_ap": q_auc_ap,
+    "auc_ap_docs": q_auc_ap_docs,
+    "roc_curve": q_roc_curve,
+    "roc_curve_docs": q_roc_curve_docs,
+    "evaluation_metrics": q_evaluation_metrics,
+    "evaluation_report": q_evaluation_report,
+})
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q_booking(spark, sf_dir)
+    """Batch scoring of the surrogate booking table into the prediction schema."""
+    return q_score_table(spark, sf_dir)
