@@ -292,3 +292,108 @@ SELECT rk.roc_auc, rk.pr_auc, round(acc, 6) AS accuracy, round(p1, 6) AS precisi
        false_negatives * 1000.0::DOUBLE AS missed_fraud_cost,
        true_positives * 1000.0::DOUBLE - false_positives * 50.0::DOUBLE - false_negatives * 1000.0::DOUBLE AS net_benefit
 FROM rates2, rk"""
+
+
+# ------------------------------------------------------------- importance
+
+_FEATS = ["total_price", "n_items", "qty_sum", "avg_discount", "price_sum"]
+
+
+def _importance_sql() -> str:
+    a = []
+    for f in _FEATS:
+        x = f"{f}::DOUBLE"
+        pos = f"avg(CASE WHEN fraud_flag = 1 THEN {x} END)"
+        neg = f"avg(CASE WHEN fraud_flag = 0 THEN {x} END)"
+        a += [f"abs(corr({x}, fraud_flag::DOUBLE)) AS {f}__lr",
+              f"abs(({pos} - {neg}) / nullif(stddev_pop({x}), 0)) AS {f}__xgb",
+              f"abs({pos} / nullif(avg({x}), 0) - 1) AS {f}__lgb"]
+    longs = " UNION ALL ".join(f"SELECT '{f}' AS feature, {f}__lr AS lr, {f}__xgb AS xgb, {f}__lgb AS lgb FROM a"
+                               for f in _FEATS)
+    return f"""a AS (SELECT {', '.join(a)} FROM booking),
+l AS ({longs}),
+nrm AS (SELECT feature, lr / (sum(lr) OVER () + 1e-9) AS lr, xgb / (sum(xgb) OVER () + 1e-9) AS xgb,
+               lgb / (sum(lgb) OVER () + 1e-9) AS lgb FROM l),
+ranked AS (SELECT feature, round(lr, 6) AS lr, round(xgb, 6) AS xgb, round(lgb, 6) AS lgb,
+                  round((lr + xgb + lgb) / 3, 6) AS avg_importance FROM nrm)"""
+
+
+IMP_CTE = _importance_sql()
+ORACLES["importance_rank"] = f"WITH {BOOKING_CTE},\n{IMP_CTE}\nSELECT * FROM ranked ORDER BY avg_importance DESC, feature"
+ORACLES["select_features"] = (f"WITH {BOOKING_CTE},\n{IMP_CTE}\nSELECT * FROM ranked WHERE avg_importance > {Q.IMPORTANCE_THRESHOLD}"
+                              " ORDER BY avg_importance DESC, feature")
+ORACLES["top_features"] = f"WITH {BOOKING_CTE},\n{IMP_CTE}\nSELECT * FROM ranked ORDER BY avg_importance DESC, feature LIMIT 10"
+
+ORACLES["run_metrics"] = f"""
+WITH m AS ({ORACLES['evaluation_metrics']})
+SELECT metric, value FROM (UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM m) ON COLUMNS(*) INTO NAME metric VALUE value)"""
+
+# ------------------------------------------------------- extracts / views
+
+_EXTRACT = f"""SELECT * FROM events
+WHERE cast(ts AS DATE) >= DATE '{Q.EXTRACT_START}' AND cast(ts AS DATE) <= DATE '{Q.EXTRACT_END}'
+  AND ({Q.EXTRACT_WHERE})"""
+ORACLES["training_extract"] = _EXTRACT + "\nORDER BY ts DESC, event_id DESC"
+ORACLES["training_extract_top"] = _EXTRACT + "\nORDER BY ts DESC, event_id DESC LIMIT 100"
+
+ORACLES["training_view"] = f"""
+WITH {BOOKING_CTE}
+SELECT qty_sum, avg_discount, n_items, fraud_flag FROM booking WHERE qty_sum > 50"""
+
+ORACLES["table_stats"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, "
+    f"(SELECT count(*) FROM information_schema.columns WHERE table_name = '{t}') AS column_count FROM {t}"
+    for t in Q.TABLE_NAMES)
+
+ORACLES["adhoc_sql"] = Q.ADHOC_SQL
+
+# ------------------------------------------------------------ monitoring
+
+TIMED_CTE = f"""{PRED_CTE},
+timed AS (SELECT p.*, o.o_orderdate AS booking_ts FROM pred p JOIN orders o ON p.booking_id = cast(o.o_orderkey AS VARCHAR))"""
+
+ORACLES["accuracy_trend"] = f"""
+WITH {BOOKING_CTE},
+{TIMED_CTE},
+j AS (SELECT t.*, b.fraud_flag FROM timed t LEFT JOIN booking b ON t.booking_id = b.booking_id)
+SELECT date_trunc('month', booking_ts) AS period, count(*) AS n_predictions,
+       count_if(fraud_flag IS NOT NULL) AS n_labelled, count_if(fraud_flag IS NULL) AS unlabelled,
+       round(count_if(fraud_flag = fraud_prediction)::DOUBLE / nullif(count_if(fraud_flag IS NOT NULL), 0), 6) AS accuracy
+FROM j GROUP BY 1"""
+
+ORACLES["prediction_volume"] = f"""
+WITH {BOOKING_CTE},
+{TIMED_CTE}
+SELECT date_trunc('month', booking_ts) AS period, count(*) AS n_predictions FROM timed GROUP BY 1"""
+
+ORACLES["event_volume"] = "SELECT cast(ts AS DATE) AS period, count(*) AS n_predictions FROM events GROUP BY 1"
+
+_PCT = ("round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, "
+        "round(quantile_cont(value, 0.99), 6) AS p99, count(value) AS n")
+ORACLES["value_percentiles"] = f"SELECT event_type, {_PCT} FROM events GROUP BY event_type"
+ORACLES["value_percentiles_all"] = f"SELECT {_PCT} FROM events"
+ORACLES["probability_percentiles"] = f"""
+WITH {BOOKING_CTE},
+{PRED_CTE}
+SELECT risk_category, {_PCT.replace('value', 'fraud_probability')} FROM pred GROUP BY risk_category"""
+
+ORACLES["error_rate"] = """
+SELECT count(*) AS n_events, count_if(event_type = 'error') AS n_errors,
+       round(avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END), 6) AS error_rate
+FROM events"""
+ORACLES["error_rate_daily"] = """
+SELECT cast(ts AS DATE) AS date, count(*) AS n_events, count_if(event_type = 'error') AS n_errors,
+       round(avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END), 6) AS error_rate
+FROM events GROUP BY 1"""
+
+PSI_CTE = f"""{TIMED_CTE},
+t AS (SELECT *, year(booking_ts) AS year FROM timed),
+c AS (SELECT CAST(least(greatest(floor((fraud_probability - 0.0) / 0.1), 0), 9) AS INTEGER) AS bin,
+             count_if(year = {Q.PSI_BASELINE}) AS n_baseline, count_if(year = {Q.PSI_CURRENT}) AS n_current
+      FROM t WHERE year IN ({Q.PSI_BASELINE}, {Q.PSI_CURRENT}) AND fraud_probability IS NOT NULL GROUP BY 1),
+s AS (SELECT *, greatest(n_baseline::DOUBLE / sum(n_baseline) OVER (), 1e-6) AS e,
+                greatest(n_current::DOUBLE / sum(n_current) OVER (), 1e-6) AS a FROM c),
+bins AS (SELECT bin, n_baseline, n_current, round(e, 6) AS baseline_share, round(a, 6) AS current_share,
+                round((a - e) * ln(a / e), 6) AS psi_contribution FROM s)"""
+ORACLES["psi_bins"] = f"WITH {BOOKING_CTE},\n{PSI_CTE}\nSELECT * FROM bins"
+ORACLES["psi_total"] = f"WITH {BOOKING_CTE},\n{PSI_CTE}\nSELECT round(sum(psi_contribution), 6) AS psi, count(*) AS n_bins FROM bins"

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import quality
-from ..sources import derived
-from ..sources.tables import read_table
+from ..operators import importance, metrics, monitoring, prep, quality, scoring
+from ..sources import derived, extract, metadata
+from ..sources.tables import TABLE_NAMES, execute_query, read_table, register_tables
 
 # Fixed parameters of the registered queries.
 AS_OF = "2024-01-31"               # freshness "today" for the events table
@@ -92,8 +92,6 @@ QUERIES = {
 
 # ----------------------------------------------------------- preparation
 
-from ..operators import metrics, prep, scoring  # noqa: E402
-
 
 def split_df(spark, sf_dir):
     return prep.stratified_split(booking_df(spark, sf_dir), derived.LABEL_COL, derived.ID_COL,
@@ -215,6 +213,163 @@ QUERIES.update({
 })
 
 
+
+# ------------------------------------------------------------ importance
+
+def importance_df(spark, sf_dir):
+    b = booking_df(spark, sf_dir)
+    feats = prep.feature_columns(b)
+    return importance.rank_importances(importance.data_importances(b, feats, derived.LABEL_COL))
+
+
+def q_importance_rank(spark, sf_dir):
+    return importance_df(spark, sf_dir)
+
+
+def q_select_features(spark, sf_dir):
+    return importance.select_important(importance_df(spark, sf_dir), IMPORTANCE_THRESHOLD)
+
+
+def q_top_features(spark, sf_dir):
+    return importance.top_features(importance_df(spark, sf_dir))
+
+
+def q_run_metrics(spark, sf_dir):
+    """The evaluation figures as a long (metric, value) table."""
+    m = metrics.evaluation_metrics(test_scored_df(spark, sf_dir), "fraud_flag", "fraud_probability")
+    m = m.select(*[F.col(c).cast("double").alias(c) for c in m.columns])
+    return m.unpivot([], m.columns, "metric", "value")
+
+
+# ------------------------------------------------------- extracts / views
+
+EXTRACT_START, EXTRACT_END = "2024-01-10", "2024-01-20"
+EXTRACT_WHERE = "event_type <> 'error' OR value > 100"
+
+
+def q_training_extract(spark, sf_dir):
+    return extract.training_extract(_t(spark, sf_dir, "events"), "ts", EXTRACT_START, EXTRACT_END,
+                                    where=EXTRACT_WHERE, tie_col="event_id")
+
+
+def q_training_extract_top(spark, sf_dir):
+    return extract.training_extract(_t(spark, sf_dir, "events"), "ts", EXTRACT_START, EXTRACT_END,
+                                    limit=100, where=EXTRACT_WHERE, tie_col="event_id")
+
+
+def q_training_view(spark, sf_dir):
+    import hashlib
+    name = "training_view_" + hashlib.md5(sf_dir.encode()).hexdigest()[:10]
+    feats = ["qty_sum", "avg_discount", "n_items"]
+    extract.create_training_view(spark, booking_df(spark, sf_dir), name, feats, derived.LABEL_COL,
+                                 where="qty_sum > 50")
+    return spark.table(name)
+
+
+def q_table_stats(spark, sf_dir):
+    return metadata.all_table_stats(spark, sf_dir, TABLE_NAMES)
+
+
+def q_table_metadata(spark, sf_dir):
+    return metadata.table_metadata(_t(spark, sf_dir, "lineitem"), "lineitem")
+
+
+ADHOC_SQL = """SELECT event_type, count(*) AS n_events, round(avg(value), 6) AS avg_value,
+       count(DISTINCT user_id) AS n_users
+FROM events WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' GROUP BY event_type"""
+
+
+def q_adhoc_sql(spark, sf_dir):
+    register_tables(spark, sf_dir, ["events"])
+    return execute_query(spark, ADHOC_SQL)
+
+
+# ------------------------------------------------------------ monitoring
+
+def booking_times(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").cast("string").alias("booking_id"), F.col("o_orderdate").alias("booking_ts"))
+
+
+def timed_predictions(spark, sf_dir):
+    return predictions_df(spark, sf_dir).join(booking_times(spark, sf_dir), "booking_id", "inner")
+
+
+def q_accuracy_trend(spark, sf_dir):
+    labels = booking_df(spark, sf_dir).select("booking_id", "fraud_flag")
+    return monitoring.accuracy_trend(timed_predictions(spark, sf_dir), labels, "booking_id", "booking_ts",
+                                     "fraud_flag", unit="month")
+
+
+def q_prediction_volume(spark, sf_dir):
+    return monitoring.prediction_volume(timed_predictions(spark, sf_dir), "booking_ts", unit="month")
+
+
+def q_event_volume(spark, sf_dir):
+    return monitoring.prediction_volume(_t(spark, sf_dir, "events"), "ts", unit="day")
+
+
+def q_value_percentiles(spark, sf_dir):
+    return monitoring.exact_percentiles(_t(spark, sf_dir, "events"), "value", by=["event_type"])
+
+
+def q_value_percentiles_all(spark, sf_dir):
+    return monitoring.exact_percentiles(_t(spark, sf_dir, "events"), "value")
+
+
+def q_probability_percentiles(spark, sf_dir):
+    return monitoring.exact_percentiles(predictions_df(spark, sf_dir), "fraud_probability", by=["risk_category"])
+
+
+def q_error_rate(spark, sf_dir):
+    return monitoring.error_rate(_t(spark, sf_dir, "events"))
+
+
+def q_error_rate_daily(spark, sf_dir):
+    e = _t(spark, sf_dir, "events")
+    return monitoring.error_rate(e, by=F.to_date("ts").alias("date"))
+
+
+PSI_BASELINE, PSI_CURRENT = 1996, 1997
+
+
+def psi_bins_df(spark, sf_dir):
+    p = timed_predictions(spark, sf_dir).withColumn("year", F.year("booking_ts"))
+    return monitoring.psi(p, "fraud_probability", "year", PSI_BASELINE, PSI_CURRENT)
+
+
+def q_psi_bins(spark, sf_dir):
+    return psi_bins_df(spark, sf_dir)
+
+
+def q_psi_total(spark, sf_dir):
+    return monitoring.psi_total(psi_bins_df(spark, sf_dir))
+
+
+QUERIES.update({
+    "importance_rank": q_importance_rank,
+    "select_features": q_select_features,
+    "top_features": q_top_features,
+    "run_metrics": q_run_metrics,
+    "training_extract": q_training_extract,
+    "training_extract_top": q_training_extract_top,
+    "training_view": q_training_view,
+    "table_stats": q_table_stats,
+    "table_metadata": q_table_metadata,
+    "adhoc_sql": q_adhoc_sql,
+    "accuracy_trend": q_accuracy_trend,
+    "prediction_volume": q_prediction_volume,
+    "event_volume": q_event_volume,
+    "value_percentiles": q_value_percentiles,
+    "value_percentiles_all": q_value_percentiles_all,
+    "probability_percentiles": q_probability_percentiles,
+    "error_rate": q_error_rate,
+    "error_rate_daily": q_error_rate_daily,
+    "psi_bins": q_psi_bins,
+    "psi_total": q_psi_total,
+})
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch scoring of the surrogate booking table into the prediction schema."""
     return q_score_table(spark, sf_dir)
