@@ -397,3 +397,15 @@ bins AS (SELECT bin, n_baseline, n_current, round(e, 6) AS baseline_share, round
                 round((a - e) * ln(a / e), 6) AS psi_contribution FROM s)"""
 ORACLES["psi_bins"] = f"WITH {BOOKING_CTE},\n{PSI_CTE}\nSELECT * FROM bins"
 ORACLES["psi_total"] = f"WITH {BOOKING_CTE},\n{PSI_CTE}\nSELECT round(sum(psi_contribution), 6) AS psi, count(*) AS n_bins FROM bins"
+
+# -------------------------------------------------------------- streaming
+
+ORACLES["stream_scores"] = ORACLES["score_table"]
+
+ORACLES["stream_daily_monitor"] = """
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+       count(*) AS n_events, count_if(event_type = 'error') AS n_errors,
+       round(avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END), 6) AS error_rate
+FROM events
+GROUP BY 1, 2
+HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"""
