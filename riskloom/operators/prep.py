@@ -77,34 +77,49 @@ def stratified_split(df: DataFrame, label_col: str, key_col: str, test_fraction:
     Within each class rows are ordered by md5("seed:key") (then key); the
     first floor(test_fraction * n_class) rows are 'test', the rest 'train'.
 
-    No window ever spans a whole class.  Rows are grouped into 16^digits
-    hash-prefix buckets; counts per (class, bucket) — a bounded table —
-    give each bucket's offset, which decides whole buckets at once.  Only
-    the one bucket per class that straddles the cut is ranked, with a
-    window over that bucket alone.  The hash is uniform, so a class holding
-    most rows still spreads evenly over buckets.
+    The full table is never shuffled or sorted:
+
+    1. rows are counted per (class, hash-prefix bucket) — 16^digits buckets
+       per class, a bounded table — and each bucket's offset decides it
+       wholly 'test', wholly 'train', or 'cut' (straddles the boundary);
+    2. only the rows of the one cut bucket per class are ranked (a window
+       over that bucket alone) to find the exact last test key;
+    3. every row is labelled by comparing its (hash, key) with its bucket's
+       status and its class's last test key — two joins with small tables,
+       which AQE broadcasts after measuring them.
+
+    The hash is uniform, so a class holding most rows still spreads evenly
+    over the buckets; steps 1 and 2 read only the key and label columns.
     """
     if not 0.0 <= test_fraction <= 1.0:
         raise ValueError("test_fraction must be within [0, 1]")
+    key_s = F.col(key_col).cast("string")
     h = split_hash(key_col, seed)
     d = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, bucket_digits))
     cnt = d.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w_before = Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    cnt = (cnt.select(label_col, "_b", "_n",
-                      F.coalesce(F.sum("_n").over(w_before), F.lit(0)).alias("_before"),
-                      F.floor(F.sum("_n").over(Window.partitionBy(label_col)) * F.lit(float(test_fraction))).alias("_k"))
-              .select(label_col, "_b",
-                      F.when(F.col("_before") + F.col("_n") <= F.col("_k"), F.lit("test"))
-                       .when(F.col("_before") >= F.col("_k"), F.lit("train"))
-                       .otherwise(F.lit("cut")).alias("_status"),
-                      (F.col("_k") - F.col("_before")).alias("_need")))
-    d = d.join(cnt, [label_col, "_b"], "inner")
-    decided = d.where(F.col("_status") != "cut").withColumn(out, F.col("_status"))
-    w_cut = Window.partitionBy(label_col, "_b").orderBy("_h", F.col(key_col).cast("string"))
-    cut = (d.where(F.col("_status") == "cut")
-            .withColumn(out, F.when(F.row_number().over(w_cut) <= F.col("_need"), F.lit("test")).otherwise(F.lit("train"))))
-    temp = ["_h", "_b", "_status", "_need"]
-    return decided.drop(*temp).unionByName(cut.drop(*temp))
+    status = (cnt.select(label_col, "_b", "_n",
+                         F.coalesce(F.sum("_n").over(w_before), F.lit(0)).alias("_before"),
+                         F.floor(F.sum("_n").over(Window.partitionBy(label_col)) * F.lit(float(test_fraction))).alias("_k"))
+                 .select(label_col, "_b",
+                         F.when(F.col("_before") + F.col("_n") <= F.col("_k"), F.lit("test"))
+                          .when(F.col("_before") >= F.col("_k"), F.lit("train"))
+                          .otherwise(F.lit("cut")).alias("_status"),
+                         (F.col("_k") - F.col("_before")).alias("_need")))
+    cut = (d.select(label_col, "_b", "_h", key_s.alias("_key"))
+            .join(status.where(F.col("_status") == "cut"), [label_col, "_b"], "inner"))
+    w_cut = Window.partitionBy(label_col).orderBy("_h", "_key")
+    last_test = (cut.withColumn("_rn", F.row_number().over(w_cut))
+                    .where(F.col("_rn") == F.col("_need"))
+                    .select(label_col, F.col("_h").alias("_last_h"), F.col("_key").alias("_last_key")))
+    j = d.join(status.select(label_col, "_b", "_status"), [label_col, "_b"], "inner") \
+         .join(last_test, label_col, "left")
+    in_test = (F.col("_h") < F.col("_last_h")) | ((F.col("_h") == F.col("_last_h")) & (key_s <= F.col("_last_key")))
+    split = (F.when(F.col("_status") == "test", F.lit("test"))
+              .when(F.col("_status") == "train", F.lit("train"))
+              .when(in_test, F.lit("test"))
+              .otherwise(F.lit("train")))
+    return j.withColumn(out, split).drop("_h", "_b", "_status", "_last_h", "_last_key")
 
 
 def dataset_profile(split_df: DataFrame, n_features: int, label_col: str = "fraud_flag",

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 DEFAULT_ACCURACY = 10000
 
 
@@ -58,11 +60,20 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], by: list[
         if nb <= 1:
             d = d.withColumn("_b", F.lit(0))
         elif not by:
+            # The quantile pass is a job of its own: cut the lineage first so
+            # the upstream plan runs once (the checkpoint lives in the shared
+            # spark.checkpoint.dir, so a lost executor does not lose it).
             # One list of at most nb-1 numbers comes back to the driver: its
             # size is fixed by nb, not by the data.
+            ensure_checkpoint_dir(df.sparkSession)
+            d = d.checkpoint(eager=True)
             cuts = sorted(set(d.approxQuantile("_k", probs, 1.0 / max(DEFAULT_ACCURACY, 10 * nb))))
             d = d.withColumn("_b", _bucket_by_bounds(F.col("_k"), F.array(*[F.lit(float(c)) for c in cuts])))
         else:
+            # Bounds per group come from the same input as the totals and the
+            # final window: materialise it once (see the global case).
+            ensure_checkpoint_dir(df.sparkSession)
+            d = d.checkpoint(eager=True)
             acc = max(DEFAULT_ACCURACY, 10 * nb)
             bounds = d.groupBy(*by).agg(F.percentile_approx("_k", probs, acc).alias("_bounds"))
             d = (d.join(bounds, by, "inner")
