@@ -409,3 +409,44 @@ SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1
 FROM events
 GROUP BY 1, 2
 HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"""
+
+# ------------------------------------------------- more table-health checks
+
+DOC_COLS = [("doc_id", "num"), ("text", "str"), ("lang", "str"), ("source", "str"), ("n_chars", "num")]
+
+
+def _column_profile_sql(source: str, cols) -> str:
+    parts = []
+    for name, kind in cols:
+        if kind == "str":
+            emp = f"count_if({name} IS NULL OR {name} = '')"
+            e, ep = emp, f"round({emp} * 100.0::DOUBLE / nullif(count(*), 0), 2)"
+        else:
+            e, ep = "NULL::BIGINT", "NULL::DOUBLE"
+        parts.append(f"SELECT '{name}' AS column_name, count(*) AS total_rows, count_if({name} IS NULL) AS nulls, "
+                     f"round(count_if({name} IS NULL) * 100.0::DOUBLE / nullif(count(*), 0), 2) AS null_pct, "
+                     f"{e} AS empties, {ep} AS empty_pct FROM {source}")
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLES["daily_freshness_orders"] = (ORACLES["daily_freshness"]
+                                     .replace("cast(ts AS DATE)", "cast(o_orderdate AS DATE)")
+                                     .replace("FROM events", "FROM orders")
+                                     .replace(AS_OF, Q.FRESHNESS_ORDERS_AS_OF))
+ORACLES["column_profile_gaps"] = f"WITH {GAPS_CTE}\n" + _column_profile_sql("orders_gaps", ORDERS_COLS)
+ORACLES["column_profile_documents"] = _column_profile_sql("documents", DOC_COLS)
+ORACLES["quality_report_documents"] = _quality_sql("documents", DOC_COLS)
+ORACLES["row_profile_documents"] = """
+SELECT count(*) AS total_rows,
+       (SELECT count(*) FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents)) AS unique_rows,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents)) AS duplicate_rows
+FROM documents"""
+ORACLES["validation_gate_documents"] = """
+WITH s AS (SELECT count(*) AS row_count,
+                  sum((text IS NULL)::INT + (lang IS NULL)::INT + (source IS NULL)::INT + (n_chars IS NULL)::INT) AS null_cells
+           FROM documents),
+u AS (SELECT count(*) AS unique_rows FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents))
+SELECT row_count, round(null_cells::DOUBLE / nullif(row_count * 4, 0), 6) AS null_percentage,
+       row_count - unique_rows AS duplicate_rows, 4 AS column_count,
+       (row_count >= 1000 AND coalesce(round(null_cells::DOUBLE / nullif(row_count * 4, 0), 6), 0) <= 0.1) AS is_valid
+FROM s, u"""

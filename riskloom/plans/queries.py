@@ -77,6 +77,34 @@ def q_null_drop_report(spark, sf_dir):
     return quality.null_drop_report(derived.orders_with_gaps(_t(spark, sf_dir, "orders")))
 
 
+
+FRESHNESS_ORDERS_AS_OF = "2001-08-15"
+
+
+def q_daily_freshness_orders(spark, sf_dir):
+    return quality.freshness_summary(_t(spark, sf_dir, "orders"), "o_orderdate", FRESHNESS_ORDERS_AS_OF)
+
+
+def q_column_profile_gaps(spark, sf_dir):
+    return quality.column_profile(derived.orders_with_gaps(_t(spark, sf_dir, "orders")))
+
+
+def q_column_profile_documents(spark, sf_dir):
+    return quality.column_profile(_t(spark, sf_dir, "documents"))
+
+
+def q_quality_report_documents(spark, sf_dir):
+    return quality.quality_report(_t(spark, sf_dir, "documents"))
+
+
+def q_row_profile_documents(spark, sf_dir):
+    """Whole-row duplicates of documents (every column but the id, whole texts)."""
+    return quality.row_profile(_t(spark, sf_dir, "documents").drop("doc_id"))
+
+
+def q_validation_gate_documents(spark, sf_dir):
+    return quality.validation_gate(_t(spark, sf_dir, "documents").drop("doc_id"))
+
 # --------------------------------------------------------------- booking
 
 def q_booking(spark, sf_dir):
@@ -94,6 +122,12 @@ QUERIES = {
     "null_drop": q_null_drop,
     "null_drop_report": q_null_drop_report,
     "booking": q_booking,
+    "daily_freshness_orders": q_daily_freshness_orders,
+    "column_profile_gaps": q_column_profile_gaps,
+    "column_profile_documents": q_column_profile_documents,
+    "quality_report_documents": q_quality_report_documents,
+    "row_profile_documents": q_row_profile_documents,
+    "validation_gate_documents": q_validation_gate_documents,
 }
 
 

@@ -52,6 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: checkpoints, model saves and "
+                               "stream state must survive the loss of an executor")
         path = tempfile.mkdtemp(prefix="riskloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext

@@ -25,11 +25,13 @@ def file_bytes(df: DataFrame) -> DataFrame:
 
 
 def table_metadata(df: DataFrame, name: str) -> DataFrame:
-    """Row count, bytes, MB (2 dp), column count and the schema as an
-    array of {name, type} — one pass: rows are counted per file first, then
-    the per-file table (one row per file) is summed."""
-    per_file = (df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"))
-                  .groupBy("p").agg(F.max("s").alias("s"), F.count(F.lit(1)).alias("n")))
+    """Row count, bytes, MB (2 dp), column count, created / modified
+    (oldest / newest file modification time) and the schema as an array of
+    {name, type} — one pass: rows are counted per file first, then the
+    per-file table (one row per file) is summed."""
+    per_file = (df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"),
+                          F.col("_metadata.file_modification_time").alias("m"))
+                  .groupBy("p").agg(F.max("s").alias("s"), F.max("m").alias("m"), F.count(F.lit(1)).alias("n")))
     schema = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"))
                        for f in df.schema.fields])
     return per_file.agg(
@@ -38,6 +40,8 @@ def table_metadata(df: DataFrame, name: str) -> DataFrame:
         F.coalesce(F.sum("s"), F.lit(0)).cast("long").alias("size_bytes"),
         bytes_to_mb(F.coalesce(F.sum("s"), F.lit(0))).alias("size_mb"),
         F.lit(len(df.columns)).cast("long").alias("column_count"),
+        F.min("m").alias("created"),
+        F.max("m").alias("modified"),
         schema.alias("schema"),
     )
 
