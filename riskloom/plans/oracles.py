@@ -450,3 +450,9 @@ SELECT row_count, round(null_cells::DOUBLE / nullif(row_count * 4, 0), 6) AS nul
        row_count - unique_rows AS duplicate_rows, 4 AS column_count,
        (row_count >= 1000 AND coalesce(round(null_cells::DOUBLE / nullif(row_count * 4, 0), 6), 0) <= 0.1) AS is_valid
 FROM s, u"""
+
+# ------------------------------------------------------- file round trips
+
+ORACLES["csv_roundtrip"] = ORACLES["booking"]
+ORACLES["jsonl_batch_scores"] = ORACLES["score_table"]
+ORACLES["prediction_table_roundtrip"] = ORACLES["score_table"]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import importance, metrics, models, monitoring, prep, quality, scoring
 from ..session import scratch_path
 from ..sinks import writers
-from ..sources import derived, extract, metadata
+from ..sources import derived, extract, files, metadata
 from ..streaming import monitors as stream_monitors
 from ..streaming import scoring as stream_scoring
 from ..sources.tables import TABLE_NAMES, execute_query, read_table, register_tables
@@ -457,6 +457,33 @@ def q_performance_log_row(spark, sf_dir):
     return writers.performance_rows(m, "fixed_score_ensemble", "v1", logged_at=SCORED_AT)
 
 
+
+# ------------------------------------------------------- file round trips
+
+def q_csv_roundtrip(spark, sf_dir):
+    """K2 + S5: the booking table written as CSV with a header and read back
+    with its schema."""
+    b = booking_df(spark, sf_dir)
+    path = writers.write_csv(b, scratch_path(spark, "files", "csv_" + uuid.uuid4().hex[:12]))
+    return files.read_csv_dataset(spark, path, b.schema)
+
+
+def q_jsonl_batch_scores(spark, sf_dir):
+    """K3 (JSON export) + S7 + L8: booking rows exported as JSON lines, read
+    back as batch-prediction input and scored."""
+    b = booking_df(spark, sf_dir)
+    path = writers.export_table(b, scratch_path(spark, "files", "jsonl_" + uuid.uuid4().hex[:12]), "JSON")
+    back = files.read_jsonl(spark, path, b.schema)
+    s = scored_df(spark, sf_dir, back)
+    return scoring.prediction_rows(s, "booking_id", F.col("fraud_probability"), SCORED_AT)
+
+
+def q_prediction_table_roundtrip(spark, sf_dir):
+    """K1: predictions written (overwrite) in the fixed schema and read back."""
+    path = scratch_path(spark, "files", "pred_" + uuid.uuid4().hex[:12])
+    writers.write_predictions(predictions_df(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
 # -------------------------------------------------------------- streaming
 
 def q_stream_scores(spark, sf_dir):
@@ -487,6 +514,9 @@ def q_stream_daily_monitor(spark, sf_dir):
 
 
 QUERIES.update({
+    "csv_roundtrip": q_csv_roundtrip,
+    "jsonl_batch_scores": q_jsonl_batch_scores,
+    "prediction_table_roundtrip": q_prediction_table_roundtrip,
     "ensemble_scores": q_ensemble_scores,
     "ensemble_evaluation": q_ensemble_evaluation,
     "ensemble_importance": q_ensemble_importance,

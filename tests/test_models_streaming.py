@@ -68,3 +68,29 @@ def test_health_json(spark):
     e = spark.read.parquet(f"{SF}/events.parquet")
     doc = health_json(e, "events", "ts", "2024-01-31")
     assert '"freshness_status"' in doc and '"quality_score"' in doc
+
+
+def test_stream_monitor_drops_rows_behind_the_watermark(spark, tmp_dir):
+    """Two micro-batches: the second brings rows for a day whose window the
+    first batch's watermark already closed; they are ignored."""
+    import datetime as dt
+    src = os.path.join(tmp_dir, "late_src")
+    os.makedirs(src)
+    schema = "event_id long, ts timestamp_ntz, event_type string"
+    day = dt.datetime(2024, 1, 1)
+    first = [(i, day + dt.timedelta(hours=i), "view" if i % 4 else "error") for i in range(60)]   # up to Jan 3 11:00
+    late = [(100 + i, day + dt.timedelta(hours=2), "error") for i in range(5)]                    # Jan 1: closed
+    fresh = [(200, day + dt.timedelta(days=3, hours=5), "view")]                                   # Jan 4
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(os.path.join(src, "b1"))
+    stream = sscoring.read_stream(spark, os.path.join(src, "*"), spark.createDataFrame([], schema).schema,
+                                  max_files_per_trigger=1)
+    out, ck = os.path.join(tmp_dir, "late_out"), os.path.join(tmp_dir, "late_ck")
+    q = monitors.start_monitor_sink(monitors.windowed_monitor(stream), out, ck)
+    q.awaitTermination()
+    spark.createDataFrame(late + fresh, schema).coalesce(1).write.parquet(os.path.join(src, "b2"))
+    q = monitors.start_monitor_sink(monitors.windowed_monitor(stream), out, ck)
+    q.awaitTermination()
+    got = {r["window_start"].date(): (r["n_events"], r["n_errors"]) for r in spark.read.parquet(out).collect()}
+    assert got[dt.date(2024, 1, 1)] == (24, 6)          # late rows not counted
+    assert got[dt.date(2024, 1, 2)] == (24, 6)
+    assert dt.date(2024, 1, 4) not in got               # still open
