@@ -56,11 +56,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: checkpoints, model saves and "
                                "stream state must survive the loss of an executor")
         path = tempfile.mkdtemp(prefix="riskloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - a core conf may be read-only at runtime
+            pass
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
-    return path
+    return sc.getCheckpointDir() or path
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:

@@ -80,3 +80,20 @@ def test_null_drop(spark):
     r = quality.null_drop_report(df).first()
     assert (r["initial_rows"], r["rows_after_cleaning"], r["removed_rows"]) == (4, 2, 2)
     assert F is not None
+
+
+def test_column_profile_long_form(spark):
+    df = spark.createDataFrame([("a", 1.0), ("", None), (None, None), ("b", 2.0)], "s string, x double")
+    rows = {r["column_name"]: r for r in quality.column_profile(df).collect()}
+    assert rows["s"]["nulls"] == 1 and rows["s"]["empties"] == 2 and rows["s"]["empty_pct"] == 50.0
+    assert rows["x"]["nulls"] == 2 and rows["x"]["null_pct"] == 50.0 and rows["x"]["empties"] is None
+    assert all(r["total_rows"] == 4 for r in rows.values())
+
+
+def test_column_profile_matches_wide_report(spark):
+    from riskloom.sources import derived
+    o = derived.orders_with_gaps(spark.read.parquet("/root/testdata/sf0.001/orders.parquet"))
+    wide = quality.quality_report(o).first().asDict()
+    for r in quality.column_profile(o).collect():
+        assert wide[f"{r['column_name']}_nulls"] == r["nulls"]
+        assert wide[f"{r['column_name']}_null_pct"] == r["null_pct"]

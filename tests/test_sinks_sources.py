@@ -114,3 +114,11 @@ def test_list_tables(spark):
     spark.range(3).createOrReplaceTempView("tiny_listed")
     names = [r["name"] for r in metadata.list_tables(spark).collect()]
     assert "tiny_listed" in names
+
+
+def test_table_metadata_times(spark):
+    import datetime as dt
+    df = spark.read.parquet(f"{SF}/orders.parquet")
+    r = metadata.table_metadata(df, "orders").first()
+    mtime = dt.datetime.fromtimestamp(os.path.getmtime(f"{SF}/orders.parquet"), dt.timezone.utc).replace(tzinfo=None)
+    assert abs((r["modified"] - mtime).total_seconds()) < 1 and r["created"] == r["modified"]
