@@ -97,11 +97,13 @@ def score_counts(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
               .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")))
 
 
-def cumulative_by_score(df: DataFrame, label_col: str, score_col: str, n_buckets: int | None = None) -> DataFrame:
+def cumulative_by_score(df: DataFrame, label_col: str, score_col: str, n_buckets: int | None = None,
+                        with_next: bool = False) -> DataFrame:
     """Per distinct score (descending): pos, neg, cum_pos, cum_neg (rows
-    with score >= this score) and total_pos, total_neg."""
+    with score >= this score) and total_pos, total_neg; with ``with_next``
+    also next_pos, next_neg (counts at the next lower score)."""
     g = score_counts(df, label_col, score_col)
-    return running_totals(g, "score", ["pos", "neg"], descending=True, n_buckets=n_buckets)
+    return running_totals(g, "score", ["pos", "neg"], descending=True, n_buckets=n_buckets, with_next=with_next)
 
 
 def ranking_metrics(df: DataFrame, label_col: str, score_col: str, digits: int = 6,
@@ -120,11 +122,21 @@ def ranking_metrics(df: DataFrame, label_col: str, score_col: str, digits: int =
 
 
 def roc_curve(df: DataFrame, label_col: str, score_col: str, digits: int = 6,
-              n_buckets: int | None = None) -> DataFrame:
-    """One (fpr, tpr) point per distinct score used as threshold
-    ("score >= threshold" is positive), plus the origin at threshold +inf.
-    Thresholds are the real scores."""
-    r = cumulative_by_score(df, label_col, score_col, n_buckets)
+              n_buckets: int | None = None, drop_intermediate: bool = True) -> DataFrame:
+    """(fpr, tpr) points with the real scores as thresholds ("score >=
+    threshold" is positive), plus the origin at threshold +inf.
+
+    ``drop_intermediate`` (the default of the library the reference calls)
+    leaves out a point when the next lower score adds exactly the same
+    positive and negative counts, i.e. the point lies on a straight segment;
+    the highest and lowest scores are always kept.
+    """
+    r = cumulative_by_score(df, label_col, score_col, n_buckets, with_next=drop_intermediate)
+    if drop_intermediate:
+        first = (F.col("cum_pos") - F.col("pos") + F.col("cum_neg") - F.col("neg")) == 0
+        last = F.col("next_pos").isNull()
+        same_step = (F.col("next_pos") == F.col("pos")) & (F.col("next_neg") == F.col("neg"))
+        r = r.where(first | last | ~same_step)
     pts = r.select(F.col("score").alias("threshold"),
                    F.round(null_ratio(F.col("cum_neg"), F.col("total_neg")), digits).alias("fpr"),
                    F.round(null_ratio(F.col("cum_pos"), F.col("total_pos")), digits).alias("tpr"))

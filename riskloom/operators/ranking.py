@@ -41,13 +41,16 @@ def _bucket_by_bounds(key: Column, bounds: Column) -> Column:
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], by: list[str] | tuple = (),
                    descending: bool = False, n_buckets: int | None = None,
-                   bucket: Column | None = None) -> DataFrame:
+                   bucket: Column | None = None, with_next: bool = False) -> DataFrame:
     """Add ``cum_<c>`` (total of ``c`` over rows whose key sorts at or before
     this row's key, within ``by``) and ``total_<c>`` (group total).
 
     ``descending`` requires a numeric key.  ``bucket`` may supply a ready
     range id that is monotone in the key (e.g. a hash prefix); otherwise
-    quantile ranges are computed.
+    quantile ranges are computed.  ``with_next`` also adds ``next_<c>``: the
+    value of ``c`` on the following row in key order (NULL on the last row
+    of the group), found across range boundaries through the small
+    per-range table; keys must then be unique within the group.
     """
     by = list(by)
     key = -F.col(order_col) if descending else F.col(order_col)
@@ -79,13 +82,23 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], by: list[
             d = (d.join(bounds, by, "inner")
                   .withColumn("_b", _bucket_by_bounds(F.col("_k"), F.col("_bounds")))
                   .drop("_bounds"))
-    tot = d.groupBy(*by, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    firsts = [F.min_by(c, "_k").alias(f"_f_{c}") for c in sum_cols] if with_next else []
+    tot = d.groupBy(*by, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols], *firsts)
     w_before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*by)
+    w_ranges = Window.partitionBy(*by).orderBy("_b")
+    nexts = [F.lead(f"_f_{c}").over(w_ranges).alias(f"_nb_{c}") for c in sum_cols] if with_next else []
     off = tot.select(*by, "_b",
                      *[F.coalesce(F.sum(f"_t_{c}").over(w_before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
-                     *[F.sum(f"_t_{c}").over(w_all).alias(f"total_{c}") for c in sum_cols])
+                     *[F.sum(f"_t_{c}").over(w_all).alias(f"total_{c}") for c in sum_cols],
+                     *nexts)
     d = d.join(off, [*by, "_b"], "inner")
     w_local = Window.partitionBy(*by, "_b").orderBy("_k").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    out = d.select("*", *[(F.sum(c).over(w_local) + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in sum_cols])
-    return out.drop("_k", "_b", *[f"_o_{c}" for c in sum_cols])
+    w_rows = Window.partitionBy(*by, "_b").orderBy("_k")
+    extra = []
+    if with_next:
+        last_in_range = F.lead(F.lit(1)).over(w_rows).isNull()
+        extra = [F.when(last_in_range, F.col(f"_nb_{c}")).otherwise(F.lead(c).over(w_rows)).alias(f"next_{c}")
+                 for c in sum_cols]
+    out = d.select("*", *[(F.sum(c).over(w_local) + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in sum_cols], *extra)
+    return out.drop("_k", "_b", *[f"_o_{c}" for c in sum_cols], *[f"_nb_{c}" for c in sum_cols])

@@ -272,12 +272,16 @@ SELECT round(sum(neg * (cum_pos - pos + pos / 2.0)) / nullif(max(total_pos) * ma
        coalesce(max(total_pos), 0)::BIGINT AS n_positive, coalesce(max(total_neg), 0)::BIGINT AS n_negative
 FROM c"""
 
-_ROC_SELECT = """SELECT score AS threshold, round(cum_neg::DOUBLE / nullif(total_neg, 0), 6) AS fpr,
-       round(cum_pos::DOUBLE / nullif(total_pos, 0), 6) AS tpr FROM c
+_ROC_SELECT = """, pts AS (
+  SELECT *, lag(score) OVER (ORDER BY score DESC) AS prev_score,
+         lead(pos) OVER (ORDER BY score DESC) AS next_pos, lead(neg) OVER (ORDER BY score DESC) AS next_neg FROM c)
+SELECT score AS threshold, round(cum_neg::DOUBLE / nullif(total_neg, 0), 6) AS fpr,
+       round(cum_pos::DOUBLE / nullif(total_pos, 0), 6) AS tpr FROM pts
+WHERE prev_score IS NULL OR next_pos IS NULL OR NOT (next_pos = pos AND next_neg = neg)
 UNION ALL SELECT 'Infinity'::DOUBLE, 0.0, 0.0 FROM c HAVING count(*) > 0"""
 
-ORACLES["roc_curve"] = f"WITH {BOOKING_CTE},\n{TEST_CTE},\n{_ranking_sql('test', 'fraud_flag', 'fraud_probability')}\n{_ROC_SELECT}"
-ORACLES["roc_curve_docs"] = f"WITH {DOCS_CTE},\n{_ranking_sql('docs', 'label', 'score')}\n{_ROC_SELECT}"
+ORACLES["roc_curve"] = f"WITH {BOOKING_CTE},\n{TEST_CTE},\n{_ranking_sql('test', 'fraud_flag', 'fraud_probability')}{_ROC_SELECT}"
+ORACLES["roc_curve_docs"] = f"WITH {DOCS_CTE},\n{_ranking_sql('docs', 'label', 'score')}{_ROC_SELECT}"
 
 ORACLES["evaluation_metrics"] = f"""
 WITH {BOOKING_CTE},

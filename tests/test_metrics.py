@@ -59,7 +59,7 @@ def test_all_tied_and_single_class(spark):
 
 def test_roc_curve_points(spark):
     df = spark.createDataFrame([(1, 0.9), (0, 0.8), (1, 0.7), (0, 0.1)], "y int, s double")
-    pts = sorted((r["fpr"], r["tpr"]) for r in metrics.roc_curve(df, "y", "s").collect())
+    pts = sorted((r["fpr"], r["tpr"]) for r in metrics.roc_curve(df, "y", "s", drop_intermediate=False).collect())
     assert pts == [(0.0, 0.0), (0.0, 0.5), (0.5, 0.5), (0.5, 1.0), (1.0, 1.0)]
 
 
@@ -113,3 +113,35 @@ def test_psi_identical_periods_is_zero(spark):
     df = spark.createDataFrame(rows, "year int, s double")
     t = monitoring.psi_total(monitoring.psi(df, "s", "year", 1, 2)).first()
     assert t["psi"] == 0.0 and t["n_bins"] == 10
+
+
+def _roc_drop_intermediate(ys, ss):
+    """The documented rule: cumulative fps/tps over distinct thresholds
+    (descending); keep first, last and every point where the second
+    difference of fps or tps is non-zero; prepend the origin."""
+    ys, ss = np.asarray(ys), np.asarray(ss)
+    thr = np.unique(ss)[::-1]
+    tps = np.array([((ss >= t) & (ys == 1)).sum() for t in thr])
+    fps = np.array([((ss >= t) & (ys == 0)).sum() for t in thr])
+    keep = np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True]
+    pts = [(0.0, 0.0)] + [(round(f / fps[-1], 6), round(t / tps[-1], 6)) for f, t in zip(fps[keep], tps[keep])]
+    return sorted(pts)
+
+
+@pytest.mark.parametrize("n_buckets", [1, 4, 16])
+def test_roc_drop_intermediate_matches_rule(spark, n_buckets):
+    rnd = random.Random(21)
+    ys = [rnd.randint(0, 1) for _ in range(400)]
+    ss = [round(rnd.random(), 2) for _ in range(400)]
+    df = spark.createDataFrame(list(zip(ys, ss)), "y int, s double")
+    got = sorted((r["fpr"], r["tpr"]) for r in metrics.roc_curve(df, "y", "s", n_buckets=n_buckets).collect())
+    assert got == _roc_drop_intermediate(ys, ss)
+    full = metrics.roc_curve(df, "y", "s", n_buckets=n_buckets, drop_intermediate=False).count()
+    assert full == len(set(ss)) + 1 > len(got)
+
+
+def test_running_totals_next_across_ranges(spark):
+    rows = [(k, k * 10) for k in range(50)]
+    df = spark.createDataFrame(rows, "k int, v int")
+    out = {r["k"]: r["next_v"] for r in running_totals(df, "k", ["v"], n_buckets=7, with_next=True).collect()}
+    assert all(out[k] == (k + 1) * 10 for k in range(49)) and out[49] is None
