@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # Fixed value that must equal the reference's: added to each model's
 # importance total before dividing.
 NORM_EPSILON = 1e-9
@@ -59,9 +61,9 @@ def data_importances(df: DataFrame, features: list[str], label_col: str) -> dict
     |Pearson correlation with the label|, |standardised mean difference
     between classes| and |relative lift of the positive-class mean|.
 
-    One aggregation pass builds a single wide row; each measure is a
-    ``stack`` of it.  The three branches share the same aggregation
-    exchange, which Spark reuses, so the table is read once.
+    One aggregation pass builds a single wide row, checkpointed to the
+    shared checkpoint folder (one row); each measure is a ``stack`` of it,
+    so the input is read once however many measures use it.
     """
     y = F.col(label_col)
     aggs = []
@@ -72,7 +74,8 @@ def data_importances(df: DataFrame, features: list[str], label_col: str) -> dict
         aggs += [F.abs(F.corr(x, y.cast("double"))).alias(f"{f}__lr"),
                  F.abs(F.try_divide(pos_mean - neg_mean, F.stddev_pop(x))).alias(f"{f}__xgb"),
                  F.abs(F.try_divide(pos_mean, F.avg(x)) - F.lit(1.0)).alias(f"{f}__lgb")]
-    wide = df.agg(*aggs)
+    ensure_checkpoint_dir(df.sparkSession)
+    wide = df.agg(*aggs).checkpoint(eager=True)
     out = {}
     for m in ("lr", "xgb", "lgb"):
         pairs = ", ".join(f"'{f}', `{f}__{m}`" for f in features)
