@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ..session import scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path
 from . import importance as imp
 from .prep import class_counts, require_columns, require_numeric
 from .scoring import soft_vote, vote_class
@@ -72,6 +72,9 @@ def training_frame(df: DataFrame, label_col: str, n0: int, n1: int) -> DataFrame
 def fit_ensemble(train: DataFrame, features: list[str], label_col: str, **params) -> PipelineModel:
     """L2-L4 + L7 fit: one Pipeline (assembler + three members)."""
     p = {**DEFAULTS, **params}
+    # Boosted trees checkpoint their state every 10 rounds (checkpointInterval)
+    # into the context's checkpoint folder; make sure it is the shared one.
+    ensure_checkpoint_dir(train.sparkSession)
     require_columns(train, [*features, label_col])
     require_numeric(train, features)
     n0, n1 = class_counts(train, label_col)
