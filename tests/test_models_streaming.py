@@ -94,3 +94,22 @@ def test_stream_monitor_drops_rows_behind_the_watermark(spark, tmp_dir):
     assert got[dt.date(2024, 1, 1)] == (24, 6)          # late rows not counted
     assert got[dt.date(2024, 1, 2)] == (24, 6)
     assert dt.date(2024, 1, 4) not in got               # still open
+
+
+def test_logistic_member_reaches_penalised_optimum(spark):
+    """The logistic member minimises 0.5*||beta||^2 + sum_i w_i * logloss_i
+    (L2, C = 1, balanced weights, unscaled features): the gradient of that
+    objective at Spark's solution vanishes (checked per standardised unit)."""
+    import numpy as np
+    train = Q.split_df(spark, SF).where("split='train'").drop("split")
+    feats = prep.feature_columns(Q.booking_df(spark, SF))
+    lr = models.fit_ensemble(train, feats, "fraud_flag", rounds=2).stages[1]
+    pdf = train.select(*feats, "fraud_flag").toPandas()   # sf0.001 fixture: ~1k rows
+    X, y = pdf[feats].to_numpy(float), pdf["fraud_flag"].to_numpy(float)
+    n, n1 = len(y), y.sum()
+    w = np.where(y == 1, n / (2 * n1), n / (2 * (n - n1)))
+    beta = lr.coefficients.toArray()
+    p = 1 / (1 + np.exp(-(X @ beta + lr.intercept)))
+    grad = beta + X.T @ (w * (p - y))
+    assert np.max(np.abs(grad) / X.std(axis=0)) / n < 1e-4
+    assert abs(np.sum(w * (p - y))) / n < 1e-4
