@@ -58,7 +58,13 @@ def _is_string(field: T.StructField) -> bool:
     return isinstance(field.dataType, (T.StringType, T.VarcharType, T.CharType))
 
 
-def quality_report(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+# Above this many columns the wide report is assembled from the long
+# per-column profile, so no single generated aggregation grows with width.
+WIDE_REPORT_COLUMNS = 300
+
+
+def quality_report(df: DataFrame, columns: list[str] | None = None,
+                   wide_limit: int = WIDE_REPORT_COLUMNS) -> DataFrame:
     """A8-A10 in one pass: per-column null counts and percentages, empty
     counts for string columns, the quality score and its assessment.
 
@@ -66,6 +72,8 @@ def quality_report(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     {c}_empty_pct], quality_score, assessment.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
+    if len(fields) > wide_limit:
+        return _quality_report_from_profile(df, fields)
     total = F.count(F.lit(1))
     aggs = [total.alias("total_rows")]
     null_pct_names = []
@@ -80,8 +88,12 @@ def quality_report(df: DataFrame, columns: list[str] | None = None) -> DataFrame
             aggs.append(n_empty.alias(f"{f.name}_empty"))
             aggs.append(F.round(null_ratio(n_empty * 100.0, total), 2).alias(f"{f.name}_empty_pct"))
     wide = df.agg(*aggs)
+    return _with_score(wide, null_pct_names)
+
+
+def _with_score(wide: DataFrame, null_pct_names: list[str]) -> DataFrame:
     if null_pct_names:
-        avg_null = reduce(lambda a, b: a + b, [F.coalesce(F.col(n), F.lit(0.0)) for n in null_pct_names]) / len(null_pct_names)
+        avg_null = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"`{n}`"), F.lit(0.0)) for n in null_pct_names]) / len(null_pct_names)
     else:
         avg_null = F.lit(0.0)
     score = clamp_min(F.lit(100.0) - avg_null)
@@ -91,6 +103,27 @@ def quality_report(df: DataFrame, columns: list[str] | None = None) -> DataFrame
                 .drop("_score"))
 
 
+def _quality_report_from_profile(df: DataFrame, fields) -> DataFrame:
+    """The wide report for wide tables: the long profile (one row per
+    column, computed with per-row records and a partial aggregation) is
+    pivoted into one row.  The pivot runs over a table with one row per
+    column, so its size is bounded by the schema."""
+    names = [f.name for f in fields]
+    long = column_profile(df, names)
+    piv = long.groupBy().pivot("column_name", names).agg(
+        F.first("nulls").alias("nulls"), F.first("null_pct").alias("null_pct"),
+        F.first("empties").alias("empty"), F.first("empty_pct").alias("empty_pct"),
+        F.max("total_rows").alias("total"))
+    cols = [F.coalesce(F.greatest(*[F.col(f"`{n}_total`") for n in names]), F.lit(0)).cast("long").alias("total_rows")]
+    for f in fields:
+        cols += [F.coalesce(F.col(f"`{f.name}_nulls`"), F.lit(0)).cast("long").alias(f"{f.name}_nulls"),
+                 F.col(f"`{f.name}_null_pct`").alias(f"{f.name}_null_pct")]
+        if _is_string(f):
+            cols += [F.coalesce(F.col(f"`{f.name}_empty`"), F.lit(0)).cast("long").alias(f"{f.name}_empty"),
+                     F.col(f"`{f.name}_empty_pct`").alias(f"{f.name}_empty_pct")]
+    return _with_score(piv.select(*cols), [f"{f.name}_null_pct" for f in fields])
+
+
 def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """A8 + A9 in long form — one row per column: nulls, null %, empties and
     empty % (string columns only; NULL otherwise).

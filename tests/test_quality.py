@@ -97,3 +97,22 @@ def test_column_profile_matches_wide_report(spark):
     for r in quality.column_profile(o).collect():
         assert wide[f"{r['column_name']}_nulls"] == r["nulls"]
         assert wide[f"{r['column_name']}_null_pct"] == r["null_pct"]
+
+
+def test_wide_quality_report_path_matches(spark):
+    """The report assembled from the long profile (used for wide tables)
+    equals the single-aggregation report, also on an empty table."""
+    from riskloom.sources import derived
+    o = derived.orders_with_gaps(spark.read.parquet("/root/testdata/sf0.001/orders.parquet"))
+    for frame in (o, o.limit(0)):
+        a = quality.quality_report(frame)
+        b = quality.quality_report(frame, wide_limit=1)
+        assert a.columns == b.columns
+        assert a.first().asDict() == b.first().asDict()
+
+
+def test_wide_quality_report_on_many_columns(spark):
+    cols = [F.when(F.col("id") % (i + 2) == 0, None).otherwise(F.col("id")).alias(f"c{i}") for i in range(400)]
+    df = spark.range(50).select(*cols)
+    r = quality.quality_report(df).first()
+    assert r["total_rows"] == 50 and r["c0_nulls"] == 25 and r["c399_nulls"] == 1
