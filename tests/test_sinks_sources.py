@@ -122,3 +122,20 @@ def test_table_metadata_times(spark):
     r = metadata.table_metadata(df, "orders").first()
     mtime = dt.datetime.fromtimestamp(os.path.getmtime(f"{SF}/orders.parquet"), dt.timezone.utc).replace(tzinfo=None)
     assert abs((r["modified"] - mtime).total_seconds()) < 1 and r["created"] == r["modified"]
+
+
+def test_extract_prunes_date_partitions(spark, tmp_dir):
+    """P5 on a partition column (the reference filters on its ingestion-time
+    partition): the inclusive date range becomes a partition filter, so
+    partitions outside it are not listed or read."""
+    e = spark.read.parquet(f"{SF}/events.parquet").withColumn("dt", F.to_date("ts"))
+    path = os.path.join(tmp_dir, "events_by_day")
+    e.write.partitionBy("dt").parquet(path)
+    part = spark.read.parquet(path)
+    out = extract.training_extract(part, "dt", "2024-01-10", "2024-01-12", tie_col="event_id")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "dt#" in plan
+    expect = e.where("dt between '2024-01-10' and '2024-01-12'").count()
+    assert out.count() == expect
+    files_read = out.select(F.input_file_name()).distinct().count()
+    assert files_read <= 3 * 8
