@@ -40,7 +40,7 @@ DEFAULTS = dict(
 
 
 def _members(n: int, p: dict) -> list:
-    # sklearn's default L2 penalty with C = 1 on a weighted sum of losses equals
+    # The usual L2 penalty with C = 1 on a weighted sum of losses equals
     # Spark's mean-loss objective with regParam = 1 / (sum of weights); the
     # balanced weights sum to n.  Neither regularises the intercept.
     lr = LogisticRegression(featuresCol=VECTOR, labelCol="_label", weightCol="_w_balanced",

@@ -59,7 +59,7 @@ def class_counts(df: DataFrame, label_col: str = "fraud_flag") -> tuple[int, int
 
 
 def with_class_weights(df: DataFrame, label_col: str, n0: int, n1: int, out: str = "class_weight") -> DataFrame:
-    """A4 as a row weight: sklearn's ``balanced`` rule n / (2 * n_c)."""
+    """A4 as a row weight: the ``balanced`` class-weight rule n / (2 * n_c)."""
     if n0 == 0 or n1 == 0:
         raise ValueError("both classes are needed for balanced weights")
     n = n0 + n1
