@@ -29,3 +29,32 @@ def run_batch_prediction(spark: SparkSession, source: DataFrame, model_path: str
     if csv_path:
         writers.write_csv(written, csv_path)
     return scoring.prediction_summary(written)
+
+
+def main(argv=None) -> dict:
+    """Command line: score a Parquet folder / JSON-lines folder / catalog table."""
+    import argparse
+    import json
+
+    from ..sources import files
+
+    ap = argparse.ArgumentParser(description="batch risk scoring")
+    ap.add_argument("--input", required=True, help="Parquet path, JSON-lines path (--json) or table name")
+    ap.add_argument("--json", action="store_true", help="input is newline-delimited JSON")
+    ap.add_argument("--model", required=True, help="saved PipelineModel path")
+    ap.add_argument("--output", required=True)
+    ap.add_argument("--format", default="parquet")
+    ap.add_argument("--csv")
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.getOrCreate()
+    if a.json:
+        src = files.read_jsonl(spark, a.input)
+    else:
+        src = spark.read.parquet(a.input) if "/" in a.input else spark.table(a.input)
+    summary = run_batch_prediction(spark, src, a.model, a.output, fmt=a.format, csv_path=a.csv).collect()[0].asDict()
+    print(json.dumps(summary, indent=2, default=str))
+    return summary
+
+
+if __name__ == "__main__":
+    main()

@@ -47,7 +47,40 @@ def run_training(spark: SparkSession, source: DataFrame, out_root: str,
         writers.write_csv(spark.createDataFrame([(f,) for f in kept], "features string"),
                           f"{out_root}/features/{model_name}_{version}")
         writers.log_performance(m, f"{out_root}/model_performance", model_name, version)
+        n0, n1 = prep.class_counts(train, label_col)
+        mrow = m.collect()[0].asDict()   # one row of figures
+        training_metrics = {"roc_auc": mrow["roc_auc"], "pr_auc": mrow["pr_auc"],
+                            "n_selected_features": len(kept), "scale_pos_weight": n0 / n1}
         return {"model": model, "model_path": model_path, "features": kept, "importance": ranked,
-                "profile": profile.collect()[0].asDict(), "metrics": m.collect()[0].asDict()}
+                "profile": profile.collect()[0].asDict(), "metrics": mrow,
+                "training_metrics": training_metrics}
     finally:
         split.unpersist()
+
+
+def main(argv=None) -> dict:
+    """Command line: train on a Parquet folder or a catalog table."""
+    import argparse
+    import json
+
+    ap = argparse.ArgumentParser(description="train the risk ensemble")
+    ap.add_argument("--input", required=True, help="Parquet path or catalog table name")
+    ap.add_argument("--out", required=True, help="shared output root (models, reports, logs)")
+    ap.add_argument("--model-name", default="fraud_detection_ensemble")
+    ap.add_argument("--version")
+    ap.add_argument("--test-size", type=float, default=0.3)
+    ap.add_argument("--seed", type=int, default=42)
+    ap.add_argument("--importance-threshold", type=float, default=0.05)
+    ap.add_argument("--rounds", type=int, default=100)
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.getOrCreate()
+    src = spark.read.parquet(a.input) if "/" in a.input else spark.table(a.input)
+    out = run_training(spark, src, a.out, a.model_name, a.version, test_size=a.test_size, seed=a.seed,
+                       importance_threshold=a.importance_threshold, rounds=a.rounds)
+    summary = {k: out[k] for k in ("model_path", "features", "profile", "metrics", "training_metrics")}
+    print(json.dumps(summary, indent=2, default=str))
+    return summary
+
+
+if __name__ == "__main__":
+    main()

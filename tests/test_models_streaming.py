@@ -113,3 +113,21 @@ def test_logistic_member_reaches_penalised_optimum(spark):
     grad = beta + X.T @ (w * (p - y))
     assert np.max(np.abs(grad) / X.std(axis=0)) / n < 1e-4
     assert abs(np.sum(w * (p - y))) / n < 1e-4
+
+
+def test_command_lines(spark, tmp_dir, capsys):
+    import json as _json
+
+    from riskloom.plans import batch_job, health_job, training_job
+    doc = _json.loads(health_job.main(["--table", f"{SF}/events.parquet", "--operation", "freshness",
+                                        "--ts-column", "ts", "--as-of", "2024-01-31"]))
+    assert doc["freshness"]["freshness_status"] == "Recent"
+    doc = _json.loads(health_job.main(["--table", f"{SF}/orders.parquet", "--operation", "stats"]))
+    assert doc["stats"]["row_count"] == doc["rows"]["total_rows"]
+    src = os.path.join(tmp_dir, "booking")
+    Q.booking_df(spark, SF).write.parquet(src)
+    out = training_job.main(["--input", src, "--out", tmp_dir, "--version", "cli", "--rounds", "2"])
+    assert out["training_metrics"]["n_selected_features"] == len(out["features"])
+    summ = batch_job.main(["--input", src, "--model", out["model_path"], "--output", os.path.join(tmp_dir, "p")])
+    assert summ["total_predictions"] == spark.read.parquet(src).count()
+    capsys.readouterr()
