@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalar import risk_tier
 from ..operators import models, scoring
 from ..sinks import writers
 
@@ -31,6 +32,20 @@ def run_batch_prediction(spark: SparkSession, source: DataFrame, model_path: str
     return scoring.prediction_summary(written)
 
 
+def score_instances(spark: SparkSession, path: str, model_path: str) -> DataFrame:
+    """S6 + L8: score request documents ``{"instances": [{feature: value}]}``
+    with a saved model.  Missing features fail with their names (P3) before
+    any job runs; each instance gets the online scorer's three fields."""
+    from ..sources import files
+
+    model = models.load_model(model_path)
+    inst = files.read_instances(spark, path)
+    scored = models.score(model, inst)
+    return scored.select(F.col("fraud_prediction").cast("long").alias("fraud_prediction"),
+                         F.col("fraud_probability").cast("double").alias("fraud_probability"),
+                         risk_tier("fraud_probability").alias("risk_category"))
+
+
 def main(argv=None) -> dict:
     """Command line: score a Parquet folder / JSON-lines folder / catalog table."""
     import argparse

@@ -131,3 +131,25 @@ def test_command_lines(spark, tmp_dir, capsys):
     summ = batch_job.main(["--input", src, "--model", out["model_path"], "--output", os.path.join(tmp_dir, "p")])
     assert summ["total_predictions"] == spark.read.parquet(src).count()
     capsys.readouterr()
+
+
+def test_score_instances(spark, tmp_dir):
+    import json as _json
+
+    import pytest as _pytest
+
+    from riskloom.plans.batch_job import score_instances
+    b = Q.booking_df(spark, SF)
+    out = run_training(spark, b, tmp_dir, version="inst", rounds=2, lr_max_iter=20)
+    feats = out["features"]
+    rows = [r.asDict() for r in b.select(*feats).limit(3).collect()]   # request-sized document
+    p = os.path.join(tmp_dir, "req.json")
+    with open(p, "w") as fh:
+        _json.dump({"instances": rows}, fh)
+    got = score_instances(spark, p, out["model_path"]).collect()
+    assert len(got) == 3 and all(r["risk_category"] in ("LOW", "MEDIUM", "HIGH") for r in got)
+    bad = os.path.join(tmp_dir, "bad.json")
+    with open(bad, "w") as fh:
+        _json.dump({"instances": [{"qty_sum": 1.0}]}, fh)
+    with _pytest.raises(ValueError, match="Missing features"):
+        score_instances(spark, bad, out["model_path"])
