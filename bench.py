@@ -41,7 +41,8 @@ def main():
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app="riskloom-bench",
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, 2 * cpus))))
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=parts, app="riskloom-bench",
                           driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
     for n in names:  # warm-up: JIT, file listing, codegen caches
         run_once(spark, n, sf_dir)
