@@ -303,7 +303,7 @@ FROM rates2, rk"""
 _FEATS = ["total_price", "n_items", "qty_sum", "avg_discount", "price_sum"]
 
 
-def _importance_sql() -> str:
+def _importance_sql(src: str = "booking") -> str:
     a = []
     for f in _FEATS:
         x = f"{f}::DOUBLE"
@@ -314,7 +314,7 @@ def _importance_sql() -> str:
               f"abs({pos} / nullif(avg({x}), 0) - 1) AS {f}__lgb"]
     longs = " UNION ALL ".join(f"SELECT '{f}' AS feature, {f}__lr AS lr, {f}__xgb AS xgb, {f}__lgb AS lgb FROM a"
                                for f in _FEATS)
-    return f"""a AS (SELECT {', '.join(a)} FROM booking),
+    return f"""a AS (SELECT {', '.join(a)} FROM {src}),
 l AS ({longs}),
 nrm AS (SELECT feature, lr / (sum(lr) OVER () + 1e-9) AS lr, xgb / (sum(xgb) OVER () + 1e-9) AS xgb,
                lgb / (sum(lgb) OVER () + 1e-9) AS lgb FROM l),
@@ -460,3 +460,25 @@ FROM s, u"""
 ORACLES["csv_roundtrip"] = ORACLES["booking"]
 ORACLES["jsonl_batch_scores"] = ORACLES["score_table"]
 ORACLES["prediction_table_roundtrip"] = ORACLES["score_table"]
+
+
+def _unpivot(stage: str, sql: str) -> str:
+    return (f"SELECT '{stage}' AS stage, metric, value FROM "
+            f"(UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM ({sql})) ON COLUMNS(*) INTO NAME metric VALUE value)")
+
+
+_TRAIN_SPW = f"""WITH {BOOKING_CTE},
+{SPLIT_CTE}
+SELECT round(count_if(fraud_flag = 0)::DOUBLE / nullif(count_if(fraud_flag = 1), 0), 6) AS scale_pos_weight
+FROM split WHERE split = 'train'"""
+_TRAIN_NSEL = f"""WITH {BOOKING_CTE},
+{SPLIT_CTE},
+train AS (SELECT * EXCLUDE (split) FROM split WHERE split = 'train'),
+{_importance_sql('train')}
+SELECT count(*) AS n_selected_features FROM ranked WHERE avg_importance > {Q.IMPORTANCE_THRESHOLD}"""
+ORACLES["stage_metrics"] = "\nUNION ALL\n".join([
+    _unpivot("preprocess", ORACLES["dataset_profile"]),
+    _unpivot("train", _TRAIN_SPW),
+    _unpivot("train", _TRAIN_NSEL),
+    _unpivot("evaluate", ORACLES["evaluation_metrics"]),
+])

@@ -282,6 +282,28 @@ def q_run_metrics(spark, sf_dir):
     return m.unpivot([], m.columns, "metric", "value")
 
 
+def _long(df, stage: str):
+    d = df.select(*[F.col(c).cast("double").alias(c) for c in df.columns])
+    return d.unpivot([], d.columns, "metric", "value").select(F.lit(stage).alias("stage"), "metric", "value")
+
+
+def q_stage_metrics(spark, sf_dir):
+    """A26 for every stage, as the reference logs them: preprocessing profile,
+    training figures (imbalance ratio, number of kept features, importances
+    computed on the training split) and the evaluation figures — a union of
+    one-row results unpivoted to (stage, metric, value)."""
+    s = split_df(spark, sf_dir)
+    feats = prep.feature_columns(booking_df(spark, sf_dir))
+    train = s.where(F.col("split") == "train").drop("split")
+    ranked = importance.rank_importances(importance.data_importances(train, feats, derived.LABEL_COL))
+    n_sel = importance.select_important(ranked, IMPORTANCE_THRESHOLD).agg(F.count(F.lit(1)).alias("n_selected_features"))
+    ev = metrics.evaluation_metrics(test_scored_df(spark, sf_dir), "fraud_flag", "fraud_probability")
+    return (_long(prep.dataset_profile(s, len(feats)), "preprocess")
+            .unionByName(_long(prep.class_balance(train).select("scale_pos_weight"), "train"))
+            .unionByName(_long(n_sel, "train"))
+            .unionByName(_long(ev, "evaluate")))
+
+
 # ------------------------------------------------------- extracts / views
 
 EXTRACT_START, EXTRACT_END = "2024-01-10", "2024-01-20"
@@ -391,6 +413,7 @@ QUERIES.update({
     "select_features": q_select_features,
     "top_features": q_top_features,
     "run_metrics": q_run_metrics,
+    "stage_metrics": q_stage_metrics,
     "training_extract": q_training_extract,
     "training_extract_top": q_training_extract_top,
     "training_view": q_training_view,
