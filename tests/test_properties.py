@@ -50,3 +50,23 @@ def test_split_counts_and_order(spark, labels, frac, digits):
         keys = sorted((hashlib.md5(f"7:{k}".encode()).hexdigest(), k) for k, y in rows if y == c)
         k_test = math.floor(len(keys) * frac)
         assert [got[k] for _, k in keys] == ["test"] * k_test + ["train"] * (len(keys) - k_test)
+
+
+@settings(**SETTINGS)
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.sampled_from(["a", "b", ""]))),
+                     min_size=0, max_size=40))
+def test_duplicates_and_nulls_match_pandas(spark, rows):
+    import pandas as pd
+
+    from riskloom.operators import quality
+    df = spark.createDataFrame(rows, "a int, b string")
+    pdf = pd.DataFrame(rows, columns=["a", "b"])
+    r = quality.validation_gate(df, min_rows=1, max_null_fraction=1.0).first()
+    assert r["row_count"] == len(pdf)
+    assert r["duplicate_rows"] == int(pdf.duplicated().sum())
+    if len(pdf):
+        assert r["null_percentage"] == pytest.approx(round(pdf.isnull().sum().sum() / (len(pdf) * 2), 6), abs=1e-9)
+    else:
+        assert r["null_percentage"] is None
+    p = quality.row_profile(df).first()
+    assert p["unique_rows"] == len(pdf.drop_duplicates())
