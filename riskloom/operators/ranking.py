@@ -7,6 +7,8 @@ before this one".  ``running_totals`` answers that in three parallel steps:
 
 1. cut the order key into ``n_buckets`` ranges whose bounds come from an
    approximate quantile pass (bounded: ``n_buckets`` values per group);
+   by default one range per million input rows, so a range is a bounded
+   task and small inputs skip the quantile pass;
 2. total each (group, range) — a table of at most groups x n_buckets rows —
    and turn it into exclusive offsets with a window over that small table;
 3. join the offsets back (AQE broadcasts them when the measured size is
@@ -28,26 +30,48 @@ from ..session import ensure_checkpoint_dir
 DEFAULT_ACCURACY = 10000
 
 
-def default_buckets(df: DataFrame) -> int:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(16, n)
+# A range holds at most about this many distinct keys, so the final window
+# of any range is a bounded task; the number of ranges follows the data.
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 100_000
 
 
-def _bucket_by_bounds(key: Column, bounds: Column) -> Column:
-    """Index of the range holding ``key``: number of bounds strictly below it.
-    Monotone in ``key``, so equal keys always share a range."""
-    return F.size(F.filter(bounds, lambda b: b < key))
+def buckets_for(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    return int(min(MAX_BUCKETS, max(1, -(-n_rows // rows_per_bucket))))
+
+
+def _with_bucket(d: DataFrame, key: str, bounds: Column, n_bounds: int, out: str = "_b") -> DataFrame:
+    """``out`` = number of (sorted) bounds strictly below ``key`` — the
+    index of the range holding it; monotone in the key, so equal keys share
+    a range.
+
+    A lower-bound binary search: about log2(n_bounds) steps, each one
+    ``try_element_at`` and a comparison, so the cost per row does not grow
+    with the number of ranges (a ``filter`` over the bounds would cost
+    n_bounds interpreted comparisons per row).
+    """
+    d = d.withColumn(out, F.lit(0))
+    step = 1
+    while step * 2 <= max(n_bounds, 1):
+        step *= 2
+    while step >= 1:
+        cand = F.col(out) + F.lit(step)
+        d = d.withColumn(out, F.when(F.try_element_at(bounds, cand) < F.col(key), cand).otherwise(F.col(out)))
+        step //= 2
+    return d
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], by: list[str] | tuple = (),
                    descending: bool = False, n_buckets: int | None = None,
-                   bucket: Column | None = None, with_next: bool = False) -> DataFrame:
+                   bucket: Column | None = None, with_next: bool = False,
+                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add ``cum_<c>`` (total of ``c`` over rows whose key sorts at or before
     this row's key, within ``by``) and ``total_<c>`` (group total).
 
     ``descending`` requires a numeric key.  ``bucket`` may supply a ready
     range id that is monotone in the key (e.g. a hash prefix); otherwise
-    quantile ranges are computed.  ``with_next`` also adds ``next_<c>``: the
+    quantile ranges are computed, ``n_buckets`` of them, or by default one
+    per ``rows_per_bucket`` input rows (one range when the input is small).  ``with_next`` also adds ``next_<c>``: the
     value of ``c`` on the following row in key order (NULL on the last row
     of the group), found across range boundaries through the small
     per-range table; keys must then be unique within the group.
@@ -57,31 +81,28 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], by: list[
     d = df.withColumn("_k", key)
     if bucket is not None:
         d = d.withColumn("_b", bucket)
+    elif n_buckets == 1:
+        d = d.withColumn("_b", F.lit(0))
     else:
-        nb = n_buckets or default_buckets(df)
+        # The range bounds need a pass of their own over the input: cut the
+        # lineage first so the upstream plan runs once (the checkpoint lives
+        # in the shared spark.checkpoint.dir and survives a lost executor).
+        ensure_checkpoint_dir(df.sparkSession)
+        d = d.checkpoint(eager=True)
+        nb = n_buckets or buckets_for(d.count(), rows_per_bucket)
         probs = [i / nb for i in range(1, nb)]
+        acc = max(DEFAULT_ACCURACY, 10 * nb)
         if nb <= 1:
+            # At most rows_per_bucket rows in all: one range per group.
             d = d.withColumn("_b", F.lit(0))
         elif not by:
-            # The quantile pass is a job of its own: cut the lineage first so
-            # the upstream plan runs once (the checkpoint lives in the shared
-            # spark.checkpoint.dir, so a lost executor does not lose it).
             # One list of at most nb-1 numbers comes back to the driver: its
             # size is fixed by nb, not by the data.
-            ensure_checkpoint_dir(df.sparkSession)
-            d = d.checkpoint(eager=True)
-            cuts = sorted(set(d.approxQuantile("_k", probs, 1.0 / max(DEFAULT_ACCURACY, 10 * nb))))
-            d = d.withColumn("_b", _bucket_by_bounds(F.col("_k"), F.array(*[F.lit(float(c)) for c in cuts])))
+            cuts = sorted(set(d.approxQuantile("_k", probs, 1.0 / acc)))
+            d = _with_bucket(d, "_k", F.array(*[F.lit(float(c)) for c in cuts]), len(cuts))
         else:
-            # Bounds per group come from the same input as the totals and the
-            # final window: materialise it once (see the global case).
-            ensure_checkpoint_dir(df.sparkSession)
-            d = d.checkpoint(eager=True)
-            acc = max(DEFAULT_ACCURACY, 10 * nb)
             bounds = d.groupBy(*by).agg(F.percentile_approx("_k", probs, acc).alias("_bounds"))
-            d = (d.join(bounds, by, "inner")
-                  .withColumn("_b", _bucket_by_bounds(F.col("_k"), F.col("_bounds")))
-                  .drop("_bounds"))
+            d = _with_bucket(d.join(bounds, by, "inner"), "_k", F.col("_bounds"), len(probs)).drop("_bounds")
     firsts = [F.min_by(c, "_k").alias(f"_f_{c}") for c in sum_cols] if with_next else []
     tot = d.groupBy(*by, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols], *firsts)
     w_before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -145,3 +145,28 @@ def test_running_totals_next_across_ranges(spark):
     df = spark.createDataFrame(rows, "k int, v int")
     out = {r["k"]: r["next_v"] for r in running_totals(df, "k", ["v"], n_buckets=7, with_next=True).collect()}
     assert all(out[k] == (k + 1) * 10 for k in range(49)) and out[49] is None
+
+
+def test_bucket_binary_search_matches_count(spark):
+    from riskloom.operators.ranking import _with_bucket
+    rnd = random.Random(2)
+    bounds = sorted(rnd.choice([1.0, 2.0, 2.0, 3.5, 7.0, 7.0, 9.0, 12.0]) for _ in range(13))
+    keys = [float(k) / 2 for k in range(-2, 30)]
+    df = spark.createDataFrame([(k,) for k in keys], "k double")
+    out = _with_bucket(df, "k", F.array(*[F.lit(b) for b in bounds]), len(bounds)).collect()
+    assert all(r["_b"] == sum(1 for b in bounds if b < r["k"]) for r in out)
+    one = _with_bucket(df, "k", F.array(F.lit(3.0)), 1).collect()
+    assert all(r["_b"] == (1 if r["k"] > 3.0 else 0) for r in one)
+
+
+def test_running_totals_sizes_ranges_from_data(spark):
+    from riskloom.operators.ranking import buckets_for
+    assert buckets_for(0) == 1 and buckets_for(1_000_000) == 1 and buckets_for(1_000_001) == 2
+    rnd = random.Random(8)
+    rows = [(rnd.choice("ab"), k, rnd.randint(1, 3)) for k in range(300)]
+    df = spark.createDataFrame(rows, "g string, k int, v int")
+    out = running_totals(df, "k", ["v"], by=["g"], rows_per_bucket=25, with_next=True).collect()
+    for r in out:
+        assert r["cum_v"] == sum(v for g, k, v in rows if g == r["g"] and k <= r["k"])
+        nxt = [v for g, k, v in sorted(rows, key=lambda t: t[1]) if g == r["g"] and k > r["k"]]
+        assert r["next_v"] == (nxt[0] if nxt else None)
