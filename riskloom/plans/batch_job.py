@@ -11,6 +11,11 @@ from ..operators import models, scoring
 from ..sinks import writers
 
 
+# Fixed value that must equal the reference's: column order of the CSV copy
+# of the predictions (the tier column comes last there).
+CSV_COLUMNS = ("booking_id", "fraud_probability", "fraud_prediction", "prediction_timestamp", "risk_category")
+
+
 def run_batch_prediction(spark: SparkSession, source: DataFrame, model_path: str, out_path: str,
                          id_col: str = "booking_id", scored_at=None, fmt: str = "parquet",
                          csv_path: str | None = None) -> DataFrame:
@@ -28,7 +33,7 @@ def run_batch_prediction(spark: SparkSession, source: DataFrame, model_path: str
     writers.write_predictions(pred, out_path, fmt)
     written = spark.read.format(fmt).load(out_path)
     if csv_path:
-        writers.write_csv(written, csv_path)
+        writers.write_csv(written.select(*CSV_COLUMNS), csv_path)
     return scoring.prediction_summary(written)
 
 

@@ -27,7 +27,9 @@ def test_training_job_save_load_batch_and_stream(spark, tmp_dir):
 
     # batch prediction with the saved model, summary from the written table
     summ = run_batch_prediction(spark, b, out["model_path"], os.path.join(tmp_dir, "pred"),
-                                scored_at=F.lit("2024-02-01 00:00:00")).first()
+                                scored_at=F.lit("2024-02-01 00:00:00"), csv_path=os.path.join(tmp_dir, "pred_csv")).first()
+    csv_cols = spark.read.option("header", True).csv(os.path.join(tmp_dir, "pred_csv")).columns
+    assert csv_cols == ["booking_id", "fraud_probability", "fraud_prediction", "prediction_timestamp", "risk_category"]
     assert summ["total_predictions"] == b.count()
     assert summ["n_low"] + summ["n_medium"] + summ["n_high"] == b.count()
 
