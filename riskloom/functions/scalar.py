@@ -71,8 +71,12 @@ def bytes_to_mb(b) -> Column:
 
 
 def iso_timestamp(ts) -> Column:
-    """ISO-8601 text of a timestamp (microsecond precision)."""
-    return F.date_format(col_(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    """ISO-8601 text of a timestamp, microseconds shown only when
+    non-zero (the usual ``isoformat`` rendering)."""
+    t = col_(ts)
+    whole = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.when(F.date_format(t, "SSSSSS") == "000000", whole) \
+            .otherwise(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
 
 
 def run_id(ts) -> Column:

@@ -28,3 +28,14 @@ def test_summary_and_empty_input(spark):
     empty = spark.createDataFrame([], scoring.PREDICTION_SCHEMA)
     r = scoring.prediction_summary(empty).first()
     assert r["total_predictions"] == 0 and r["fraud_predictions"] == 0 and r["avg_fraud_probability"] is None
+
+
+def test_iso_timestamp_matches_isoformat(spark):
+    import datetime as dt
+
+    from riskloom.functions.scalar import iso_timestamp, run_id
+    vals = [dt.datetime(2024, 2, 1, 0, 0, 0), dt.datetime(2024, 2, 1, 13, 5, 9, 120000)]
+    df = spark.createDataFrame([(v,) for v in vals], "t timestamp_ntz")
+    got = [r[0] for r in df.select(iso_timestamp("t")).collect()]
+    assert got == [v.isoformat() for v in vals]
+    assert df.select(run_id("t")).first()[0] == "20240201_000000"
