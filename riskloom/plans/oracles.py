@@ -482,3 +482,5 @@ ORACLES["stage_metrics"] = "\nUNION ALL\n".join([
     _unpivot("train", _TRAIN_NSEL),
     _unpivot("evaluate", ORACLES["evaluation_metrics"]),
 ])
+
+ORACLES["row_profile_documents_hashed"] = ORACLES["row_profile_documents"]

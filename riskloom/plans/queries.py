@@ -102,6 +102,11 @@ def q_row_profile_documents(spark, sf_dir):
     return quality.row_profile(_t(spark, sf_dir, "documents").drop("doc_id"))
 
 
+def q_row_profile_documents_hashed(spark, sf_dir):
+    """The same profile, shuffling 32-byte row digests instead of whole texts."""
+    return quality.row_profile(_t(spark, sf_dir, "documents").drop("doc_id"), hashed=True)
+
+
 def q_validation_gate_documents(spark, sf_dir):
     return quality.validation_gate(_t(spark, sf_dir, "documents").drop("doc_id"))
 
@@ -127,6 +132,7 @@ QUERIES = {
     "column_profile_documents": q_column_profile_documents,
     "quality_report_documents": q_quality_report_documents,
     "row_profile_documents": q_row_profile_documents,
+    "row_profile_documents_hashed": q_row_profile_documents_hashed,
     "validation_gate_documents": q_validation_gate_documents,
 }
 

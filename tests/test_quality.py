@@ -116,3 +116,10 @@ def test_wide_quality_report_on_many_columns(spark):
     df = spark.range(50).select(*cols)
     r = quality.quality_report(df).first()
     assert r["total_rows"] == 50 and r["c0_nulls"] == 25 and r["c399_nulls"] == 1
+
+
+def test_hashed_duplicate_counting_equals_exact(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").drop("doc_id")
+    assert quality.row_profile(docs).first() == quality.row_profile(docs, hashed=True).first()
+    df = spark.createDataFrame([(1, None), (1, None), (None, "x"), (2, "x")], "a int, b string")
+    assert quality.validation_gate(df, 1).first() == quality.validation_gate(df, 1, hashed=True).first()
