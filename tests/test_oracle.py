@@ -23,3 +23,24 @@ def test_entry_runs(spark):
     assert df.columns == ["booking_id", "fraud_probability", "fraud_prediction", "risk_category",
                           "prediction_timestamp"]
     assert df.count() > 0
+
+
+ROWS_ONLY = sorted(set(E.queries()) - set(ORACLE))
+
+
+def test_rows_only_queries_are_few():
+    assert set(ROWS_ONLY) == {"evaluation_report", "table_metadata", "performance_log_row",
+                              "ensemble_scores", "ensemble_evaluation", "ensemble_importance"}
+
+
+@pytest.mark.parametrize("name", ROWS_ONLY)
+def test_rows_only_query_runs(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    n = df.count()
+    if name == "ensemble_scores":
+        test_rows = E.queries()["stratified_split"](spark, SF_SMALL).where("split = 'test'").count()
+        assert n == test_rows and df.columns[0] == "booking_id"
+    elif name == "ensemble_importance":
+        assert n == 5 and "avg_importance" in df.columns
+    else:
+        assert n == 1
