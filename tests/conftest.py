@@ -18,7 +18,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     s = build_session(master="local[*]", shuffle_partitions=8, app="riskloom-tests",
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="riskloom-test-ckpt-")})
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="riskloom-test-ckpt-"),
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="riskloom-test-wh-")})
     yield s
     s.stop()
 

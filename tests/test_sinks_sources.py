@@ -139,3 +139,21 @@ def test_extract_prunes_date_partitions(spark, tmp_dir):
     assert out.count() == expect
     files_read = out.select(F.input_file_name()).distinct().count()
     assert files_read <= 3 * 8
+
+
+def test_catalog_table_view_and_prediction_table(spark):
+    """K7 for catalog tables (persistent view, kept if it exists) and K1 as a
+    catalog table overwrite."""
+    b = Q.booking_df(spark, SF)
+    b.write.mode("overwrite").saveAsTable("booking_tbl")
+    extract.create_training_view_sql(spark, "booking_tbl", "booking_train_v", ["qty_sum", "n_items"], "fraud_flag",
+                                     "qty_sum > 100")
+    extract.create_training_view_sql(spark, "booking_tbl", "booking_train_v", ["qty_sum"], "fraud_flag")
+    v = spark.table("booking_train_v")
+    assert v.columns == ["qty_sum", "n_items", "fraud_flag"]
+    assert v.count() == b.where("qty_sum > 100").count()
+    names = [r["name"] for r in metadata.list_tables(spark, "default").collect()]
+    assert "booking_tbl" in names and "booking_train_v" in names
+    writers.save_predictions_table(Q.predictions_df(spark, SF), "predictions_tbl")
+    writers.save_predictions_table(Q.predictions_df(spark, SF).limit(3), "predictions_tbl")
+    assert spark.table("predictions_tbl").count() == 3
