@@ -449,10 +449,17 @@ FIT_ROUNDS = 10
 _FITTED: dict = {}
 
 
+def _session_key(spark):
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect: no driver-side context
+        return spark.conf.get("spark.app.id", None) or id(spark)
+
+
 def fitted_ensemble(spark, sf_dir):
     """Fit (once per session and folder) on the train split with feature
     selection; the three fitted-path queries share the result."""
-    key = (spark.sparkContext.applicationId, sf_dir, FIT_ROUNDS)
+    key = (_session_key(spark), sf_dir, FIT_ROUNDS)
     if key not in _FITTED:
         s = split_df(spark, sf_dir)
         train = s.where(F.col("split") == "train").drop("split")

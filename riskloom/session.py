@@ -43,16 +43,28 @@ def build_session(master: str = "local[8]", app: str = "riskloom",
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None under Spark Connect (no driver-side context)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is only read here.
-    Where it is unset (local tests) a private scratch folder is created and
-    registered so that ``DataFrame.checkpoint()`` and model saves work.
+    Where it is unset in local mode (tests) a private scratch folder is
+    created and registered so that ``DataFrame.checkpoint()`` and model saves
+    work; anywhere else an unset folder is an error.
     """
+    sc = _context(spark)
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is not None and not path:
+        path = sc.getCheckpointDir()
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: checkpoints, model saves and "
                                "stream state must survive the loss of an executor")
         path = tempfile.mkdtemp(prefix="riskloom-ckpt-")
@@ -60,10 +72,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", path)
         except Exception:  # noqa: BLE001 - a core conf may be read-only at runtime
             pass
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    return (sc.getCheckpointDir() if sc is not None else None) or path
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
