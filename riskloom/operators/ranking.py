@@ -6,9 +6,9 @@ percentiles and the exact stratified split all need "how many rows come
 before this one".  ``running_totals`` answers that in three parallel steps:
 
 1. cut the order key into ``n_buckets`` ranges whose bounds come from an
-   approximate quantile pass (bounded: ``n_buckets`` values per group);
-   by default one range per million input rows, so a range is a bounded
-   task and small inputs skip the quantile pass;
+   approximate quantile pass over all rows (``n_buckets`` - 1 numbers); by
+   default one range per million input rows, so every (group, range) is a
+   bounded task and small inputs skip the quantile pass;
 2. total each (group, range) — a table of at most groups x n_buckets rows —
    and turn it into exclusive offsets with a window over that small table;
 3. join the offsets back (AQE broadcasts them when the measured size is
@@ -90,19 +90,19 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], by: list[
         ensure_checkpoint_dir(df.sparkSession)
         d = d.checkpoint(eager=True)
         nb = n_buckets or buckets_for(d.count(), rows_per_bucket)
-        probs = [i / nb for i in range(1, nb)]
-        acc = max(DEFAULT_ACCURACY, 10 * nb)
         if nb <= 1:
             # At most rows_per_bucket rows in all: one range per group.
             d = d.withColumn("_b", F.lit(0))
-        elif not by:
-            # One list of at most nb-1 numbers comes back to the driver: its
-            # size is fixed by nb, not by the data.
-            cuts = sorted(set(d.approxQuantile("_k", probs, 1.0 / acc)))
-            d = _with_bucket(d, "_k", F.array(*[F.lit(float(c)) for c in cuts]), len(cuts))
         else:
-            bounds = d.groupBy(*by).agg(F.percentile_approx("_k", probs, acc).alias("_bounds"))
-            d = _with_bucket(d.join(bounds, by, "inner"), "_k", F.col("_bounds"), len(probs)).drop("_bounds")
+            # Cut points from the key distribution over *all* rows: every
+            # range then holds about n / nb rows, so every (group, range)
+            # does too, however the rows are spread over groups — a group
+            # holding a third of the rows claims a third of the cut points.
+            # One list of at most nb-1 numbers reaches the driver: its size
+            # is fixed by nb, not by the data.
+            probs = [i / nb for i in range(1, nb)]
+            cuts = sorted(set(d.approxQuantile("_k", probs, 1.0 / max(DEFAULT_ACCURACY, 10 * nb))))
+            d = _with_bucket(d, "_k", F.array(*[F.lit(float(c)) for c in cuts]), len(cuts))
     firsts = [F.min_by(c, "_k").alias(f"_f_{c}") for c in sum_cols] if with_next else []
     tot = d.groupBy(*by, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols], *firsts)
     w_before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
