@@ -90,6 +90,8 @@ def stratified_split(df: DataFrame, label_col: str, key_col: str, test_fraction:
 
     The hash is uniform, so a class holding most rows still spreads evenly
     over the buckets; steps 1 and 2 read only the key and label columns.
+    ``key_col`` must identify rows (like ``booking_id``): copies of one key
+    share a hash, hence a bucket, and tie in the order.
     """
     if not 0.0 <= test_fraction <= 1.0:
         raise ValueError("test_fraction must be within [0, 1]")
