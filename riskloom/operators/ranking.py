@@ -82,7 +82,7 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], by: list[
     if bucket is not None:
         d = d.withColumn("_b", bucket)
     elif n_buckets == 1:
-        d = d.withColumn("_b", F.lit(0))
+        return _single_range(d, sum_cols, by, with_next)
     else:
         # The range bounds need a pass of their own over the input: cut the
         # lineage first so the upstream plan runs once (the checkpoint lives
@@ -92,7 +92,7 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], by: list[
         nb = n_buckets or buckets_for(d.count(), rows_per_bucket)
         if nb <= 1:
             # At most rows_per_bucket rows in all: one range per group.
-            d = d.withColumn("_b", F.lit(0))
+            return _single_range(d, sum_cols, by, with_next)
         else:
             # Cut points from the key distribution over *all* rows: every
             # range then holds about n / nb rows, so every (group, range)
@@ -123,3 +123,16 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], by: list[
                  for c in sum_cols]
     out = d.select("*", *[(F.sum(c).over(w_local) + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in sum_cols], *extra)
     return out.drop("_k", "_b", *[f"_o_{c}" for c in sum_cols], *[f"_nb_{c}" for c in sum_cols])
+
+
+def _single_range(d: DataFrame, sum_cols: list[str], by: list[str], with_next: bool) -> DataFrame:
+    """``running_totals`` when one range holds every key (the input has at
+    most ``rows_per_bucket`` rows, checked by the caller): no offsets, so no
+    join with a range table — the totals are windows over the group."""
+    w_local = Window.partitionBy(*by).orderBy("_k").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    w_rows = Window.partitionBy(*by).orderBy("_k")
+    w_all = Window.partitionBy(*by)
+    extra = [F.lead(c).over(w_rows).alias(f"next_{c}") for c in sum_cols] if with_next else []
+    out = d.select("*", *[F.sum(c).over(w_local).alias(f"cum_{c}") for c in sum_cols],
+                   *[F.sum(c).over(w_all).alias(f"total_{c}") for c in sum_cols], *extra)
+    return out.drop("_k")
