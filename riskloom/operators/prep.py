@@ -70,80 +70,74 @@ def split_hash(key_col: str, seed: int):
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key_col).cast("string")))
 
 
-# Per-class tables at most this long are inlined into the plan as literal
-# predicates (one row per class: a binary label gives two).  Beyond it the
-# same tables are joined instead, on a key with that many values.
-MAX_INLINE_CLASSES = 1000
-
-
 def stratified_split(df: DataFrame, label_col: str, key_col: str, test_fraction: float = 0.3,
-                     seed: int = 42, bucket_digits: int = 5, out: str = "split") -> DataFrame:
+                     seed: int = 42, bucket_digits: int = 4, out: str = "split") -> DataFrame:
     """L1: exact, reproducible, class-proportional split.
 
     Within each class rows are ordered by md5("seed:key") (then key); the
     first floor(test_fraction * n_class) rows are 'test', the rest 'train'.
 
-    The full table is never shuffled or sorted, and is labelled without a join:
+    The full table is never shuffled on the class alone, sorted or ranked:
 
     1. rows are counted per (class, hash-prefix bucket) — a partial
-       aggregation into at most 16^digits rows per class — and a window over
-       that bounded table finds, per class, the bucket holding the k-th row
-       and how many rows of it are needed;
-    2. only the rows of that one bucket per class (about n_class / 16^digits
-       rows; found by a join on (class, bucket)) are ranked, which gives the
-       class's last test (hash, key);
-    3. every row is then labelled by one comparison with its class's last
-       test (hash, key): a projection, map-side only.
-
-    Steps 1 and 2 are one job whose result holds one row per class.  Up to
-    ``MAX_INLINE_CLASSES`` classes it reaches the plan of step 3 as literals
-    (the size is checked, not assumed); beyond that it is joined.
+       aggregation into at most 16^digits rows per class — and each
+       bucket's offset decides it wholly 'test', wholly 'train', or 'cut'
+       (it straddles the boundary);
+    2. only the rows of the one cut bucket per class (about
+       n_class / 16^digits rows) are ranked, to find the last test key;
+    3. that key is attached to its bucket's verdict, and every row is
+       labelled through one join with the verdict table on
+       (class, bucket).  That table has at most 16^digits rows per class
+       (about 4 MB for a binary label at the default 4 digits), so AQE
+       broadcasts it once measured; and because the key takes 16^digits
+       uniform values per class, the join stays balanced even unbroadcast
+       — no task ever receives a whole class.
+
     The hash is uniform, so a class holding most rows still spreads evenly
     over the buckets; steps 1 and 2 read only the key and label columns.
-    ``key_col`` must identify rows (like ``booking_id``): copies of one key
-    share a hash, hence a bucket, and tie in the order.
+    Classes compare NULL-safe, so rows with a NULL label form a class of
+    their own and are kept.  ``key_col`` must identify rows (like
+    ``booking_id``): copies of one key share a hash, hence a bucket, and tie
+    in the order.
     """
     if not 0.0 <= test_fraction <= 1.0:
         raise ValueError("test_fraction must be within [0, 1]")
-    y = F.col(label_col)
     key_s = F.col(key_col).cast("string")
     d = df.withColumn("_h", split_hash(key_col, seed)).withColumn("_b", F.substring("_h", 1, bucket_digits))
-    cnt = d.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    w_before = Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    k = F.floor(F.sum("_n").over(Window.partitionBy(label_col)) * F.lit(float(test_fraction)))
-    cut = (cnt.select(label_col, "_b", "_n", k.alias("_k"),
-                      F.coalesce(F.sum("_n").over(w_before), F.lit(0)).alias("_before"))
-              .where((F.col("_before") < F.col("_k")) & (F.col("_k") <= F.col("_before") + F.col("_n")))
-              .select(label_col, "_b", (F.col("_k") - F.col("_before")).alias("_need")))
-    # The cut table holds one row per class; the join key (class, bucket)
-    # takes 16^digits values per class, so even unbroadcast the join spreads
-    # evenly.  AQE broadcasts the table once its stage has measured it.
-    in_cut = d.select(label_col, "_b", "_h", key_s.alias("_key")).join(cut, [label_col, "_b"], "inner")
-    w_cut = Window.partitionBy(label_col).orderBy("_h", "_key")
-    last = (in_cut.withColumn("_rn", F.row_number().over(w_cut))
+    cnt = d.groupBy(F.col(label_col).alias("_c"), "_b").agg(F.count(F.lit(1)).alias("_n"))
+    w_before = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    k = F.floor(F.sum("_n").over(Window.partitionBy("_c")) * F.lit(float(test_fraction)))
+    status = (cnt.select("_c", "_b", "_n", k.alias("_k"),
+                         F.coalesce(F.sum("_n").over(w_before), F.lit(0)).alias("_before"))
+                 .select("_c", "_b",
+                         F.when(F.col("_before") + F.col("_n") <= F.col("_k"), F.lit("test"))
+                          .when(F.col("_before") >= F.col("_k"), F.lit("train"))
+                          .otherwise(F.lit("cut")).alias("_status"),
+                         (F.col("_k") - F.col("_before")).alias("_need")))
+    cut = status.where(F.col("_status") == "cut").select("_c", "_b", "_need")
+    in_cut = _join_class_bucket(d.select(label_col, "_b", "_h", key_s.alias("_key")), label_col, cut)
+    last = (in_cut.withColumn("_rn", F.row_number().over(Window.partitionBy(label_col).orderBy("_h", "_key")))
                   .where(F.col("_rn") == F.col("_need"))
-                  .select(label_col, F.col("_h").alias("_last_h"), F.col("_key").alias("_last_key")))
-    last_rows = _bounded_rows(last)
-    if last_rows is None:
-        d = d.join(last, label_col, "left").select(*d.columns, "_last_h", "_last_key")
-    else:
-        lh, lk = F.lit(None).cast("string"), F.lit(None).cast("string")
-        for r in reversed(last_rows):
-            same = y.eqNullSafe(F.lit(r[label_col]))
-            lh = F.when(same, F.lit(r["_last_h"])).otherwise(lh)
-            lk = F.when(same, F.lit(r["_last_key"])).otherwise(lk)
-        d = d.withColumn("_last_h", lh).withColumn("_last_key", lk)
+                  .select(F.col(label_col).alias("_c2"), F.col("_b").alias("_b2"),
+                          F.col("_h").alias("_last_h"), F.col("_key").alias("_last_key")))
+    verdict = (status.join(last, F.col("_c").eqNullSafe(F.col("_c2")) & (F.col("_b") == F.col("_b2")), "left")
+                     .select("_c", "_b", "_status", "_last_h", "_last_key"))
+    j = _join_class_bucket(d, label_col, verdict)
     in_test = (F.col("_h") < F.col("_last_h")) | ((F.col("_h") == F.col("_last_h")) & (key_s <= F.col("_last_key")))
-    split = F.when(F.coalesce(in_test, F.lit(False)), F.lit("test")).otherwise(F.lit("train"))
-    return d.withColumn(out, split).drop("_h", "_b", "_last_h", "_last_key")
-
-
-def _bounded_rows(df: DataFrame, bound: int | None = None):
-    """The rows of a per-class table when it has at most ``bound`` of them,
-    else None (the caller then joins the table instead)."""
-    bound = MAX_INLINE_CLASSES if bound is None else bound
-    rows = df.limit(bound + 1).collect()
-    return rows if len(rows) <= bound else None
+    split = (F.when(F.col("_status") == "test", F.lit("test"))
+              .when(F.col("_status") == "train", F.lit("train"))
+              .when(in_test, F.lit("test"))
+              .otherwise(F.lit("train")))
+    return j.withColumn(out, split).drop("_h", "_b", "_status", "_last_h", "_last_key")
+
+
+def _join_class_bucket(rows: DataFrame, label_col: str, table: DataFrame) -> DataFrame:
+    """Inner join of ``rows`` with a per-(class ``_c``, bucket) table, the
+    class compared NULL-safe; keeps the columns of ``rows`` in their order."""
+    t = table.withColumnRenamed("_b", "_tb")
+    cond = F.col(label_col).eqNullSafe(F.col("_c")) & (F.col("_b") == F.col("_tb"))
+    extra = [c for c in t.columns if c not in ("_c", "_tb")]
+    return rows.join(t, cond, "inner").select(*[rows[c] for c in rows.columns], *extra)
 
 
 def dataset_profile(split_df: DataFrame, n_features: int, label_col: str = "fraud_flag",

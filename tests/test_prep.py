@@ -38,27 +38,29 @@ def test_split_reproducible_and_seed_sensitive(spark):
     assert s1.exceptAll(s3).count() > 0
 
 
-def test_split_join_fallback_matches_inlined(spark, monkeypatch):
-    """Beyond the inlined class bound the per-class tables are joined; the
-    split is the same, class by class (here 7 classes over 3,000 rows)."""
-    df = spark.range(3000).select(F.col("id").cast("string").alias("id"), (F.col("id") % 7).cast("int").alias("y"))
-    a = prep.stratified_split(df, "y", "id", 0.3, 5, bucket_digits=2)
-    monkeypatch.setattr(prep, "MAX_INLINE_CLASSES", 3)
-    b = prep.stratified_split(df, "y", "id", 0.3, 5, bucket_digits=2)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    per = {(r["y"], r["split"]): r["count"] for r in a.groupBy("y", "split").count().collect()}
-    for c in range(7):
+def test_split_multiclass_and_null_label(spark):
+    """Seven classes plus a NULL class: each class is split exactly and no
+    row is lost."""
+    df = spark.range(3000).select(
+        F.col("id").cast("string").alias("id"),
+        F.when(F.col("id") % 8 == 7, F.lit(None)).otherwise(F.col("id") % 8).cast("int").alias("y"))
+    s = prep.stratified_split(df, "y", "id", 0.3, 5, bucket_digits=2)
+    assert s.count() == 3000
+    per = {(r["y"], r["split"]): r["count"] for r in s.groupBy("y", "split").count().collect()}
+    for c in [*range(7), None]:
         n = per.get((c, "train"), 0) + per.get((c, "test"), 0)
-        assert per.get((c, "test"), 0) == math.floor(n * 0.3)
+        assert n > 0 and per.get((c, "test"), 0) == math.floor(n * 0.3)
 
 
-def test_split_labels_without_a_join(spark):
-    """With a bounded class table the labelling is a projection: the plan
-    of the full table has no join."""
+def test_split_joins_the_table_on_class_and_bucket(spark):
+    """The full table meets only the per-(class, bucket) verdict table, on
+    both keys — never a join on the class alone."""
     o = spark.read.parquet(f"{SF}/orders.parquet").select(
         "o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("y"))
     s = prep.stratified_split(o, "y", "o_orderkey", 0.3, 42)
-    assert "Join" not in s._jdf.queryExecution().optimizedPlan().toString()
+    top = s._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    first_join = next(line for line in top if "Join" in line)
+    assert "<=>" in first_join and "_b" in first_join and "_tb" in first_join
     per = {(r["y"], r["split"]): r["count"] for r in s.groupBy("y", "split").count().collect()}
     for c in (0, 1):
         assert per[(c, "test")] == math.floor((per[(c, "test")] + per[(c, "train")]) * 0.3)
