@@ -61,6 +61,17 @@ def _with_bucket(d: DataFrame, key: str, bounds: Column, n_bounds: int, out: str
     return d
 
 
+def _double_array(values) -> Column:
+    """An array<double> constant as one string literal, split and cast.
+
+    ``F.array`` of n literals is an expression with n children that every
+    optimizer rule walks: with 20,000 cut points planning took 25 s here,
+    against 2 s for this form, which constant folding turns into a single
+    array literal.  ``repr`` of a float parses back to the same double.
+    """
+    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
+
+
 def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], by: list[str] | tuple = (),
                    descending: bool = False, n_buckets: int | None = None,
                    bucket: Column | None = None, with_next: bool = False,
@@ -102,7 +113,7 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], by: list[
             # is fixed by nb, not by the data.
             probs = [i / nb for i in range(1, nb)]
             cuts = sorted(set(d.approxQuantile("_k", probs, 1.0 / max(DEFAULT_ACCURACY, 10 * nb))))
-            d = _with_bucket(d, "_k", F.array(*[F.lit(float(c)) for c in cuts]), len(cuts))
+            d = _with_bucket(d, "_k", _double_array(cuts), len(cuts))
     firsts = [F.min_by(c, "_k").alias(f"_f_{c}") for c in sum_cols] if with_next else []
     tot = d.groupBy(*by, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols], *firsts)
     w_before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -95,6 +95,20 @@ def test_running_totals_against_cumsum(spark):
         assert r["cum_v"] == exp and r["total_v"] == tot
 
 
+@pytest.mark.parametrize("rows_per_bucket", [40, 10**6])
+def test_running_totals_ranges_sized_from_data(spark, rows_per_bucket):
+    """Default range count (one per ``rows_per_bucket`` rows, cut points from
+    a quantile pass) against a single range: same totals, next values too."""
+    rnd = random.Random(5)
+    keys = rnd.sample(range(100000), 900)
+    df = spark.createDataFrame([(k * 0.5, rnd.randint(1, 9)) for k in keys], "k double, v int")
+    got = {r["k"]: (r["cum_v"], r["total_v"], r["next_v"])
+           for r in running_totals(df, "k", ["v"], rows_per_bucket=rows_per_bucket, with_next=True).collect()}
+    exp = {r["k"]: (r["cum_v"], r["total_v"], r["next_v"])
+           for r in running_totals(df, "k", ["v"], n_buckets=1, with_next=True).collect()}
+    assert got == exp and len(got) == 900
+
+
 @pytest.mark.parametrize("n_buckets", [1, 5, 32])
 def test_exact_percentiles_against_numpy(spark, n_buckets):
     rnd = random.Random(11)
