@@ -460,6 +460,7 @@ FROM s, u"""
 ORACLES["csv_roundtrip"] = ORACLES["booking"]
 ORACLES["jsonl_batch_scores"] = ORACLES["score_table"]
 ORACLES["prediction_table_roundtrip"] = ORACLES["score_table"]
+ORACLES["instance_scores"] = ORACLES["score_table"]
 
 
 def _unpivot(stage: str, sql: str) -> str:

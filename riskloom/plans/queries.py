@@ -514,6 +514,18 @@ def q_jsonl_batch_scores(spark, sf_dir):
     return scoring.prediction_rows(s, "booking_id", F.col("fraud_probability"), SCORED_AT)
 
 
+def q_instance_scores(spark, sf_dir):
+    """S6 + L8: the booking table written as request documents
+    (``{"instances": [...]}``, about 10,000 per document), read back one
+    document per file and scored like ``score_table``."""
+    path = scratch_path(spark, "instances", uuid.uuid4().hex[:12])
+    b = booking_df(spark, sf_dir)
+    writers.write_instance_documents(b, path, derived.ID_COL)
+    inst = files.read_instances(spark, path, b.schema)
+    return scoring.prediction_rows(scored_df(spark, sf_dir, inst), "booking_id", F.col("fraud_probability"),
+                                   SCORED_AT)
+
+
 def q_prediction_table_roundtrip(spark, sf_dir):
     """K1: predictions written (overwrite) in the fixed schema and read back."""
     path = scratch_path(spark, "files", "pred_" + uuid.uuid4().hex[:12])
@@ -553,6 +565,7 @@ QUERIES.update({
     "csv_roundtrip": q_csv_roundtrip,
     "jsonl_batch_scores": q_jsonl_batch_scores,
     "prediction_table_roundtrip": q_prediction_table_roundtrip,
+    "instance_scores": q_instance_scores,
     "ensemble_scores": q_ensemble_scores,
     "ensemble_evaluation": q_ensemble_evaluation,
     "ensemble_importance": q_ensemble_importance,

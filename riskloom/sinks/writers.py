@@ -44,6 +44,29 @@ def export_table(df: DataFrame, path: str, format: str = "CSV") -> str:
     return path
 
 
+# Instances per request document: the reference's scoring page size.
+INSTANCES_PER_DOCUMENT = 10000
+
+
+def write_instance_documents(df: DataFrame, path: str, key_col: str,
+                             per_document: int = INSTANCES_PER_DOCUMENT) -> str:
+    """S6 in reverse: rows as request documents ``{"instances": [...]}``,
+    one document per file (``_doc=<i>/``), read back by
+    ``sources.files.read_instances``.
+
+    Rows go to ceil(n / per_document) documents by a hash of the key, so a
+    document holds about ``per_document`` instances however large the
+    table: each grouped array is bounded by the page size, never by n.
+    """
+    n_docs = max(1, -(-df.count() // per_document))
+    doc = F.pmod(F.xxhash64(F.col(key_col)), F.lit(n_docs)).alias("_doc")
+    docs = (df.select(doc, F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+              .groupBy("_doc").agg(F.collect_list("_row").alias("instances")))
+    (docs.select("_doc", F.to_json(F.struct("instances")).alias("value"))
+         .write.mode("overwrite").partitionBy("_doc").text(path))
+    return path
+
+
 def write_report_json(report: DataFrame, path: str) -> str:
     """K4: the nested evaluation report as JSON."""
     report.write.mode("overwrite").json(path)
