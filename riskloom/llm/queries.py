@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import token_counts, topk
+from . import exact_dedup, packing, sharding, token_counts, token_files, topk, warc
 
 BYTE_BPE, WORD_BPE, PIECES = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
@@ -20,7 +20,29 @@ def op2_token_counts(spark, sf_dir):
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_token_counts)}
+def op3_token_files(spark, sf_dir):
+    return token_files.write_and_read(read_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
+def op4_packing(spark, sf_dir):
+    return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
+def op5_warc(spark, sf_dir):
+    # The pages carry no capture time: one second per page id from 2024-01-01 on.
+    captured = F.lit(1_704_067_200) + F.coalesce(F.col("page_id"), F.lit(0))
+    return warc.write_and_read(read_table(spark, sf_dir, "pages"), captured)
+
+
+def op7_shards(spark, sf_dir):
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op8_exact_dedup(spark, sf_dir):
+    return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_token_counts, op3_token_files, op4_packing, op5_warc, op7_shards, op8_exact_dedup)}
 
 ORACLES = {
     "op1_top_k": """
@@ -37,4 +59,10 @@ ranked AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
          vec_id, score FROM scored)
 SELECT * FROM ranked WHERE rank <= 5""",
+    "op8_exact_dedup": r"""
+WITH texts AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS content FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept,
+       sha256(content) AS text_sha256
+FROM texts WINDOW w AS (PARTITION BY content)""",
 }
