@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import exact_dedup, packing, sharding, token_counts, token_files, topk, warc
+from . import exact_dedup, packing, quality, sentencepiece_codec, sharding, token_counts, token_files, topk, warc
 
 BYTE_BPE, WORD_BPE, PIECES = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
@@ -34,6 +34,10 @@ def op5_warc(spark, sf_dir):
     return warc.write_and_read(read_table(spark, sf_dir, "pages"), captured)
 
 
+def op6_quality(spark, sf_dir):
+    return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_shards(spark, sf_dir):
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
@@ -42,7 +46,12 @@ def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_token_counts, op3_token_files, op4_packing, op5_warc, op7_shards, op8_exact_dedup)}
+def op10_sentencepiece(spark, sf_dir):
+    return sentencepiece_codec.encode_and_decode(read_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_token_counts, op3_token_files, op4_packing, op5_warc, op6_quality, op7_shards,
+                                  op8_exact_dedup, op10_sentencepiece)}
 
 ORACLES = {
     "op1_top_k": """
