@@ -18,8 +18,9 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return scratch_path(spark, "llm", f"{label}-{uuid.uuid4().hex}")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared checkpoint folder, read back.
+def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` as a Parquet table in the shared checkpoint folder, read back,
+    and where it is.
 
     Cuts the lineage: a lost executor costs a re-read, never a recomputation
     of what came before, and every later reader sees the same rows.
@@ -27,7 +28,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    return written_at(df, label)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a written table that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def shared_fs(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -141,5 +153,5 @@ def read_exactly(handle, size: int) -> bytes:
     return bytes(data)
 
 
-__all__ = ["new_folder", "written", "shared_fs", "SharedFile", "open_shared", "Memo", "chunks", "arrow_map",
+__all__ = ["new_folder", "written", "written_at", "discard", "shared_fs", "SharedFile", "open_shared", "Memo", "chunks", "arrow_map",
            "batch_of", "texts_of", "u32", "read_exactly"]

@@ -2,15 +2,37 @@
 
 from __future__ import annotations
 
+import os
+from functools import wraps
+from pathlib import Path
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import exact_dedup, packing, quality, sentencepiece_codec, sharding, token_counts, token_files, topk, warc
+from . import exact_dedup, ngram_join, packing, quality, sentencepiece_codec, sharding, token_counts, token_files, topk, warc
 
+ROOT = str(Path(__file__).resolve().parents[2])
 BYTE_BPE, WORD_BPE, PIECES = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
+def importable(spark):
+    """Python workers started from now on find this package where the driver
+    found it (on a cluster: where it is installed or shipped)."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
+
+
+def _registered(query):
+    @wraps(query)
+    def run(spark, sf_dir):
+        importable(spark)
+        return query(spark, sf_dir)
+    return run
+
+
 def op1_top_k(spark, sf_dir):
     vectors = read_table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
@@ -46,12 +68,16 @@ def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_join(spark, sf_dir):
+    return ngram_join.similarity_join(read_table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.encode_and_decode(read_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_token_counts, op3_token_files, op4_packing, op5_warc, op6_quality, op7_shards,
-                                  op8_exact_dedup, op10_sentencepiece)}
+QUERIES = {f.__name__: _registered(f) for f in (op1_top_k, op2_token_counts, op3_token_files, op4_packing, op5_warc, op6_quality, op7_shards,
+                                  op8_exact_dedup, op9_ngram_join, op10_sentencepiece)}
 
 ORACLES = {
     "op1_top_k": """
