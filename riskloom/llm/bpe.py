@@ -14,40 +14,50 @@ import json
 import numpy as np
 
 NEVER = np.int32(2**31 - 1)
-WAYS = 4
 
 
 class PairTable:
-    """(left id, right id) -> rank and merged id: a bucketed hash table in
-    arrays, looked up for many pairs at once."""
+    """(left id, right id) -> rank and merged id: a hash table in arrays, looked
+    up for many pairs at once.  Nearly all slots hold one pair at most; the
+    others continue in further layers."""
+
+    BITS = 18
 
     def __init__(self, left: np.ndarray, right: np.ndarray, merged: np.ndarray):
-        key = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
-        rank = np.arange(len(key), dtype=np.int32)
-        bits = 16
-        while True:
-            self.shift = np.uint64(64 - bits)
-            slot = self.slots(key)
-            order = np.argsort(slot, kind="stable")
-            s = slot[order]
-            way = np.arange(len(s)) - np.searchsorted(s, s)
-            if not len(way) or way.max() < WAYS:
-                break
-            bits += 1
-        self.keys = np.full((1 << bits, WAYS), np.uint64(2**64 - 1))
-        self.ranks = np.full((1 << bits, WAYS), NEVER)
-        self.keys[s, way] = key[order]
-        self.ranks[s, way] = rank[order]
+        key = self.key(left, right)
+        slot = self.slots(key)
+        order = np.argsort(slot, kind="stable")
+        slot = slot[order]
+        layer = np.arange(len(slot)) - np.searchsorted(slot, slot)
+        self.held = np.bincount(slot, minlength=1 << self.BITS).astype(np.int8)
+        layers = int(layer.max(initial=0)) + 1
+        self.keys = np.full((layers, 1 << self.BITS), np.uint64(2**64 - 1))
+        self.ranks = np.full((layers, 1 << self.BITS), NEVER)
+        self.keys[layer, slot] = key[order]
+        self.ranks[layer, slot] = order
         self.merged = merged.astype(np.int32)
 
+    @staticmethod
+    def key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
+
     def slots(self, key: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return ((key * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+            return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)).astype(np.int64)
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
+        key = self.key(left, right)
         slot = self.slots(key)
-        return np.where(self.keys[slot] == key[:, None], self.ranks[slot], NEVER).min(axis=1)
+        out = np.where(self.keys[0][slot] == key, self.ranks[0][slot], NEVER)
+        more = np.flatnonzero(self.held[slot] > 1)
+        for layer in range(1, len(self.keys)):
+            if not len(more):
+                break
+            at = slot[more]
+            hit = self.keys[layer][at] == key[more]
+            out[more[hit]] = self.ranks[layer][at[hit]]
+            more = more[self.held[at] > layer + 1]
+        return out
 
 
 class Merger:

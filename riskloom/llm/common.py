@@ -96,16 +96,17 @@ class Memo:
         """For each list of keys, the values in its order."""
         if len(self.young) >= self.limit + len(self.pinned):
             self.old, self.young = self.young, dict(self.pinned)
-        found = [list(map(self.young.get, keys)) for keys in lists]
-        need = {k for keys, values in zip(lists, found) if None in values
-                for k, v in zip(keys, values) if v is None}
+        out = [list(map(self.young.get, keys)) for keys in lists]
+        gaps = [[i for i, v in enumerate(values) if v is None] for values in out]
+        need = {keys[i] for keys, at in zip(lists, gaps) for i in at}
         back = need & self.old.keys()
         self.young.update((k, self.old[k]) for k in back)
         new = list(need - back)
         if new:
             self.young.update(zip(new, self.fn_many(new)))
-        out = [list(map(self.young.__getitem__, keys)) if None in values else values
-               for keys, values in zip(lists, found)]
+        for keys, values, at in zip(lists, out, gaps):
+            for i in at:
+                values[i] = self.young[keys[i]]
         for k in new:
             if len(k) > self.longest:
                 del self.young[k]

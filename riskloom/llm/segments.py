@@ -50,6 +50,8 @@ RUNS = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 BEYOND_LATIN_1 = re.compile("[^\x00-\xff]")
 LETTER, DIGIT, OTHER, FEED = 0, 1, 2, 3
+#: Marks a word that no single space precedes; one of ODD, so in no text that is cut.
+NO_SPACE = "\x1f"
 MARK = "▁"
 PIECES = re.compile(r" *[^ ]+| +")
 
@@ -83,7 +85,7 @@ class ByteLevel:
         self.lib = Tokenizer.from_file(path)
         self.merger = Merger(path, byte_alphabet())
         self.kind = byte_classes()
-        self.words = Memo(self.encode_words, limit=100_000)
+        self.words = Memo(self.encode_words, limit=200_000)
 
     def whole(self, text: str) -> bytes:
         return u32(self.lib.encode(text, add_special_tokens=False).ids)
@@ -91,6 +93,10 @@ class ByteLevel:
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Regular words are cut by their bytes' classes and merged together;
         the library encodes the others one by one."""
+        words = [w[1:] if w[0] == NO_SPACE else " " + w for w in words]
+        return self.encode_strings(words)
+
+    def encode_strings(self, words: list[str]) -> list[bytes]:
         regular = [w if "<|" not in w and REGULAR.fullmatch(w) else "" for w in words]
         raw = [w.encode() for w in regular]
         sizes = np.array([len(r) for r in raw], dtype=np.int64)
@@ -112,15 +118,14 @@ class ByteLevel:
         return ends
 
     def cut(self, text: str) -> list[str] | None:
-        """The text's words, each but the first with the space before it;
-        longer runs of white space stay in one word.  None if the library must
-        see the text whole."""
+        """The text's words without the space before each; what has none or
+        more white space before it is marked.  None if the library must see
+        the text whole."""
         if ODD.search(text):
             return None
         if not text or "  " in text or "\n " in text or "\t " in text or "\r " in text or text[0] == " " or text[-1] == " ":
-            return RUNS.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]]
+            return [NO_SPACE + w for w in RUNS.findall(text)]
+        return (NO_SPACE + text).split(" ")
 
     def encode(self, texts: Iterator[str]) -> Iterator[bytes]:
         for some in chunks(texts):
@@ -133,7 +138,7 @@ class WordLevel(ByteLevel):
     """Ids of a BPE with word ends that drops white space and case."""
 
     def encode_words(self, words: list[str]) -> list[bytes]:
-        return super().encode_words([w.lower() if "<|" not in w and REGULAR.fullmatch(w) else w for w in words])
+        return self.encode_strings([w.lower() if "<|" not in w and REGULAR.fullmatch(w) else w for w in words])
 
     def pretoken_ends(self, data: np.ndarray, word_ends: np.ndarray) -> np.ndarray:
         return super().pretoken_ends(data, word_ends) | (self.kind[data] == DIGIT)

@@ -72,8 +72,9 @@ def sample_dictionary(docs: DataFrame, tokenizer: str, id_col: str, text_col: st
     """Trains on at most ``SAMPLE_DOCS`` whole documents of at most
     ``SAMPLE_BYTES``, the first in hash order of their ids.  Only the size of
     the files depends on it."""
-    some = (docs.where(F.octet_length(text_col) <= SAMPLE_BYTES)
-            .select(text_col, F.xxhash64(id_col).alias("h")).orderBy("h").limit(SAMPLE_DOCS).collect())
+    short = docs.where(F.octet_length(text_col) <= SAMPLE_BYTES)
+    chosen = [r[0] for r in short.select(id_col, F.xxhash64(id_col).alias("h")).orderBy("h").limit(SAMPLE_DOCS).collect()]
+    some = short.where(F.col(id_col).isin(chosen)).select(text_col).limit(SAMPLE_DOCS).collect()
     encoder = loaded(ByteLevel, tokenizer)
     kind = id_type(encoder.lib.get_vocab_size())
     return train_dictionary([np.frombuffer(x, "<u4").astype(kind).tobytes()
