@@ -46,6 +46,11 @@ def rank_importances(tables: dict[str, DataFrame], digits: int | None = 6) -> Da
     return out.orderBy(F.desc("avg_importance"), F.asc("feature"))
 
 
+def rounded(ranked: DataFrame, digits: int = 6) -> DataFrame:
+    """The ranking with every figure rounded, for reports (select first)."""
+    return ranked.select("feature", *[F.round(c, digits).alias(c) for c in ranked.columns if c != "feature"])
+
+
 def select_important(ranked: DataFrame, threshold: float) -> DataFrame:
     """Features whose mean importance is strictly above ``threshold``."""
     return ranked.where(F.col("avg_importance") > F.lit(threshold))

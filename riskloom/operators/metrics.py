@@ -110,12 +110,17 @@ def ranking_metrics(df: DataFrame, label_col: str, score_col: str, digits: int =
                     n_buckets: int | None = None) -> DataFrame:
     """A20 + A21: exact ROC-AUC (ties count half) and average precision
     (step-wise sum of precision x recall increments, not a trapezoid)."""
-    r = cumulative_by_score(df, label_col, score_col, n_buckets)
+    return ranking_from_totals(cumulative_by_score(df, label_col, score_col, n_buckets), digits)
+
+
+def ranking_from_totals(r: DataFrame, digits: int = 6) -> DataFrame:
+    """A20 + A21 from the running totals per distinct score."""
     pos, neg, cpos, cneg = F.col("pos"), F.col("neg"), F.col("cum_pos"), F.col("cum_neg")
     auc_num = F.sum(neg * (cpos - pos + pos / 2.0))
     ap_num = F.sum(F.when(pos > 0, pos * (cpos / (cpos + cneg))).otherwise(F.lit(0.0)))
     tot_pos, tot_neg = F.max("total_pos"), F.max("total_neg")
-    return r.agg(F.round(null_ratio(auc_num, tot_pos * tot_neg), digits).alias("roc_auc"),
+    # Counts of 5e9 a class multiply beyond 64 bits: the product is a double's.
+    return r.agg(F.round(null_ratio(auc_num, tot_pos.cast("double") * tot_neg), digits).alias("roc_auc"),
                  F.round(null_ratio(ap_num, tot_pos), digits).alias("pr_auc"),
                  F.coalesce(tot_pos, F.lit(0)).cast("long").alias("n_positive"),
                  F.coalesce(tot_neg, F.lit(0)).cast("long").alias("n_negative"))
@@ -159,7 +164,7 @@ def evaluation_metrics(df: DataFrame, label_col: str, score_col: str, threshold:
     pos, neg, cpos, cneg, s = F.col("pos"), F.col("neg"), F.col("cum_pos"), F.col("cum_neg"), F.col("score")
     above = s > threshold
     agg = r.agg(
-        null_ratio(F.sum(neg * (cpos - pos + pos / 2.0)), F.max("total_pos") * F.max("total_neg")).alias("_auc"),
+        null_ratio(F.sum(neg * (cpos - pos + pos / 2.0)), F.max("total_pos").cast("double") * F.max("total_neg")).alias("_auc"),
         null_ratio(F.sum(F.when(pos > 0, pos * (cpos / (cpos + cneg))).otherwise(F.lit(0.0))), F.max("total_pos")).alias("_ap"),
         F.coalesce(F.sum(F.when(~above, neg)), F.lit(0)).cast("long").alias("true_negatives"),
         F.coalesce(F.sum(F.when(above, neg)), F.lit(0)).cast("long").alias("false_positives"),

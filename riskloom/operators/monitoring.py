@@ -98,16 +98,8 @@ def _tag(p: float) -> str:
     return s
 
 
-def approx_percentiles(df: DataFrame, value_col: str, probs=DEFAULT_PERCENTILES, by=(),
-                       accuracy: int = 10000) -> DataFrame:
-    """M3 at bounded memory per group: ``percentile_approx`` sketches."""
-    aggs = [F.percentile_approx(value_col, float(p), accuracy).alias(f"p{_tag(p)}") for p in probs]
-    aggs.append(F.count(F.col(value_col)).alias("n"))
-    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-
-
 def psi(df: DataFrame, score_col: str, period_col: str, baseline, current, bins: int = 10,
-        lo: float = 0.0, hi: float = 1.0, epsilon: float = 1e-6, digits: int = 6) -> DataFrame:
+        lo: float = 0.0, hi: float = 1.0, epsilon: float = 1e-6, digits: int | None = 6) -> DataFrame:
     """M7: population stability index of a score between two periods.
 
     Scores are cut into ``bins`` equal-width bins over [lo, hi] (values
@@ -128,14 +120,47 @@ def psi(df: DataFrame, score_col: str, period_col: str, baseline, current, bins:
     e = F.greatest(null_ratio(F.col("n_baseline"), F.sum("n_baseline").over(w)), F.lit(epsilon))
     a = F.greatest(null_ratio(F.col("n_current"), F.sum("n_current").over(w)), F.lit(epsilon))
     out = counts.select("bin", "n_baseline", "n_current", e.alias("_e"), a.alias("_a"))
+    rounded = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
     return out.select("bin", "n_baseline", "n_current",
-                      F.round("_e", digits).alias("baseline_share"),
-                      F.round("_a", digits).alias("current_share"),
-                      F.round((F.col("_a") - F.col("_e")) * F.log(F.col("_a") / F.col("_e")), digits).alias("psi_contribution"))
+                      rounded(F.col("_e")).alias("baseline_share"),
+                      rounded(F.col("_a")).alias("current_share"),
+                      rounded((F.col("_a") - F.col("_e")) * F.log(F.col("_a") / F.col("_e"))).alias("psi_contribution"))
 
 
 def psi_total(bins_df: DataFrame, digits: int = 6) -> DataFrame:
-    """M7 total: sum of the per-bin contributions."""
+    """M7 total: sum of the per-bin contributions (pass them unrounded)."""
     return bins_df.agg(F.round(F.sum("psi_contribution"), digits).alias("psi"),
                        F.count(F.lit(1)).alias("n_bins"))
 
+
+def feature_drift(df: DataFrame, features: list[str], period_col: str, baseline, current, bins: int = 10,
+                  epsilon: float = 1e-6, digits: int = 6) -> DataFrame:
+    """M7 for every feature: ``feature, psi, n_baseline, n_current``.
+
+    Bins are equal-width over the baseline's own range of each feature
+    (values of the current period outside it fall in the end bins).  Two
+    passes whatever the number of features: one aggregation for the ranges,
+    one over (feature, value) records with counts combined map-side.  Missing
+    values (NULL, NaN) take no part; a feature without baseline values has a
+    NULL psi.
+    """
+    per = F.col(period_col)
+    both = df.where(per.isin(baseline, current)).select(
+        (per == baseline).alias("_base"), F.inline(F.array(*[
+            F.struct(F.lit(f).alias("feature"), F.nanvl(F.col(f"`{f}`").cast("double"), F.lit(None)).alias("_x"))
+            for f in features])))
+    both = both.where(F.col("_x").isNotNull())
+    edges = both.where("_base").groupBy("feature").agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
+    b = F.when(width > 0, F.least(F.greatest(F.floor((F.col("_x") - F.col("_lo")) / width), F.lit(0)), F.lit(bins - 1)))
+    # One row per feature: the schema bounds the ranges' table.
+    cells = (both.join(F.broadcast(edges), "feature", "left").groupBy("feature", F.coalesce(b, F.lit(0)).alias("_bin"))
+             .agg(F.count_if("_base").alias("_nb"), F.count_if(~F.col("_base")).alias("_nc")))
+    w = Window.partitionBy("feature")
+    e = F.greatest(null_ratio(F.col("_nb"), F.sum("_nb").over(w)), F.lit(epsilon))
+    a = F.greatest(null_ratio(F.col("_nc"), F.sum("_nc").over(w)), F.lit(epsilon))
+    shares = cells.select("feature", "_nb", "_nc", e.alias("_e"), a.alias("_a"))
+    total = F.sum((F.col("_a") - F.col("_e")) * F.log(F.col("_a") / F.col("_e")))
+    return shares.groupBy("feature").agg(
+        F.round(F.when(F.sum("_nb") > 0, total), digits).alias("psi"),
+        F.sum("_nb").alias("n_baseline"), F.sum("_nc").alias("n_current"))

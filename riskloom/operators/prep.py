@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+from fractions import Fraction
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import null_ratio
+from ..session import scratch_path
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -58,86 +62,135 @@ def class_counts(df: DataFrame, label_col: str = "fraud_flag") -> tuple[int, int
     return int(r["n0"]), int(r["n1"])
 
 
-def with_class_weights(df: DataFrame, label_col: str, n0: int, n1: int, out: str = "class_weight") -> DataFrame:
-    """A4 as a row weight: the ``balanced`` class-weight rule n / (2 * n_c)."""
-    if n0 == 0 or n1 == 0:
-        raise ValueError("both classes are needed for balanced weights")
-    n = n0 + n1
-    return df.withColumn(out, F.when(F.col(label_col) == 1, F.lit(n / (2.0 * n1))).otherwise(F.lit(n / (2.0 * n0))))
+def split_hash(key_col: str, seed: int):
+    """md5 of "seed:key"; a NULL key hashes as the empty text."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"`{key_col}`").cast("string"), F.lit(""))))
 
 
-def split_hash(key_col: str, seed: int):
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key_col).cast("string")))
+#: Rows that a bucket of the split holds on average, at most about so many.
+ROWS_PER_SPLIT_BUCKET = 50_000
 
 
-def stratified_split(df: DataFrame, label_col: str, key_col: str, test_fraction: float = 0.3,
-                     seed: int = 42, bucket_digits: int = 4, out: str = "split") -> DataFrame:
+def stratified_split(df: DataFrame, label_col: str, key_col: str | None = None, test_fraction: float = 0.3,
+                     seed: int = 42, out: str = "split") -> DataFrame:
     """L1: exact, reproducible, class-proportional split.
 
-    Within each class rows are ordered by md5("seed:key") (then key); the
-    first floor(test_fraction * n_class) rows are 'test', the rest 'train'.
-
-    The full table is never shuffled on the class alone, sorted or ranked:
-
-    1. rows are counted per (class, hash-prefix bucket) — a partial
-       aggregation into at most 16^digits rows per class — and each
-       bucket's offset decides it wholly 'test', wholly 'train', or 'cut'
-       (it straddles the boundary);
-    2. only the rows of the one cut bucket per class (about
-       n_class / 16^digits rows) are ranked, to find the last test key;
-    3. that key is attached to its bucket's verdict, and every row is
-       labelled through one join with the verdict table on
-       (class, bucket).  That table has at most 16^digits rows per class
-       (about 4 MB for a binary label at the default 4 digits), so AQE
-       broadcasts it once measured; and because the key takes 16^digits
-       uniform values per class, the join stays balanced even unbroadcast
-       — no task ever receives a whole class.
-
-    The hash is uniform, so a class holding most rows still spreads evenly
-    over the buckets; steps 1 and 2 read only the key and label columns.
-    Classes compare NULL-safe, so rows with a NULL label form a class of
-    their own and are kept.  ``key_col`` must identify rows (like
-    ``booking_id``): copies of one key share a hash, hence a bucket, and tie
-    in the order.
+    The test set has ceil(test_fraction * n) rows; the others are shared
+    among the classes by largest remainder (ties to the smaller class), in
+    whole numbers throughout.  Within a class the rows first by
+    md5("seed:key"), then key, are 'test'.  Copies of one key are divided
+    exactly, NULL keys and NULL labels are kept (NULL is a class), and
+    without ``key_col`` rows are ordered by their place in the table.
+
+    The source is read once, into a table in the shared checkpoint folder
+    with each row's hash, hash-prefix bucket and number.  From it:
+
+    1. counts per (class, bucket), at most classes x 16^digits rows (the
+       digits follow n), decide each bucket wholly 'test', wholly 'train' or
+       'cut';
+    2. the cut bucket of a class is counted by hash, and of the one hash that
+       straddles the cut (a key repeated however often) rows are counted by
+       the task that numbered them, then ranked within one such task's rows:
+       no task ranks more than a bucket or a split;
+    3. every row is labelled through a join with the verdict table on
+       (class, bucket), NULL-safe, which adaptive execution broadcasts when
+       its measured size is small.
     """
     if not 0.0 <= test_fraction <= 1.0:
         raise ValueError("test_fraction must be within [0, 1]")
-    key_s = F.col(key_col).cast("string")
-    d = df.withColumn("_h", split_hash(key_col, seed)).withColumn("_b", F.substring("_h", 1, bucket_digits))
-    cnt = d.groupBy(F.col(label_col).alias("_c"), "_b").agg(F.count(F.lit(1)).alias("_n"))
-    w_before = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    k = F.floor(F.sum("_n").over(Window.partitionBy("_c")) * F.lit(float(test_fraction)))
-    status = (cnt.select("_c", "_b", "_n", k.alias("_k"),
-                         F.coalesce(F.sum("_n").over(w_before), F.lit(0)).alias("_before"))
-                 .select("_c", "_b",
-                         F.when(F.col("_before") + F.col("_n") <= F.col("_k"), F.lit("test"))
-                          .when(F.col("_before") >= F.col("_k"), F.lit("train"))
-                          .otherwise(F.lit("cut")).alias("_status"),
-                         (F.col("_k") - F.col("_before")).alias("_need")))
-    cut = status.where(F.col("_status") == "cut").select("_c", "_b", "_need")
-    in_cut = _join_class_bucket(d.select(label_col, "_b", "_h", key_s.alias("_key")), label_col, cut)
-    last = (in_cut.withColumn("_rn", F.row_number().over(Window.partitionBy(label_col).orderBy("_h", "_key")))
-                  .where(F.col("_rn") == F.col("_need"))
-                  .select(F.col(label_col).alias("_c2"), F.col("_b").alias("_b2"),
-                          F.col("_h").alias("_last_h"), F.col("_key").alias("_last_key")))
-    verdict = (status.join(last, F.col("_c").eqNullSafe(F.col("_c2")) & (F.col("_b") == F.col("_b2")), "left")
-                     .select("_c", "_b", "_status", "_last_h", "_last_key"))
-    j = _join_class_bucket(d, label_col, verdict)
-    in_test = (F.col("_h") < F.col("_last_h")) | ((F.col("_h") == F.col("_last_h")) & (key_s <= F.col("_last_key")))
-    split = (F.when(F.col("_status") == "test", F.lit("test"))
-              .when(F.col("_status") == "train", F.lit("train"))
-              .when(in_test, F.lit("test"))
-              .otherwise(F.lit("train")))
-    return j.withColumn(out, split).drop("_h", "_b", "_status", "_last_h", "_last_key")
-
-
-def _join_class_bucket(rows: DataFrame, label_col: str, table: DataFrame) -> DataFrame:
-    """Inner join of ``rows`` with a per-(class ``_c``, bucket) table, the
-    class compared NULL-safe; keeps the columns of ``rows`` in their order."""
-    t = table.withColumnRenamed("_b", "_tb")
-    cond = F.col(label_col).eqNullSafe(F.col("_c")) & (F.col("_b") == F.col("_tb"))
-    extra = [c for c in t.columns if c not in ("_c", "_tb")]
-    return rows.join(t, cond, "inner").select(*[rows[c] for c in rows.columns], *extra)
+    uid = F.monotonically_increasing_id()
+    if key_col is None:
+        h = F.md5(F.concat(F.lit(f"{seed}:"), F.col("_uid").cast("string")))
+    else:
+        # The key follows its hash, so two keys of one hash are told apart.
+        h = F.concat(split_hash(key_col, seed), F.coalesce(F.col(f"`{key_col}`").cast("string"), F.lit("")))
+    d = _table(df.select("*", uid.alias("_uid")).withColumn("_h", h))
+    n = d.count()
+    digits = 1
+    while n > ROWS_PER_SPLIT_BUCKET * 16 ** digits:
+        digits += 1
+    d = d.withColumn("_b", F.substring("_h", 1, digits))
+    label = F.col(f"`{label_col}`").alias("_c")
+    share = Fraction(str(test_fraction))
+    n_test = -(-n * share.numerator // share.denominator)
+    counts = d.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    quota = _test_quota(counts, n, n - n_test)
+    buckets = _table(_cut(counts.join(quota, F.col("_c").eqNullSafe(F.col("_qc"))).select("_c", "_b", "_n", "_k"), "_b"))
+    # Within the cut bucket, by hash; within the cut hash, by task and number.
+    inside = _rows_of(d.select(label, "_b", "_h", "_uid"), buckets, ["_b"])
+    hashes = _table(_cut(inside.groupBy("_c", "_need", "_h").agg(F.count(F.lit(1)).alias("_n"))
+                         .withColumnRenamed("_need", "_k"), "_h"))
+
+    def last(df: DataFrame, value: str, at: Column) -> DataFrame:
+        return df.groupBy(F.col("_c").alias("_lc")).agg(F.max(F.when(at, F.col(value))).alias(f"_last{value}"))
+
+    # Of each class with a cut: the last whole hash, the shared hash, the last whole task, the last number.
+    marks = (last(hashes, "_h", F.col("_status") == "test").withColumnRenamed("_lc", "_mc")
+             .join(last(hashes, "_h", F.col("_status") == "cut").withColumnRenamed("_last_h", "_shared"),
+                   F.col("_mc").eqNullSafe(F.col("_lc")), "left").drop("_lc"))
+    if hashes.where("_status = 'cut'").isEmpty():  # no key is repeated across the cut
+        marks = marks.withColumns({"_last_t": F.lit(None).cast("long"), "_last_uid": F.lit(None).cast("long")})
+    else:
+        copies = _rows_of(inside.select("_c", "_h", "_uid"), hashes, ["_h"]).withColumn("_t", F.shiftright("_uid", 33))
+        tasks = _cut(copies.groupBy("_c", "_need", "_t").agg(F.count(F.lit(1)).alias("_n"))
+                     .withColumnRenamed("_need", "_k"), "_t")
+        ranked = _rows_of(copies.select("_c", "_t", "_uid"), tasks, ["_t"])
+        ranked = ranked.withColumn("_r", F.row_number().over(Window.partitionBy("_c", "_t").orderBy("_uid")))
+        for part in (last(tasks, "_t", F.col("_status") == "test"), last(ranked, "_uid", F.col("_r") <= F.col("_need"))):
+            marks = marks.join(part, F.col("_mc").eqNullSafe(F.col("_lc")), "left").drop("_lc")
+    verdict = _table(buckets.join(marks, F.col("_c").eqNullSafe(F.col("_mc")) & (F.col("_status") == "cut"), "left")
+                     .select("_c", F.col("_b").alias("_tb"), "_status", "_last_h", "_shared", "_last_t", "_last_uid"))
+    j = d.join(verdict, F.col(f"`{label_col}`").eqNullSafe(F.col("_c")) & (F.col("_b") == F.col("_tb")), "inner")
+    shared = (F.col("_h") == F.col("_shared")) & ((F.shiftright("_uid", 33) <= F.col("_last_t"))
+                                                  | (F.col("_uid") <= F.col("_last_uid")))
+    in_test = (F.col("_status") == "test") | ((F.col("_status") == "cut")
+                                              & (F.coalesce(F.col("_h") <= F.col("_last_h"), F.lit(False))
+                                                 | F.coalesce(shared, F.lit(False))))
+    return j.select(*[F.col(f"`{c}`") for c in df.columns],
+                    F.when(in_test, F.lit("test")).otherwise(F.lit("train")).alias(out))
+
+
+def _table(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back."""
+    path = scratch_path(df.sparkSession, "splits", uuid.uuid4().hex)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _test_quota(counts: DataFrame, n: int, n_train: int) -> DataFrame:
+    """Test rows per class (``_qc``, ``_k``): the class size less its share of
+    the training rows by largest remainder.  One row per class."""
+    big = "decimal(38,0)"
+    c = counts.groupBy(F.col("_c").alias("_qc")).agg(F.sum("_n").cast(big).alias("_nc"))
+    every = Window.partitionBy()
+    c = (c.withColumn("_p", F.col("_nc") * F.lit(n_train).cast("decimal(19,0)"))
+         .withColumn("_rest", F.expr(f"cast(_p % cast({max(n, 1)} as {big}) as {big})"))
+         .withColumn("_whole", F.expr(f"cast((_p - _rest) / cast({max(n, 1)} as {big}) as bigint)")))
+    spare = F.lit(n_train) - F.sum("_whole").over(every)
+    place = F.row_number().over(every.orderBy(F.desc("_rest"), F.asc_nulls_first("_qc")))
+    train = F.col("_whole") + F.when(place <= spare, 1).otherwise(0)
+    return c.select("_qc", (F.col("_nc").cast("long") - train).cast("long").alias("_k"))
+
+
+def _cut(counts: DataFrame, key: str) -> DataFrame:
+    """``counts`` (``_c``, ``key``, ``_n``, ``_k``) with ``_status`` of each
+    key in order: 'test' while wholly within the first ``_k`` rows of the
+    class, 'cut' for the one that straddles, then 'train'; ``_need`` is what
+    the straddling one still gives."""
+    before = Window.partitionBy("_c").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    d = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    status = (F.when(F.col("_before") + F.col("_n") <= F.col("_k"), "test")
+              .when(F.col("_before") >= F.col("_k"), "train").otherwise("cut"))
+    return d.select("_c", key, status.alias("_status"), (F.col("_k") - F.col("_before")).alias("_need"))
+
+
+def _rows_of(rows: DataFrame, verdicts: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of the cut keys, with ``_need``; classes compare NULL-safe."""
+    cut = verdicts.where("_status = 'cut'").select(F.col("_c").alias("_vc"), *[F.col(k).alias(f"_v{k}") for k in keys], "_need")
+    same = F.col("_c").eqNullSafe(F.col("_vc"))
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_v{k}"))
+    return rows.join(cut, same).drop("_vc", *[f"_v{k}" for k in keys])
 
 
 def dataset_profile(split_df: DataFrame, n_features: int, label_col: str = "fraud_flag",

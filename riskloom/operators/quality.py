@@ -99,7 +99,8 @@ def _with_score(wide: DataFrame, null_pct_names: list[str]) -> DataFrame:
     score = clamp_min(F.lit(100.0) - avg_null)
     return (wide.withColumn("_score", score)
                 .withColumn("quality_score", F.round("_score", 2))
-                .withColumn("assessment", quality_assessment("_score"))
+                .withColumn("assessment", F.when(F.col("total_rows") == 0, F.lit("No Data"))
+                            .otherwise(quality_assessment("_score")))
                 .drop("_score"))
 
 
@@ -153,6 +154,30 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
 
 # --------------------------------------------------------------- duplicates
 
+def _missing(field: T.StructField) -> Column:
+    """NULL, or NaN in a floating-point column: what ``isnull`` counts."""
+    c = F.col(f"`{field.name}`")
+    return c.isNull() | F.isnan(c) if isinstance(field.dataType, (T.FloatType, T.DoubleType)) else c.isNull()
+
+
+def _typed_text(field: T.StructField) -> Column:
+    """A cell as text that differs whenever the cell does: a mark for NULL,
+    the length before each value, timestamps to the microsecond, binary as
+    hexadecimal, nested values as JSON with microseconds."""
+    c = F.col(f"`{field.name}`")
+    kind = field.dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        text = F.when(c == 0, F.lit("0")).otherwise(c.cast("string"))
+    elif isinstance(kind, T.BinaryType):
+        text = F.hex(c)
+    elif isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        text = F.to_json(F.struct(c), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                                       "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+    else:
+        text = c.cast("string")
+    return F.when(c.isNull(), F.lit("-;")).otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text, F.lit(";")))
+
+
 def _group_all(df: DataFrame, hashed: bool = False) -> DataFrame:
     """Distinct whole rows with their multiplicity (NULLs compare equal).
 
@@ -160,17 +185,17 @@ def _group_all(df: DataFrame, hashed: bool = False) -> DataFrame:
     inside each map task before the shuffle, so one row repeated a billion
     times ships one record per task, not a billion.
 
-    ``hashed=True`` groups on a SHA-256 digest of the row's canonical JSON
-    text instead, so only 32-byte keys are shuffled rather than whole rows
+    ``hashed=True`` groups on a SHA-256 digest of the row's typed rendering
+    (``_typed_text``) instead, so only 32-byte keys are shuffled rather than whole rows
     (long texts included).  Two different rows share a digest with
     probability about n^2 / 2^257 — negligible, but not zero by
     construction, which is why the exact grouping is the default.
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
     null_count = reduce(lambda a, b: a + b,
-                        [F.when(c.isNull(), 1).otherwise(0) for c in cols], F.lit(0))
+                        [F.when(_missing(f), 1).otherwise(0) for f in df.schema.fields], F.lit(0))
     if hashed:
-        key = F.sha2(F.to_json(F.struct(*cols)), 256)
+        key = F.sha2(F.concat(*[_typed_text(f) for f in df.schema.fields]), 256)
         return (df.select(key.alias("_row"), null_count.alias("_nulls"))
                   .groupBy("_row")
                   .agg(F.count(F.lit(1)).alias("_copies"), F.max("_nulls").alias("_null_cells")))
@@ -203,30 +228,28 @@ def validation_gate(df: DataFrame, min_rows: int = DEFAULT_MIN_ROWS,
     null_cells = F.coalesce(F.sum(F.col("_copies") * F.col("_null_cells")), F.lit(0))
     out = g.agg(
         rows.alias("row_count"),
-        F.round(null_ratio(null_cells, rows * n_cols), 6).alias("null_percentage"),
+        null_ratio(null_cells, rows * n_cols).alias("null_percentage"),
         (rows - F.count(F.lit(1))).alias("duplicate_rows"),
         F.lit(n_cols).alias("column_count"),
     )
+    # The verdict compares the unrounded fraction; only the report is rounded.
     valid = (F.col("row_count") >= min_rows) & (F.coalesce(F.col("null_percentage"), F.lit(0.0)) <= max_null_fraction)
-    return out.withColumn("is_valid", valid)
+    return out.withColumn("is_valid", valid).withColumn("null_percentage", F.round("null_percentage", 6))
 
 
 # ---------------------------------------------------------------- null drop
 
 def drop_null_rows(df: DataFrame) -> DataFrame:
-    """Drop every row holding a NULL in any column."""
+    """Drop every row holding a NULL (or NaN) in any column."""
     return df.na.drop(how="any")
 
 
 def null_drop_report(df: DataFrame) -> DataFrame:
     """P4 count: rows before, rows after, rows removed — one pass."""
-    any_null = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in df.columns], F.lit(False))
+    any_null = reduce(lambda a, b: a | b, [_missing(f) for f in df.schema.fields], F.lit(False))
     return df.agg(
         F.count(F.lit(1)).alias("initial_rows"),
         F.count_if(~any_null).alias("rows_after_cleaning"),
         F.count_if(any_null).alias("removed_rows"),
     )
 
-
-def null_any(cols: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols], F.lit(False))

@@ -33,11 +33,10 @@ DEFAULT_ACCURACY = 10000
 # A range holds at most about this many distinct keys, so the final window
 # of any range is a bounded task; the number of ranges follows the data.
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 100_000
 
 
 def buckets_for(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    return int(min(MAX_BUCKETS, max(1, -(-n_rows // rows_per_bucket))))
+    return max(1, -(-n_rows // rows_per_bucket))
 
 
 def _with_bucket(d: DataFrame, key: str, bounds: Column, n_bounds: int, out: str = "_b") -> DataFrame:
@@ -120,11 +119,15 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], by: list[
     w_all = Window.partitionBy(*by)
     w_ranges = Window.partitionBy(*by).orderBy("_b")
     nexts = [F.lead(f"_f_{c}").over(w_ranges).alias(f"_nb_{c}") for c in sum_cols] if with_next else []
-    off = tot.select(*by, "_b",
+    off = tot.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)], F.col("_b").alias("_gb"),
                      *[F.coalesce(F.sum(f"_t_{c}").over(w_before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
                      *[F.sum(f"_t_{c}").over(w_all).alias(f"total_{c}") for c in sum_cols],
                      *nexts)
-    d = d.join(off, [*by, "_b"], "inner")
+    # NULL is a group of its own, so groups compare NULL-safe.
+    same = F.col("_b") == F.col("_gb")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    d = d.join(off, same, "inner")
     w_local = Window.partitionBy(*by, "_b").orderBy("_k").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     w_rows = Window.partitionBy(*by, "_b").orderBy("_k")
     extra = []
@@ -133,7 +136,7 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], by: list[
         extra = [F.when(last_in_range, F.col(f"_nb_{c}")).otherwise(F.lead(c).over(w_rows)).alias(f"next_{c}")
                  for c in sum_cols]
     out = d.select("*", *[(F.sum(c).over(w_local) + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in sum_cols], *extra)
-    return out.drop("_k", "_b", *[f"_o_{c}" for c in sum_cols], *[f"_nb_{c}" for c in sum_cols])
+    return out.drop("_k", "_b", "_gb", *[f"_g{i}" for i in range(len(by))], *[f"_o_{c}" for c in sum_cols], *[f"_nb_{c}" for c in sum_cols])
 
 
 def _single_range(d: DataFrame, sum_cols: list[str], by: list[str], with_next: bool) -> DataFrame:

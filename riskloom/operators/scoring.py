@@ -33,7 +33,8 @@ def soft_vote(members: list, digits: int | None = None) -> Column:
 
 def vote_class(prob) -> Column:
     p = F.col(prob) if isinstance(prob, str) else prob
-    return F.when(p > VOTE_THRESHOLD, F.lit(1)).otherwise(F.lit(0)).cast("long")
+    # A missing score has no class; it is not "class 0".
+    return F.when(p > VOTE_THRESHOLD, F.lit(1)).when(p.isNotNull(), F.lit(0)).cast("long")
 
 
 def prediction_rows(df: DataFrame, id_col: str, prob: Column, scored_at) -> DataFrame:

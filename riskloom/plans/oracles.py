@@ -78,18 +78,17 @@ FROM daily"""
 ORACLES["quality_report_orders"] = _quality_sql("orders", ORDERS_COLS)
 ORACLES["quality_report_gaps"] = f"WITH {GAPS_CTE}\n" + _quality_sql("orders_gaps", ORDERS_COLS)
 
-ORACLES["row_profile"] = """
-SELECT count(*) AS total_rows,
-       (SELECT count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus FROM orders)) AS unique_rows,
-       count(*) - (SELECT count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus FROM orders)) AS duplicate_rows
-FROM orders"""
+def _row_profile_sql(rows: str, ctes: str = "") -> str:
+    return f"""
+WITH {ctes} r AS ({rows}),
+u AS (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM r))
+SELECT count(*) AS total_rows, (SELECT n FROM u) AS unique_rows, count(*) - (SELECT n FROM u) AS duplicate_rows
+FROM r"""
 
-ORACLES["row_profile_gaps"] = f"""
-WITH {GAPS_CTE}
-SELECT count(*) AS total_rows,
-       (SELECT count(*) FROM (SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders_gaps)) AS unique_rows,
-       count(*) - (SELECT count(*) FROM (SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders_gaps)) AS duplicate_rows
-FROM orders_gaps"""
+
+ORACLES["row_profile"] = _row_profile_sql("SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'P'")
+ORACLES["row_profile_gaps"] = _row_profile_sql(
+    "SELECT * FROM orders_gaps UNION ALL SELECT * FROM orders_gaps WHERE o_orderstatus IS NULL", GAPS_CTE + ",")
 
 ORACLES["validation_gate"] = f"""
 WITH {GAPS_CTE},
@@ -101,7 +100,7 @@ s AS (
 u AS (SELECT count(*) AS unique_rows FROM (SELECT DISTINCT * FROM orders_gaps))
 SELECT row_count, round(null_cells::DOUBLE / nullif(row_count * 6, 0), 6) AS null_percentage,
        row_count - unique_rows AS duplicate_rows, 6 AS column_count,
-       (row_count >= 1000 AND coalesce(round(null_cells::DOUBLE / nullif(row_count * 6, 0), 6), 0) <= 0.1) AS is_valid
+       (row_count >= 1000 AND coalesce(null_cells::DOUBLE / nullif(row_count * 6, 0), 0) <= 0.1) AS is_valid
 FROM s, u"""
 
 ORACLES["null_drop"] = f"""
@@ -124,12 +123,24 @@ ORACLES["booking"] = f"WITH {BOOKING_CTE}\nSELECT * FROM booking"
 
 # ------------------------------------------------------ preparation / scoring
 
-SPLIT_CTE = f"""split AS (
-  SELECT *, CASE WHEN row_number() OVER (PARTITION BY fraud_flag
-                                         ORDER BY md5('{Q.SPLIT_SEED}:' || booking_id), booking_id)
-                      <= floor(count(*) OVER (PARTITION BY fraud_flag) * {Q.TEST_SIZE})
-                 THEN 'test' ELSE 'train' END AS split
-  FROM booking)"""
+def _split_sql(src: str, key: str) -> str:
+    """Test rows: the total rounded up; training rows shared among the classes
+    by largest remainder; within a class the first by md5 of the key."""
+    num, den = Q.TEST_SIZE_RATIO
+    return f"""sizes AS (SELECT fraud_flag AS c, count(*)::HUGEINT AS n_c, (SELECT count(*) FROM {src})::HUGEINT AS n
+               FROM {src} GROUP BY 1),
+drawn AS (SELECT *, n - (n * {num} + {den} - 1) // {den} AS n_train FROM sizes),
+shares AS (SELECT *, (n_train * n_c) // n AS whole, (n_train * n_c) % n AS rest FROM drawn),
+quota AS (SELECT c, n_c - whole - CASE WHEN row_number() OVER (ORDER BY rest DESC, c NULLS FIRST)
+                 <= n_train - sum(whole) OVER () THEN 1 ELSE 0 END AS n_test FROM shares),
+split AS (
+  SELECT s.*, CASE WHEN row_number() OVER (PARTITION BY fraud_flag
+                                           ORDER BY md5('{Q.SPLIT_SEED}:' || coalesce({key}, '')), coalesce({key}, ''))
+                        <= n_test THEN 'test' ELSE 'train' END AS split
+  FROM {src} s JOIN quota q ON s.fraud_flag IS NOT DISTINCT FROM q.c)"""
+
+
+SPLIT_CTE = _split_sql("booking", "booking_id")
 
 
 def _scores(src: str) -> str:
@@ -319,14 +330,14 @@ l AS ({longs}),
 nrm AS (SELECT feature, lr / (sum(lr) OVER () + 1e-9) AS lr, xgb / (sum(xgb) OVER () + 1e-9) AS xgb,
                lgb / (sum(lgb) OVER () + 1e-9) AS lgb FROM l),
 ranked AS (SELECT feature, round(lr, 6) AS lr, round(xgb, 6) AS xgb, round(lgb, 6) AS lgb,
-                  round((lr + xgb + lgb) / 3, 6) AS avg_importance FROM nrm)"""
+                  round((lr + xgb + lgb) / 3, 6) AS avg_importance, (lr + xgb + lgb) / 3 AS raw FROM nrm)"""
 
 
 IMP_CTE = _importance_sql()
-ORACLES["importance_rank"] = f"WITH {BOOKING_CTE},\n{IMP_CTE}\nSELECT * FROM ranked ORDER BY avg_importance DESC, feature"
-ORACLES["select_features"] = (f"WITH {BOOKING_CTE},\n{IMP_CTE}\nSELECT * FROM ranked WHERE avg_importance > {Q.IMPORTANCE_THRESHOLD}"
-                              " ORDER BY avg_importance DESC, feature")
-ORACLES["top_features"] = f"WITH {BOOKING_CTE},\n{IMP_CTE}\nSELECT * FROM ranked ORDER BY avg_importance DESC, feature LIMIT 10"
+ORACLES["importance_rank"] = f"WITH {BOOKING_CTE},\n{IMP_CTE}\nSELECT * EXCLUDE (raw) FROM ranked ORDER BY raw DESC, feature"
+ORACLES["select_features"] = (f"WITH {BOOKING_CTE},\n{IMP_CTE}\nSELECT * EXCLUDE (raw) FROM ranked WHERE raw > {Q.IMPORTANCE_THRESHOLD}"
+                              " ORDER BY raw DESC, feature")
+ORACLES["top_features"] = f"WITH {BOOKING_CTE},\n{IMP_CTE}\nSELECT * EXCLUDE (raw) FROM ranked ORDER BY raw DESC, feature LIMIT 10"
 
 ORACLES["run_metrics"] = f"""
 WITH m AS ({ORACLES['evaluation_metrics']})
@@ -398,9 +409,10 @@ c AS (SELECT CAST(least(greatest(floor((fraud_probability - 0.0) / 0.1), 0), 9)
 s AS (SELECT *, greatest(n_baseline::DOUBLE / sum(n_baseline) OVER (), 1e-6) AS e,
                 greatest(n_current::DOUBLE / sum(n_current) OVER (), 1e-6) AS a FROM c),
 bins AS (SELECT bin, n_baseline, n_current, round(e, 6) AS baseline_share, round(a, 6) AS current_share,
-                round((a - e) * ln(a / e), 6) AS psi_contribution FROM s)"""
-ORACLES["psi_bins"] = f"WITH {BOOKING_CTE},\n{PSI_CTE}\nSELECT * FROM bins"
-ORACLES["psi_total"] = f"WITH {BOOKING_CTE},\n{PSI_CTE}\nSELECT round(sum(psi_contribution), 6) AS psi, count(*) AS n_bins FROM bins"
+                round((a - e) * ln(a / e), 6) AS psi_contribution,
+                (a - e) * ln(a / e) AS raw FROM s)"""
+ORACLES["psi_bins"] = f"WITH {BOOKING_CTE},\n{PSI_CTE}\nSELECT * EXCLUDE (raw) FROM bins"
+ORACLES["psi_total"] = f"WITH {BOOKING_CTE},\n{PSI_CTE}\nSELECT round(sum(raw), 6) AS psi, count(*) AS n_bins FROM bins"
 
 # -------------------------------------------------------------- streaming
 
@@ -411,8 +423,7 @@ SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1
        count(*) AS n_events, count_if(event_type = 'error') AS n_errors,
        round(avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END), 6) AS error_rate
 FROM events
-GROUP BY 1, 2
-HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"""
+GROUP BY 1, 2"""
 
 # ------------------------------------------------- more table-health checks
 
@@ -440,19 +451,16 @@ ORACLES["daily_freshness_orders"] = (ORACLES["daily_freshness"]
 ORACLES["column_profile_gaps"] = f"WITH {GAPS_CTE}\n" + _column_profile_sql("orders_gaps", ORDERS_COLS)
 ORACLES["column_profile_documents"] = _column_profile_sql("documents", DOC_COLS)
 ORACLES["quality_report_documents"] = _quality_sql("documents", DOC_COLS)
-ORACLES["row_profile_documents"] = """
-SELECT count(*) AS total_rows,
-       (SELECT count(*) FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents)) AS unique_rows,
-       count(*) - (SELECT count(*) FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents)) AS duplicate_rows
-FROM documents"""
-ORACLES["validation_gate_documents"] = """
-WITH s AS (SELECT count(*) AS row_count,
-                  sum((text IS NULL)::INT + (lang IS NULL)::INT + (source IS NULL)::INT + (n_chars IS NULL)::INT) AS null_cells
-           FROM documents),
-u AS (SELECT count(*) AS unique_rows FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents))
-SELECT row_count, round(null_cells::DOUBLE / nullif(row_count * 4, 0), 6) AS null_percentage,
-       row_count - unique_rows AS duplicate_rows, 4 AS column_count,
-       (row_count >= 1000 AND coalesce(round(null_cells::DOUBLE / nullif(row_count * 4, 0), 6), 0) <= 0.1) AS is_valid
+DOCS_TWICE = "SELECT * FROM documents UNION ALL SELECT * FROM documents WHERE lang = 'de'"
+ORACLES["row_profile_documents"] = _row_profile_sql(DOCS_TWICE)
+ORACLES["validation_gate_documents"] = f"""
+WITH d AS ({DOCS_TWICE}),
+s AS (SELECT count(*) AS row_count, sum((doc_id IS NULL)::INT + (text IS NULL)::INT + (lang IS NULL)::INT
+                                        + (source IS NULL)::INT + (n_chars IS NULL)::INT) AS null_cells FROM d),
+u AS (SELECT count(*) AS unique_rows FROM (SELECT DISTINCT * FROM d))
+SELECT row_count, round(null_cells::DOUBLE / nullif(row_count * 5, 0), 6) AS null_percentage,
+       row_count - unique_rows AS duplicate_rows, 5 AS column_count,
+       (row_count >= 1000 AND coalesce(null_cells::DOUBLE / nullif(row_count * 5, 0), 0) <= 0.1) AS is_valid
 FROM s, u"""
 
 # ------------------------------------------------------- file round trips
@@ -476,7 +484,7 @@ _TRAIN_NSEL = f"""WITH {BOOKING_CTE},
 {SPLIT_CTE},
 train AS (SELECT * EXCLUDE (split) FROM split WHERE split = 'train'),
 {_importance_sql('train')}
-SELECT count(*) AS n_selected_features FROM ranked WHERE avg_importance > {Q.IMPORTANCE_THRESHOLD}"""
+SELECT count(*) AS n_selected_features FROM ranked WHERE raw > {Q.IMPORTANCE_THRESHOLD}"""
 ORACLES["stage_metrics"] = "\nUNION ALL\n".join([
     _unpivot("preprocess", ORACLES["dataset_profile"]),
     _unpivot("train", _TRAIN_SPW),
@@ -485,3 +493,48 @@ ORACLES["stage_metrics"] = "\nUNION ALL\n".join([
 ])
 
 ORACLES["row_profile_documents_hashed"] = ORACLES["row_profile_documents"]
+
+# ----------------------------------------- missing groups, keys and features
+
+ORACLES["percentiles_null_group"] = (f"SELECT event_type, {_PCT} FROM (SELECT nullif(event_type, 'click') AS event_type, value "
+                                     "FROM events) GROUP BY event_type")
+ORACLES["auc_ap_ranges"] = f"""
+WITH o AS (SELECT CAST(o_orderpriority = '1-URGENT' AS INTEGER) AS label, o_totalprice / 7.0::DOUBLE AS score FROM orders),
+{_ranking_sql('o', 'label', 'score')}
+SELECT round(sum(neg * (cum_pos - pos + pos / 2.0)) / nullif(max(total_pos) * max(total_neg), 0), 6) AS roc_auc,
+       round(sum(CASE WHEN pos > 0 THEN pos * (cum_pos::DOUBLE / (cum_pos + cum_neg)) ELSE 0 END) / nullif(max(total_pos), 0), 6) AS pr_auc,
+       coalesce(max(total_pos), 0)::BIGINT AS n_positive, coalesce(max(total_neg), 0)::BIGINT AS n_negative
+FROM c"""
+ORACLES["score_table_gaps"] = f"""
+WITH {BOOKING_CTE},
+gaps AS (SELECT * REPLACE (CASE WHEN n_items <> 3 THEN qty_sum END AS qty_sum) FROM booking),
+scored AS ({_scores('gaps')})
+SELECT booking_id, fraud_probability,
+       CAST(CASE WHEN fraud_probability > 0.5 THEN 1 WHEN fraud_probability IS NOT NULL THEN 0 END AS BIGINT) AS fraud_prediction,
+       {TIER} AS risk_category, TIMESTAMP '{SCORED_AT}' AS prediction_timestamp
+FROM scored"""
+ORACLES["split_gaps"] = f"""
+WITH {BOOKING_CTE},
+keyed AS (SELECT fraud_flag, CASE WHEN n_items = 2 THEN NULL WHEN n_items <= 4 THEN substr(booking_id, 1, 1)
+                                  ELSE booking_id END AS key FROM booking),
+{_split_sql('keyed', 'key')}
+SELECT fraud_flag, key, split, count(*) AS n FROM split GROUP BY ALL"""
+
+
+def _feature_drift_sql() -> str:
+    longs = " UNION ALL ".join(f"SELECT '{f}' AS feature, {f}::DOUBLE AS x, year FROM t" for f in _FEATS)
+    return f"""
+WITH {BOOKING_CTE},
+t AS (SELECT b.*, year(o.o_orderdate) AS year FROM booking b JOIN orders o ON b.booking_id = cast(o.o_orderkey AS VARCHAR)),
+l AS (SELECT * FROM ({longs}) WHERE year IN ({Q.PSI_BASELINE}, {Q.PSI_CURRENT}) AND x IS NOT NULL),
+edges AS (SELECT feature, min(x) AS lo, max(x) AS hi FROM l WHERE year = {Q.PSI_BASELINE} GROUP BY 1),
+cells AS (SELECT l.feature, coalesce(CASE WHEN hi > lo THEN least(greatest(floor((x - lo) / ((hi - lo) / 10)), 0), 9) END, 0) AS bin,
+                 count_if(year = {Q.PSI_BASELINE}) AS nb, count_if(year = {Q.PSI_CURRENT}) AS nc
+          FROM l LEFT JOIN edges USING (feature) GROUP BY 1, 2),
+s AS (SELECT *, greatest(nb::DOUBLE / nullif(sum(nb) OVER (PARTITION BY feature), 0), 1e-6) AS e,
+                greatest(nc::DOUBLE / nullif(sum(nc) OVER (PARTITION BY feature), 0), 1e-6) AS a FROM cells)
+SELECT feature, round(CASE WHEN sum(nb) > 0 THEN sum((a - e) * ln(a / e)) END, 6) AS psi,
+       sum(nb)::BIGINT AS n_baseline, sum(nc)::BIGINT AS n_current FROM s GROUP BY 1"""
+
+
+ORACLES["feature_drift"] = _feature_drift_sql()

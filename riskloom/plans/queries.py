@@ -27,6 +27,7 @@ AS_OF = "2024-01-31"               # freshness "today" for the events table
 SCORED_AT = "2024-02-01 00:00:00"  # prediction timestamp of batch scoring
 SPLIT_SEED = 42                    # reference random_state
 TEST_SIZE = 0.3                    # reference test_size
+TEST_SIZE_RATIO = (3, 10)          # the same as whole numbers
 IMPORTANCE_THRESHOLD = 0.05        # reference importance_threshold
 
 
@@ -57,12 +58,14 @@ def q_quality_report_gaps(spark, sf_dir):
 
 
 def q_row_profile(spark, sf_dir):
-    return quality.row_profile(_t(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus"))
+    """Whole rows; copies are made by a union with part of the table."""
+    o = _t(spark, sf_dir, "orders")
+    return quality.row_profile(o.unionAll(o.where("o_orderstatus = 'P'")))
 
 
 def q_row_profile_gaps(spark, sf_dir):
     g = derived.orders_with_gaps(_t(spark, sf_dir, "orders"))
-    return quality.row_profile(g.select("o_orderstatus", "o_orderpriority"))
+    return quality.row_profile(g.unionAll(g.where("o_orderstatus IS NULL")))
 
 
 def q_validation_gate(spark, sf_dir):
@@ -97,18 +100,24 @@ def q_quality_report_documents(spark, sf_dir):
     return quality.quality_report(_t(spark, sf_dir, "documents"))
 
 
+def _documents_twice(spark, sf_dir):
+    """All documents, those in German once more."""
+    d = _t(spark, sf_dir, "documents")
+    return d.unionAll(d.where("lang = 'de'"))
+
+
 def q_row_profile_documents(spark, sf_dir):
-    """Whole-row duplicates of documents (every column but the id, whole texts)."""
-    return quality.row_profile(_t(spark, sf_dir, "documents").drop("doc_id"))
+    """Whole-row duplicates of documents (whole texts; copies made by a union)."""
+    return quality.row_profile(_documents_twice(spark, sf_dir))
 
 
 def q_row_profile_documents_hashed(spark, sf_dir):
     """The same profile, shuffling 32-byte row digests instead of whole texts."""
-    return quality.row_profile(_t(spark, sf_dir, "documents").drop("doc_id"), hashed=True)
+    return quality.row_profile(_documents_twice(spark, sf_dir), hashed=True)
 
 
 def q_validation_gate_documents(spark, sf_dir):
-    return quality.validation_gate(_t(spark, sf_dir, "documents").drop("doc_id"))
+    return quality.validation_gate(_documents_twice(spark, sf_dir))
 
 # --------------------------------------------------------------- booking
 
@@ -266,19 +275,20 @@ QUERIES.update({
 def importance_df(spark, sf_dir):
     b = booking_df(spark, sf_dir)
     feats = prep.feature_columns(b)
-    return importance.rank_importances(importance.data_importances(b, feats, derived.LABEL_COL))
+    return importance.rank_importances(importance.data_importances(b, feats, derived.LABEL_COL), digits=None)
 
 
 def q_importance_rank(spark, sf_dir):
-    return importance_df(spark, sf_dir)
+    return importance.rounded(importance_df(spark, sf_dir))
 
 
 def q_select_features(spark, sf_dir):
-    return importance.select_important(importance_df(spark, sf_dir), IMPORTANCE_THRESHOLD)
+    """The unrounded mean is compared; only the report is rounded."""
+    return importance.rounded(importance.select_important(importance_df(spark, sf_dir), IMPORTANCE_THRESHOLD))
 
 
 def q_top_features(spark, sf_dir):
-    return importance.top_features(importance_df(spark, sf_dir))
+    return importance.rounded(importance.top_features(importance_df(spark, sf_dir)))
 
 
 def q_run_metrics(spark, sf_dir):
@@ -301,7 +311,7 @@ def q_stage_metrics(spark, sf_dir):
     s = split_df(spark, sf_dir)
     feats = prep.feature_columns(booking_df(spark, sf_dir))
     train = s.where(F.col("split") == "train").drop("split")
-    ranked = importance.rank_importances(importance.data_importances(train, feats, derived.LABEL_COL))
+    ranked = importance.rank_importances(importance.data_importances(train, feats, derived.LABEL_COL), digits=None)
     n_sel = importance.select_important(ranked, IMPORTANCE_THRESHOLD).agg(F.count(F.lit(1)).alias("n_selected_features"))
     ev = metrics.evaluation_metrics(test_scored_df(spark, sf_dir), "fraud_flag", "fraud_probability")
     return (_long(prep.dataset_profile(s, len(feats)), "preprocess")
@@ -344,7 +354,7 @@ def q_table_metadata(spark, sf_dir):
 
 ADHOC_SQL = """SELECT event_type, count(*) AS n_events, round(avg(value), 6) AS avg_value,
        count(DISTINCT user_id) AS n_users
-FROM events WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' GROUP BY event_type"""
+FROM events GROUP BY event_type"""
 
 
 def q_adhoc_sql(spark, sf_dir):
@@ -401,9 +411,9 @@ def q_error_rate_daily(spark, sf_dir):
 PSI_BASELINE, PSI_CURRENT = 1996, 1997
 
 
-def psi_bins_df(spark, sf_dir):
+def psi_bins_df(spark, sf_dir, digits=6):
     p = timed_predictions(spark, sf_dir).withColumn("year", F.year("booking_ts"))
-    return monitoring.psi(p, "fraud_probability", "year", PSI_BASELINE, PSI_CURRENT)
+    return monitoring.psi(p, "fraud_probability", "year", PSI_BASELINE, PSI_CURRENT, digits=digits)
 
 
 def q_psi_bins(spark, sf_dir):
@@ -411,7 +421,43 @@ def q_psi_bins(spark, sf_dir):
 
 
 def q_psi_total(spark, sf_dir):
-    return monitoring.psi_total(psi_bins_df(spark, sf_dir))
+    return monitoring.psi_total(psi_bins_df(spark, sf_dir, digits=None))
+
+
+def q_feature_drift(spark, sf_dir):
+    """M7 for every feature of the booking table, between the same years."""
+    b = booking_df(spark, sf_dir).join(booking_times(spark, sf_dir), "booking_id")
+    return monitoring.feature_drift(b.withColumn("year", F.year("booking_ts")), list(derived.FEATURES), "year",
+                                    PSI_BASELINE, PSI_CURRENT)
+
+
+def q_percentiles_null_group(spark, sf_dir):
+    """Percentiles over several ranges of a table with a NULL group."""
+    e = _t(spark, sf_dir, "events").withColumn("event_type", F.expr("nullif(event_type, 'click')"))
+    return monitoring.exact_percentiles(e, "value", by=["event_type"], n_buckets=4)
+
+
+def q_auc_ap_ranges(spark, sf_dir):
+    """Ranking figures over several ranges of unrounded scores."""
+    o = _t(spark, sf_dir, "orders").select((F.col("o_orderpriority") == "1-URGENT").cast("int").alias("label"),
+                                           (F.col("o_totalprice") / 7.0).alias("score"))
+    return metrics.ranking_metrics(o, "label", "score", n_buckets=5)
+
+
+def q_score_table_gaps(spark, sf_dir):
+    """Scoring of rows with missing features: no score, no class, no tier."""
+    b = booking_df(spark, sf_dir).withColumn("qty_sum", F.when(F.col("n_items") != 3, F.col("qty_sum")))
+    return scoring.prediction_rows(scored_df(spark, sf_dir, b), "booking_id", F.col("fraud_probability"), SCORED_AT)
+
+
+def q_split_gaps(spark, sf_dir):
+    """The split of a table whose keys are partly NULL and partly repeated:
+    rows per class, key and side."""
+    key = (F.when(F.col("n_items") == 2, F.lit(None)).when(F.col("n_items") <= 4, F.substring("booking_id", 1, 1))
+           .otherwise(F.col("booking_id")))
+    s = prep.stratified_split(booking_df(spark, sf_dir).select("fraud_flag", key.alias("key")), "fraud_flag", "key",
+                              TEST_SIZE, SPLIT_SEED)
+    return s.groupBy("fraud_flag", "key", "split").agg(F.count(F.lit(1)).alias("n"))
 
 
 QUERIES.update({
@@ -436,6 +482,11 @@ QUERIES.update({
     "error_rate_daily": q_error_rate_daily,
     "psi_bins": q_psi_bins,
     "psi_total": q_psi_total,
+    "feature_drift": q_feature_drift,
+    "percentiles_null_group": q_percentiles_null_group,
+    "auc_ap_ranges": q_auc_ap_ranges,
+    "score_table_gaps": q_score_table_gaps,
+    "split_gaps": q_split_gaps,
 })
 
 
@@ -551,14 +602,14 @@ def q_stream_scores(spark, sf_dir):
 
 def q_stream_daily_monitor(spark, sf_dir):
     """M6: daily event volume and error rate from a file stream over the
-    events table, 1-hour watermark, append mode (finished days only)."""
+    events table, 1-hour watermark; the running day is reported too."""
     base = scratch_path(spark, "streams", "monitor_" + uuid.uuid4().hex[:12])
     schema = _t(spark, sf_dir, "events").schema
     src = stream_scoring.read_stream(spark, sf_dir, schema, glob="events.parquet")
     mon = stream_monitors.windowed_monitor(src)
     q = stream_monitors.start_monitor_sink(mon, f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    return stream_monitors.read_monitor(spark, f"{base}/out")
 
 
 QUERIES.update({

@@ -6,31 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+NO_INSTANCES = "a request document has no 'instances' array"
+
 
 def read_csv_dataset(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header.  Pass a schema in production; without one the
-    schema is inferred (an extra pass over the files)."""
-    r = spark.read.option("header", True)
+    schema is inferred (an extra pass over the files).  A cell that does not
+    parse fails the read."""
+    r = spark.read.option("header", True).option("mode", "FAILFAST")
     r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
     return r.csv(path)
 
 
 def read_instances(spark: SparkSession, path: str, instance_schema: T.StructType | None = None) -> DataFrame:
     """Documents shaped ``{"instances": [{feature: value, ...}, ...]}``
-    -> one row per instance (``inline`` of the array).  A document set
-    without ``instances`` is rejected, as the online scorer did."""
-    r = spark.read.option("multiLine", True)
+    -> one row per instance (``inline`` of the array).  A document without
+    ``instances``, or one that does not parse, fails the read."""
+    r = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     if instance_schema is not None:
         r = r.schema(T.StructType([T.StructField("instances", T.ArrayType(instance_schema))]))
     docs = r.json(path)
     if "instances" not in docs.columns:
-        raise ValueError("Missing instances field")
-    return docs.select(F.inline("instances"))
+        raise ValueError(NO_INSTANCES)
+    given = F.when(F.col("instances").isNull(), F.raise_error(F.lit(NO_INSTANCES))).otherwise(F.col("instances"))
+    return docs.select(F.inline(given))
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Newline-delimited JSON records (batch-prediction input)."""
-    r = spark.read
+    """Newline-delimited JSON records (batch-prediction input).  A line
+    that does not parse fails the read."""
+    r = spark.read.option("mode", "FAILFAST")
     if schema is not None:
         r = r.schema(schema)
     return r.json(path)

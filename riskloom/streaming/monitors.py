@@ -3,7 +3,7 @@ window, late rows bounded by a watermark."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,8 +29,20 @@ def windowed_monitor(events: DataFrame, ts_col: str = "ts", type_col: str = "eve
 
 def start_monitor_sink(monitor: DataFrame, sink_path: str, checkpoint_path: str,
                        available_now: bool = True) -> StreamingQuery:
-    """Append finished windows to Parquet (each window written once)."""
-    w = (monitor.writeStream.format("parquet").outputMode("append")
-                .option("checkpointLocation", checkpoint_path))
+    """Every window that a micro-batch changed is written to that batch's own
+    folder (overwritten if the batch runs again), the running window included;
+    ``read_monitor`` gives the latest row of each window."""
+    def upsert(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
+
+    w = monitor.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint_path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start(sink_path)
+    return w.start()
+
+
+def read_monitor(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The state of every window after the last batch that changed it."""
+    rows = spark.read.parquet(sink_path)
+    figures = [c for c in rows.columns if c not in ("window_start", "window_end", "batch")]
+    last = rows.groupBy("window_start", "window_end").agg(F.max_by(F.struct(*figures), "batch").alias("last"))
+    return last.select("window_start", "window_end", "last.*")

@@ -184,3 +184,12 @@ def test_running_totals_sizes_ranges_from_data(spark):
         assert r["cum_v"] == sum(v for g, k, v in rows if g == r["g"] and k <= r["k"])
         nxt = [v for g, k, v in sorted(rows, key=lambda t: t[1]) if g == r["g"] and k > r["k"]]
         assert r["next_v"] == (nxt[0] if nxt else None)
+
+
+def test_ranking_of_billions_of_rows(spark):
+    """5e9 rows a class: no product of counts may overflow 64 bits."""
+    n = 5 * 10**9
+    r = spark.createDataFrame([(0.9, n, 0, n, 0, n, n), (0.1, 0, n, n, n, n, n)],
+                              "score double, pos long, neg long, cum_pos long, cum_neg long, total_pos long, total_neg long")
+    got = metrics.ranking_from_totals(r).first()
+    assert (got.roc_auc, got.pr_auc, got.n_positive) == (1.0, 1.0, n)

@@ -48,7 +48,7 @@ def test_quality_report_empty_table(spark):
     df = spark.createDataFrame([], "s string, x double")
     r = quality.quality_report(df).first()
     assert r["total_rows"] == 0 and r["s_null_pct"] is None
-    assert r["quality_score"] == 100.0 and r["assessment"] == "Good"
+    assert r["quality_score"] == 100.0 and r["assessment"] == "No Data"
 
 
 def test_row_profile_nulls_compare_equal(spark):
@@ -123,3 +123,31 @@ def test_hashed_duplicate_counting_equals_exact(spark):
     assert quality.row_profile(docs).first() == quality.row_profile(docs, hashed=True).first()
     df = spark.createDataFrame([(1, None), (1, None), (None, "x"), (2, "x")], "a int, b string")
     assert quality.validation_gate(df, 1).first() == quality.validation_gate(df, 1, hashed=True).first()
+
+
+def test_gate_compares_the_unrounded_fraction(spark):
+    """300,001 NULLs in 3,000,000 cells are over a limit of 0.1."""
+    df = spark.range(1_000_000).select(F.col("id"), F.when(F.col("id") >= 300_001, F.col("id")).alias("a"), F.lit(1).alias("b"))
+    got = quality.validation_gate(df).first()
+    assert got.null_percentage == 0.1 and not got.is_valid
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(1.0, "a"), (float("nan"), "b"), (None, "c")], "x double, s string")
+    assert quality.drop_null_rows(df).count() == 1
+    assert tuple(quality.null_drop_report(df).first()) == (3, 1, 2)
+    assert quality.validation_gate(df).first().null_percentage == round(2 / 6, 6)
+
+
+def test_digest_tells_microseconds_apart(spark):
+    df = spark.sql("""SELECT * FROM VALUES (timestamp_ntz'2024-01-01 00:00:00.000001', array(timestamp'2024-01-01 00:00:00.000001'), 'a', null),
+                      (timestamp_ntz'2024-01-01 00:00:00.000002', array(timestamp'2024-01-01 00:00:00.000001'), 'a', null),
+                      (timestamp_ntz'2024-01-01 00:00:00.000002', array(timestamp'2024-01-01 00:00:00.000002'), 'a', null),
+                      (timestamp_ntz'2024-01-01 00:00:00.000002', array(timestamp'2024-01-01 00:00:00.000002'), null, 'a'),
+                      (timestamp_ntz'2024-01-01 00:00:00.000002', array(timestamp'2024-01-01 00:00:00.000002'), null, 'a') AS t(a, b, c, d)""")
+    assert tuple(quality.row_profile(df.select("a", "c", "d"), hashed=True).first()) == (5, 3, 2)
+    assert tuple(quality.row_profile(df, hashed=True).first()) == (5, 4, 1)
+
+
+def test_an_empty_table_has_no_quality(spark):
+    assert quality.quality_report(spark.createDataFrame([], "a long, b string")).first().assessment == "No Data"

@@ -39,3 +39,9 @@ def test_iso_timestamp_matches_isoformat(spark):
     got = [r[0] for r in df.select(iso_timestamp("t")).collect()]
     assert got == [v.isoformat() for v in vals]
     assert df.select(run_id("t")).first()[0] == "20240201_000000"
+
+
+def test_a_missing_score_has_no_class(spark):
+    df = spark.createDataFrame([("a", None), ("b", 0.2), ("c", 0.9)], "id string, p double")
+    rows = scoring.prediction_rows(df, "id", F.col("p"), "2024-01-01 00:00:00").collect()
+    assert [(r.fraud_prediction, r.risk_category) for r in rows] == [(None, None), (0, "LOW"), (1, "HIGH")]

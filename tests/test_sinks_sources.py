@@ -3,6 +3,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.operators import metrics, scoring
 from riskloom.plans import queries as Q
@@ -70,7 +71,7 @@ def test_instances_source(spark, tmp_dir):
     bad = os.path.join(tmp_dir, "bad.json")
     with open(bad, "w") as fh:
         json.dump({"rows": []}, fh)
-    with pytest.raises(ValueError, match="Missing instances"):
+    with pytest.raises(ValueError, match="instances"):
         files.read_instances(spark, bad)
 
 
@@ -177,3 +178,24 @@ def test_instance_documents_roundtrip(spark, tmp_dir):
     back = files.read_instances(spark, path, b.schema)
     assert back.columns == b.columns
     assert back.exceptAll(b).count() == 0 and b.exceptAll(back).count() == 0
+
+
+@pytest.mark.parametrize("schema", [None, T.StructType([T.StructField("a", T.LongType())])])
+@pytest.mark.parametrize("bad", ['{"rows": [{"a": 1}]}', '{"instances": [{"a": 1}', '{"instances": null}'])
+def test_request_documents_that_are_not_whole_fail(spark, tmp_dir, schema, bad):
+    for name, text in (("a.json", '{"instances": [{"a": 1}]}'), ("b.json", bad)):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(text)
+    with pytest.raises(Exception):
+        files.read_instances(spark, tmp_dir, schema).collect()
+
+
+def test_broken_lines_and_cells_fail(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "a.jsonl"), "w") as f:
+        f.write('{"a": 1}\n{"a": \n')
+    with open(os.path.join(tmp_dir, "a.csv"), "w") as f:
+        f.write("a,b\n1,2\nx,3\n")
+    with pytest.raises(Exception):
+        files.read_jsonl(spark, os.path.join(tmp_dir, "a.jsonl"), "a long").collect()
+    with pytest.raises(Exception):
+        files.read_csv_dataset(spark, os.path.join(tmp_dir, "a.csv"), "a long, b long").collect()

@@ -28,7 +28,7 @@ def summarise(plan: str) -> dict:
                     single_windows += 1
                     break
     return {
-        "scans": plan.count("FileScan") + plan.count("Scan parquet"),
+        "scans": len(re.findall(r"\b(?:File)?Scan parquet\b", plan)),
         "shuffles": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan)),
         "single": plan.count("Exchange SinglePartition"),
         "bhj": plan.count("BroadcastHashJoin"),
