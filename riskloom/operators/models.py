@@ -10,8 +10,10 @@ queries use.
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -35,9 +37,14 @@ DEFAULTS = dict(
     seed=42,             # random_state
     xgb_step=0.3,        # first boosted member's learning rate
     lgb_step=0.1,        # second boosted member's learning rate
-    lgb_subsample=1.0,
+    lgb_subsample=0.8,   # rows drawn per round of the second boosted member
+    lgb_min_rows=20,     # its least rows per leaf
 )
 
+# Rows of a training partition: boosting runs a job per tree level, so a small
+# table in many partitions spends its time starting tasks.
+ROWS_PER_FIT_PARTITION = 20_000
+
 
 def _members(n: int, p: dict) -> list:
     # The usual L2 penalty with C = 1 on a weighted sum of losses equals
@@ -51,7 +58,7 @@ def _members(n: int, p: dict) -> list:
                         maxDepth=p["depth"], stepSize=p["xgb_step"], seed=p["seed"])
     lgb = GBTClassifier(featuresCol=VECTOR, labelCol="_label", weightCol="_w_pos", maxIter=p["rounds"],
                         maxDepth=p["depth"], stepSize=p["lgb_step"], subsamplingRate=p["lgb_subsample"],
-                        seed=p["seed"] + 1)
+                        minInstancesPerNode=p["lgb_min_rows"], seed=p["seed"] + 1)
     for name, m in (("xgb", xgb), ("lgb", lgb)):
         m.setProbabilityCol(f"_p_{name}").setRawPredictionCol(f"_raw_{name}").setPredictionCol(f"_pred_{name}")
     return [lr, xgb, lgb]
@@ -70,7 +77,11 @@ def training_frame(df: DataFrame, label_col: str, n0: int, n1: int) -> DataFrame
 
 
 def fit_ensemble(train: DataFrame, features: list[str], label_col: str, **params) -> PipelineModel:
-    """L2-L4 + L7 fit: one Pipeline (assembler + three members)."""
+    """L2-L4 + L7 fit: one pipeline model (assembler + three members).
+
+    The vectors are assembled and kept once, in partitions sized by the rows;
+    the members only read them, so they are fitted side by side.
+    """
     p = {**DEFAULTS, **params}
     # Boosted trees checkpoint their state every 10 rounds (checkpointInterval)
     # into the context's checkpoint folder; make sure it is the shared one.
@@ -80,7 +91,14 @@ def fit_ensemble(train: DataFrame, features: list[str], label_col: str, **params
     n0, n1 = class_counts(train, label_col)
     t = training_frame(train, label_col, n0, n1)
     asm = VectorAssembler(inputCols=list(features), outputCol=VECTOR, handleInvalid="error")
-    return Pipeline(stages=[asm, *_members(n0 + n1, p)]).fit(t)
+    ready = asm.transform(t).select(VECTOR, "_label", "_w_balanced", "_w_pos")
+    ready = ready.repartition(max(1, -(-(n0 + n1) // ROWS_PER_FIT_PARTITION))).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with ThreadPoolExecutor(len(MEMBERS)) as pool:
+            fits = [pool.submit(inheritable_thread_target(train.sparkSession)(m.fit), ready) for m in _members(n0 + n1, p)]
+            return PipelineModel([asm, *[f.result() for f in fits]])
+    finally:
+        ready.unpersist()
 
 
 def model_features(model: PipelineModel) -> list[str]:
@@ -149,22 +167,16 @@ def train_with_selection(spark, train: DataFrame, features: list[str], label_col
     """Fit on all features, rank the members' importances, keep those
     above ``threshold``, refit on the kept features.
 
-    Returns (final model, ranked importance DataFrame, kept feature list).
-    The training frame is persisted because four fits read it.
+    Returns (final model, ranked importance DataFrame, kept feature list in
+    the order of importance).  Each fit keeps its own assembled vectors; the
+    caller keeps ``train`` if it is dear to compute.
     """
-    t = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        first = fit_ensemble(t, features, label_col, **params)
-        path = scratch_path(spark, "models", "selection", run_id)
-        first.write().overwrite().save(path)
-        ranked = imp.rank_importances(member_importances(spark, first, path), digits=None)
-        kept_rows = imp.select_important(ranked, threshold).select("feature").collect()
-        # One row per feature column: bounded by the schema.
-        kept = [r["feature"] for r in kept_rows]
-        if not kept:
-            raise ValueError(f"no feature has mean importance above {threshold}")
-        kept = [f for f in features if f in set(kept)]
-        final = fit_ensemble(t, kept, label_col, **params)
-        return final, ranked, kept
-    finally:
-        t.unpersist()
+    first = fit_ensemble(train, features, label_col, **params)
+    path = scratch_path(spark, "models", "selection", run_id)
+    first.write().overwrite().save(path)
+    ranked = imp.rank_importances(member_importances(spark, first, path), digits=None)
+    # One row per feature column: bounded by the schema.
+    kept = [r["feature"] for r in imp.select_important(ranked, threshold).select("feature").collect()]
+    if not kept:
+        raise ValueError(f"no feature has mean importance above {threshold}")
+    return fit_ensemble(train, kept, label_col, **params), ranked, kept

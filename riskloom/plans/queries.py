@@ -493,10 +493,8 @@ QUERIES.update({
 
 # ------------------------------------------------------------ fitted path
 
-# Boosting rounds of the registered fitted-path queries.  The library default
-# is the reference's 100 (models.DEFAULTS); the check queries use 10 rounds
-# so four local fits stay near a minute.  Rows-only check: no SQL equivalent.
-FIT_ROUNDS = 10
+# The registered fitted-path queries fit with the library's defaults (100
+# boosting rounds).  Rows-only check: no SQL equivalent.
 _FITTED: dict = {}
 
 
@@ -510,14 +508,14 @@ def _session_key(spark):
 def fitted_ensemble(spark, sf_dir):
     """Fit (once per session and folder) on the train split with feature
     selection; the three fitted-path queries share the result."""
-    key = (_session_key(spark), sf_dir, FIT_ROUNDS)
+    key = (_session_key(spark), sf_dir)
     if key not in _FITTED:
         s = split_df(spark, sf_dir)
         train = s.where(F.col("split") == "train").drop("split")
         feats = prep.feature_columns(booking_df(spark, sf_dir))
         run = "fit_" + uuid.uuid4().hex[:12]
         _FITTED[key] = models.train_with_selection(spark, train, feats, derived.LABEL_COL,
-                                                   IMPORTANCE_THRESHOLD, run_id=run, rounds=FIT_ROUNDS)
+                                                   IMPORTANCE_THRESHOLD, run_id=run)
     return _FITTED[key]
 
 

@@ -24,9 +24,10 @@ def run_training(spark: SparkSession, source: DataFrame, out_root: str,
        evaluation read it);
     3. fit the ensemble on all features, rank importances, keep those above
        the threshold, refit;
-    4. score the test split, evaluate, write the JSON report, the kept
-       feature list (CSV) and one performance-log row; save the model under
-       ``{out_root}/models/{name}/{version}``.
+    4. score the test split, evaluate, write the JSON report, the ranked
+       importances, the full and the kept feature list (CSV, by importance),
+       the train and test tables and one performance-log row; save the model
+       under ``{out_root}/models/{name}/{version}``.
     """
     version = version or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
     clean = quality.drop_null_rows(source)
@@ -44,8 +45,13 @@ def run_training(spark: SparkSession, source: DataFrame, out_root: str,
         m = metrics.evaluation_metrics(scored, label_col, "fraud_probability").persist()
         report = metrics.evaluation_report(m, f"{model_name}_{version}")
         writers.write_report_json(report, f"{out_root}/evaluations/{model_name}_{version}_evaluation")
-        writers.write_csv(spark.createDataFrame([(f,) for f in kept], "features string"),
-                          f"{out_root}/features/{model_name}_{version}")
+        run = f"{model_name}_{version}"
+        writers.write_csv(spark.createDataFrame([(f,) for f in kept], "features string").coalesce(1),
+                          f"{out_root}/features/{run}")
+        writers.write_csv(spark.createDataFrame([(f,) for f in feats], "features string").coalesce(1),
+                          f"{out_root}/all_features/{run}")
+        ranked.coalesce(1).write.parquet(f"{out_root}/importances/{run}")
+        split.write.partitionBy("split").parquet(f"{out_root}/datasets/{run}")
         writers.log_performance(m, f"{out_root}/model_performance", model_name, version)
         n0, n1 = prep.class_counts(train, label_col)
         mrow = m.collect()[0].asDict()   # one row of figures
@@ -58,6 +64,13 @@ def run_training(spark: SparkSession, source: DataFrame, out_root: str,
         split.unpersist()
 
 
+def evaluate_saved(spark: SparkSession, model_path: str, dataset: str, label_col: str = "fraud_flag") -> DataFrame:
+    """Evaluation of a saved model on the test part of a saved data set
+    (``{out_root}/datasets/{name}_{version}``): one row of figures."""
+    test = spark.read.parquet(dataset).where(F.col("split") == "test").drop("split")
+    return metrics.evaluation_metrics(models.score(models.load_model(model_path), test), label_col, "fraud_probability")
+
+
 def main(argv=None) -> dict:
     """Command line: train on a Parquet folder or a catalog table."""
     import argparse
