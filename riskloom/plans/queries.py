@@ -565,12 +565,12 @@ def q_jsonl_batch_scores(spark, sf_dir):
 
 def q_instance_scores(spark, sf_dir):
     """S6 + L8: the booking table written as request documents
-    (``{"instances": [...]}``, about 10,000 per document), read back one
-    document per file and scored like ``score_table``."""
+    (``{"instances": [...]}``, at most 10,000 per document, one document a
+    line), read back and scored like ``score_table``."""
     path = scratch_path(spark, "instances", uuid.uuid4().hex[:12])
     b = booking_df(spark, sf_dir)
-    writers.write_instance_documents(b, path, derived.ID_COL)
-    inst = files.read_instances(spark, path, b.schema)
+    writers.write_instance_documents(b, path)
+    inst = files.read_instances(spark, path, b.schema, lines=True)
     return scoring.prediction_rows(scored_df(spark, sf_dir, inst), "booking_id", F.col("fraud_probability"),
                                    SCORED_AT)
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import iso_timestamp
 from ..operators.scoring import PREDICTION_SCHEMA, conform
+from ..session import scratch_path
 
 # Export format names accepted by ``export_table`` (case-insensitive), mapped
 # to Spark data source names.  NEWLINE_DELIMITED_JSON is the long name of JSON.
@@ -48,22 +51,25 @@ def export_table(df: DataFrame, path: str, format: str = "CSV") -> str:
 INSTANCES_PER_DOCUMENT = 10000
 
 
-def write_instance_documents(df: DataFrame, path: str, key_col: str,
-                             per_document: int = INSTANCES_PER_DOCUMENT) -> str:
-    """S6 in reverse: rows as request documents ``{"instances": [...]}``,
-    one document per file (``_doc=<i>/``), read back by
-    ``sources.files.read_instances``.
+def write_instance_documents(df: DataFrame, path: str, per_document: int = INSTANCES_PER_DOCUMENT) -> str:
+    """S6 in reverse: rows as request documents ``{"instances": [...]}``, one
+    document per line and many per file, read back by
+    ``sources.files.read_instances(..., lines=True)``.
 
-    Rows go to ceil(n / per_document) documents by a hash of the key, so a
-    document holds about ``per_document`` instances however large the
-    table: each grouped array is bounded by the page size, never by n.
+    Rows are numbered where they are read and every ``per_document`` of a task
+    make a document, so an array never holds more, whatever the keys.  The
+    numbered rows are a written table: a task that runs again finds the same
+    numbers.
     """
-    n_docs = max(1, -(-df.count() // per_document))
-    doc = F.pmod(F.xxhash64(F.col(key_col)), F.lit(n_docs)).alias("_doc")
-    docs = (df.select(doc, F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
-              .groupBy("_doc").agg(F.collect_list("_row").alias("instances")))
-    (docs.select("_doc", F.to_json(F.struct("instances")).alias("value"))
-         .write.mode("overwrite").partitionBy("_doc").text(path))
+    uid = F.monotonically_increasing_id()
+    chunk = F.struct(F.shiftright("_uid", 33).alias("task"),
+                     F.floor(F.col("_uid").bitwiseAND(2**33 - 1) / per_document).alias("part"))
+    rows = df.select(uid.alias("_uid"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+    numbered = scratch_path(df.sparkSession, "instances", uuid.uuid4().hex)
+    rows.write.parquet(numbered)
+    rows = df.sparkSession.read.schema(rows.schema).parquet(numbered)
+    docs = rows.groupBy(chunk.alias("_doc")).agg(F.collect_list("_row").alias("instances"))
+    docs.select(F.to_json(F.struct("instances")).alias("value")).write.mode("overwrite").text(path)
     return path
 
 

@@ -18,11 +18,13 @@ def read_csv_dataset(spark: SparkSession, path: str, schema: T.StructType | str
     return r.csv(path)
 
 
-def read_instances(spark: SparkSession, path: str, instance_schema: T.StructType | None = None) -> DataFrame:
+def read_instances(spark: SparkSession, path: str, instance_schema: T.StructType | None = None,
+                   lines: bool = False) -> DataFrame:
     """Documents shaped ``{"instances": [{feature: value, ...}, ...]}``
     -> one row per instance (``inline`` of the array).  A document without
-    ``instances``, or one that does not parse, fails the read."""
-    r = spark.read.option("multiLine", True).option("mode", "FAILFAST")
+    ``instances``, or one that does not parse, fails the read.  A file is one
+    document; with ``lines`` every line is one, and large files are split."""
+    r = spark.read.option("multiLine", not lines).option("mode", "FAILFAST")
     if instance_schema is not None:
         r = r.schema(T.StructType([T.StructField("instances", T.ArrayType(instance_schema))]))
     docs = r.json(path)

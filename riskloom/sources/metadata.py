@@ -57,3 +57,10 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
     tabs = spark.catalog.listTables(database) if database else spark.catalog.listTables()
     rows = [(t.name, t.tableType, bool(t.isTemporary)) for t in tabs]
     return spark.createDataFrame(rows, "name string, table_type string, is_temporary boolean")
+
+
+def dataset_listing(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """S9 as one record: the database, its number of tables and their names."""
+    tables = list_tables(spark, database)
+    return tables.agg(F.lit(database or spark.catalog.currentDatabase()).alias("database"),
+                      F.count(F.lit(1)).alias("table_count"), F.sort_array(F.collect_list("name")).alias("tables"))
