@@ -26,7 +26,9 @@ def components(edges: DataFrame) -> DataFrame:
         hooked = written(labels.join(near, "node").select(
             "node", "label", F.least("label", "near").alias("low")), "hooked")
         offers = hooked.select("node", "low").union(hooked.select(F.col("label").alias("node"), "low"))
-        low = offers.groupBy("node").agg(F.min("low").alias("low"))
+        # Written, so that the joins below read plain shuffles on both sides and
+        # the label that a large component shares can be split.
+        low = written(offers.groupBy("node").agg(F.min("low").alias("low")), "low")
         jumped = (hooked.select("node", "label").join(low, "node")
                   .join(low.select(F.col("node").alias("low"), F.col("low").alias("next")), "low")
                   .select("node", F.col("next").alias("label"), (F.col("next") != F.col("label")).alias("moved")))

@@ -37,8 +37,9 @@ from .graph import components
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Sets of a unit: a task holds two units.
 UNIT = 512
-#: Ids up to this many go to every executor (8 MB); more are joined by shuffle.
-BROADCAST_IDS = 1_000_000
+#: Ids up to this many go to every executor (about 16 MB as a hash table); more
+#: are joined by shuffle.
+BROADCAST_IDS = 200_000
 SETS = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("key", pa.binary()), ("region", pa.int32()),
                   ("listed", pa.list_(pa.int64()))])
 FULL = pa.schema([("key", pa.binary()), ("set", pa.binary())])
