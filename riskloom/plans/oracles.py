@@ -538,3 +538,10 @@ SELECT feature, round(CASE WHEN sum(nb) > 0 THEN sum((a - e) * ln(a / e)) END, 6
 
 
 ORACLES["feature_drift"] = _feature_drift_sql()
+
+ORACLES["ensemble_checks"] = f"""
+WITH {BOOKING_CTE},
+{SPLIT_CTE}
+SELECT count(*) AS n_scored, 0::BIGINT AS vote_differs, 0::BIGINT AS reload_differs,
+       1.0::DOUBLE AS lr_total, 1.0::DOUBLE AS xgb_total, 1.0::DOUBLE AS lgb_total
+FROM split WHERE split = 'test'"""

@@ -537,6 +537,27 @@ def q_ensemble_importance(spark, sf_dir):
     return ranked
 
 
+def q_ensemble_checks(spark, sf_dir):
+    """L5-L7, K6 and S10 as figures that SQL can state: the test rows scored,
+    rows whose vote is not the members' mean, rows that a saved and reloaded
+    model scores otherwise, and each member's importance total."""
+    model, ranked, _ = fitted_ensemble(spark, sf_dir)
+    test = split_df(spark, sf_dir).where(F.col("split") == "test").drop("split")
+    members = [F.col(f"score_{m}") for m in models.MEMBERS]
+    path = models.save_model(model, scratch_path(spark, "models", "checks", uuid.uuid4().hex[:12]))
+    again = models.score(models.load_model(path), test).select(
+        "booking_id", F.col("fraud_probability").alias("again"))
+    scored = models.score(model, test).join(again, "booking_id", "left")
+    p = F.col("fraud_probability")
+    figures = scored.agg(
+        F.count(F.lit(1)).alias("n_scored"),
+        F.count_if(F.abs(p - (members[0] + members[1] + members[2]) / 3) > 1e-12).alias("vote_differs"),
+        F.count_if(F.coalesce(F.abs(p - F.col("again")) > 1e-12, F.lit(True))).alias("reload_differs"))
+    totals = ranked.agg(*[F.round(F.sum(m), 6).alias(f"{m}_total") for m in models.MEMBERS])
+    one = F.lit(1).alias("one")
+    return figures.select("*", one).join(totals.select("*", one), "one").drop("one")
+
+
 def q_performance_log_row(spark, sf_dir):
     m = metrics.evaluation_metrics(test_scored_df(spark, sf_dir), "fraud_flag", "fraud_probability")
     return writers.performance_rows(m, "fixed_score_ensemble", "v1", logged_at=SCORED_AT)
@@ -618,6 +639,7 @@ QUERIES.update({
     "ensemble_scores": q_ensemble_scores,
     "ensemble_evaluation": q_ensemble_evaluation,
     "ensemble_importance": q_ensemble_importance,
+    "ensemble_checks": q_ensemble_checks,
     "performance_log_row": q_performance_log_row,
     "stream_scores": q_stream_scores,
     "stream_daily_monitor": q_stream_daily_monitor,
