@@ -33,9 +33,14 @@ def whole_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) -> Da
     are null or hold null or non-finite components are left out."""
     x = F.transform(F.col(vector_col), lambda c: c.cast("double"))
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
+
+    def whole(c):  # from 2**53 on a double is whole, and beyond 64 bits floor() would saturate
+        y = c * F.lit(float(scale))
+        return F.when(F.abs(y) < 2.0**53, F.floor(y).cast("double")).otherwise(y)
+
     return (df.select(F.col(id_col).cast("long").alias("id"), x.alias("x"))
               .where(F.col("x").isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.col("id").isNotNull())
-              .select("id", F.transform("x", lambda c: F.floor(c * F.lit(float(scale))).cast("double")).alias("v")))
+              .select("id", F.transform("x", whole).alias("v")))
 
 
 def products(q: np.ndarray, rows: np.ndarray):
@@ -133,7 +138,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
     base = written(whole_vectors(vectors, id_col, vector_col, scale)
                    .withColumn("dim", F.size("v"))
                    .withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c)))
-                   .withColumn("cls", F.floor(F.log2(F.greatest(F.col("norm"), F.lit(1.0))) * 4).cast("int")), "vectors")
+                   .withColumn("cls", F.floor(F.log2(F.greatest(F.least("norm", F.lit(1e300)), F.lit(1.0))) * 4).cast("int")), "vectors")
     asked = written(whole_vectors(queries, id_col, vector_col, scale).withColumn("dim", F.size("v"))
                     .withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c))), "asked")
     # Blocks: (dimension, length class) cut by a hash of the row into parts of about block_rows.

@@ -49,6 +49,9 @@ def test_top_k_large_products(spark):
     df = spark.createDataFrame([(0, [1e6, 1e6]), (5, [2e6, 3e6]), (10, [1e30, 1.0])], "vec_id long, embedding array<double>")
     two = df.where("vec_id < 10")
     assert [r.score for r in topk.top_k(two, two).collect()] == [256 * 256 * 5 * 10**12] * 2
+    wide = spark.createDataFrame([(0, [1e21, 0.0]), (5, [1 / 256, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(wide, wide).collect()
     with pytest.raises(Exception, match="64 bits"):
         topk.top_k(df, df).collect()
 
