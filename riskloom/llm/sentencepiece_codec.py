@@ -77,6 +77,7 @@ class Codec:
         top[np.arange(codes.shape[1]) >= self.length[:, None]] = 65_535
         self.low, self.high = self.packed(codes), self.packed(top)
         self.words = Memo(self.encode_words, limit=400_000)
+        self.batch_chars = 2_000_000  # one search of all pieces serves so many characters
 
     def merged(self, text: str) -> list[int]:
         """BPE by definition: merge the neighbours whose joined piece has the
@@ -157,11 +158,13 @@ class Codec:
         starts, ends = np.concatenate((starts, alone)), np.concatenate((ends, alone + 1))
         tokens = np.concatenate((tokens, np.full(len(alone), -2)))
         by = np.argsort(starts, kind="stable")
+        # One path alone leads to each end, so an end that is reached stays.
         ok = self.pairs
         for s, e, t in zip(starts[by].tolist(), ends[by].tolist(), tokens[by].tolist()):
-            p = last[s]
-            if p is not None and (p < 0 or t < 0 or ok[p << 20 | t]):
-                last[e], back[e] = t, s
+            if last[e] is None:
+                p = last[s]
+                if p is not None and (p < 0 or t < 0 or ok[p << 20 | t]):
+                    last[e], back[e] = t, s
         out = []
         for w, m, a in zip(words, marked, firsts):
             e, path = a + len(m), []
@@ -175,7 +178,7 @@ class Codec:
         return out
 
     def encode(self, texts: Iterator[str]) -> Iterator[bytes]:
-        for some in chunks(texts):
+        for some in chunks(texts, self.batch_chars, 2048):
             for ids in self.words.values([pieces_of(t.replace(MARK, " ")) for t in some]):
                 yield b"".join(ids)
 
