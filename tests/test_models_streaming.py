@@ -6,7 +6,7 @@ from riskloom.operators import models, prep
 from riskloom.plans import queries as Q
 from riskloom.plans.batch_job import run_batch_prediction
 from riskloom.plans.health_job import health_json
-from riskloom.plans.training_job import run_training
+from riskloom.plans.training_job import evaluate_saved, run_training
 from riskloom.streaming import monitors, scoring as sscoring
 
 SF = "/root/testdata/sf0.001"
@@ -25,6 +25,14 @@ def test_training_job_save_load_batch_and_stream(spark, tmp_dir):
     ranked = out["importance"].collect()
     assert abs(sum(r["lr"] for r in ranked) - 1.0) < 1e-6 and abs(sum(r["lgb"] for r in ranked) - 1.0) < 1e-6
 
+    # what the job wrote is enough to evaluate the saved model again
+    again = evaluate_saved(spark, out["model_path"], os.path.join(tmp_dir, "datasets", "fraud_detection_ensemble_t1")).first()
+    assert again["roc_auc"] == m["roc_auc"] and again["true_positives"] == m["true_positives"]
+    by_rank = [r["feature"] for r in ranked if r["feature"] in set(out["features"])]
+    assert out["features"] == by_rank == models.model_features(out["model"])
+    kept = spark.read.option("header", True).csv(os.path.join(tmp_dir, "features", "fraud_detection_ensemble_t1"))
+    assert [r["features"] for r in kept.collect()] == by_rank
+
     # batch prediction with the saved model, summary from the written table
     summ = run_batch_prediction(spark, b, out["model_path"], os.path.join(tmp_dir, "pred"),
                                 scored_at=F.lit("2024-02-01 00:00:00"), csv_path=os.path.join(tmp_dir, "pred_csv")).first()
