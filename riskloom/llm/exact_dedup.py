@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import written
+from .common import discard, written, written_at
 
 #: Bytes of distinct text that a task holds before it emits its winners and
 #: starts anew; what this leaves apart, the later stages combine.
@@ -108,7 +108,7 @@ def _stages(docs: DataFrame, id_col: str, text_col: str, carry: bool, digest) ->
     winners = marked.where("mine = local")
     repeated = winners.groupBy("digest").agg(F.count("*").alias("c")).where("c > 1").select("digest")
     content = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    shared = written(winners.join(repeated, "digest").select(
+    shared, path = written_at(winners.join(repeated, "digest").select(
         "digest", content.alias("content"), "mine", "local_n",
         F.struct(F.col("id").isNull().alias("null"), "id", "mine").alias("first")), "shared")
     salt = F.pmod(F.xxhash64("mine"), F.lit(SALTS))
@@ -118,7 +118,9 @@ def _stages(docs: DataFrame, id_col: str, text_col: str, carry: bool, digest) ->
               .agg(F.min("first").alias("first"), F.sum("n").alias("group_size")))
     decided = (shared.select("digest", "content", F.col("mine").alias("local")).join(groups, ["digest", "content"])
                .select("local", F.col("first.mine").alias("keep"), F.col("first.id").alias("keep_id"), "group_size"))
-    return marked, written(decided, "decided")
+    decided = written(decided, "decided")
+    discard(docs.sparkSession, path)
+    return marked, decided
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=sha256) -> DataFrame:

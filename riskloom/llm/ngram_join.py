@@ -86,9 +86,9 @@ def least_overlap(n, percent: int):
 
 def region_limit(percent: int) -> int:
     """Shingles whose low 16 bits are below this stand first in the global
-    order.  It takes in 5/3 of the share of a set that a prefix needs, so a
+    order.  It takes in 4/3 of the share of a set that a prefix needs, so a
     prefix lies within it but for small sets."""
-    return min(0x10000, 0x10000 * (100 - percent) // 60 + 1)
+    return min(0x10000, 0x10000 * (100 - percent) // 75 + 1)
 
 
 def _summaries(percent: int, n: int):
@@ -266,10 +266,12 @@ def similarity_join(docs: DataFrame, percent: int = 90, words: int = 3, id_col:
                .agg(F.first("n").alias("n"), F.first("region").alias("region"), F.first("listed").alias("listed"),
                     F.count("*").alias("copies"), F.min("id").alias("id"))
                .withColumn("cid", F.monotonically_increasing_id()))
-    classes = written(classes, "classes")
+    classes, listed = written_at(classes, "classes")
     sets = written(summaries.select("id", "n", "key"), "sets")
     discard(rows.sparkSession, path)
-    prefixes = written(_prefixes(classes, percent), "prefixes")
+    prefixes, prefix_path = written_at(_prefixes(classes, percent), "prefixes")
+    classes = written(classes.drop("listed"), "class-ids")
+    discard(rows.sparkSession, listed)
     # A star per shared prefix shingle connects its classes.
     stars = prefixes.groupBy("tok").agg(F.min("cid").alias("b"), F.count("*").alias("c")).where("c > 1")
     blocks = components(prefixes.join(stars, "tok").select(F.col("cid").alias("a"), "b"))
@@ -278,6 +280,7 @@ def similarity_join(docs: DataFrame, percent: int = 90, words: int = 3, id_col:
         classes.select("cid", "key", "id", "n", "copies"), "cid").withColumn("band", band)
     members = written(members, "members")
     links = written(_linked(rows, members, percent, words), "links")
+    discard(rows.sparkSession, prefix_path)
     joined = components(links.where("a <> b").select("a", "b")).select(F.col("node").alias("cid"), "component")
     reached = classes.select("cid", "id").join(joined, "cid")
     least = reached.groupBy("component").agg(F.min("id").alias("component_id"))
@@ -326,6 +329,11 @@ def one_per_group(docs: DataFrame, percent: int = 90, words: int = 3, id_col: st
                   text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without all but one of each component: the one
     with the smallest id stays (null last; of repeated ids one row)."""
+    found = written(similarity_join(docs, percent, words, id_col, text_col), "found")
+    if found.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").isEmpty():
+        lost = found.where("doc_id <> component_id").select(F.col("doc_id").alias("lost"))
+        return docs.join(lost, docs[id_col].cast("long") == lost["lost"], "left_anti")
+    # Ids that are null or repeat do not name a row: number the rows and decide by number.
     rows = written(docs.select(F.monotonically_increasing_id().alias("uid"), F.struct("*").alias("row")), "rows")
     flat = rows.select("uid", F.col(f"row.`{text_col}`").alias("text"))
     found = similarity_join(flat, percent, words, "uid", "text").select(F.col("doc_id").alias("uid"), "component_id")

@@ -208,6 +208,10 @@ def test_one_per_group(spark, empty):
     ids = [r.doc_id for r in kept.collect()]
     # id 2005 names two components: its own text and the copies of "a b c".
     assert len(ids) == len(parts) + alone + 1
+    plain = [r for r in {i: (i, t) for i, t in rows}.values() if r[0] is not None]  # ids that name rows
+    some = ngram_join.one_per_group(spark.createDataFrame([(*r, 5) for r in plain], "doc_id long, text string, lost long"))
+    assert some.columns == ["doc_id", "text", "lost"]
+    assert {r.doc_id for r in some.collect()} == {k[2] for k in brute_join(plain, 90, 3)}
     assert ngram_join.similarity_join(empty).count() == 0
     assert ngram_join.one_per_group(empty).count() == 0
 
