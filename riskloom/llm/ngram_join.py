@@ -332,6 +332,8 @@ def one_per_group(docs: DataFrame, percent: int = 90, words: int = 3, id_col: st
     found = written(similarity_join(docs, percent, words, id_col, text_col), "found")
     if found.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").isEmpty():
         lost = found.where("doc_id <> component_id").select(F.col("doc_id").alias("lost"))
+        if lost.count() <= BROADCAST_IDS:  # else both sides are shuffled
+            lost = F.broadcast(lost)
         return docs.join(lost, docs[id_col].cast("long") == lost["lost"], "left_anti")
     # Ids that are null or repeat do not name a row: number the rows and decide by number.
     rows = written(docs.select(F.monotonically_increasing_id().alias("uid"), F.struct("*").alias("row")), "rows")
