@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import exact_dedup, ngram_join, packing, quality, sentencepiece_codec, sharding, token_counts, token_files, topk, warc
+from . import (exact_dedup, filter_audit, ngram_join, packing, quality, sentencepiece_codec, sharding, token_counts,
+               token_files, topk, warc)
 
 ROOT = str(Path(__file__).resolve().parents[2])
 BYTE_BPE, WORD_BPE, PIECES = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -76,8 +77,13 @@ def op10_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.encode_and_decode(read_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
-QUERIES = {f.__name__: _registered(f) for f in (op1_top_k, op2_token_counts, op3_token_files, op4_packing, op5_warc, op6_quality, op7_shards,
-                                  op8_exact_dedup, op9_ngram_join, op10_sentencepiece)}
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: _registered(f) for f in (
+    op1_top_k, op2_token_counts, op3_token_files, op4_packing, op5_warc, op6_quality, op7_shards, op8_exact_dedup,
+    op9_ngram_join, op10_sentencepiece, op13_filter_audit)}
 
 ORACLES = {
     "op1_top_k": """
@@ -100,4 +106,45 @@ WITH texts AS (
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept,
        sha256(content) AS text_sha256
 FROM texts WINDOW w AS (PARTITION BY content)""",
+    "op13_filter_audit": r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+least_id AS (SELECT text, min(doc_id) AS least FROM texts GROUP BY text),
+marks AS (
+  SELECT doc_id, coalesce(max(CAST(quality = 1 AS INTEGER)), 0) AS good, coalesce(max(CAST(toxic = 1 AS INTEGER)), 0) AS toxic
+  FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT t.part, coalesce(m.good, 0) AS good, coalesce(m.toxic, 0) AS toxic,
+         (CASE WHEN len(words) < 50 THEN 1 ELSE 0 END)
+         + (CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END)
+         + (CASE WHEN 100 * len(regexp_replace(t.text, '[^A-Z]', '', 'g')) > 5 * length(t.text) THEN 4 ELSE 0 END)
+         + (CASE WHEN regexp_matches(t.text, '[#$%&*|]') THEN 8 ELSE 0 END)
+         + (CASE WHEN t.doc_id > l.least THEN 16 ELSE 0 END) AS mask
+  FROM texts t LEFT JOIN least_id l ON l.text = t.text LEFT JOIN marks m ON m.doc_id = t.doc_id),
+counts AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, mask),
+f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(letter, bit)),
+orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+  FROM f a JOIN f b ON b.bit <> a.bit JOIN f c ON c.bit NOT IN (a.bit, b.bit)
+  JOIN f d ON d.bit NOT IN (a.bit, b.bit, c.bit) JOIN f e ON e.bit NOT IN (a.bit, b.bit, c.bit, d.bit)),
+steps AS (
+  SELECT o.filter_order, s.step, f.letter, f.bit,
+         (SELECT coalesce(sum(g.bit), 0) FROM f g WHERE instr(substr(o.filter_order, 1, s.step - 1), g.letter) > 0) AS earlier
+  FROM orders o CROSS JOIN range(1, 6) AS s(step) JOIN f ON f.letter = substr(o.filter_order, s.step, 1)),
+report AS (
+  SELECT c.part, s.filter_order, s.step, s.letter,
+         sum(CASE WHEN (c.mask & (s.earlier | s.bit)) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN (c.mask & s.bit) <> 0 AND (c.mask & s.earlier) = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN (c.mask & s.bit) <> 0 AND (c.mask & s.earlier) <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN c.mask = s.bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN (c.mask & s.bit) <> 0 AND (c.mask & s.earlier) = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN (c.mask & s.bit) <> 0 AND (c.mask & s.earlier) = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM counts c CROSS JOIN steps s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM report""",
 }
