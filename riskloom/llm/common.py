@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -113,6 +114,12 @@ class Memo:
         return out
 
 
+@cache
+def loaded_once(kind: type, *args):
+    """One object per process and arguments (vocabularies, encoders)."""
+    return kind(*args)
+
+
 def chunks(texts: Iterator[str], chars: int = 400_000, most: int = 256) -> Iterator[list[str]]:
     """Consecutive texts in lists of about ``chars`` characters (one text may
     be longer) and at most ``most`` texts."""
@@ -154,5 +161,5 @@ def read_exactly(handle, size: int) -> bytes:
     return bytes(data)
 
 
-__all__ = ["new_folder", "written", "written_at", "discard", "shared_fs", "SharedFile", "open_shared", "Memo", "chunks", "arrow_map",
+__all__ = ["new_folder", "written", "written_at", "discard", "shared_fs", "SharedFile", "open_shared", "Memo", "loaded_once", "chunks", "arrow_map",
            "batch_of", "texts_of", "u32", "read_exactly"]
