@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import (alignment, exact_dedup, filter_audit, ngram_join, packing, quality, sentencepiece_codec, sharding, token_counts,
+from . import (alignment, exact_dedup, filter_audit, minhash_dedup, ngram_join, packing, quality, sentencepiece_codec, sharding, token_counts,
                token_files, topk, warc)
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -82,13 +82,17 @@ def op11_alignment(spark, sf_dir):
                                       public_tokenizers.path(PIECES))
 
 
+def op12_minhash(spark, sf_dir):
+    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark, sf_dir):
     return filter_audit.filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 QUERIES = {f.__name__: _registered(f) for f in (
     op1_top_k, op2_token_counts, op3_token_files, op4_packing, op5_warc, op6_quality, op7_shards, op8_exact_dedup,
-    op9_ngram_join, op10_sentencepiece, op11_alignment, op13_filter_audit)}
+    op9_ngram_join, op10_sentencepiece, op11_alignment, op12_minhash, op13_filter_audit)}
 
 ORACLES = {
     "op1_top_k": """
