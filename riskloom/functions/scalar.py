@@ -25,9 +25,15 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def known(x) -> Column:
+    """A number as a double, with NaN as NULL: NaN is a missing value here, and
+    would otherwise sort above every number."""
+    return F.nanvl(col_(x).cast("double"), F.lit(None).cast("double"))
+
+
 def risk_tier(prob) -> Column:
-    """LOW / MEDIUM / HIGH by probability.  NULL stays NULL."""
-    p = col_(prob)
+    """LOW / MEDIUM / HIGH by probability.  NULL and NaN have no tier."""
+    p = known(prob)
     return (F.when(p < RISK_LOW_BELOW, F.lit(RISK_LABELS[0]))
             .when(p < RISK_MEDIUM_BELOW, F.lit(RISK_LABELS[1]))
             .when(p.isNotNull(), F.lit(RISK_LABELS[2])))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import null_ratio, safe_ratio
+from ..functions.scalar import known, null_ratio, safe_ratio
 from .ranking import running_totals
 from .scoring import VOTE_THRESHOLD
 
@@ -90,9 +90,10 @@ def class_report(conf: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def score_counts(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
-    """Distinct scores with their positive (``pos``) and negative (``neg``) counts."""
+    """Distinct scores with their positive (``pos``) and negative (``neg``)
+    counts; rows without a score (NULL, NaN) take no part."""
     y = F.col(label_col)
-    return (df.where(F.col(score_col).isNotNull())
+    return (df.where(known(score_col).isNotNull())
               .groupBy(F.col(score_col).alias("score"))
               .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import null_ratio
+from ..functions.scalar import known, null_ratio
 from .ranking import running_totals
 
 DEFAULT_PERCENTILES = (0.5, 0.95, 0.99)
@@ -59,10 +59,11 @@ def exact_percentiles(df: DataFrame, value_col: str, probs=DEFAULT_PERCENTILES,
     Spark's exact ``percentile`` keeps a value->count map of a whole group
     in one task; here values are first counted per (group, value) with a
     partial aggregation, ranked with distributed running totals, and only
-    the rows holding the wanted ranks are kept.
+    the rows holding the wanted ranks are kept.  Missing values (NULL, NaN)
+    take no part.
     """
     by = list(by)
-    c = (df.where(F.col(value_col).isNotNull())
+    c = (df.where(known(value_col).isNotNull())
            .groupBy(*by, F.col(value_col).alias("_v"))
            .agg(F.count(F.lit(1)).alias("_n")))
     r = running_totals(c, "_v", ["_n"], by=by, n_buckets=n_buckets)
@@ -73,7 +74,7 @@ def exact_percentiles(df: DataFrame, value_col: str, probs=DEFAULT_PERCENTILES,
     for p in probs:
         h = (total - F.lit(1)) * F.lit(float(p))
         lo, hi = F.floor(h), F.ceil(h)
-        tag = _tag(p)
+        tag = percentile_tag(p)
         r = r.withColumn(f"_h{tag}", h).withColumn(f"_lo{tag}", (first <= lo) & (lo <= last)) \
              .withColumn(f"_hi{tag}", (first <= hi) & (hi <= last))
         conds += [F.col(f"_lo{tag}"), F.col(f"_hi{tag}")]
@@ -82,7 +83,7 @@ def exact_percentiles(df: DataFrame, value_col: str, probs=DEFAULT_PERCENTILES,
         keep = keep | c_
     picked = r.where(keep)
     for p in probs:
-        tag = _tag(p)
+        tag = percentile_tag(p)
         v_lo = F.max(F.when(F.col(f"_lo{tag}"), F.col("_v")))
         v_hi = F.max(F.when(F.col(f"_hi{tag}"), F.col("_v")))
         h = F.max(f"_h{tag}")
@@ -93,7 +94,7 @@ def exact_percentiles(df: DataFrame, value_col: str, probs=DEFAULT_PERCENTILES,
     return picked.agg(*aggs)
 
 
-def _tag(p: float) -> str:
+def percentile_tag(p: float) -> str:
     s = f"{p * 100:g}".replace(".", "_")
     return s
 
@@ -107,11 +108,12 @@ def psi(df: DataFrame, score_col: str, period_col: str, baseline, current, bins:
     shares (epsilon in place of an empty share) and the contribution
     (current - baseline) * ln(current / baseline).  One grouped
     aggregation; shares use per-period totals computed in the same pass.
+    Missing scores (NULL, NaN) take no part.
     """
     width = (hi - lo) / bins
     b = F.least(F.greatest(F.floor((F.col(score_col) - F.lit(lo)) / F.lit(width)), F.lit(0)), F.lit(bins - 1)).cast("int")
     per = F.col(period_col)
-    counts = (df.where(per.isin(baseline, current) & F.col(score_col).isNotNull())
+    counts = (df.where(per.isin(baseline, current) & known(score_col).isNotNull())
                 .groupBy(b.alias("bin"))
                 .agg(F.count_if(per == baseline).alias("n_baseline"),
                      F.count_if(per == current).alias("n_current")))
@@ -147,7 +149,7 @@ def feature_drift(df: DataFrame, features: list[str], period_col: str, baseline,
     per = F.col(period_col)
     both = df.where(per.isin(baseline, current)).select(
         (per == baseline).alias("_base"), F.inline(F.array(*[
-            F.struct(F.lit(f).alias("feature"), F.nanvl(F.col(f"`{f}`").cast("double"), F.lit(None)).alias("_x"))
+            F.struct(F.lit(f).alias("feature"), known(F.col(f"`{f}`")).alias("_x"))
             for f in features])))
     both = both.where(F.col("_x").isNotNull())
     edges = both.where("_base").groupBy("feature").agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))

@@ -40,7 +40,11 @@ def daily_counts(df: DataFrame, ts_col: str, as_of, lookback_days: int = DEFAULT
 def freshness_summary(df: DataFrame, ts_col: str, as_of,
                       lookback_days: int = DEFAULT_LOOKBACK_DAYS) -> DataFrame:
     """A12 + A13: one row of freshness figures and the status verdict."""
-    daily = daily_counts(df, ts_col, as_of, lookback_days)
+    return freshness_of_daily(daily_counts(df, ts_col, as_of, lookback_days), as_of)
+
+
+def freshness_of_daily(daily: DataFrame, as_of) -> DataFrame:
+    """A12 + A13 from rows per day (``date, row_count``), however these were counted."""
     out = daily.agg(
         F.max("date").alias("latest_date"),
         F.min("date").alias("earliest_date"),
@@ -178,6 +182,11 @@ def _typed_text(field: T.StructField) -> Column:
     return F.when(c.isNull(), F.lit("-;")).otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text, F.lit(";")))
 
 
+def row_digest(df: DataFrame) -> Column:
+    """SHA-256 of a row's typed rendering: different whenever the row is, NULLs equal."""
+    return F.sha2(F.concat(*[_typed_text(f) for f in df.schema.fields]), 256)
+
+
 def _group_all(df: DataFrame, hashed: bool = False) -> DataFrame:
     """Distinct whole rows with their multiplicity (NULLs compare equal).
 
@@ -195,8 +204,7 @@ def _group_all(df: DataFrame, hashed: bool = False) -> DataFrame:
     null_count = reduce(lambda a, b: a + b,
                         [F.when(_missing(f), 1).otherwise(0) for f in df.schema.fields], F.lit(0))
     if hashed:
-        key = F.sha2(F.concat(*[_typed_text(f) for f in df.schema.fields]), 256)
-        return (df.select(key.alias("_row"), null_count.alias("_nulls"))
+        return (df.select(row_digest(df).alias("_row"), null_count.alias("_nulls"))
                   .groupBy("_row")
                   .agg(F.count(F.lit(1)).alias("_copies"), F.max("_nulls").alias("_null_cells")))
     return (df.groupBy(*cols)

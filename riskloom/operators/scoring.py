@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import RISK_LABELS, risk_tier
+from ..functions.scalar import RISK_LABELS, known, risk_tier
 
 # Fixed sink schema (the reference's prediction table).
 PREDICTION_SCHEMA = T.StructType([
@@ -25,15 +25,16 @@ VOTE_THRESHOLD = 0.5
 
 
 def soft_vote(members: list, digits: int | None = None) -> Column:
-    """Mean of the members' P(class 1).  ``digits`` rounds the mean."""
-    cols = [F.col(m) if isinstance(m, str) else m for m in members]
+    """Mean of the members' P(class 1), NULL if a member's is missing
+    (NULL or NaN).  ``digits`` rounds the mean."""
+    cols = [known(m) for m in members]
     mean = reduce(lambda a, b: a + b, cols) / F.lit(float(len(cols)))
     return F.round(mean, digits) if digits is not None else mean
 
 
 def vote_class(prob) -> Column:
-    p = F.col(prob) if isinstance(prob, str) else prob
-    # A missing score has no class; it is not "class 0".
+    p = known(prob)
+    # A missing score (NULL, NaN) has no class; it is not "class 0".
     return F.when(p > VOTE_THRESHOLD, F.lit(1)).when(p.isNotNull(), F.lit(0)).cast("long")
 
 
@@ -45,7 +46,7 @@ def prediction_rows(df: DataFrame, id_col: str, prob: Column, scored_at) -> Data
     re-attachment.
     """
     ts = scored_at if isinstance(scored_at, Column) else F.lit(scored_at)
-    d = df.select(F.col(id_col).cast("string").alias("booking_id"), prob.cast("double").alias("fraud_probability"))
+    d = df.select(F.col(id_col).cast("string").alias("booking_id"), known(prob).alias("fraud_probability"))
     return d.select(
         "booking_id", "fraud_probability",
         vote_class("fraud_probability").alias("fraud_prediction"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import iso_timestamp
 from ..operators.scoring import PREDICTION_SCHEMA, conform
 from ..session import scratch_path
+from .versioned import LoadRejected, replace_table, swap_folder
 
 # Export format names accepted by ``export_table`` (case-insensitive), mapped
 # to Spark data source names.  NEWLINE_DELIMITED_JSON is the long name of JSON.
@@ -18,14 +19,38 @@ EXPORT_FORMATS = {"CSV": "csv", "JSON": "json", "NEWLINE_DELIMITED_JSON": "json"
 
 
 def write_predictions(pred: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """K1: replace the prediction table with rows in the fixed schema."""
-    conform(pred, PREDICTION_SCHEMA).write.mode("overwrite").format(fmt).save(path)
+    """K1: replace the prediction table in a plain folder with rows in the
+    fixed schema.  The new rows are written beside it and take its place when
+    they are whole, so a load that fails leaves the old table.  Readers that
+    must never see the moment in between use ``versioned.replace_table``."""
+    staged = f"{path.rstrip('/')}__new_{uuid.uuid4().hex}"
+    conform(pred, PREDICTION_SCHEMA).write.format(fmt).save(staged)
+    swap_folder(pred.sparkSession, staged, path)
     return path
 
 
+def replace_predictions(pred: DataFrame, path: str, min_rows: int = 0) -> int:
+    """K1, atomic: predictions become the next version of the table at
+    ``path`` (``versioned.read_table_version``) once their rows and schema
+    have been checked; returns the version."""
+    def enough(written: DataFrame) -> None:
+        if written.count() < min_rows:
+            raise LoadRejected(f"fewer than {min_rows} predictions")
+
+    return replace_table(conform(pred, PREDICTION_SCHEMA), path, enough)
+
+
 def save_predictions_table(pred: DataFrame, table: str) -> str:
-    """K1 for catalog tables (truncate-and-load = overwrite)."""
-    conform(pred, PREDICTION_SCHEMA).write.mode("overwrite").saveAsTable(table)
+    """K1 for catalog tables: the rows are written as a new table, which then
+    takes the name; a load that fails leaves the old table."""
+    spark, mark = pred.sparkSession, uuid.uuid4().hex
+    conform(pred, PREDICTION_SCHEMA).write.saveAsTable(f"{table}__new_{mark}")
+    had = spark.catalog.tableExists(table)
+    if had:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old_{mark}")
+    spark.sql(f"ALTER TABLE {table}__new_{mark} RENAME TO {table}")
+    if had:
+        spark.sql(f"DROP TABLE {table}__old_{mark}")
     return table
 
 

@@ -30,6 +30,10 @@ def register_tables(spark: SparkSession, sf_dir: str, names=TABLE_NAMES) -> None
             read_table(spark, sf_dir, n).createOrReplaceTempView(n)
 
 
-def execute_query(spark: SparkSession, query: str) -> DataFrame:
-    """Ad-hoc SQL over registered views (S3); planning is Catalyst's."""
-    return spark.sql(query)
+def execute_query(spark: SparkSession, query: str, args: dict | None = None) -> DataFrame:
+    """Ad-hoc SQL over registered views (S3); planning is Catalyst's.
+
+    ``args`` are values of named markers (``:name``), bound as typed literals
+    and never as text; a table or column name is bound by ``IDENTIFIER(:name)``.
+    """
+    return spark.sql(query, args=args) if args else spark.sql(query)

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .once import compact, read_keyed
+
 
 def windowed_monitor(events: DataFrame, ts_col: str = "ts", type_col: str = "event_type",
                      window: str = "1 day", watermark: str = "1 hour", error_value: str = "error") -> DataFrame:
@@ -27,11 +29,15 @@ def windowed_monitor(events: DataFrame, ts_col: str = "ts", type_col: str = "eve
                     "n_events", "n_errors", "error_rate")
 
 
+WINDOW_KEYS = ("window_start", "window_end")
+
+
 def start_monitor_sink(monitor: DataFrame, sink_path: str, checkpoint_path: str,
                        available_now: bool = True) -> StreamingQuery:
     """Every window that a micro-batch changed is written to that batch's own
     folder (overwritten if the batch runs again), the running window included;
-    ``read_monitor`` gives the latest row of each window."""
+    ``read_monitor`` gives the latest row of each window, and
+    ``compact_monitor`` keeps the number of folders small."""
     def upsert(changed: DataFrame, batch_id: int) -> None:
         changed.write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
 
@@ -40,9 +46,12 @@ def start_monitor_sink(monitor: DataFrame, sink_path: str, checkpoint_path: str,
     return w.start()
 
 
-def read_monitor(spark: SparkSession, sink_path: str) -> DataFrame:
-    """The state of every window after the last batch that changed it."""
-    rows = spark.read.parquet(sink_path)
-    figures = [c for c in rows.columns if c not in ("window_start", "window_end", "batch")]
-    last = rows.groupBy("window_start", "window_end").agg(F.max_by(F.struct(*figures), "batch").alias("last"))
-    return last.select("window_start", "window_end", "last.*")
+def read_monitor(spark: SparkSession, sink_path: str, keys=WINDOW_KEYS) -> DataFrame:
+    """The state of every window (and bin, if ``keys`` says so) after the last
+    batch that changed it."""
+    return read_keyed(spark, sink_path, list(keys))
+
+
+def compact_monitor(spark: SparkSession, sink_path: str, keys=WINDOW_KEYS) -> int:
+    """Replaces the batch folders so far by one table of latest rows."""
+    return compact(spark, sink_path, list(keys))

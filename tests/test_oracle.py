@@ -2,8 +2,7 @@
 
 import pytest
 
-from riskloom.plans.oracles import ORACLES
-from riskloom.plans.queries import QUERIES
+from riskloom.plans.registry import ORACLES, QUERIES
 
 import __spark_entry__ as E
 from compare import same_result

@@ -14,7 +14,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from riskloom.plans.queries import QUERIES  # noqa: E402
+from riskloom.plans.registry import QUERIES  # noqa: E402
 from riskloom.session import build_session  # noqa: E402
 
 
