@@ -43,7 +43,14 @@ DEFAULTS = dict(
 
 # Rows of a training partition: boosting runs a job per tree level, so a small
 # table in many partitions spends its time starting tasks.
-ROWS_PER_FIT_PARTITION = 20_000
+# A partition has at least so many rows, and there are at most so many partitions
+# a core: beyond that partitions grow with the table, not the number of tasks in
+# each of the hundreds of boosting jobs.
+ROWS_PER_FIT_PARTITION, FIT_PARTITIONS_PER_CORE = 20_000, 3
+
+
+def fit_partitions(rows: int, cores: int) -> int:
+    return max(1, min(-(-rows // ROWS_PER_FIT_PARTITION), FIT_PARTITIONS_PER_CORE * cores))
 
 
 def _members(n: int, p: dict) -> list:
@@ -92,7 +99,8 @@ def fit_ensemble(train: DataFrame, features: list[str], label_col: str, **params
     t = training_frame(train, label_col, n0, n1)
     asm = VectorAssembler(inputCols=list(features), outputCol=VECTOR, handleInvalid="error")
     ready = asm.transform(t).select(VECTOR, "_label", "_w_balanced", "_w_pos")
-    ready = ready.repartition(max(1, -(-(n0 + n1) // ROWS_PER_FIT_PARTITION))).persist(StorageLevel.MEMORY_AND_DISK)
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    ready = ready.repartition(fit_partitions(n0 + n1, cores)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         with ThreadPoolExecutor(len(MEMBERS)) as pool:
             fits = [pool.submit(inheritable_thread_target(train.sparkSession)(m.fit), ready) for m in _members(n0 + n1, p)]

@@ -82,19 +82,23 @@ def stratified_split(df: DataFrame, label_col: str, key_col: str | None = None,
     exactly, NULL keys and NULL labels are kept (NULL is a class), and
     without ``key_col`` rows are ordered by their place in the table.
 
-    The source is read once, into a table in the shared checkpoint folder
-    with each row's hash, hash-prefix bucket and number.  From it:
+    Only class and hash of each row are written, to a table in the shared
+    checkpoint folder; the source's other columns are read once, when rows
+    are labelled.
 
     1. counts per (class, bucket), at most classes x 16^digits rows (the
        digits follow n), decide each bucket wholly 'test', wholly 'train' or
        'cut';
-    2. the cut bucket of a class is counted by hash, and of the one hash that
-       straddles the cut (a key repeated however often) rows are counted by
-       the task that numbered them, then ranked within one such task's rows:
-       no task ranks more than a bucket or a split;
-    3. every row is labelled through a join with the verdict table on
-       (class, bucket), NULL-safe, which adaptive execution broadcasts when
-       its measured size is small.
+    2. the cut bucket of a class is counted by hash.  Of the one hash that
+       straddles the cut (a key repeated however often) the rows are written
+       and numbered, counted by the task that numbered them, then ranked
+       within one such task's rows: no task ranks more than a bucket or a split;
+    3. every other row is labelled by its hash through a join with the verdict
+       table on (class, bucket), NULL-safe, which adaptive execution
+       broadcasts when its measured size is small.
+
+    Without ``key_col`` a row's only name is its place, so the numbered source
+    is written whole.
     """
     if not 0.0 <= test_fraction <= 1.0:
         raise ValueError("test_fraction must be within [0, 1]")
@@ -104,50 +108,60 @@ def stratified_split(df: DataFrame, label_col: str, key_col: str | None = None,
     else:
         # The key follows its hash, so two keys of one hash are told apart.
         h = F.concat(split_hash(key_col, seed), F.coalesce(F.col(f"`{key_col}`").cast("string"), F.lit("")))
-    d = _table(df.select("*", uid.alias("_uid")).withColumn("_h", h))
+    label = F.col(f"`{label_col}`").alias("_c")
+    if key_col is None:
+        rows = _table(df.select("*", uid.alias("_uid")).withColumn("_h", h)).drop("_uid")
+        d = rows.select(label, "_h")
+    else:
+        rows = df.withColumn("_h", h)
+        d = _table(rows.select(label, "_h"))
     n = d.count()
     digits = 1
     while n > ROWS_PER_SPLIT_BUCKET * 16 ** digits:
         digits += 1
     d = d.withColumn("_b", F.substring("_h", 1, digits))
-    label = F.col(f"`{label_col}`").alias("_c")
     share = Fraction(str(test_fraction))
     n_test = -(-n * share.numerator // share.denominator)
-    counts = d.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    counts = d.groupBy("_c", "_b").agg(F.count(F.lit(1)).alias("_n"))
     quota = _test_quota(counts, n, n - n_test)
     buckets = _table(_cut(counts.join(quota, F.col("_c").eqNullSafe(F.col("_qc"))).select("_c", "_b", "_n", "_k"), "_b"))
-    # Within the cut bucket, by hash; within the cut hash, by task and number.
-    inside = _rows_of(d.select(label, "_b", "_h", "_uid"), buckets, ["_b"])
+    # Within the cut bucket, by hash.
+    inside = _rows_of(d.select("_c", "_b", "_h"), buckets, ["_b"])
     hashes = _table(_cut(inside.groupBy("_c", "_need", "_h").agg(F.count(F.lit(1)).alias("_n"))
                          .withColumnRenamed("_need", "_k"), "_h"))
 
     def last(df: DataFrame, value: str, at: Column) -> DataFrame:
         return df.groupBy(F.col("_c").alias("_lc")).agg(F.max(F.when(at, F.col(value))).alias(f"_last{value}"))
 
-    # Of each class with a cut: the last whole hash, the shared hash, the last whole task, the last number.
+    # Of each class with a cut: the last whole hash and the shared one.
     marks = (last(hashes, "_h", F.col("_status") == "test").withColumnRenamed("_lc", "_mc")
              .join(last(hashes, "_h", F.col("_status") == "cut").withColumnRenamed("_last_h", "_shared"),
                    F.col("_mc").eqNullSafe(F.col("_lc")), "left").drop("_lc"))
-    if hashes.where("_status = 'cut'").isEmpty():  # no key is repeated across the cut
-        marks = marks.withColumns({"_last_t": F.lit(None).cast("long"), "_last_uid": F.lit(None).cast("long")})
-    else:
-        copies = _rows_of(inside.select("_c", "_h", "_uid"), hashes, ["_h"]).withColumn("_t", F.shiftright("_uid", 33))
-        tasks = _cut(copies.groupBy("_c", "_need", "_t").agg(F.count(F.lit(1)).alias("_n"))
-                     .withColumnRenamed("_need", "_k"), "_t")
-        ranked = _rows_of(copies.select("_c", "_t", "_uid"), tasks, ["_t"])
-        ranked = ranked.withColumn("_r", F.row_number().over(Window.partitionBy("_c", "_t").orderBy("_uid")))
-        for part in (last(tasks, "_t", F.col("_status") == "test"), last(ranked, "_uid", F.col("_r") <= F.col("_need"))):
-            marks = marks.join(part, F.col("_mc").eqNullSafe(F.col("_lc")), "left").drop("_lc")
     verdict = _table(buckets.join(marks, F.col("_c").eqNullSafe(F.col("_mc")) & (F.col("_status") == "cut"), "left")
-                     .select("_c", F.col("_b").alias("_tb"), "_status", "_last_h", "_shared", "_last_t", "_last_uid"))
-    j = d.join(verdict, F.col(f"`{label_col}`").eqNullSafe(F.col("_c")) & (F.col("_b") == F.col("_tb")), "inner")
-    shared = (F.col("_h") == F.col("_shared")) & ((F.shiftright("_uid", 33) <= F.col("_last_t"))
-                                                  | (F.col("_uid") <= F.col("_last_uid")))
-    in_test = (F.col("_status") == "test") | ((F.col("_status") == "cut")
-                                              & (F.coalesce(F.col("_h") <= F.col("_last_h"), F.lit(False))
-                                                 | F.coalesce(shared, F.lit(False))))
-    return j.select(*[F.col(f"`{c}`") for c in df.columns],
-                    F.when(in_test, F.lit("test")).otherwise(F.lit("train")).alias(out))
+                     .select("_c", F.col("_b").alias("_tb"), "_status", "_last_h", "_shared"))
+    j = rows.withColumn("_b", F.substring("_h", 1, digits)).join(
+        verdict, F.col(f"`{label_col}`").eqNullSafe(F.col("_c")) & (F.col("_b") == F.col("_tb")), "inner")
+    in_test = (F.col("_status") == "test") | ((F.col("_status") == "cut") & F.coalesce(F.col("_h") <= F.col("_last_h"), F.lit(False)))
+    own = [F.col(f"`{c}`") for c in df.columns]
+    split = F.when(in_test, F.lit("test")).otherwise(F.lit("train")).alias(out)
+    shared = F.coalesce(F.col("_h") == F.col("_shared"), F.lit(False))
+    if hashes.where("_status = 'cut'").isEmpty():  # no key is repeated across the cut
+        return j.select(*own, split)
+    # Rows of the shared hashes: numbered, and the first of each class taken.
+    cut = hashes.where("_status = 'cut'").select(F.col("_c").alias("_hc"), F.col("_h").alias("_hh"), "_need")
+    copies = _table(j.where(shared).select(*own, "_c", "_h", uid.alias("_uid"), F.shiftright(uid, 33).alias("_t")))
+    tasks = _table(_cut(copies.join(cut, F.col("_c").eqNullSafe(F.col("_hc")) & (F.col("_h") == F.col("_hh")))
+                        .groupBy("_c", "_need", "_t").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("_need", "_k"), "_t"))
+    ranked = _rows_of(copies.select("_c", "_t", "_uid"), tasks, ["_t"])
+    ranked = ranked.withColumn("_r", F.row_number().over(Window.partitionBy("_c", "_t").orderBy("_uid")))
+    upto = last(tasks, "_t", F.col("_status") == "test")
+    upto = upto.withColumnRenamed("_lc", "_uc").join(last(ranked, "_uid", F.col("_r") <= F.col("_need")),
+                                                      F.col("_uc").eqNullSafe(F.col("_lc")), "left").drop("_lc")
+    first = (F.coalesce(F.col("_t") <= F.col("_last_t"), F.lit(False))
+             | F.coalesce(F.col("_uid") <= F.col("_last_uid"), F.lit(False)))
+    shared_rows = copies.join(upto, F.col("_c").eqNullSafe(F.col("_uc"))).select(
+        *own, F.when(first, F.lit("test")).otherwise(F.lit("train")).alias(out))
+    return j.where(~shared).select(*own, split).unionByName(shared_rows)
 
 
 def _table(df: DataFrame) -> DataFrame:
