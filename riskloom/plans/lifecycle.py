@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import metrics, monitoring, multiclass, quality, scoring, sketches, table_state
+from ..operators import explain, metrics, models, monitoring, multiclass, quality, scoring, sketches, table_state
 from ..session import scratch_path
 from ..sinks import versioned, writers
 from ..sources import derived, files, metadata, partitioned
@@ -286,7 +286,21 @@ def q_table_schemas(spark, sf_dir):
     return out
 
 
+def q_explanation_checks(spark, sf_dir):
+    """Per member the test rows explained, and those whose base and
+    contributions do not sum to the member's raw score."""
+    model, _, _ = Q.fitted_ensemble(spark, sf_dir)
+    test = Q.split_df(spark, sf_dir).where("split = 'test'").drop("split")
+    path = models.save_model(model, _folder(spark, "models"))
+    sums = (explain.explanations(spark, model, path, test).groupBy("booking_id", "member")
+            .agg(F.sum("contribution").alias("explained")))
+    both = explain.raw_scores(model, test).join(sums, ["booking_id", "member"], "left")
+    off = F.coalesce(F.abs(F.col("raw") - F.col("explained")) > 1e-6 * (1 + F.abs("raw")), F.lit(True))
+    return both.groupBy("member").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(off).alias("n_off"))
+
+
 QUERIES = {
+    "explanation_checks": q_explanation_checks,
     "score_table_nan": q_score_table_nan,
     "evaluation_metrics_nan": q_evaluation_metrics_nan,
     "percentiles_nan": q_percentiles_nan,

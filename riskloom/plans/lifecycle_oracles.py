@@ -128,6 +128,12 @@ shares AS (SELECT *, greatest(n::DOUBLE / sum(n) OVER (PARTITION BY s), 1e-6) AS
 SELECT make_timestamp(s * 1000000) AS window_start, make_timestamp((s + {L.DRIFT_WINDOW_DAYS * _DAY}) * 1000000) AS window_end,
        sum(n)::BIGINT AS n_current, round(sum((a - e) * ln(a / e)), 6) AS psi FROM shares GROUP BY s"""
 
+ORACLES["explanation_checks"] = f"""
+WITH {O.BOOKING_CTE},
+{O.SPLIT_CTE}
+SELECT member, count(*) AS n_rows, 0::BIGINT AS n_off FROM split CROSS JOIN (VALUES ('lr'), ('xgb'), ('lgb')) AS m(member)
+WHERE split = 'test' GROUP BY member"""
+
 ORACLES["evaluation_report_rows"] = f"""
 WITH m AS ({O.ORACLES['evaluation_metrics']}),
 r AS (SELECT class_label, precision, support, row_number() OVER (ORDER BY class_label) - 1 AS k FROM ({O.ORACLES['class_report']}))

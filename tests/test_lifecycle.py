@@ -309,6 +309,29 @@ def test_compaction_changes_nothing_that_is_read(spark, tmp_dir):
     assert {tuple(r) for r in monitors.read_monitor(spark, sink).collect()} == want
 
 
+def test_contributions_sum_to_the_raw_scores(spark, tmp_dir):
+    from riskloom.operators import explain, models
+    from riskloom.plans import queries as Q
+    b = Q.booking_df(spark, SF)
+    feats = ["qty_sum", "avg_discount", "n_items"]
+    model = models.fit_ensemble(b, feats, "fraud_flag", rounds=4, depth=3, lr_max_iter=20)
+    path = models.save_model(model, os.path.join(tmp_dir, "m"))
+    got = explain.explanations(spark, model, path, b)
+    sums = got.groupBy("booking_id", "member").agg(F.sum("contribution").alias("s"))
+    both = explain.raw_scores(model, b).join(sums, ["booking_id", "member"])
+    assert both.count() == 3 * b.count()
+    assert both.where("abs(raw - s) > 1e-9 * (1 + abs(raw))").count() == 0
+    assert {r[0] for r in got.select("feature").distinct().collect()} <= {*feats, explain.BASE}
+    top = explain.top_reasons(got, 2)
+    assert top.groupBy("booking_id", "member").count().where("count > 2").count() == 0
+    assert "PythonUDF" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fit_partitions_follow_rows_then_cores():
+    from riskloom.operators.models import fit_partitions
+    assert [fit_partitions(n, 8) for n in (0, 1, 20_001, 10**6, 5 * 10**9)] == [1, 1, 2, 24, 24]
+
+
 def test_queries_have_sql():
     from riskloom.plans.lifecycle_oracles import ORACLES
     assert set(L.QUERIES) == set(ORACLES)
