@@ -20,6 +20,7 @@ import json
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +62,31 @@ def common_ends(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return galloping(a, b) if len(a) <= len(b) else [(i, j) for j, i in galloping(b, a)]
 
 
+def galloping_many(shorter: np.ndarray, longer: np.ndarray, first: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    """``galloping`` for many pairs of lists laid end to end: for each value
+    of ``shorter`` its index in ``longer``, or -1, where its partner list is
+    ``longer[first:behind]`` (bounds per value).  All values take their steps
+    together: the stride from the list's begin doubles until it reaches the
+    value, and halves again within the last stride."""
+    stride = np.ones(len(shorter), dtype=np.int64)
+    last = len(longer) - 1
+    open_ = np.flatnonzero(first < behind)
+    while len(open_):
+        at = first[open_] + stride[open_]
+        short = (at < behind[open_]) & (longer[np.minimum(at, last)] < shorter[open_])
+        open_ = open_[short]
+        stride[open_] *= 2
+    low = first + np.where(stride > 1, stride // 2, 0)
+    high = np.minimum(first + stride + 1, behind)
+    while (open_ := np.flatnonzero(low < high)).size:
+        mid = (low[open_] + high[open_]) >> 1
+        less = longer[mid] < shorter[open_]
+        low[open_] = np.where(less, mid + 1, low[open_])
+        high[open_] = np.where(less, high[open_], mid)
+    found = (low < behind) & (longer[np.minimum(low, max(last, 0))] == shorter) if len(longer) else low < 0
+    return np.where(found, low, -1)
+
+
 def overlap_ranges(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """For each token of B the first and last token of A whose bytes it
     shares, from the ranks of its bounds among A's ends."""
@@ -83,12 +109,19 @@ class PairIndex:
         pairs |= {(i, j) for token, own in a_ids.items() for k in range(1, len(token))
                   for j in b_ids.get(token[k:], ()) for i in own}
         ordered = sorted(pairs)
-        self.number = {p: n for n, p in enumerate(ordered)}
         self.a = np.array([i for i, _ in ordered], dtype=np.int64)
         self.b = np.array([j for _, j in ordered], dtype=np.int64)
+        self.codes = self.a << 32 | self.b
 
     def __len__(self) -> int:
-        return len(self.number)
+        return len(self.codes)
+
+    def numbers(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        wanted = a.astype(np.int64) << 32 | b.astype(np.int64)
+        at = np.searchsorted(self.codes, wanted)
+        if len(wanted) and (at.max() >= len(self) or (self.codes[at] != wanted).any()):
+            raise ValueError("two tokens end together and neither ends in the other")
+        return at
 
 
 class Vocabularies:
@@ -113,6 +146,7 @@ class Vocabularies:
         self.b = [b"" if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)
                   else bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace(MARK, " ").encode()
                   for i, p in enumerate(pieces)]
+        self.a_size, self.b_size = (np.array([*map(len, x)], dtype=np.int64) for x in (self.a, self.b))
         self.pairs = PairIndex(self.a, self.b)
 
 
@@ -122,9 +156,11 @@ class Aligner:
     def __init__(self, a_path: str, b_path: str):
         self.known = Vocabularies(a_path, b_path)
         self.sp, self.byte_level = self.known.sp, ByteLevel(a_path)
+        if not self.byte_level.cuts:
+            raise NotSegmentable("the byte-level file cannot be cut at spaces")
         self.byte_level.lib.encode_special_tokens = True  # their strings in a text are plain text
         self.space = self.sp.piece_to_id(MARK)
-        self.segments = Memo(self.align_segments, limit=120_000)
+        self.segments = Memo(self.align_segments, limit=180_000)
 
     def b_ids(self, segments: list[str]) -> list[list[int]]:
         """Ids of strings that begin with a space (the one that the library
@@ -138,19 +174,50 @@ class Aligner:
         a_bytes, b_bytes = [self.known.a[i] for i in a], [self.known.b[i] for i in b]
         if b"".join(a_bytes) != raw or b"".join(b_bytes) != raw:
             return False
-        a_ends, b_ends = np.cumsum([*map(len, a_bytes)]).tolist(), np.cumsum([*map(len, b_bytes)]).tolist()
-        groups, links, i0, j0 = [], [], 0, 0
-        for i, j in common_ends(a_ends, b_ends):
+        common = common_ends([*accumulate(map(len, a_bytes))], [*accumulate(map(len, b_bytes))])
+        groups, i0, j0 = [], 0, 0
+        for i, j in common:
             groups.append(",".join(map(str, a[i0:i + 1])) + "|" + ",".join(map(str, b[j0:j + 1])))
-            links.append(self.known.pairs.number[a[i], b[j]])
             i0, j0 = i + 1, j + 1
+        links = self.known.pairs.numbers(np.array([a[i] for i, _ in common]), np.array([b[j] for _, j in common]))
         return ";".join(groups), u32(links), len(a), len(b)
 
     def align_segments(self, keys: list[str]) -> list:
+        """``align`` of many strings at once, laid end to end."""
         segments = [k[1:] if k[0] == NO_SPACE else k if k[0] == "\n" else " " + k for k in keys]
-        a_all = self.byte_level.encode_strings(segments)
-        return [self.align(s.encode(), np.frombuffer(a, "<u4").tolist(), b)
-                for s, a, b in zip(segments, a_all, self.b_ids(segments))]
+        raw = [s.encode() for s in segments]
+        a_all = [np.frombuffer(a, "<u4") for a in self.byte_level.encode_strings(segments)]
+        b_all = self.b_ids(segments)
+        spelled = [b"".join(map(self.known.a.__getitem__, a.tolist())) == r == b"".join(map(self.known.b.__getitem__, b))
+                   for r, a, b in zip(raw, a_all, b_all)]
+        out: list = [False] * len(keys)
+        good = [k for k, ok in enumerate(spelled) if ok]
+        if not good:
+            return out
+        a, b = np.concatenate([a_all[k] for k in good]).astype(np.int64), np.array([i for k in good for i in b_all[k]])
+        n_a, n_b = (np.array([len(x[k]) for k in good], dtype=np.int64) for x in (a_all, b_all))
+        a_ends, b_ends = np.cumsum(self.known.a_size[a]), np.cumsum(self.known.b_size[b])
+        a_behind, b_behind = np.cumsum(n_a), np.cumsum(n_b)
+        if len(a) <= len(b):
+            at = galloping_many(a_ends, b_ends, np.repeat(b_behind - n_b, n_a), np.repeat(b_behind, n_a))
+            i = np.flatnonzero(at >= 0)
+            j = at[i]
+        else:
+            at = galloping_many(b_ends, a_ends, np.repeat(a_behind - n_a, n_b), np.repeat(a_behind, n_b))
+            j = np.flatnonzero(at >= 0)
+            i = at[j]
+        links = u32(self.known.pairs.numbers(a[i], b[j]))
+        a_text, b_text = [*map(str, a.tolist())], [*map(str, b.tolist())]
+        groups, i0, j0 = [], 0, 0
+        for i1, j1 in zip((i + 1).tolist(), (j + 1).tolist()):
+            groups.append((a_text[i0] if i1 - i0 == 1 else ",".join(a_text[i0:i1])) + "|"
+                          + (b_text[j0] if j1 - j0 == 1 else ",".join(b_text[j0:j1])))
+            i0, j0 = i1, j1
+        g0 = 0
+        for k, g1, x, y in zip(good, np.searchsorted(i, a_behind).tolist(), n_a.tolist(), n_b.tolist()):
+            out[k] = (";".join(groups[g0:g1]), links[4 * g0:4 * g1], x, y)
+            g0 = g1
+        return out
 
     def cut(self, text: str) -> list[str] | None:
         """The segments of space+text (keys of the cache), or None if it must

@@ -57,6 +57,7 @@ class SharedFile:
     so a task that runs twice leaves one whole file of either attempt."""
 
     def __init__(self, uri: str):
+        self.uri = uri  # what manifests carry: with its scheme, for readers elsewhere
         self.fs, self.path = shared_fs(uri)
         self.fs.create_dir(self.path.rsplit("/", 1)[0], recursive=True)
         self.tmp = f"{self.path}.{uuid.uuid4().hex}.part"

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import sentencepiece
@@ -24,6 +25,20 @@ def test_galloping_finds_what_lists_share():
         assert al.common_ends(a, b) == [(a.index(x), b.index(x)) for x in sorted(set(a) & set(b))]
 
 
+def test_galloping_through_many_lists_at_once():
+    rng = random.Random(6)
+    lists = [(sorted(rng.sample(range(90), rng.randint(0, 30))), sorted(rng.sample(range(90), rng.randint(0, 60))))
+             for _ in range(200)]
+    a = np.array([k * 100 + x for k, (p, _) in enumerate(lists) for x in p], dtype=np.int64)
+    b = np.array([k * 100 + x for k, (_, q) in enumerate(lists) for x in q], dtype=np.int64)
+    sizes = np.array([len(q) for _, q in lists])
+    behind = np.cumsum(sizes)
+    per = np.repeat(np.arange(200), [len(p) for p, _ in lists])
+    got = al.galloping_many(a, b, (behind - sizes)[per], behind[per])
+    where = {x: k for k, x in enumerate(b.tolist())}
+    assert got.tolist() == [where.get(x, -1) for x in a.tolist()]
+
+
 def test_overlap_ranges():
     assert al.overlap_ranges([2, 5, 6, 9], [1, 6, 9]) == [(0, 0), (0, 2), (3, 3)]
 
@@ -102,7 +117,7 @@ def test_strange_texts_in_one_process():
 def test_pairs_have_a_bound():
     v = al.Vocabularies(A, B)
     assert len(v.pairs) <= sum(map(len, v.a)) + 2 * sum(map(len, v.b))
-    assert all(v.a[i].endswith(v.b[j]) or v.b[j].endswith(v.a[i]) for i, j in list(v.pairs.number)[::101])
+    assert all(v.a[i].endswith(v.b[j]) or v.b[j].endswith(v.a[i]) for i, j in list(zip(v.pairs.a, v.pairs.b))[::101])
 
 
 def test_empty(spark, empty):
