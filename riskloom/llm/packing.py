@@ -94,7 +94,7 @@ def _pack(capacity: int, turn: int, last: bool):
                 used, members = sum(held[i][0] for i in items), b"".join(held[i][1] for i in items)
                 full = last or capacity - used <= SLACK
                 if full or final:
-                    out.append((used, members, full, (turn << 52) + (task << 32) + made))
+                    out.append((used, members, full, (turn << 58) + (task << 28) + made))
                     made += 1
                 else:
                     rest.append((used, members))

@@ -52,8 +52,8 @@ def op4_packing(spark, sf_dir):
 
 
 def op5_warc(spark, sf_dir):
-    # The pages carry no capture time: one second per page id from 2024-01-01 on.
-    captured = F.lit(1_704_067_200) + F.coalesce(F.col("page_id"), F.lit(0))
+    # The pages carry no capture time: one second per page id from 2024-01-01 on, for at most 30 years.
+    captured = F.lit(1_704_067_200) + F.pmod(F.coalesce(F.col("page_id"), F.lit(0)), F.lit(10**9))
     return warc.write_and_read(read_table(spark, sf_dir, "pages"), captured)
 
 
@@ -90,6 +90,27 @@ def op13_filter_audit(spark, sf_dir):
     return filter_audit.filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def _components_sql(words: int, percent: int, columns: str) -> str:
+    """Links of all pairs of documents that share a shingle, and what they reach."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+places AS (SELECT doc_id, words, unnest(range(1, greatest(len(words) - {words - 2}, 2))) AS i FROM w WHERE len(words) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + {words - 1}], ' ') AS shingle FROM places),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+           GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= {percent} * (x.n + y.n - k)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+found AS (SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(least.b, d.doc_id)) AS component_id,
+                 (SELECT count(*) FROM links WHERE links.a = d.doc_id) AS n_links
+          FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least ON least.a = d.doc_id)
+SELECT doc_id, n_shingles, component_id, {columns} FROM found"""
+
+
 QUERIES = {f.__name__: _registered(f) for f in (
     op1_top_k, op2_token_counts, op3_token_files, op4_packing, op5_warc, op6_quality, op7_shards, op8_exact_dedup,
     op9_ngram_join, op10_sentencepiece, op11_alignment, op12_minhash, op13_filter_audit)}
@@ -156,4 +177,22 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
        CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
        CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
 FROM report""",
+    "op5_warc": r"""
+WITH p AS (
+  SELECT page_id, url, coalesce(html, '') AS html, lower(coalesce(url, '')) AS u FROM pages),
+k AS (
+  SELECT *, strlen(html) AS payload_bytes, sha256(html) AS payload_digest,
+         1704067200 + ((page_id % 1000000000) + 1000000000) % 1000000000 AS ts,
+         regexp_extract(u, '^[a-z][a-z0-9+.\-]*://([^/:?#]+)', 1) AS host,
+         regexp_extract(u, '^[a-z][a-z0-9+.\-]*://[^/?#]*(.*)$', 1) AS rest FROM p),
+m AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first,
+             CASE WHEN host = '' THEN u ELSE array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || rest END AS url_key
+      FROM k)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to, url, CAST(ts AS BIGINT) AS ts, url_key,
+       row_number() OVER (ORDER BY url_key, ts, CAST(page_id AS VARCHAR)) - 1 AS ordinal
+FROM m""",
+    "op9_ngram_join": _components_sql(3, 90, "n_links"),
+    "op12_minhash": _components_sql(4, 80, "doc_id = component_id AS kept"),
 }

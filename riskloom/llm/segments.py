@@ -29,6 +29,7 @@ treats them as its default does.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -76,16 +77,53 @@ def byte_classes() -> np.ndarray:
     return kind
 
 
+def plain_bpe(file: dict) -> bool:
+    """Whether merging by rank alone gives the model's ids, and nothing but
+    special strings ``<|...`` and the words themselves decides where to cut."""
+    model = file["model"]
+    return (model.get("type") == "BPE" and not model.get("dropout") and model.get("unk_token") is None
+            and not model.get("byte_fallback") and not model.get("ignore_merges")
+            and not model.get("continuing_subword_prefix") and not file.get("truncation") and not file.get("padding")
+            and all(t["content"].startswith("<|") and not any(t[k] for k in ("single_word", "lstrip", "rstrip", "normalized"))
+                    for t in file["added_tokens"]))
+
+
+def kinds(part: dict | None, name: str) -> list:
+    """The steps of a normaliser or pre-tokenizer."""
+    return [] if not part else part[name] if part["type"] == "Sequence" else [part]
+
+
+#: Encoded both ways when a file is loaded: classes, case, contractions, white space, special strings.
+PROBES = ("Don't stop, it's 1234 O'Neill's café!! A_b-c", "aBc  DEF\nghi\tj k\r\n l", "x<|endoftext|>y <|z|> <|endoftext|>",
+          "(a)[b]{c}#1 $2.50 100% a@b.co #$%&*|", "Ünïcode ÀÉ ß 12a34 ½", " lead trail ", "I'M we'LL they'Ve 'd")
+
+
 class ByteLevel:
-    """Ids of a byte-level BPE file as little-endian uint32 bytes per text."""
+    """Ids of a byte-level BPE file as little-endian uint32 bytes per text.
+
+    Words are cut and merged here only if the file is of the kind that this
+    was proven for (``fits``) and encodes the probes alike; all texts of any
+    other file go through the library whole."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
-        self.merger = Merger(path, byte_alphabet())
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        self.cuts = plain_bpe(file) and self.fits(file)
+        if self.cuts:
+            self.merger = Merger(path, byte_alphabet())
         self.kind = byte_classes()
         self.words = Memo(self.encode_words, limit=200_000)
+        if self.cuts:
+            self.cuts = [*self.encode(iter(PROBES))] == [self.whole(t) for t in PROBES]
+
+    @staticmethod
+    def fits(file: dict) -> bool:
+        steps = kinds(file["pre_tokenizer"], "pretokenizers")
+        return (not file["normalizer"] and not file["model"].get("end_of_word_suffix") and len(steps) == 1
+                and steps[0]["type"] == "ByteLevel" and not steps[0]["add_prefix_space"] and steps[0]["use_regex"])
 
     def whole(self, text: str) -> bytes:
         return u32(self.lib.encode(text, add_special_tokens=False).ids)
@@ -121,7 +159,7 @@ class ByteLevel:
         """The text's words without the space before each; what has none or
         more white space before it is marked.  None if the library must see
         the text whole."""
-        if ODD.search(text):
+        if not self.cuts or ODD.search(text):
             return None
         if not text or "  " in text or "\n " in text or "\t " in text or "\r " in text or text[0] == " " or text[-1] == " ":
             return [NO_SPACE + w for w in RUNS.findall(text)]
@@ -137,6 +175,14 @@ class ByteLevel:
 class WordLevel(ByteLevel):
     """Ids of a BPE with word ends that drops white space and case."""
 
+    @staticmethod
+    def fits(file: dict) -> bool:
+        norm, steps = kinds(file["normalizer"], "normalizers"), kinds(file["pre_tokenizer"], "pretokenizers")
+        return ([n["type"] for n in norm] == ["NFC", "Replace", "Lowercase"] and norm[1]["content"] == " "
+                and norm[1]["pattern"] == {"Regex": r"\s+"} and [s["type"] for s in steps] == ["Split", "ByteLevel"]
+                and steps[0]["behavior"] == "Removed" and steps[0]["invert"] and not steps[1]["use_regex"]
+                and not steps[1]["add_prefix_space"] and bool(file["model"].get("end_of_word_suffix")))
+
     def encode_words(self, words: list[str]) -> list[bytes]:
         return self.encode_strings([w.lower() if "<|" not in w and REGULAR.fullmatch(w) else w for w in words])
 
@@ -144,6 +190,8 @@ class WordLevel(ByteLevel):
         return super().pretoken_ends(data, word_ends) | (self.kind[data] == DIGIT)
 
     def cut(self, text: str) -> list[str] | None:
+        if not self.cuts:
+            return None
         if "<|" not in text and not BEYOND_LATIN_1.search(text):
             text = text.lower()
         return text.replace("\n", " ").split(" ")

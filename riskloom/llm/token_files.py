@@ -87,8 +87,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     files: ``file, path, docs, tokens``, and ``start``, the ids before each.
 
     Texts are encoded where they are read; only compressed frames are
-    shuffled, by ranges of (id, frame hash), so even one id with a third of
-    all rows spreads over files.  A file is written under a private name and
+    shuffled, by ranges of (id, frame hash, place), so even one row that a third
+    of the table repeats spreads over files.  A file is written under a private name and
     moved into place, so tasks may run again.  Null texts are empty (the end
     id alone), null ids come first, repeated rows are written each, an empty
     table writes no file.
@@ -113,7 +113,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
 
     def write(batches):
         part = TaskContext.get().partitionId()
-        out, index, tokens = None, [], 0
+        out, index, docs_here, tokens = None, bytearray(), 0, 0
         for b in batches:
             for doc_id, n, frame in zip(*(b.column(k).to_pylist() for k in range(3))):
                 if out is None:
@@ -121,26 +121,29 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
                     head = json.dumps({"ids": id_type(loaded(ByteLevel, tokenizer).lib.get_vocab_size()),
                                        "dictionary": dictionary_hash(shared), "end_id": end_id}).encode()
                     out.write(MAGIC + struct.pack("<I", len(head)) + head)
-                index.append((doc_id or 0, doc_id is not None, out.write(frame), len(frame), n))
+                index += struct.pack(ENTRY, doc_id or 0, doc_id is not None, out.write(frame), len(frame), n)
+                docs_here += 1
                 tokens += n
         if out is not None:
-            table = zstandard.compress(np.array(index, dtype=INDEX).tobytes())
+            table = zstandard.compress(bytes(index))
             at = out.write(table)
-            out.write(struct.pack(TRAILER, at, len(table), len(index), MAGIC))
+            out.write(struct.pack(TRAILER, at, len(table), docs_here, MAGIC))
             out.close()
-            yield batch_of(WRITTEN, [[part], [out.path], [len(index)], [tokens]])
+            yield batch_of(WRITTEN, [[part], [out.uri], [docs_here], [tokens]])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     frames = written(rows.mapInArrow(encode, "id long, n_tokens long, frame binary"), "frames")
     size = frames.agg(F.sum(F.octet_length("frame"))).first()[0] or 0
     files = max(1, -(-size // FRAMES_PER_FILE), min(frames.sparkSession.sparkContext.defaultParallelism, size >> 20))
-    ordered = (frames.withColumn("h", F.xxhash64("frame")).repartitionByRange(int(files), "id", "h")
-               .sortWithinPartitions("id", "h").select("id", "n_tokens", "frame"))
+    order = ["id", "h", "place"]  # the row's place last: equal rows of one id spread over files too
+    ordered = (frames.withColumns({"h": F.xxhash64("frame"), "place": F.monotonically_increasing_id()})
+               .repartitionByRange(int(files), *order).sortWithinPartitions(*order).select("id", "n_tokens", "frame"))
     made = written(ordered.mapInArrow(write, "file int, path string, docs long, tokens long"), "files")
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     return made.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
 
 
+ENTRY = "<qBQIQ"
 INDEX = np.dtype([("id", "<i8"), ("known", "u1"), ("offset", "<u8"), ("bytes", "<u4"), ("tokens", "<u8")])
 
 

@@ -15,7 +15,7 @@ import zlib
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SharedFile, batch_of, new_folder, open_shared, read_exactly, written
@@ -31,9 +31,12 @@ ENTRY = pa.schema([("url_key", pa.string()), ("ts", pa.int64()), ("record", pa.s
                    ("offset", pa.int64()), ("size", pa.int64()), ("run", pa.int64()), ("seq", pa.int64())])
 ENTRY_DDL = "url_key string, ts long, record string, path string, offset long, size long, run long, seq long"
 RECORD = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
-                    ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string()), ("ts", pa.int64())])
+                    ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string()), ("ts", pa.int64()),
+                    ("url_key", pa.string()), ("ordinal", pa.int64())])
+#: What a record itself says.
+PARSED = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "ts")
 RECORD_DDL = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
-              "url string, ts long")
+              "url string, ts long, url_key string, ordinal long")
 
 
 class LoserTree:
@@ -93,6 +96,10 @@ def revisits(pages: DataFrame) -> DataFrame:
     return (named.join(first, "digest").where("id > refers_to").select("id", "digest", "refers_to").distinct())
 
 
+#: Capture times that a record can state: the years 1 to 9999.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
 def _date(ts: int) -> str:
     return dt.datetime.fromtimestamp(ts, dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
@@ -143,16 +150,22 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
     Of records with equal payloads of ``LEAST_REVISIT`` bytes or more, rows
     with the smallest id are responses, the others revisit it; rows with a
-    null id and smaller payloads are always responses.  Null payloads are
+    null id and smaller payloads are always responses.  Ids are any 64-bit
+    numbers.  A capture time outside the years 1 to 9999 fails the job with the
+    row's id and time; a null one is 0.  Null payloads are
     empty, null urls have no target header, repeated rows are written each,
     an empty table writes no archive; other columns are ignored.
     """
     payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), payload.alias("payload"),
-                        (F.lit(0) if ts is None else ts).cast("long").alias("ts"))
+                        F.coalesce((F.lit(0) if ts is None else ts).cast("long"), F.lit(0)).alias("ts"))
+    stated = F.when(F.col("ts").between(FIRST_SECOND, LAST_SECOND), F.col("ts")).otherwise(F.raise_error(F.concat(
+        F.lit("no record can state the capture time of page "), F.coalesce(F.col("id").cast("string"), F.lit("null")),
+        F.lit(": "), F.col("ts").cast("string"))))
+    rows = rows.withColumn("ts", stated)
     known = rows.select("*", F.sha2("payload", 256).alias("digest"), F.octet_length("payload").alias("bytes"))
     marked = known.join(revisits(known), ["id", "digest"], "left").select(
-        url_key(F.col("url")).alias("url_key"), F.coalesce("ts", F.lit(0)).alias("ts"), "id", "url", "payload", "digest",
+        url_key(F.col("url")).alias("url_key"), "ts", "id", "url", "payload", "digest",
         "refers_to")
 
     def write(batches):
@@ -163,7 +176,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
                 if out is None:
                     out = SharedFile(f"{folder}/run-{task:06d}-{part:04d}.warc.gz")
                 data = record_bytes(page_id, url, at, body, digest, refers)
-                entries.append((key, at, "" if page_id is None else str(page_id), out.path, out.write(data), len(data),
+                entries.append((key, at, "" if page_id is None else str(page_id), out.uri, out.write(data), len(data),
                                 task, seq))
                 seq += 1
                 if out.size >= ROLL_BYTES:
@@ -179,7 +192,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
 def merge_index(runs: DataFrame) -> DataFrame:
     """All index entries in global order of (URL key, time, record): ``shard``
-    ascends with the key, ``position`` within it.  Ranges also split by time
+    ascends with the key, ``position`` within it, ``ordinal`` over all.  Ranges also split by time
     and place, so one URL with many captures spreads over shards."""
     n = runs.count()
 
@@ -202,28 +215,38 @@ def merge_index(runs: DataFrame) -> DataFrame:
     merged = pa.schema([*ENTRY, ("shard", pa.int32()), ("position", pa.int64())])
     ranges = (runs.repartitionByRange(max(1, -(-n // MERGE_ROWS)), "url_key", "ts", "record", "path", "offset")
               .sortWithinPartitions("run", "url_key", "ts", "record", "path", "offset"))
-    return written(ranges.mapInArrow(merge, ENTRY_DDL + ", shard int, position long"), "cdx")
+    index = written(ranges.mapInArrow(merge, ENTRY_DDL + ", shard int, position long"), "cdx")
+    # One row per shard of about MERGE_ROWS entries: its place in the whole.
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    shards = index.groupBy("shard").agg(F.count("*").alias("entries"))
+    starts = shards.select("shard", F.coalesce(F.sum("entries").over(before), F.lit(0)).alias("start"))
+    return index.join(starts, "shard").withColumn("ordinal", F.col("start") + F.col("position")).drop("start")
 
 
 def read_archives(index: DataFrame) -> DataFrame:
-    """Every record that the index names, read from its archive and checked.
-    Entries are dealt by archive and stretch of it, and read in file order."""
+    """Every record that the index names, read from its archive and checked,
+    with its place in the global order (``url_key, ordinal``).  Entries
+    are dealt by archive and stretch of it, and read in file order."""
     files = max(1, min(index.select("path").distinct().count() * 4, 4096))
 
     def read(batches):
         path = handle = None
         for b in batches:
             out = []
-            for name, offset, size in zip(*(c.to_pylist() for c in b.columns)):
+            for name, offset, size, *place in zip(*(c.to_pylist() for c in b.columns)):
                 if name != path:
+                    if handle is not None:
+                        handle.close()
                     path, handle = name, open_shared(name)
                 handle.seek(offset)
                 r = parse_record(read_exactly(handle, size))
-                out.append(tuple(r[f.name] for f in RECORD))
+                out.append((*(r[c] for c in PARSED), *place))
             yield batch_of(RECORD, list(zip(*out)) or [[]] * len(RECORD))
+        if handle is not None:
+            handle.close()
 
     stretch = F.floor(F.col("offset") / (16 << 20))
-    return (index.select("path", "offset", "size").repartition(files, "path", stretch)
+    return (index.select("path", "offset", "size", "url_key", "ordinal").repartition(files, "path", stretch)
             .sortWithinPartitions("path", "offset").mapInArrow(read, RECORD_DDL))
 
 

@@ -49,7 +49,52 @@ def test_warc_round_trip(spark):
         body = (h or "").encode()
         again = i is not None and len(body) >= 100 and first[h] < i
         want[(i, len(body), hashlib.sha256(body).hexdigest(), "revisit" if again else "response", first[h] if again else None, u)] += 1
-    assert Counter(tuple(r)[:6] for r in warc.read_archives(index).collect()) == want
+    back = warc.read_archives(index).collect()
+    assert Counter(tuple(r)[:6] for r in back) == want
+    assert all(r.path.startswith(folder) for r in runs.select("path").distinct().collect())
+    history = [(r.url_key, r.ts) for r in sorted(back, key=lambda r: r.ordinal)]
+    assert history == sorted(history) and sorted(r.ordinal for r in back) == list(range(len(rows)))
+
+
+def test_manifests_keep_the_scheme(spark):
+    folder = "file://" + scratch_path(spark, "test-warc-uri").removeprefix("file:")
+    df = spark.createDataFrame(pages(), "page_id long, url string, html string").repartition(3)
+    runs = warc.write_archives(df, folder)
+    assert all(r.path.startswith("file:///") for r in runs.select("path").distinct().collect())
+    assert warc.read_archives(warc.merge_index(runs)).count() == len(pages())
+
+
+@pytest.mark.parametrize("page_id", [10**12, 2**63 - 1, -(2**63), -5])
+def test_any_page_id(spark, monkeypatch, tmp_path, page_id):
+    spark.createDataFrame([(page_id, "http://x.org/a", "long " * 40), (3, "http://x.org/b", "long " * 40)],
+                          "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: (r.record_type, r.refers_to) for r in QUERIES["op5_warc"](spark, str(tmp_path)).collect()}
+    least = min(page_id, 3)
+    assert got == {least: ("response", None), max(page_id, 3): ("revisit", least)}
+
+
+def test_a_capture_time_that_no_record_can_state(spark):
+    df = spark.createDataFrame([(7, "http://x", "a")], "page_id long, url string, html string")
+    with pytest.raises(Exception, match="capture time of page 7"):
+        warc.write_archives(df, scratch_path(spark, "test-warc-late"), ts=F.lit(10**15)).collect()
+
+
+def test_shared_files_of_another_scheme(monkeypatch, tmp_path):
+    """A store that only its own scheme reaches: the bare path would not be found."""
+    from pyarrow import fs as pafs
+
+    from riskloom.llm import common
+    store = pafs.SubTreeFileSystem(str(tmp_path), pafs.LocalFileSystem())
+    real = common.shared_fs
+    monkeypatch.setattr(common, "shared_fs", lambda uri: (store, uri.removeprefix("made://")) if uri.startswith("made://") else real(uri))
+    f = common.SharedFile("made://bucket/a/b.bin")
+    f.write(b"0123")
+    f.close()
+    assert f.uri == "made://bucket/a/b.bin"
+    with common.open_shared(f.uri) as back:
+        assert back.read() == b"0123"
+    with pytest.raises(FileNotFoundError):
+        common.open_shared(f.path)
 
 
 def test_damaged_record_is_an_error():
@@ -121,3 +166,36 @@ def test_pipeline_stages(spark):
     assert set(kept[2]) == {find(i) for i in ids}
     packed = corpus_pipeline.run(spark, SF_SMALL).collect()
     assert {r.doc_id for r in packed} == set(kept[2])
+
+
+def strange_folder(spark, tmp_path, rows):
+    """documents with nulls, ties, repeated rows and clashing columns, and labels for some."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, cid long, `key` string, h int, kept boolean"
+    spark.createDataFrame([(*r, "en", None, 1, 2, "k", 3, True) for r in rows], schema).write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(i, i % 2, 0) for i, _ in rows if i is not None and i % 3 == 0] + [(None, 1, 1), (3, None, 0)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    return str(tmp_path)
+
+
+def test_pipeline_on_strange_rows(spark, tmp_path, rows):
+    data = rows + [rows[6], rows[7], (None, "w " * 300), (None, "w " * 300), (4, None), (4, "")]
+    folder = strange_folder(spark, tmp_path, data)
+    docs = read_table(spark, folder, "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        path = str(tmp_path / name.replace(" ", "-"))
+        stage(spark, docs, folder).write.parquet(path)
+        after = spark.read.parquet(path)
+        assert after.columns == docs.columns and after.count() <= docs.count(), name
+        assert after.exceptAll(docs).count() == 0, name
+        if name == "exact dedup":
+            kept = Counter(" ".join((r.text or "").split(" ")) for r in after.collect())
+            assert max(kept.values()) == 1
+        docs = after
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
+    assert {r.doc_id for r in packed} == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    folder = strange_folder(spark, tmp_path, [])
+    out = corpus_pipeline.run(spark, folder)
+    assert out.count() == 0 and "sequence_id" in out.columns

@@ -1,7 +1,9 @@
 """Token operators against their libraries: counts, files, packing, codec."""
 
+import json
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers as P
@@ -33,6 +35,48 @@ def test_segmented_ids_equal_the_librarys(kind, name):
     assert len(mine.words.young) <= 50 + 64_000  # one batch of words beyond the limit at most
 
 
+@pytest.mark.parametrize("kind, name", [(ByteLevel, "byte_bpe_50k.json"), (WordLevel, "word_bpe_49k.json")])
+@pytest.mark.parametrize("change", ["dropout", "ignore_merges", "unk", "added", "normalizer", "prefix", "suffix", "pattern"])
+def test_other_files_go_through_the_library_whole(tmp_path, kind, name, change):
+    file = json.loads(Path(P.path(name)).read_text())
+    steps = file["pre_tokenizer"].get("pretokenizers", [file["pre_tokenizer"]])
+    if change == "dropout":
+        file["model"]["dropout"] = 1e-9
+    elif change == "ignore_merges":
+        file["model"]["ignore_merges"] = True
+    elif change == "unk":
+        file["model"]["unk_token"] = "a"
+    elif change == "added":
+        file["added_tokens"].append(file["added_tokens"][0] | {"id": max(file["model"]["vocab"].values()) + 5, "content": "the cat"})
+    elif change == "normalizer":
+        file["normalizer"] = {"type": "NFKC"}
+    elif change == "prefix":
+        steps[-1]["add_prefix_space"] = True
+    elif change == "suffix":
+        file["model"]["end_of_word_suffix"] = None if kind is WordLevel else "</w>"
+    elif kind is WordLevel:
+        steps[0]["pattern"] = {"Regex": r"\p{L}+|[^\s\p{L}]+"}
+    else:
+        steps[-1]["use_regex"] = False
+    (tmp_path / "t.json").write_text(json.dumps(file))
+    mine = kind(str(tmp_path / "t.json"))
+    assert not mine.cuts
+    texts = real_texts()[:20] + strange_texts(4, 50)
+    lib = Tokenizer.from_file(str(tmp_path / "t.json"))
+    assert [*mine.encode(iter(texts))] == [u32(lib.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_one_repeated_row_spreads_over_files(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "FRAMES_PER_FILE", 2000)
+    df = spark.createDataFrame([(7, "the same text again and again " * 3)] * 600, "doc_id long, text string").repartition(6)
+    folder = scratch_path(spark, "test-tokens-hot")
+    files = token_files.write_token_files(df, P.path("byte_bpe_50k.json"), folder)
+    sizes = [r.docs for r in files.collect()]
+    assert sum(sizes) == 600 and max(sizes) < 200
+    got = token_files.read_token_files(files).collect()
+    assert len(got) == 600 and len({r.start for r in got}) == 600 and len({r.ids_crc32 for r in got}) == 1
+
+
 def test_whole_pieces_are_proven(sp):
     proven = prove_whole_pieces(sp)
     assert proven[" the"] == 1 and len(proven) > 10_000
