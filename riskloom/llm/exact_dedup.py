@@ -7,9 +7,10 @@
 3. Global: the salt winners are combined by (digest, content).
 
 Full contents are compared in every stage: the content is part of each
-grouping key.  Each row carries the number of its local winner, so decisions
-come back by joins on unique or skew-free keys; texts that only one task holds
-are never shuffled.
+grouping key.  Each row carries the number of its local winner, and a salted
+group the numbers of its local winners, so decisions come back by number, and
+one content's only once per salt; texts that only one task holds are never
+shuffled.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from __future__ import annotations
 import hashlib
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,10 +26,12 @@ from pyspark.sql.types import StructType
 
 from .common import discard, written, written_at
 
-#: Bytes of distinct text that a task holds before it emits its winners and
+#: Bytes that a task holds before it emits its winners and
 #: starts anew; what this leaves apart, the later stages combine.
 LOCAL_BYTES = 64 << 20
-SALTS = 16
+SALTS, PER_SALT = 16, 256
+#: Rows taken up between two looks at the bytes held, and what a row's numbers take.
+ROWS_HELD, ROW_BYTES = 1024, 300
 
 
 def normalised(text: str) -> bytes:
@@ -52,51 +54,68 @@ MARKS = "mine long, local long, local_id long, local_n long, digest string"
 
 
 def _local(arrow: pa.Schema, digest):
-    """Marks every row; the text stays only on local winners."""
+    """Marks every row; the text stays only on local winners.
+
+    Held between two flushes: per row its id, the other columns and a few
+    numbers; per distinct content the text of its winner so far.  All of it
+    counts towards ``LOCAL_BYTES``, so copies without end are flushed too."""
     def run(batches):
         task, first = TaskContext.get().partitionId() << 40, 0
-        held: list[pa.RecordBatch] = []
+        held: list[tuple[pa.Array, pa.Array]] = []
         groups: dict[tuple[str, bytes], list] = {}
+        winners: dict[tuple[str, bytes], tuple] = {}
 
         def flush():
-            n = sum(b.num_rows for b in held)
+            n = sum(len(ids) for ids, _ in held)
             marks: list = [None] * n
-            for (d, _), rows in groups.items():
-                null, doc_id, at = min(rows)
-                mark = (task + first + at, None if null else doc_id, len(rows), d)
-                for *_, i in rows:
+            texts: list = [None] * n
+            for key, rows in groups.items():
+                (null, doc_id, at), text = winners[key]
+                texts[at] = text
+                mark = (task + first + at, None if null else doc_id, len(rows), key[0])
+                for i in rows:
                     marks[i] = (task + first + i, *mark)
             at = 0
-            for b in held:
-                columns = list(zip(*marks[at:at + b.num_rows]))
-                at += b.num_rows
-                won = pa.array([m == w for m, w in zip(columns[0], columns[1])])
-                text = pc.if_else(won, b.column(1), pa.scalar(None, b.column(1).type))
+            for ids, rest in held:
+                part = slice(at, at + len(ids))
+                columns = [ids, texts[part], rest, *zip(*marks[part])]
+                at += len(ids)
                 yield pa.RecordBatch.from_arrays(
-                    [c.cast(t.type) if isinstance(c, pa.Array) and c.type != t.type else c if isinstance(c, pa.Array)
-                     else pa.array(c, t.type) for c, t in zip([b.column(0), text, b.column(2), *columns], arrow)],
-                    schema=arrow)
+                    [c if isinstance(c, pa.Array) and c.type == t.type else c.cast(t.type) if isinstance(c, pa.Array)
+                     else pa.array(c, t.type) for c, t in zip(columns, arrow)], schema=arrow)
 
         i = size = 0
         for b in batches:
-            if not b.num_rows:
-                continue
-            held.append(b)
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
-                content = normalised(text.as_py() or "")
-                key = (digest(content), content)
-                if key not in groups:
-                    groups[key] = []
-                    size += len(content)
-                groups[key].append((doc_id is None, doc_id or 0, i))
-                i += 1
-            if size >= LOCAL_BYTES:
-                yield from flush()
-                first, i, size, held, groups = first + i, 0, 0, [], {}
+            for k in range(0, b.num_rows, ROWS_HELD):
+                some = b.slice(k, ROWS_HELD)
+                every = pa.array(range(some.num_rows))
+                ids, rest = some.column(0).take(every), some.column(2).take(every)  # copies: the batch and its texts go
+                held.append((ids, rest))
+                size += ids.nbytes + rest.nbytes + ROW_BYTES * some.num_rows
+                for doc_id, value in zip(ids.to_pylist(), some.column(1)):
+                    text = value.as_py()
+                    content = normalised(text or "")
+                    key, order = (digest(content), content), (doc_id is None, doc_id or 0, i)
+                    if key not in groups:
+                        groups[key], winners[key] = [], (order, text)
+                        size += 3 * len(content)
+                    elif order < winners[key][0]:
+                        winners[key] = (order, text)
+                    groups[key].append(i)
+                    i += 1
+                if size >= LOCAL_BYTES:
+                    yield from flush()
+                    first, i, size = first + i, 0, 0
+                    held.clear(), groups.clear(), winners.clear()
         yield from flush()
     return run
 
 
+def _salts(docs: DataFrame) -> int:
+    """Shares of one digest's local winners: about ``PER_SALT`` tasks in each."""
+    return max(SALTS, -(-docs.rdd.getNumPartitions() // PER_SALT))
+
+
 def _stages(docs: DataFrame, id_col: str, text_col: str, carry: bool, digest) -> tuple[DataFrame, DataFrame]:
     """The marked rows, and for each local winner whose content other tasks
     have too: ``local, keep, keep_id, group_size``."""
@@ -106,18 +125,22 @@ def _stages(docs: DataFrame, id_col: str, text_col: str, carry: bool, digest) ->
     out = StructType([*rows.schema.fields, *StructType.fromDDL(MARKS).fields])
     marked = written(rows.mapInArrow(_local(to_arrow_schema(out), digest), out), "marked")
     winners = marked.where("mine = local")
-    repeated = winners.groupBy("digest").agg(F.count("*").alias("c")).where("c > 1").select("digest")
+    repeated = winners.groupBy("digest").agg(F.count("*").alias("c")).where("c > 1")
+    n = F.lit(_salts(docs))
+    salt = F.pmod(F.xxhash64("mine"), n).alias("salt")
+    repeated = repeated.select("digest", F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)).alias("salt"))
     content = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    shared, path = written_at(winners.join(repeated, "digest").select(
-        "digest", content.alias("content"), "mine", "local_n",
-        F.struct(F.col("id").isNull().alias("null"), "id", "mine").alias("first")), "shared")
-    salt = F.pmod(F.xxhash64("mine"), F.lit(SALTS))
-    salted = (shared.groupBy("digest", salt.alias("salt"), "content")
-              .agg(F.min("first").alias("first"), F.sum("local_n").alias("n")))
+    shared = winners.select("digest", salt, "text", "mine", "local_n", "id").join(repeated, ["digest", "salt"]).select(
+        "digest", "salt", content.alias("content"), "mine", "local_n",
+        F.struct(F.col("id").isNull().alias("null"), "id", "mine").alias("first"))
+    # The way back needs no content: a salted group knows its local winners, about PER_SALT of them.
+    salted, path = written_at(shared.groupBy("digest", "salt", "content").agg(
+        F.min("first").alias("first"), F.sum("local_n").alias("n"), F.collect_list("mine").alias("locals")), "salted")
     groups = (salted.groupBy("digest", "content")
               .agg(F.min("first").alias("first"), F.sum("n").alias("group_size")))
-    decided = (shared.select("digest", "content", F.col("mine").alias("local")).join(groups, ["digest", "content"])
-               .select("local", F.col("first.mine").alias("keep"), F.col("first.id").alias("keep_id"), "group_size"))
+    decided = (salted.select("digest", "content", "locals").join(groups, ["digest", "content"])
+               .select(F.explode("locals").alias("local"), F.col("first.mine").alias("keep"),
+                       F.col("first.id").alias("keep_id"), "group_size"))
     decided = written(decided, "decided")
     discard(docs.sparkSession, path)
     return marked, decided

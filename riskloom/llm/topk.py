@@ -6,16 +6,16 @@ pass gives every query a threshold: its k-th best score in one block of the
 longest class.  The second pass sends a block of queries only to the blocks
 whose greatest length still allows a product at or over the threshold, and
 there, for each query, the local cosine threshold
-``score / (|q| * longest)`` chooses the pruning: length alone when it is low,
-the feasible interval of the query's largest coordinate when it is high.  What
-is left is verified with exact integer products.  Blocks of queries and rows
+``score / (|q| * longest)`` chooses the pruning: length alone when it is low, or
+the query's largest coordinates as well, as many as the block's sample says are
+worth it: a row stays if its product over these, plus the most that the other
+coordinates of both can add, reaches the threshold.  What is left is verified
+with exact integer products.  Blocks of queries and rows
 meet by an equi-join on block pairs; nothing is broadcast or collected.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from .common import written
 
 EXACT = 2.0**52
-#: Below this local cosine a coordinate interval rules out too little.
-COORDINATE_FROM = 0.6
+#: Rows of a block on which numbers of focus coordinates are tried.
+TRIED_ROWS = 64
 
 
 def whole_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -59,22 +59,27 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int):
     return scores[order], ids[order]
 
 
+def focus_counts(dim: int) -> list[int]:
+    """Numbers of focus coordinates that are tried: powers of two, and eighths of all."""
+    return sorted({f for f in (*(1 << k for k in range(12)), *(dim * k // 8 for k in range(1, 8))) if 0 < f < dim})
+
+
 class Block:
-    """Rows of one block, longest first, with each coordinate's sorted list
-    made when first asked for."""
+    """Rows of one block, longest first."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         length = np.sqrt((rows * rows).sum(axis=1))
         order = np.argsort(-length, kind="stable")
         self.ids, self.rows, self.length = ids[order], rows[order], length[order]
         self.unit = self.rows / np.maximum(self.length, 1e-300)[:, None]
-        self.lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def coordinate(self, c: int):
-        if c not in self.lists:
-            order = np.argsort(self.unit[:, c], kind="stable")
-            self.lists[c] = (self.unit[order, c], order)
-        return self.lists[c]
+    @staticmethod
+    def most(u: np.ndarray, unit: np.ndarray, focus: np.ndarray) -> np.ndarray:
+        """The greatest cosine that each row can have with ``u``, as far as the
+        focus coordinates tell (Cauchy-Schwarz for the others)."""
+        x, y = u[focus], unit[:, focus]
+        rest = max(0.0, 1.0 - float(x @ x)) * np.maximum(0.0, 1.0 - np.einsum("ij,ij->i", y, y))
+        return y @ x + np.sqrt(rest) + 1e-9
 
     def candidates(self, q: np.ndarray, least: float) -> np.ndarray:
         """Indices of the rows whose product with ``q`` may reach ``least``
@@ -83,23 +88,24 @@ class Block:
         if least <= 0 or norm == 0 or not len(self.ids):
             return np.arange(len(self.ids))
         slack = 1e-9 * (1 + abs(least))
-        local = (least - slack) / (norm * max(self.length[0], 1e-300))
-        if local > 1 + 1e-9:
+        if (least - slack) / (norm * max(self.length[0], 1e-300)) > 1 + 1e-9:
             return np.empty(0, dtype=np.int64)
         keep = int(np.searchsorted(-self.length, -(least - slack) / norm, side="right"))
-        if local < COORDINATE_FROM:
+        if not keep:
+            return np.empty(0, dtype=np.int64)
+        local = (least - slack) / (norm * np.maximum(self.length[:keep], 1e-300))
+        u = q / norm
+        largest, dim = np.argsort(-np.abs(u), kind="stable"), len(u)
+        tried = np.unique(np.linspace(0, keep - 1, min(keep, TRIED_ROWS)).astype(np.int64))
+        # Expected coordinates read per row: the focus of all, and every one of what stays.
+        cost, focus = dim, 0
+        for f in focus_counts(dim):
+            stays = float((self.most(u, self.unit[tried], largest[:f]) >= local[tried]).mean())
+            if f + stays * dim < cost:
+                cost, focus = f + stays * dim, f
+        if not focus:
             return np.arange(keep)
-        local = min(local, 1.0)
-        c = int(np.abs(q).argmax())
-        x = q[c] / norm
-        spread = math.sqrt(max(0.0, (1 - x * x) * (1 - local * local)))
-        # A cosine of at least ``local`` puts the unit coordinate within
-        # ``spread`` of ``x * local`` on the far side of ``x``; towards ``x`` and
-        # beyond, larger cosines reach, so that side stays open.
-        low, high = (x * local - spread - 1e-9, 1.0 + 1e-9) if x >= 0 else (-1.0 - 1e-9, x * local + spread + 1e-9)
-        values, order = self.coordinate(c)
-        found = order[np.searchsorted(values, low):np.searchsorted(values, high, side="right")]
-        return found[found < keep]
+        return np.flatnonzero(self.most(u, self.unit[:keep], largest[:focus]) >= local)
 
 
 PAIR_OUT = "query_id long, vec_id long, score long"

@@ -45,6 +45,26 @@ def test_top_k(spark, scales):
     assert Counter(tuple(r) for r in got) == brute_top_k(rows, 4)
 
 
+def test_pruning_rules_out_most_of_the_given_table(spark):
+    """With the thresholds of the given vectors, whose lengths are nearly
+    equal, coordinates leave less than half of the rows, and every result."""
+    got = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").collect()
+    rows = np.floor(256 * np.array([r.embedding for r in got], dtype=np.float64))
+    block, shares = topk.Block(np.arange(len(rows)), rows), []
+    for q in range(0, len(rows), 10):
+        scores = block.rows @ rows[q]
+        least = np.sort(scores[block.ids != q])[-5]
+        kept = block.candidates(rows[q], least)
+        assert set(np.flatnonzero(scores >= least)) <= set(kept.tolist())
+        shares.append(len(kept) / len(rows))
+    assert np.mean(shares) < 0.3
+
+
+def test_top_k_of_an_empty_table(spark):
+    none = spark.createDataFrame([], "vec_id long, embedding array<double>")
+    assert topk.top_k(none, none).count() == 0
+
+
 def test_top_k_large_products(spark):
     df = spark.createDataFrame([(0, [1e6, 1e6]), (5, [2e6, 3e6]), (10, [1e30, 1.0])], "vec_id long, embedding array<double>")
     two = df.where("vec_id < 10")
@@ -114,6 +134,44 @@ def test_exact_dedup(spark, rows, local_bytes, monkeypatch):
     assert Counter(r.doc_id for r in kept.collect()) == firsts
 
 
+def test_copies_without_end_are_not_held(monkeypatch):
+    """Rows of one text leave as soon as their bytes reach the bound."""
+    import pyarrow as pa
+    monkeypatch.setattr(exact_dedup, "LOCAL_BYTES", 1 << 20)
+    monkeypatch.setattr(exact_dedup, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": staticmethod(lambda: 0)})())}))
+    rest = pa.struct([("none", pa.int32())])
+    out = pa.schema([("id", pa.int64()), ("text", pa.string()), ("rest", rest), ("mine", pa.int64()), ("local", pa.int64()),
+                     ("local_id", pa.int64()), ("local_n", pa.int64()), ("digest", pa.string())])
+    taken = 0
+
+    def batches():
+        nonlocal taken
+        for k in range(200):
+            taken += 1
+            yield pa.RecordBatch.from_arrays([pa.array(range(k * 500, k * 500 + 500)), pa.array(["copy " * 200] * 500),
+                                              pa.array([{"none": 0}] * 500, rest)], names=["id", "text", "rest"])
+
+    rows = exact_dedup._local(out, exact_dedup.sha256)(batches())
+    next(rows)
+    assert taken < 12
+    n = 500 + sum(b.num_rows for b in rows)
+    assert n == 200 * 500 and taken == 200
+
+
+def test_exact_dedup_of_an_empty_table(empty):
+    assert exact_dedup.exact_dedup(empty).count() == 0
+    kept = exact_dedup.without_copies(empty)
+    assert kept.count() == 0 and kept.columns == empty.columns
+
+
+def test_more_salts_than_the_least(spark, rows, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "PER_SALT", 1)
+    monkeypatch.setattr(exact_dedup, "SALTS", 2)
+    data = many_copies(rows)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(9)
+    assert Counter(tuple(r) for r in exact_dedup.exact_dedup(df).collect()) == brute_dedup(data)
+
+
 def test_contents_that_share_a_digest_stay_apart(spark, rows):
     data = many_copies(rows)
     df = spark.createDataFrame(data, "doc_id long, text string").repartition(9)
