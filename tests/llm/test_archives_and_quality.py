@@ -1,9 +1,11 @@
 """WARC archives by round trip, quality by held-out accuracy, the pipeline by brute force."""
 
 import hashlib
+import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from llm_data import SF_CHECK, SF_SMALL, docs, empty, rows  # noqa: F401
 from pyspark.sql import functions as F
@@ -108,6 +110,46 @@ def test_warc_of_an_empty_table(spark):
     assert warc.write_and_read(none, F.lit(0)).count() == 0
 
 
+def test_pair_loss_is_the_sum_over_all_pairs():
+    rng = np.random.default_rng(4)
+    good, bad = rng.normal(size=(7, 5)), rng.normal(size=(9, 5))
+    w, ridge = rng.normal(size=5), np.array([0.1, 0.2, 0.0, 0.3, 0.1])
+
+    def direct(w):
+        pairs = [math.log1p(math.exp(-float((g - b) @ w))) for g in good for b in bad]
+        return sum(pairs) / len(pairs) + float((ridge * w * w).sum()) / 2
+
+    loss, slope, bend = quality.pair_loss(w, good, bad, ridge)
+    assert loss == pytest.approx(direct(w))
+    for k in range(5):
+        step = np.eye(5)[k] * 1e-5
+        assert slope[k] == pytest.approx((direct(w + step) - direct(w - step)) / 2e-5, abs=1e-6)
+        ahead, behind = (quality.pair_loss(w + x, good, bad, ridge)[1] for x in (step, -step))
+        assert bend[k] == pytest.approx((ahead - behind) / 2e-5, abs=1e-6)
+
+
+def test_fit_reaches_the_least_loss():
+    rng = np.random.default_rng(5)
+    good = rng.random(80) < 0.6
+    x = rng.normal(size=(80, quality.SHAPES + 12)) + good[:, None] * rng.normal(size=quality.SHAPES + 12)
+    model = quality.fit_ranking(x, good)
+    z = model.expand(x)
+    loss, slope, _ = quality.pair_loss(model.weights, z[good], z[~good], quality.penalties(x.shape[1]))
+    assert np.abs(slope).max() < 1e-6
+    for _ in range(20):
+        other = model.weights + rng.normal(size=len(slope)) * 0.05
+        assert quality.pair_loss(other, z[good], z[~good], quality.penalties(x.shape[1]))[0] >= loss
+
+
+def test_word_classes_of_strange_texts():
+    hashes = quality.WordHashes()
+    for text in ("", " ", "one", "a b", "é É\x00", "w " * 5000):
+        x = quality.word_classes(text, hashes)
+        n = len(text.split())
+        assert x.shape == (quality.CLASSES,) and np.isfinite(x).all()
+        assert (x * x).sum() == pytest.approx((2 * n - 1) / n if n else 0)
+
+
 def test_quality_on_held_out_rows(spark):
     scores = QUERIES["op6_quality"](spark, SF_CHECK)
     rows = scores.join(read_table(spark, SF_CHECK, "labels"), "doc_id").where("held_out").collect()
