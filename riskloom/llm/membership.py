@@ -8,8 +8,6 @@ through, and the join does more of the work.  The plan is the same at any size.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pandas as pd
 import pyarrow.fs as pafs
@@ -44,9 +42,26 @@ class Filter:
         return out
 
 
-def id_filter(ids: DataFrame) -> Callable[[Column], Column]:
-    """From a table of one long column (null allowed): a test of id columns
-    that is true for all of its ids, and for few others."""
+class IdFilter:
+    """Where a filter lies: true for all of its ids, and for few others.  Tasks
+    test hashes (``xxhash64`` of the id) with ``passes``, queries with ``maybe``."""
+
+    def __init__(self, path: str, bits: int):
+        self.path, self.bits = path, bits
+
+    def passes(self, hashes: np.ndarray) -> np.ndarray:
+        return loaded_once(Filter, self.path, self.bits).maybe(hashes)
+
+    def maybe(self, column: Column) -> Column:
+        @F.pandas_udf("boolean")
+        def test(hashes: pd.Series) -> pd.Series:
+            return pd.Series(self.passes(hashes.to_numpy(np.int64)))
+
+        return test(F.xxhash64(column))
+
+
+def id_filter(ids: DataFrame) -> IdFilter:
+    """The filter of a table of one long column (null allowed)."""
     own = F.col(ids.columns[0])
     bits = 1 << 12
     wanted = ids.count() * BITS_PER_ID
@@ -57,20 +72,14 @@ def id_filter(ids: DataFrame) -> Callable[[Column], Column]:
     places = ids.select(F.explode(F.array(*[(low + k * high).bitwiseAND(bits - 1) for k in range(PROBES)])).alias("at"))
     words = places.groupBy(F.shiftright("at", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("mask"))
-    _, path = written_at(words, "id-filter")
-
-    @F.pandas_udf("boolean")
-    def maybe(hashes: pd.Series) -> pd.Series:
-        return pd.Series(loaded_once(Filter, path, bits).maybe(hashes.to_numpy(np.int64)))
-
-    return lambda column: maybe(F.xxhash64(column))
+    return IdFilter(written_at(words, "id-filter")[1], bits)
 
 
 def rows_without(docs: DataFrame, id_col: str, lost: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is not in ``lost`` (one long column);
     only rows that the filter cannot clear are shuffled.  Null ids stay."""
     own = F.col(f"`{id_col}`").cast("long")
-    maybe = id_filter(lost)(own)
+    maybe = id_filter(lost).maybe(own)
     unclear = docs.where(maybe)
     gone = lost.select(F.col(lost.columns[0]).alias("__lost")).distinct()
     exact = unclear.join(gone, unclear[f"`{id_col}`"].cast("long") == gone["__lost"], "left_anti")

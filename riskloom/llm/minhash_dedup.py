@@ -5,14 +5,17 @@
    bands of ``BAND_ROWS`` whole minima make candidates, and the low ``BITS``
    bits of all minima, packed into 64-bit words, make its signature.
 2. Classes that share a band meet in its bucket.  Each is compared with the
-   bucket's first class: equal minima are counted by bits, corrected for the
-   1 in 2**BITS that agree by chance, and candidates whose estimate is within
-   reach of the threshold are confirmed on their full sets.  Confirmed links
-   give first components, so a large group of near copies is one component
-   after a number of comparisons in proportion to its size.
+   first class that it meets: equal minima are counted by bits, corrected for
+   the 1 in 2**BITS that agree by chance, and candidates whose estimate is
+   within reach of the threshold are confirmed on their full sets.  Confirmed
+   links give first components.  Then each class is compared with the likeliest
+   class of another component in its buckets, and confirmed likewise.  So a
+   large group of near copies becomes one component after a number of
+   comparisons in proportion to its size.
 3. Within buckets, only classes of different components are still open.  Their
-   signatures are compared in chunks of bounded size; what may link is gathered
-   into blocks, and units of a block are confirmed on full sets.
+   signatures are compared in chunks of bounded size; components that may link
+   are gathered into blocks, and units of a block are confirmed on full sets,
+   but for pairs of units that one component fills.
 
 Full sets are made only for classes with a candidate; texts of all others are
 read once.  At similarity ``s`` a pair shares no band with probability
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import batch_of, discard, texts_of, written, written_at
 from .graph import components
-from .membership import id_filter
+from .membership import IdFilter, id_filter
 from .ngram_join import WordHashes, set_key, shingle_set
 
 BANDS, BAND_ROWS, BITS = 32, 5, 4
@@ -48,6 +51,9 @@ SUMMARY = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("key", pa.binary())
                      ("signature", pa.list_(pa.int64()))])
 FULL = pa.schema([("key", pa.binary()), ("set", pa.binary())])
 EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+BEST = pa.schema([("cid", pa.int64()), ("leader", pa.int64()), ("agree", pa.int64())])
+#: Open pairs by component: an edge between two (of no class), or one's open class (no other component).
+OPEN = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cid", pa.int64())])
 
 _draw = np.random.default_rng(12)
 _LOW, _HIGH = (_draw.integers(0, 2**32, size=HASHES, dtype=np.uint32) | np.uint32(1) for _ in range(2))
@@ -140,12 +146,14 @@ def _summaries(words: int):
     return run
 
 
-def _full_sets(words: int):
+def _full_sets(words: int, wanted: IdFilter):
+    """Key and set of the rows whose id may be wanted; others end here."""
     def run(batches):
         hashes = WordHashes()
         for b in batches:
+            b = b.filter(pa.array(wanted.passes(b.column(0).to_numpy())))
             for k in range(0, b.num_rows, 200):
-                sets = [shingle_set(t, hashes, words) for t in texts_of(b.column(0).slice(k, 200))]
+                sets = [shingle_set(t, hashes, words) for t in texts_of(b.column(1).slice(k, 200))]
                 yield batch_of(FULL, [[set_key(s) for s in sets], [s.tobytes() for s in sets]])
     return run
 
@@ -207,32 +215,53 @@ def _confirm_stars(percent: int):
 
 
 def _rows(column) -> np.ndarray:
-    return column.combine_chunks().values.to_numpy().reshape(len(column), WORDS)
+    return column.combine_chunks().flatten().to_numpy().reshape(len(column), WORDS)
+
+
+def _open_in(t: pa.Table, least: int):
+    """Of classes that meet in a chunk, side 0 with side 1: each class of side 0
+    with the classes of other components within reach and how many minima agree."""
+    side, cids, labels = (t.column(c).to_numpy() for c in ("side", "cid", "label"))
+    marks = _rows(t.column("signature"))
+    right = np.flatnonzero(side == 1)
+    many, many_labels = marks[right], labels[right]
+    for x in np.flatnonzero(side == 0).tolist():
+        agree = agreeing(marks[x], many)
+        near = np.flatnonzero((agree >= least) & (many_labels != labels[x]))
+        if len(near):
+            yield int(cids[x]), int(labels[x]), cids[right[near]], many_labels[near], agree[near]
+
+
+def _likeliest(least: int):
+    """Each open class with the likeliest class of another component."""
+    def run(batches):
+        for t in groups_of(batches, 3):
+            out = [(x, int(y[at]), int(agree[at])) for x, _, y, _, agree in _open_in(t, least) for at in [agree.argmax()]]
+            yield batch_of(BEST, list(zip(*out)) or [[]] * 3)
+    return run
 
 
 def _open_pairs(least: int):
-    """Of classes that meet in a chunk (side 0 with side 1), in different
-    components and within reach: edges that connect all that are so related."""
+    """Edges that connect the components that may link, and their open classes."""
     def run(batches):
         for t in groups_of(batches, 3):
-            side, cids, labels = (t.column(c).to_numpy() for c in ("side", "cid", "label"))
-            marks = _rows(t.column("signature"))
-            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-            many, many_labels = marks[right], labels[right]
-            roots, out = Roots(), []
-            for x in left.tolist():
-                near = np.flatnonzero((agreeing(marks[x], many) >= least) & (many_labels != labels[x]))
-                for y in cids[right[near]].tolist():
-                    if roots.join(int(cids[x]), y):
-                        out.append((int(cids[x]), y))
-            yield batch_of(EDGES, list(zip(*out)) or [[], []])
+            roots, out, seen = Roots(), [], set()
+            for x, own, y, theirs, _ in _open_in(t, least):
+                for label in np.unique(theirs).tolist():
+                    if roots.join(own, label):
+                        out.append((own, label, None))
+                for cid, label in ((x, own), *zip(y.tolist(), theirs.tolist())):
+                    if cid not in seen:
+                        seen.add(cid)
+                        out.append((label, None, cid))
+            yield batch_of(OPEN, list(zip(*out)) or [[]] * 3)
     return run
 
 
 def _confirm_units(percent: int, least: int):
     """Links between classes of different components of two units of a block."""
     def run(batches):
-        for t in groups_of(batches, 3):
+        for t in groups_of(batches, 5):
             side, cids, labels = (t.column(c).to_numpy() for c in ("side", "cid", "label"))
             marks = _rows(t.column("signature"))
             sets = [np.frombuffer(s, np.uint64) for s in t.column("set").to_pylist()]
@@ -254,7 +283,7 @@ def _sets_of(rows: DataFrame, classes: DataFrame, wanted: DataFrame, words: int)
     row each, found by a bounded filter of ids, become sets again."""
     chosen = written(classes.join(wanted, "cid", "left_semi").select("cid", "key", "id"), "wanted")
     maybe = id_filter(chosen.select("id").distinct())
-    full = rows.where(maybe(F.col("id"))).select("text").mapInArrow(_full_sets(words), "key binary, set binary")
+    full = rows.select(F.xxhash64("id"), "text").mapInArrow(_full_sets(words, maybe), "key binary, set binary")
     return written(full.join(chosen.select("cid", "key"), "key").dropDuplicates(["cid"]).select("cid", "set"), "full-sets")
 
 
@@ -264,37 +293,64 @@ def _chunked(rows: DataFrame, own: str, number: str, other: str) -> DataFrame:
     return rows.withColumn(own, chunk).withColumn("i" if own == "j" else "j", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
 
 
-def _open_edges(met: DataFrame, marks: DataFrame, joined: DataFrame, least: int) -> DataFrame:
-    """Pairs that step 2 left open, as edges ``a, b`` that connect them."""
-    open_ = (met.where("c > 2 and cid <> leader").join(joined, "cid", "left")
-             .select("h", "cid", F.coalesce("component", "cid").alias("label")))
+def _open_chunks(met: DataFrame, marks: DataFrame, joined: DataFrame) -> DataFrame:
+    """``h, i, j, side, cid, label, signature``: the classes of buckets that
+    hold several components, dealt so that any two of different components
+    meet in a chunk."""
+    open_ = met.join(joined, "cid", "left").select("h", "cid", F.coalesce("component", "cid").alias("label"))
     held = (open_.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("all"))
             .where("lo <> hi"))
-    rows = open_.join(held.select("h", "hi", "all"), "h")
+    rows = open_.join(held.select("h", "hi"), "h")
     # Of any two components one is not the bucket's last: those meet all.
     few = rows.where("label <> hi").groupBy("h").agg(F.count("*").alias("few"))
     parts = held.join(few, "h").select("h", F.ceil(F.col("few") / CHUNK).alias("n_i"), F.ceil(F.col("all") / CHUNK).alias("n_j"))
-    rows = written(rows.drop("all").join(parts, "h").join(marks, "cid"), "open")
+    rows = written(rows.join(parts, "h").join(marks, "cid"), "open")
     left = _chunked(rows.where("label <> hi"), "i", "n_i", "n_j").withColumn("side", F.lit(0))
     right = _chunked(rows, "j", "n_j", "n_i").withColumn("side", F.lit(1))
-    columns = ["side", "cid", "label", "signature"]
-    both = left.select("h", "i", "j", *columns).union(right.select("h", "i", "j", *columns))
-    return dealt(both, ["h", "i", "j"], columns, _open_pairs(least), "a long, b long")
-
-
-def _block_links(edges: DataFrame, members: DataFrame, sets: DataFrame, percent: int, least: int) -> DataFrame:
-    """Confirmed links within the blocks that ``edges`` connect; ``members``:
-    ``block, cid, label, signature``."""
-    parts = members.groupBy("block").agg(F.ceil(F.count("*") / UNIT).alias("n_j"))
-    filled = written(members.join(parts, "block").join(sets, "cid").withColumn(
-        "unit", F.pmod(F.xxhash64("cid"), F.col("n_j"))), "block-units")
-    columns = ["side", "cid", "label", "signature", "set"]
-    left = filled.withColumn("i", F.col("unit")).withColumn("side", F.lit(0)).withColumn(
-        "j", F.explode(F.sequence(F.col("unit"), F.col("n_j") - 1)))
-    right = filled.where("unit > 0").withColumn("j", F.col("unit")).withColumn("side", F.lit(1)).withColumn(
-        "i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("unit") - 1)))
-    both = left.select("block", "i", "j", *columns).union(right.select("block", "i", "j", *columns))
-    return dealt(both, ["block", "i", "j"], columns, _confirm_units(percent, least), "a long, b long")
+    columns = ["h", "i", "j", "side", "cid", "label", "signature"]
+    return left.select(*columns).union(right.select(*columns))
+
+
+CHUNK_KEYS, CHUNK_COLUMNS = ["h", "i", "j"], ["side", "cid", "label", "signature"]
+
+
+def _confirmed_pairs(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """The links among ``cid, leader``, confirmed on full sets: the classes of
+    one leader are dealt into units, each with the leader's set."""
+    parts = pairs.groupBy("leader").agg(F.ceil(F.count("*") / UNIT).alias("parts"))
+    chunk = F.pmod(F.xxhash64("cid"), F.col("parts"))
+    spokes = pairs.join(parts, "leader").select("leader", chunk.alias("chunk"), "cid")
+    hubs = spokes.select("leader", "chunk").distinct().withColumn("cid", F.col("leader"))
+    return dealt(spokes.union(hubs).join(full, "cid"), ["leader", "chunk"], ["cid", "set"], _confirm_stars(percent),
+                 "a long, b long")
+
+
+def _block_links(members: DataFrame, sets: DataFrame, percent: int, least: int) -> DataFrame:
+    """Confirmed links within blocks; ``members``: ``block, cid, label, signature``.
+
+    A component that is large in its block fills units of its own; smaller
+    ones share units.  Units meet in pairs, but for two of one component."""
+    labels = members.groupBy("block", "label").agg(F.count("*").alias("n"))
+    shared = labels.where(F.col("n") <= UNIT // 2).groupBy("block").agg(F.ceil(F.sum("n") / UNIT).alias("n_shared"))
+    placed = members.join(labels, ["block", "label"]).join(shared, "block", "left")
+    large = F.col("n") > UNIT // 2
+    filled = written(placed.join(sets, "cid").select(
+        "block", "cid", "label", "signature", "set", F.when(large, F.col("label")).otherwise(-1).alias("of"),
+        F.when(large, F.pmod(F.xxhash64("cid"), F.ceil(F.col("n") / UNIT)))
+        .otherwise(F.pmod(F.xxhash64("label"), F.col("n_shared"))).alias("part")), "block-units")
+    units = filled.select("block", "of", "part").distinct()
+    other = units.select("block", F.col("of").alias("of2"), F.col("part").alias("part2"))
+    pairs = written(units.join(other, "block").where("(of < of2 or (of = of2 and of = -1 and part <= part2))"), "unit-pairs")
+    keys, columns = ["block", "of", "part", "of2", "part2"], ["side", "cid", "label", "signature", "set"]
+    left = filled.join(pairs, ["block", "of", "part"]).withColumn("side", F.lit(0))
+    right = (filled.withColumnsRenamed({"of": "of2", "part": "part2"})
+             .join(pairs.where("of <> of2 or part <> part2"), ["block", "of2", "part2"]).withColumn("side", F.lit(1)))
+    both = left.select(*keys, *columns).union(right.select(*keys, *columns))
+    return dealt(both, keys, columns, _confirm_units(percent, least), "a long, b long")
+
+
+def _joined(found: DataFrame) -> DataFrame:
+    return components(found).select(F.col("node").alias("cid"), "component")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 4, id_col: str = "doc_id",
@@ -328,28 +384,36 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 4, id_col:
     banded = classes.select(F.explode("bands").alias("h"), "cid")
     buckets = banded.groupBy("h").agg(F.min("cid").alias("leader"), F.count("*").alias("c")).where("c > 1")
     met, met_path = written_at(banded.join(buckets, "h"), "buckets")
-    pairs = (met.where("cid <> leader").select("cid", "leader").distinct()
-             .join(marks, "cid").join(marks.select(F.col("cid").alias("leader"), F.col("signature").alias("first")), "leader"))
+    # Each class with the first one that it meets anywhere.
+    first = met.where("cid <> leader").groupBy("cid").agg(F.min("leader").alias("leader"))
+    pairs = first.join(marks, "cid").join(marks.select(F.col("cid").alias("leader"), F.col("signature").alias("first")), "leader")
     stars = written(pairs.where(agreeing_columns("signature", "first") >= least).select("cid", "leader"), "stars")
     full = _sets_of(rows, classes, stars.select("cid").union(stars.select("leader")).distinct(), words)
-    parts = stars.groupBy("leader").agg(F.ceil(F.count("*") / UNIT).alias("parts"))
-    chunk = F.pmod(F.xxhash64("cid"), F.col("parts"))
-    spokes = stars.join(parts, "leader").select("leader", chunk.alias("chunk"), "cid")
-    hubs = spokes.select("leader", "chunk").distinct().withColumn("cid", F.col("leader"))
-    starred = dealt(spokes.union(hubs).join(full, "cid"), ["leader", "chunk"], ["cid", "set"], _confirm_stars(percent),
-                    "a long, b long")
-    found = written(starred, "links")
-    joined = components(found).select(F.col("node").alias("cid"), "component")
-
-    edges = written(_open_edges(met, marks, joined, least), "open-edges")
+    found = written(_confirmed_pairs(stars, full, percent), "links")
+
+    def more(wanted: DataFrame) -> DataFrame:
+        missing = wanted.join(full, "cid", "left_anti").select("cid").distinct()
+        return full.unionByName(_sets_of(rows, classes, missing, words))
+
+    # Each open class with the likeliest one of another component.
+    joined = _joined(found)
+    best = dealt(_open_chunks(met, marks, joined), CHUNK_KEYS, CHUNK_COLUMNS, _likeliest(least), "cid long, leader long, agree long")
+    likely = written(best.groupBy("cid").agg(F.max_by("leader", F.struct("agree", "leader")).alias("leader")), "likeliest")
+    full = more(likely.select("cid").union(likely.select("leader")))
+    found = written(found.union(_confirmed_pairs(likely, full, percent)), "links")
+
+    # All that is open then.
+    joined = _joined(found)
+    open_ = written(dealt(_open_chunks(met, marks, joined), CHUNK_KEYS, CHUNK_COLUMNS, _open_pairs(least),
+                          "a long, b long, cid long").distinct(), "open-pairs")
     discard(spark, met_path)
-    blocks = components(edges).select(F.col("node").alias("cid"), F.col("component").alias("block"))
-    missing = blocks.join(full, "cid", "left_anti").select("cid")
-    full = full.unionByName(_sets_of(rows, classes, missing, words))
-    members = (blocks.join(joined, "cid", "left").join(marks, "cid")
-               .select("block", "cid", F.coalesce("component", "cid").alias("label"), "signature"))
-    found = written(found.union(_block_links(edges, members, full, percent, least)), "links")
-    joined = components(found).select(F.col("node").alias("cid"), "component")
+    blocks = components(open_.where("b IS NOT NULL").select("a", "b")).select(F.col("node").alias("label"), F.col("component").alias("block"))
+    members = (open_.where("b IS NULL").select("cid", F.col("a").alias("label")).join(blocks, "label").join(marks, "cid")
+               .select("block", "cid", "label", "signature"))
+    members = written(members, "block-members")
+    full = more(members.select("cid"))
+    found = written(found.union(_block_links(members, full, percent, least)), "links")
+    joined = _joined(found)
 
     smallest = classes.join(joined, "cid").groupBy("component").agg(F.min("id").alias("component_id"))
     known = (classes.select("cid", "key", "copies", "id").join(joined, "cid", "left").join(smallest, "component", "left")
