@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written, written_at
+
+#: Shares into which the nodes that look one label up are dealt.
+SHARES = 8
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -18,21 +21,27 @@ def components(edges: DataFrame) -> DataFrame:
     edges share are plain equi-joins, which adaptive execution splits; sums by
     node combine before they are shuffled.  Each round is a written table.
     """
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label")), "labels")
+    spark = edges.sparkSession
+    both, both_path = written_at(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges")
+    labels, path = written_at(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label")), "labels")
     while True:
         near = (both.join(labels.select(F.col("node").alias("b"), "label"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near")))
-        hooked = written(labels.join(near, "node").select(
+        hooked, hooked_path = written_at(labels.join(near, "node").select(
             "node", "label", F.least("label", "near").alias("low")), "hooked")
         offers = hooked.select("node", "low").union(hooked.select(F.col("label").alias("node"), "low"))
-        # Written, so that the joins below read plain shuffles on both sides and
-        # the label that a large component shares can be split.
-        low = written(offers.groupBy("node").agg(F.min("low").alias("low")), "low")
-        jumped = (hooked.select("node", "label").join(low, "node")
-                  .join(low.select(F.col("node").alias("low"), F.col("low").alias("next")), "low")
+        low, low_path = written_at(offers.groupBy("node").agg(F.min("low").alias("low")), "low")
+        # All nodes of a component look the same label up: its rows are dealt into shares.
+        looked_up = low.select(F.col("node").alias("low"), F.col("low").alias("next"),
+                               F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))).alias("share"))
+        share = F.pmod(F.xxhash64("node"), F.lit(SHARES)).cast("int")
+        jumped = (hooked.select("node", "label").join(low, "node").withColumn("share", share)
+                  .join(looked_up, ["low", "share"])
                   .select("node", F.col("next").alias("label"), (F.col("next") != F.col("label")).alias("moved")))
-        after = written(jumped, "labels")
-        labels = after.select("node", "label")
+        after, after_path = written_at(jumped, "labels")
+        for done in (path, hooked_path, low_path):
+            discard(spark, done)
+        labels, path = after.select("node", "label"), after_path
         if after.where("moved").isEmpty():
+            discard(spark, both_path)
             return labels.select("node", F.col("label").alias("component"))

@@ -9,8 +9,9 @@
    share lie beyond almost every prefix.
 3. Classes that a shared prefix shingle connects, directly or not, form a
    block; others can link with nothing.  A block is cut by length (only
-   neighbouring length bands can link) and into units of bounded size, and
-   every pair of units that may hold links meets in one task.
+   neighbouring length bands can link) and into units of bounded size by the
+   rarest prefix shingle, and the pairs of units that share a prefix shingle
+   meet in a task each.
 4. There the sets of one unit are stored, most frequent shingle first, as a
    prefix tree: sets share the paths they have in common.  Each set of the other
    unit walks the tree once, reusing the overlap counted on a shared path, and
@@ -32,14 +33,14 @@ from pyspark.sql import functions as F
 
 from .common import batch_of, discard, texts_of, written, written_at
 from .graph import components
+from .membership import IdFilter, id_filter, rows_without
 
 #: Odd multiplier of the shingle hash.
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Sets of a unit: a task holds two units.
 UNIT = 512
-#: Ids up to this many go to every executor (about 16 MB as a hash table); more
-#: are joined by shuffle.
-BROADCAST_IDS = 200_000
+#: Shares into which the rows of one large component are dealt when its id is looked up.
+SALTS = 8
 SETS = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("key", pa.binary()), ("region", pa.int32()),
                   ("listed", pa.list_(pa.int64()))])
 FULL = pa.schema([("key", pa.binary()), ("set", pa.binary())])
@@ -86,9 +87,10 @@ def least_overlap(n, percent: int):
 
 def region_limit(percent: int) -> int:
     """Shingles whose low 16 bits are below this stand first in the global
-    order.  It takes in 4/3 of the share of a set that a prefix needs, so a
-    prefix lies within it but for small sets."""
-    return min(0x10000, 0x10000 * (100 - percent) // 75 + 1)
+    order.  It takes in 5/3 of the share of a set that a prefix needs (one
+    sixth of all shingles at 90 %, one third at 80 %): the rarest of them fill
+    the prefix, and common passages stay out of it."""
+    return min(0x10000, 0x10000 * (100 - percent) // 60 + 1)
 
 
 def _summaries(percent: int, n: int):
@@ -109,12 +111,14 @@ def _summaries(percent: int, n: int):
     return run
 
 
-def _full_sets(n: int):
+def _full_sets(n: int, wanted: IdFilter):
+    """Key and set of the rows whose id may be wanted; others end here."""
     def run(batches):
         hashes = WordHashes()
         for b in batches:
+            b = b.filter(pa.array(wanted.passes(b.column(0).to_numpy())))
             for k in range(0, b.num_rows, 200):
-                sets = [shingle_set(t, hashes, n) for t in texts_of(b.column(0).slice(k, 200))]
+                sets = [shingle_set(t, hashes, n) for t in texts_of(b.column(1).slice(k, 200))]
                 yield batch_of(FULL, [[set_key(s) for s in sets], [s.tobytes() for s in sets]])
     return run
 
@@ -279,13 +283,17 @@ def similarity_join(docs: DataFrame, percent: int = 90, words: int = 3, id_col:
     members = blocks.select(F.col("node").alias("cid"), F.col("component").alias("block")).join(
         classes.select("cid", "key", "id", "n", "copies"), "cid").withColumn("band", band)
     members = written(members, "members")
-    links = written(_linked(rows, members, percent, words), "links")
+    links = _linked(rows, members, prefixes, percent, words)
     discard(rows.sparkSession, prefix_path)
     joined = components(links.where("a <> b").select("a", "b")).select(F.col("node").alias("cid"), "component")
     reached = classes.select("cid", "id").join(joined, "cid")
     least = reached.groupBy("component").agg(F.min("id").alias("component_id"))
     counted = links.where("a = b").groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("links"))
-    known = (classes.select("cid", "key", "copies", "id").join(joined, "cid", "left").join(least, "component", "left")
+    # All members of a component look its id up: the rows of one are dealt into shares.
+    shares = least.select("component", "component_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("share"))
+    share = F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int")
+    joined = joined.withColumn("share", share).join(shares, ["component", "share"]).select("cid", "component_id")
+    known = (classes.select("cid", "key", "copies", "id").join(joined, "cid", "left")
              .join(counted, "cid", "left")
              .select("key", F.coalesce("component_id", "id").alias("component_id"),
                      (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
@@ -295,34 +303,60 @@ def similarity_join(docs: DataFrame, percent: int = 90, words: int = 3, id_col:
                     F.coalesce("n_links", F.lit(0)).alias("n_links")))
 
 
-def _linked(rows: DataFrame, members: DataFrame, percent: int, words: int) -> DataFrame:
+def _linked(rows: DataFrame, members: DataFrame, prefixes: DataFrame, percent: int, words: int) -> DataFrame:
     """Spanning links (``a <> b``) and numbers of links (``a = b``) of classes."""
-    wanted = members.select(F.col("id").alias("wanted")).distinct()
-    if members.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    texts = rows.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
-    full = texts.mapInArrow(_full_sets(words), "key binary, set binary")
-    held = members.groupBy("block", "band").agg(F.ceil(F.count("*") / UNIT).cast("int").alias("parts"),
-                                                F.count("*").alias("size"))
-    unit = F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")
-    filled = (members.join(held, ["block", "band"]).join(full, "key")
-              .dropDuplicates(["cid"]).select("block", "band", unit.alias("unit"), "cid", "copies", "set"))
-    filled = written(filled, "filled")
-    ones = held.select("block", "band", "parts", "size", F.explode(F.array(F.lit(0), F.lit(1))).alias("step"))
-    others = held.select("block", (F.col("band")).alias("band2"), F.col("parts").alias("parts2"))
-    pairs = (ones.withColumn("band2", F.col("band") + F.col("step")).join(others, ["block", "band2"])
-             .where("step = 1 or size > 1")
-             .select("block", "band", "step", "band2", "parts2", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("unit"))
-             .select("block", "band", "step", "band2", "unit",
-                     F.explode(F.sequence(F.when(F.col("step") == 0, F.col("unit")).otherwise(0), F.col("parts2") - 1))
-                     .alias("unit2")))
-    pairs = written(pairs, "unit-pairs")
+    wanted = id_filter(members.select("id").distinct())
+    full = rows.select(F.xxhash64("id"), "text").mapInArrow(_full_sets(words, wanted), "key binary, set binary")
+    # Classes of one unit have the same rarest prefix shingle as far as it goes,
+    # so that a unit shares shingles with few other units.
+    shared = prefixes.groupBy("tok").agg(F.count("*").alias("c")).where("c > 1")
+    common = written(prefixes.join(shared, "tok").join(members.select("cid", "block", "band"), "cid"), "common")
+    homes = common.groupBy("cid").agg(F.min(F.struct("c", "tok")).alias("home"))
+    held = members.groupBy("block", "band").agg(F.ceil(F.count("*") / UNIT).cast("int").alias("parts"))
+    crowd = F.ceil(F.col("home.c") / UNIT)
+    unit = F.pmod(F.xxhash64("home.tok", F.pmod(F.xxhash64("cid"), crowd)), F.col("parts")).cast("int")
+    placed = written(members.select("cid", "block", "band", "copies", "key").join(held, ["block", "band"])
+                     .join(homes, "cid").withColumn("unit", unit).drop("parts", "home"), "placed")
+    filled, filled_path = written_at(placed.join(full, "key").dropDuplicates(["cid"])
+                                     .select("block", "band", "unit", "cid", "copies", "set"), "filled")
+    # Two units meet if a class of one shares a prefix shingle with a class of the other.
+    units = common.join(placed.select("cid", "unit"), "cid").groupBy("tok", "block", "band", "unit").agg(F.count("*").alias("n"))
+    pairs = _unit_pairs(written(units, "shingle-units"), placed)
+    pairs, pairs_path = written_at(pairs, "unit-pairs")
     key = ["block", "band", "step", "unit", "unit2"]
     left = filled.join(pairs, ["block", "band", "unit"]).select(*key, "cid", "copies", "set", F.lit(0).alias("side"))
     right = (filled.select("block", F.col("band").alias("band2"), F.col("unit").alias("unit2"), "cid", "copies", "set")
              .join(pairs.where("step = 1 or unit <> unit2"), ["block", "band2", "unit2"])
              .select(*key, "cid", "copies", "set", F.lit(1).alias("side")))
-    return left.unionByName(right).groupBy(*key).applyInPandas(_join_units(percent), LINKS)
+    found = written(left.unionByName(right).groupBy(*key).applyInPandas(_join_units(percent), LINKS), "links")
+    for path in (filled_path, pairs_path):
+        discard(rows.sparkSession, path)
+    return found
+
+
+def _unit_pairs(units: DataFrame, placed: DataFrame) -> DataFrame:
+    """``block, band, step, band2, unit, unit2`` of the units that meet.  A
+    length band of one unit (all but large ones) needs no look at shingles:
+    only pairs within large bands are told by them, in the order of units, so
+    that a shingle of many units is a few rows per unit pair at most once."""
+    bands = placed.groupBy("block", "band").agg((F.max("unit") + 1).alias("n_units"), F.count("*").alias("size"))
+    next_ = bands.select("block", F.col("band").alias("band2"), F.col("n_units").alias("n_units2"))
+    single = bands.where("n_units = 1")
+    within = single.where("size > 1").select("block", "band", F.lit(0).alias("step"), F.col("band").alias("band2"),
+                                             F.lit(0).alias("unit"), F.lit(0).alias("unit2"))
+    across = (single.withColumn("band2", F.col("band") + 1).join(next_.where("n_units2 = 1"), ["block", "band2"])
+              .select("block", "band", F.lit(1).alias("step"), "band2", F.lit(0).alias("unit"), F.lit(0).alias("unit2")))
+    # The rest: units that share a shingle.
+    large = bands.where("n_units > 1").select("block", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band")).distinct()
+    some = units.join(large, ["block", "band"], "left_semi").select("tok", "block", "band", "unit")
+    other = some.select("tok", "block", F.col("band").alias("band2"), F.col("unit").alias("unit2"))
+    told = (some.join(other, ["tok", "block"]).where("band2 = band + 1 or (band2 = band and unit <= unit2)")
+            .select("block", "band", (F.col("band2") - F.col("band")).alias("step"), "band2", "unit", "unit2").distinct())
+    told = told.join(single.select("block", "band", F.lit(True).alias("one")), ["block", "band"], "left").join(
+        single.select("block", F.col("band").alias("band2"), F.lit(True).alias("one2")), ["block", "band2"], "left")
+    told = told.where("not (coalesce(one, false) and coalesce(one2, false))")
+    columns = ["block", "band", "step", "band2", "unit", "unit2"]
+    return within.union(across).union(told.select(*columns))
 
 
 def one_per_group(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_id",
@@ -331,10 +365,8 @@ def one_per_group(docs: DataFrame, percent: int = 90, words: int = 3, id_col: st
     with the smallest id stays (null last; of repeated ids one row)."""
     found = written(similarity_join(docs, percent, words, id_col, text_col), "found")
     if found.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").isEmpty():
-        lost = found.where("doc_id <> component_id").select(F.col("doc_id").alias("lost"))
-        if lost.count() <= BROADCAST_IDS:  # else both sides are shuffled
-            lost = F.broadcast(lost)
-        return docs.join(lost, docs[id_col].cast("long") == lost["lost"], "left_anti")
+        lost = found.where("doc_id <> component_id").select("doc_id")
+        return rows_without(docs, id_col, lost)
     # Ids that are null or repeat do not name a row: number the rows and decide by number.
     rows = written(docs.select(F.monotonically_increasing_id().alias("uid"), F.struct("*").alias("row")), "rows")
     flat = rows.select("uid", F.col(f"row.`{text_col}`").alias("text"))
@@ -344,4 +376,4 @@ def one_per_group(docs: DataFrame, percent: int = 90, words: int = 3, id_col: st
     found = written(found.join(order, "uid"), "found")
     stays = found.groupBy("component_id").agg(F.min("order").alias("stays"))
     lost = found.join(stays, "component_id").where("uid <> stays.uid").select("uid")
-    return rows.join(lost, "uid", "left_anti").select("row.*")
+    return rows_without(rows, "uid", lost).select("row.*")
