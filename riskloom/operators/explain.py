@@ -7,14 +7,16 @@ logistic member adds coefficient times value to its intercept.  Base and
 contributions sum to the raw score of every row and member.
 
 The trees come from the saved model's node tables as one row of bounded size
-(the model's own), and every row walks them with as many column expressions as
-a tree is deep: no Python on the way.
+(the model's own); a task walks each tree with a batch of rows at a time, in as
+many array steps as the tree is deep, so no row is repeated per tree.
 """
 
 from __future__ import annotations
 
 import os
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -38,24 +40,50 @@ def saved_trees(spark, stage_path: str) -> DataFrame:
     return nodes.join(weights, "treeID").agg(F.collect_list(F.struct("treeID", "weight", "nodes")).alias("trees"))
 
 
+def walked(x: np.ndarray, trees: list[tuple], depth: int) -> np.ndarray:
+    """Per row of ``x`` the base and each feature's contribution, NaN for those
+    that no path of the row asks about; ``trees``: weight and node columns."""
+    n, width = x.shape
+    base, rows = np.zeros(n), np.arange(n) * (width + 1)
+    out, asked = np.zeros(n * (width + 1)), np.zeros(n * (width + 1), dtype=bool)
+    flat, cells = x.ravel(), np.arange(n) * width
+    for weight, feature, threshold, left, right, value in trees:
+        base += weight * value[0]
+        at = np.zeros(n, dtype=np.int64)
+        for _ in range(depth):
+            f = feature[at]
+            inner = f >= 0
+            if not inner.any():
+                break
+            to = np.where(flat[cells + np.maximum(f, 0)] <= threshold[at], left[at], right[at])
+            to = np.where(inner, to, at)
+            place = rows + f + 1  # a leaf adds nothing to the base's place
+            out[place] += weight * (value[to] - value[at])
+            asked[place] = True
+            at = to
+    out, asked = out.reshape(n, width + 1), asked.reshape(n, width + 1)
+    out[~asked] = np.nan
+    out[:, 0] = base
+    return out
+
+
 def tree_contributions(rows: DataFrame, trees: DataFrame, depth: int, key: str) -> DataFrame:
     """``key, position, contribution`` (position -1: the base) of a boosted
     member; ``rows``: ``key`` (unique) and the feature array ``x``."""
-    one = F.lit(1).alias("_one")
-    d = (rows.select(key, "x", one).join(F.broadcast(trees.select("trees", one)), "_one")
-         .select(key, "x", F.explode("trees").alias("t")).select(key, "x", F.col("t.weight").alias("w"), F.col("t.nodes").alias("nodes")))
-    d = d.withColumn("_at", F.lit(0))
-    steps = [F.struct(F.lit(-1).alias("position"), (F.col("w") * F.col("nodes")[0]["value"]).alias("contribution"))]
-    for k in range(depth):
-        node = F.col("nodes")[F.col("_at")]
-        goes_left = F.col("x")[F.col(f"_f{k}")] <= node["threshold"]
-        d = d.withColumn(f"_f{k}", node["feature"])
-        d = d.withColumn("_to", F.when(F.col(f"_f{k}") < 0, F.col("_at")).when(goes_left, node["left"]).otherwise(node["right"]))
-        d = d.withColumn(f"_d{k}", F.col("w") * (F.col("nodes")[F.col("_to")]["value"] - node["value"]))
-        d = d.withColumn("_at", F.col("_to"))
-        steps.append(F.struct(F.when(F.col(f"_f{k}") >= 0, F.col(f"_f{k}")).alias("position"), F.col(f"_d{k}").alias("contribution")))
-    long = d.select(key, F.inline(F.array(*steps))).where(F.col("position").isNotNull())
-    return long.groupBy(key, "position").agg(F.sum("contribution").alias("contribution"))
+    # One row per model: its nodes go to the tasks with the function.
+    model = []
+    for t in trees.first()["trees"] or []:
+        column = {c: [n[c] for n in t["nodes"]] for c in ("feature", "threshold", "left", "right", "value")}
+        model.append((t["weight"], np.array(column["feature"]),
+                      np.array([np.nan if v is None else v for v in column["threshold"]], dtype=float),
+                      np.array(column["left"]), np.array(column["right"]), np.array(column["value"], dtype=float)))
+
+    @F.pandas_udf("array<double>")
+    def contributions(x: pd.Series) -> pd.Series:
+        return pd.Series(list(walked(np.vstack(x.to_list()), model, depth)) if len(x) else [], dtype=object)
+
+    long = rows.select(key, F.posexplode(contributions("x")).alias("_place", "contribution")).where(~F.isnan("contribution"))
+    return (long.groupBy(key, (F.col("_place") - 1).alias("position")).agg(F.sum("contribution").alias("contribution")))
 
 
 def explanations(spark, model: PipelineModel, model_path: str, df: DataFrame, key: str = "booking_id") -> DataFrame:
