@@ -10,9 +10,7 @@ queries use.
 from __future__ import annotations
 
 import os
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -21,8 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import scratch_path
 from . import importance as imp
+from .boosting import fit_boosted
 from .prep import class_counts, require_columns, require_numeric
 from .scoring import soft_vote, vote_class
 
@@ -87,12 +86,10 @@ def fit_ensemble(train: DataFrame, features: list[str], label_col: str, **params
     """L2-L4 + L7 fit: one pipeline model (assembler + three members).
 
     The vectors are assembled and kept once, in partitions sized by the rows;
-    the members only read them, so they are fitted side by side.
+    the members only read them.  The boosted members are grown together in one
+    barrier stage, after the logistic one: it needs all its tasks at once.
     """
     p = {**DEFAULTS, **params}
-    # Boosted trees checkpoint their state every 10 rounds (checkpointInterval)
-    # into the context's checkpoint folder; make sure it is the shared one.
-    ensure_checkpoint_dir(train.sparkSession)
     require_columns(train, [*features, label_col])
     require_numeric(train, features)
     n0, n1 = class_counts(train, label_col)
@@ -102,9 +99,8 @@ def fit_ensemble(train: DataFrame, features: list[str], label_col: str, **params
     cores = train.sparkSession.sparkContext.defaultParallelism
     ready = ready.repartition(fit_partitions(n0 + n1, cores)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        with ThreadPoolExecutor(len(MEMBERS)) as pool:
-            fits = [pool.submit(inheritable_thread_target(train.sparkSession)(m.fit), ready) for m in _members(n0 + n1, p)]
-            return PipelineModel([asm, *[f.result() for f in fits]])
+        lr, *boosted = _members(n0 + n1, p)
+        return PipelineModel([asm, lr.fit(ready), *fit_boosted(ready, boosted, len(features), n0 / n1)])
     finally:
         ready.unpersist()
 

@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..operators import importance, metrics, models, monitoring, prep, quality, scoring
 from ..session import scratch_path
@@ -511,11 +512,14 @@ def fitted_ensemble(spark, sf_dir):
     key = (_session_key(spark), sf_dir)
     if key not in _FITTED:
         s = split_df(spark, sf_dir)
-        train = s.where(F.col("split") == "train").drop("split")
+        train = s.where(F.col("split") == "train").drop("split").persist(StorageLevel.MEMORY_AND_DISK)
         feats = prep.feature_columns(booking_df(spark, sf_dir))
         run = "fit_" + uuid.uuid4().hex[:12]
-        _FITTED[key] = models.train_with_selection(spark, train, feats, derived.LABEL_COL,
-                                                   IMPORTANCE_THRESHOLD, run_id=run)
+        try:  # both fits read the rows
+            _FITTED[key] = models.train_with_selection(spark, train, feats, derived.LABEL_COL,
+                                                       IMPORTANCE_THRESHOLD, run_id=run)
+        finally:
+            train.unpersist()
     return _FITTED[key]
 
 
