@@ -241,3 +241,69 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     folder = strange_folder(spark, tmp_path, [])
     out = corpus_pipeline.run(spark, folder)
     assert out.count() == 0 and "sequence_id" in out.columns
+
+
+def labelled_words(n=700):
+    """Texts of good and bad words, more or less mixed, and their labels."""
+    rng = random.Random(8)
+    good, bad = [["w%d%s" % (k, end) for k in range(60)] for end in ("ing", "ed")]
+    rows = []
+    for i in range(n):
+        share = rng.random()
+        words = [rng.choice(good if rng.random() < share else bad) for _ in range(rng.randint(1, 60))]
+        rows.append((i, " ".join(words) + ("!" if rng.random() < 0.2 else ""), int(share + rng.gauss(0, 0.2) > 0.35)))
+    return rows
+
+
+def test_the_fit_is_that_of_all_pairs_in_memory(spark):
+    rows = labelled_words()
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(5)
+    kept, _ = quality.kept_features(df.select("doc_id", "text"), "doc_id", "text")
+    model = quality.train(kept, df.select("doc_id", "quality"))
+    used = {r.doc_id for r in df.where(~quality.held_out()).collect()}
+    x = quality._feature_rows([t for i, t, _ in rows if i in used])
+    good = np.array([q == 1 for i, _, q in rows if i in used])
+    want = quality.fit_ranking(x, good)
+    assert np.abs(model.mean - want.mean).max() < 1e-9 and np.abs(model.scale - want.scale).max() < 1e-6
+    assert np.abs(model.score(x) - want.score(x)).max() < 0.01
+    z, ridge = want.expand(x), quality.penalties(x.shape[1])
+    loss = [quality.pair_loss(m.weights, z[good], z[~good], ridge)[0] for m in (model, want)]
+    assert loss[1] <= loss[0] < loss[1] + 1e-6
+    assert (model.score(x) < 0.7).sum() == (~good).sum()
+
+
+def test_the_fit_reads_every_labelled_row(spark):
+    """Each row's label counts, however many there are, and once per label of its id."""
+    n = 12_000
+    df = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, "fine words").otherwise("bad !! words").alias("text"),
+                               (F.col("id") % 3 > 0).cast("int").alias("quality"))
+    labels = df.select("doc_id", "quality").unionByName(df.where("doc_id < 90").select("doc_id", "quality"))
+    kept, _ = quality.kept_features(df.select("doc_id", "text"), "doc_id", "text")
+    ids = df.where(~quality.held_out())
+    seen = []
+    real = quality.cut_and_spread
+    quality.cut_and_spread = lambda scores, n, bad: seen.append((n, bad, scores.agg(F.sum("w")).first()[0])) or real(scores, n, bad)
+    try:
+        quality.train(kept, labels)
+    finally:
+        quality.cut_and_spread = real
+    bad = ids.where("quality = 0").count() + ids.where("quality = 0 and doc_id < 90").count()
+    whole = ids.count() + ids.where("doc_id < 90").count()
+    assert whole > 9_000 > 8_000 and seen == [(whole, bad, whole)]
+
+
+def test_kept_features_are_those_of_the_text(spark):
+    texts = ["", None, " ", "one", "w " * 5000, "a b " * 300 + "é\x00", "It's 5!! | http://x.org"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = quality.kept_features(df, "doc_id", "text")[0].orderBy("id").toArrow().combine_chunks().to_batches()[0]
+    assert (quality.unpacked(got.column(1), got.column(2)) == quality._feature_rows(texts)).all()
+
+
+def test_cut_keeps_equal_scores_together(spark):
+    def cut(values, bad):
+        rows = [(int(v * quality.UNITS), 1) for v in values]
+        return quality.cut_and_spread(spark.createDataFrame(rows, "v long, w long"), len(values), bad)
+
+    assert cut([-3, 1, 2, 5, 9.5], 2) == (1.5, 3.5 / 4)
+    assert cut([1, 2, 2, 2, 9], 2)[0] == 1.5 and cut([1, 2, 2, 2, 9], 3)[0] == 5.5
+    assert cut([4, 4, 4], 1)[0] < 4 and cut([-7, 7], 1)[0] == 0
