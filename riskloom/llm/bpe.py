@@ -80,8 +80,8 @@ class Merger:
         if n == 0:
             return ids, np.zeros(0, dtype=np.int64)
         done_at, done_id = [], []
-        sym, at = ids, np.arange(n)
-        word = np.concatenate(([0], np.cumsum(last[:-1])))
+        sym, at = ids, np.arange(n, dtype=np.int32)
+        word = np.concatenate(([0], np.cumsum(last[:-1]))).astype(np.int32)
         rank = np.full(n, NEVER)
         inside = np.flatnonzero(~last)
         rank[inside] = self.pairs.rank(sym[inside], sym[inside + 1])
@@ -90,18 +90,20 @@ class Merger:
             lengths = np.diff(np.append(starts, len(sym)))
             best = np.repeat(np.minimum.reduceat(rank, starts), lengths)
             closed = best == NEVER
-            if closed.any():
-                done_at.append(at[closed])
-                done_id.append(sym[closed])
-                open_ = ~closed
-                sym, at, word, rank, best = sym[open_], at[open_], word[open_], rank[open_], best[open_]
-                if not len(sym):
+            done = np.flatnonzero(closed)
+            if len(done):
+                done_at.append(at[done])
+                done_id.append(sym[done])
+                if len(done) == len(sym):
                     break
+                open_ = np.flatnonzero(~closed)
+                sym, at, word, rank, best = sym[open_], at[open_], word[open_], rank[open_], best[open_]
             hit = np.flatnonzero(rank == best)
             hit = hit[np.concatenate(([True], word[hit[1:]] != word[hit[:-1]]))]
             sym[hit] = self.pairs.merged[rank[hit]]
             keep = np.ones(len(sym), dtype=bool)
             keep[hit + 1] = False
+            keep = np.flatnonzero(keep)
             now = hit - np.arange(len(hit))
             sym, at, word, rank = sym[keep], at[keep], word[keep], rank[keep]
             follows = np.append(word[1:] == word[:-1], False)

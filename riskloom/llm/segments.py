@@ -36,6 +36,8 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .bpe import Merger
 from .common import Memo, chunks, u32
@@ -155,21 +157,40 @@ class ByteLevel:
         ends[word_ends[word_ends > 0] - 1] = True
         return ends
 
-    def cut(self, text: str) -> list[str] | None:
-        """The text's words without the space before each; what has none or
-        more white space before it is marked.  None if the library must see
-        the text whole."""
+    def cut(self, text: str) -> str | list[str] | None:
+        """The text's words without the space before each, as they stand
+        between spaces or listed; what has none or more white space before it
+        is marked.  None if the library must see the text whole."""
         if not self.cuts or ODD.search(text):
             return None
         if not text or "  " in text or "\n " in text or "\t " in text or "\r " in text or text[0] == " " or text[-1] == " ":
             return [NO_SPACE + w for w in RUNS.findall(text)]
-        return (NO_SPACE + text).split(" ")
+        return NO_SPACE + text
 
     def encode(self, texts: Iterator[str]) -> Iterator[bytes]:
-        for some in chunks(texts):
+        for some in chunks(texts, 2_000_000, 2_048):
             cuts = [self.cut(t) for t in some]
-            for text, cut, ids in zip(some, cuts, self.words.values([c or [] for c in cuts])):
-                yield self.whole(text) if cut is None else b"".join(ids)
+            spaced = self.encode_spaced([c for c in cuts if isinstance(c, str)])
+            for text, cut in zip(some, cuts):
+                if isinstance(cut, str):
+                    yield next(spaced)
+                else:
+                    yield self.whole(text) if cut is None else b"".join(self.words.values([cut])[0])
+
+    def encode_spaced(self, texts: list[str]) -> Iterator[bytes]:
+        """Arrow cuts the texts at spaces and numbers their distinct words;
+        each distinct word is looked up once, and its ids go to its places."""
+        words = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        numbered = words.flatten().dictionary_encode()
+        ids = self.words.values([numbered.dictionary.to_numpy(zero_copy_only=False).tolist()])[0]
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        which = numbered.indices.to_numpy()
+        many, first = sizes[which], (np.cumsum(sizes) - sizes)[which]
+        upto = np.concatenate(([0], np.cumsum(many)))
+        flat = np.frombuffer(b"".join(ids), "<u4")[np.arange(upto[-1]) + np.repeat(first - upto[:-1], many)]
+        cuts = upto[words.offsets.to_numpy() - words.offsets[0].as_py()].tolist()
+        for a, b in zip(cuts, cuts[1:]):
+            yield flat[a:b].tobytes()
 
 
 class WordLevel(ByteLevel):
@@ -189,12 +210,12 @@ class WordLevel(ByteLevel):
     def pretoken_ends(self, data: np.ndarray, word_ends: np.ndarray) -> np.ndarray:
         return super().pretoken_ends(data, word_ends) | (self.kind[data] == DIGIT)
 
-    def cut(self, text: str) -> list[str] | None:
+    def cut(self, text: str) -> str | None:
         if not self.cuts:
             return None
         if "<|" not in text and not BEYOND_LATIN_1.search(text):
             text = text.lower()
-        return text.replace("\n", " ").split(" ")
+        return text.replace("\n", " ")
 
 
 class NotSegmentable(ValueError):

@@ -179,6 +179,16 @@ def test_codec(docs, rows, sp):
     assert got == want
 
 
+@pytest.mark.parametrize("kind, name", [(ByteLevel, "byte_bpe_50k.json"), (WordLevel, "word_bpe_49k.json")])
+def test_a_word_is_looked_up_once_a_batch(monkeypatch, kind, name):
+    lib, mine, asked = Tokenizer.from_file(P.path(name)), kind(P.path(name)), []
+    real = mine.words.values
+    monkeypatch.setattr(mine.words, "values", lambda lists: asked.extend(k for keys in lists for k in keys) or real(lists))
+    texts = ["some words of some words", "words", "", "of  two words ", "x\ny words", "some\x85words", "some"] * 40
+    assert [*mine.encode(iter(texts))] == [u32(lib.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert asked.count("some") == 1
+
+
 def test_suffix_array_finds_every_occurrence():
     c = sentencepiece_codec.codec(PIECES)
     text = "▁the▁then\0▁▁▁other\0"
