@@ -3,7 +3,7 @@
 The distinct new words of a batch are concatenated and indexed by a suffix
 array; every vocabulary piece is found by binary search, which gives all its
 occurrences as one range; the occurrences are edges of a lattice, sorted by
-position and relaxed from left to right.
+place in the word and relaxed from left to right, all words together.
 
 The model is a BPE model, whose encoding is the one path in which no two
 neighbours would have merged otherwise: an edge relaxes its end if its start is
@@ -26,16 +26,41 @@ from .segments import MARK, piece_processor, pieces_of
 
 #: Characters per sort key, 16 bits each; 0 separates words, UNKNOWN is in no piece.
 PER_KEY, UNKNOWN = 4, 65_535
+#: Words of more characters are relaxed one by one, so that a batch takes at most so many rounds.
+TOGETHER = 512
+#: A place that no path reaches yet; the start of a word; a character of no piece.
+OPEN, START, BYTES = -3, -1, -2
 OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()),
                  ("decoded_crc32", pa.int64()), ("round_trip", pa.bool_())])
 
 
 class Pairs(dict):
-    """Whether two neighbours encode, together, as just these two."""
+    """Whether two neighbours encode, together, as just these two; the latest
+    answers are also in arrays, a slot for each hash."""
+
+    BITS = 20
 
     def __init__(self, codec):
         super().__init__()
         self.codec = codec
+        self.keys = np.full(1 << self.BITS, -1, dtype=np.int64)
+        self.found = np.zeros(1 << self.BITS, dtype=bool)
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def many(self, keys: np.ndarray) -> np.ndarray:
+        slot = self.slots(keys)
+        out = self.found[slot]
+        gaps = np.flatnonzero(self.keys[slot] != keys)
+        if len(gaps):
+            new, which = np.unique(keys[gaps], return_inverse=True)
+            found = np.fromiter(map(self.__getitem__, new.tolist()), dtype=bool, count=len(new))
+            out[gaps] = found[which]
+            slot, first = np.unique(self.slots(new), return_index=True)
+            self.keys[slot], self.found[slot] = new[first], found[first]
+        return out
 
     def __missing__(self, key: int) -> bool:
         left, right = key >> 20, key & 0xFFFFF
@@ -129,15 +154,13 @@ class Codec:
         return lo
 
     def edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, end, piece) of every occurrence, sorted by start."""
+        """(start, end, piece) of every occurrence, piece by piece."""
         order, keys = self.suffix_array(codes)
         first, last = self.bound(keys, self.low, False), self.bound(keys, self.high, True)
         n = np.maximum(0, last - first)
         which = np.repeat(np.arange(len(n)), n)
         within = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
         start = order[first[which] + within]
-        by = np.argsort(start, kind="stable")
-        start, which = start[by], which[by]
         return start, start + self.length[which], self.piece[which]
 
     def encode_words(self, words: list[str]) -> list[bytes]:
@@ -145,38 +168,71 @@ class Codec:
         marked = [w.replace(" ", MARK).replace("\0", "￿") for w in words]
         joined = "\0".join(marked) + "\0"
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        starts, ends, tokens = self.edges(self.dense[points])
-        last: list = [None] * (len(points) + 1)
-        back = [0] * (len(points) + 1)
-        firsts, at = [], 0
-        for w in marked:
-            firsts.append(at)
-            last[at] = -1
-            at += len(w) + 1
-        unknown = np.flatnonzero(self.dense[points] == UNKNOWN)
+        codes = self.dense[points]
+        starts, ends, tokens = self.edges(codes)
+        sizes = np.fromiter(map(len, marked), dtype=np.int64, count=len(marked))
+        firsts = np.cumsum(sizes + 1) - sizes - 1
+        unknown = np.flatnonzero(codes == UNKNOWN)
         alone = np.setdiff1d(unknown, starts[ends == starts + 1], assume_unique=True)
         starts, ends = np.concatenate((starts, alone)), np.concatenate((ends, alone + 1))
-        tokens = np.concatenate((tokens, np.full(len(alone), -2)))
-        by = np.argsort(starts, kind="stable")
-        # One path alone leads to each end, so an end that is reached stays.
-        ok = self.pairs
-        for s, e, t in zip(starts[by].tolist(), ends[by].tolist(), tokens[by].tolist()):
-            if last[e] is None:
-                p = last[s]
-                if p is not None and (p < 0 or t < 0 or ok[p << 20 | t]):
-                    last[e], back[e] = t, s
-        out = []
-        for w, m, a in zip(words, marked, firsts):
-            e, path = a + len(m), []
-            if last[e] is None:
-                raise ValueError("the lattice has no path: the pieces do not cover a word")
-            while e > a:
-                t = last[e]
-                path += [t] if t >= 0 else [self.byte_ids[b] for b in reversed(w[back[e] - a].encode())]
-                e = back[e]
-            out.append(u32(path[::-1]))
+        tokens = np.concatenate((tokens, np.full(len(alone), BYTES)))
+        last, back = self.relaxed(starts, ends, tokens, firsts, sizes)
+        if (last[firsts + sizes] == OPEN).any():
+            raise ValueError("the lattice has no path: the pieces do not cover a word")
+        on_path = np.zeros(len(points) + 1, dtype=bool)
+        at, first = (firsts + sizes)[sizes > 0], firsts[sizes > 0]
+        while len(at):
+            on_path[at] = True
+            at = back[at]
+            at, first = at[at > first], first[at > first]
+        at = np.flatnonzero(on_path)
+        path = last[at]
+        a, b = np.searchsorted(at, firsts, "right"), np.searchsorted(at, firsts + sizes, "right")
+        lacking = np.concatenate(([0], np.cumsum(path == BYTES)))
+        plain, flat = lacking[a] == lacking[b], u32(np.maximum(path, 0))
+        out = [flat[x:y] for x, y in zip((4 * a).tolist(), (4 * b).tolist())]
+        for k in np.flatnonzero(~plain).tolist():
+            w, ids = words[k], []
+            for e, t in zip((at[a[k]:b[k]] - firsts[k]).tolist(), path[a[k]:b[k]].tolist()):
+                ids += [t] if t >= 0 else [self.byte_ids[x] for x in w[e - 1].encode()]
+            out[k] = u32(ids)
         return out
 
+    def relaxed(self, starts: np.ndarray, ends: np.ndarray, tokens: np.ndarray, firsts: np.ndarray,
+                sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per place, the token that the one path to it ends with, and that
+        token's start.  One path alone leads to each end, so an end that is
+        reached stays."""
+        n = int(firsts[-1] + sizes[-1]) + 2
+        last, back = np.full(n, OPEN, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        last[firsts] = START
+        place = starts - np.repeat(firsts, sizes + 1)[starts]
+        long = np.repeat(sizes > TOGETHER, sizes + 1)[starts]
+        short = np.flatnonzero(~long)
+        by = short[np.argsort(place[short].astype(np.uint16), kind="stable")]
+        s_of, e_of, t_of = starts[by], ends[by], tokens[by]
+        cuts = np.concatenate(([0], np.cumsum(np.bincount(place[by]))))
+        for k in range(len(cuts) - 1):
+            part = slice(cuts[k], cuts[k + 1])
+            s, e, t = s_of[part], e_of[part], t_of[part]
+            p = last[s]
+            fresh = np.flatnonzero((p != OPEN) & (last[e] == OPEN))
+            s, e, t, p = s[fresh], e[fresh], t[fresh], p[fresh]
+            fits = (p < 0) | (t < 0)
+            asked = np.flatnonzero(~fits)
+            fits[asked] = self.pairs.many(p[asked] << 20 | t[asked])
+            last[e[fits]], back[e[fits]] = t[fits], s[fits]
+        rest = np.flatnonzero(long)
+        rest = rest[np.argsort(starts[rest], kind="stable")]
+        reached, ok = dict.fromkeys(firsts[sizes > TOGETHER].tolist(), START), self.pairs
+        for s, e, t in zip(starts[rest].tolist(), ends[rest].tolist(), tokens[rest].tolist()):
+            if e not in reached:
+                p = reached.get(s)
+                if p is not None and (p < 0 or t < 0 or ok[p << 20 | t]):
+                    reached[e] = last[e] = t
+                    back[e] = s
+        return last, back
+
     def encode(self, texts: Iterator[str]) -> Iterator[bytes]:
         for some in chunks(texts, self.batch_chars, 2048):
             for ids in self.words.values([pieces_of(t.replace(MARK, " ")) for t in some]):

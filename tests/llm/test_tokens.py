@@ -198,6 +198,16 @@ def test_suffix_array_finds_every_occurrence():
     assert found == {(a, text[a:b]) for a in range(len(text)) for b in range(a + 1, len(text) + 1) if text[a:b] in own}
 
 
+@pytest.mark.parametrize("together", [0, 3, 512])
+def test_words_are_relaxed_together_as_alone(monkeypatch, sp, together):
+    """Equal paths whatever words are relaxed over arrays, unknown characters and long words included."""
+    monkeypatch.setattr(sentencepiece_codec, "TOGETHER", together)
+    c = sentencepiece_codec.codec(PIECES)
+    words = sorted({w for t in real_texts()[:60] + strange_texts() for w in t.split() if "▁" not in w and "\0" not in w})
+    words += ["the" * 300 + "#汉é", "\n" * 600, "a\nb"]
+    assert c.encode_words([" " + w for w in words]) == [u32(sp.encode(w)) for w in words]
+
+
 def test_empty_tables(spark, empty):
     assert token_counts.token_counts(empty, PIECES).count() == 0
     assert token_files.write_and_read(empty, P.path("byte_bpe_50k.json")).count() == 0
