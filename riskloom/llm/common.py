@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -121,6 +123,24 @@ def loaded_once(kind: type, *args):
     return kind(*args)
 
 
+_work = None
+
+
+def only_for(work: str) -> None:
+    """Python workers serve one stage after the other.  With the first task of
+    another ``work`` in a process, what ``loaded_once`` keeps for earlier ones
+    goes, and freed memory returns to the system."""
+    global _work
+    if work == _work:
+        return
+    _work = work
+    loaded_once.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+        trim(0)
+
+
 def chunks(texts: Iterator[str], chars: int = 400_000, most: int = 256) -> Iterator[list[str]]:
     """Consecutive texts in lists of about ``chars`` characters (one text may
     be longer) and at most ``most`` texts."""
@@ -162,5 +182,5 @@ def read_exactly(handle, size: int) -> bytes:
     return bytes(data)
 
 
-__all__ = ["new_folder", "written", "written_at", "discard", "shared_fs", "SharedFile", "open_shared", "Memo", "loaded_once", "chunks", "arrow_map",
+__all__ = ["new_folder", "written", "written_at", "discard", "shared_fs", "SharedFile", "open_shared", "Memo", "loaded_once", "only_for", "chunks", "arrow_map",
            "batch_of", "texts_of", "u32", "read_exactly"]

@@ -16,6 +16,7 @@ shuffled.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import discard, written, written_at
+from .common import discard, only_for, written, written_at
 
 #: Bytes that a task holds before it emits its winners and
 #: starts anew; what this leaves apart, the later stages combine.
@@ -59,7 +60,10 @@ def _local(arrow: pa.Schema, digest):
     Held between two flushes: per row its id, the other columns and a few
     numbers; per distinct content the text of its winner so far.  All of it
     counts towards ``LOCAL_BYTES``, so copies without end are flushed too."""
+    work = uuid.uuid4().hex
+
     def run(batches):
+        only_for(work)
         task, first = TaskContext.get().partitionId() << 40, 0
         held: list[tuple[pa.Array, pa.Array]] = []
         groups: dict[tuple[str, bytes], list] = {}

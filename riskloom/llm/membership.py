@@ -60,14 +60,15 @@ class IdFilter:
         return test(F.xxhash64(column))
 
 
-def id_filter(ids: DataFrame) -> IdFilter:
-    """The filter of a table of one long column (null allowed)."""
+def id_filter(ids: DataFrame, hashed: bool = False) -> IdFilter:
+    """The filter of a table of one long column (null allowed), which may hold
+    hashes itself; then tasks test these."""
     own = F.col(ids.columns[0])
     bits = 1 << 12
     wanted = ids.count() * BITS_PER_ID
     while bits < min(wanted, MOST_BITS):
         bits *= 2
-    h = F.xxhash64(own)
+    h = own if hashed else F.xxhash64(own)
     low, high = h.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(h, 32).bitwiseOR(1)
     places = ids.select(F.explode(F.array(*[(low + k * high).bitwiseAND(bits - 1) for k in range(PROBES)])).alias("at"))
     words = places.groupBy(F.shiftright("at", 6).alias("word")).agg(

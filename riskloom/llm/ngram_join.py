@@ -23,6 +23,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_of, discard, texts_of, written, written_at
+from .common import batch_of, discard, only_for, texts_of, written, written_at
 from .graph import components
 from .membership import IdFilter, id_filter, rows_without
 
@@ -44,6 +45,8 @@ SALTS = 8
 SETS = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("key", pa.binary()), ("region", pa.int32()),
                   ("listed", pa.list_(pa.int64()))])
 FULL = pa.schema([("key", pa.binary()), ("set", pa.binary())])
+#: Classes whose listed shingles are tested at once.
+TESTED = 1_000
 
 
 class WordHashes(dict):
@@ -94,7 +97,10 @@ def region_limit(percent: int) -> int:
 
 
 def _summaries(percent: int, n: int):
+    work = uuid.uuid4().hex
+
     def run(batches):
+        only_for(work)
         hashes = WordHashes()
         for b in batches:
             rows = []
@@ -114,6 +120,7 @@ def _summaries(percent: int, n: int):
 def _full_sets(n: int, wanted: IdFilter):
     """Key and set of the rows whose id may be wanted; others end here."""
     def run(batches):
+        only_for(wanted.path)
         hashes = WordHashes()
         for b in batches:
             b = b.filter(pa.array(wanted.passes(b.column(0).to_numpy())))
@@ -235,19 +242,49 @@ def _join_units(percent: int):
     return run
 
 
-def _prefixes(classes: DataFrame, percent: int) -> DataFrame:
-    """``cid, tok``: the shingles of each class's prefix that others have too."""
-    listed = classes.select("cid", F.explode("listed").alias("tok"))
-    shared = listed.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1")
+def _perhaps_shared(shared: IdFilter):
+    """Classes with those of their listed shingles that others may have too."""
+    def run(batches):
+        only_for(shared.path)
+        for b in batches:
+            for k in range(0, b.num_rows, TESTED):
+                some = b.slice(k, TESTED)
+                listed = some.column(3)
+                tokens = listed.flatten().to_numpy()
+                owner = np.repeat(np.arange(len(listed)), listed.value_lengths().to_numpy())
+                passes = shared.passes(tokens)
+                ends = np.cumsum(np.bincount(owner[passes], minlength=len(listed)))
+                kept = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(tokens[passes]))
+                yield pa.RecordBatch.from_arrays([*some.columns[:3], kept], names=["cid", "n", "region", "listed"])
+    return run
+
+
+def _prefixes(classes: DataFrame, percent: int) -> tuple[DataFrame, str]:
+    """``cid, tok``: the shingles of each class's prefix that others have too,
+    as a written table, and where it is.
+
+    Most listed shingles are of one class alone.  They are only counted: a
+    filter of the shared ones stops nearly all of them where they are read, and
+    the join on the counts, which is exact, the rest."""
+    spark = classes.sparkSession
+    listed = classes.select(F.explode("listed").alias("tok"))
+    shared, path = written_at(listed.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1"), "shared")
+    known = id_filter(shared.select("tok"), hashed=True)
     first = F.col("tok").bitwiseAND(0xFFFF) < region_limit(percent)
-    rows = (listed.join(shared, "tok").withColumn("first", first)
-            .join(classes.select("cid", "n", "region"), "cid"))
+    rows = (classes.select("cid", "n", "region", "listed")
+            .mapInArrow(_perhaps_shared(known), "cid long, n int, region int, listed array<long>")
+            .select("cid", "n", "region", F.explode("listed").alias("tok"))
+            .join(shared, "tok").withColumn("first", first))
     mine = Window.partitionBy("cid")
     rank = F.row_number().over(mine.orderBy(F.desc("first"), "df", "tok"))
     prefix = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
     alone = F.col("region") - F.count_if("first").over(mine)
-    return (rows.select("cid", "tok", "first", rank.alias("rank"), alone.alias("alone"), prefix.alias("prefix"))
-            .where(~F.col("first") | (F.col("alone") + F.col("rank") <= F.col("prefix"))).select("cid", "tok"))
+    ranked = rows.select("cid", "tok", "first", rank.alias("rank"), alone.alias("alone"), prefix.alias("prefix"))
+    prefixes = written_at(ranked.where(~F.col("first") | (F.col("alone") + F.col("rank") <= F.col("prefix")))
+                          .select("cid", "tok"), "prefixes")
+    for done in (path, known.path):
+        discard(spark, done)
+    return prefixes
 
 
 def similarity_join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_id",
@@ -273,7 +310,7 @@ def similarity_join(docs: DataFrame, percent: int = 90, words: int = 3, id_col:
     classes, listed = written_at(classes, "classes")
     sets = written(summaries.select("id", "n", "key"), "sets")
     discard(rows.sparkSession, path)
-    prefixes, prefix_path = written_at(_prefixes(classes, percent), "prefixes")
+    prefixes, prefix_path = _prefixes(classes, percent)
     classes = written(classes.drop("listed"), "class-ids")
     discard(rows.sparkSession, listed)
     # A star per shared prefix shingle connects its classes.

@@ -33,14 +33,13 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 from .bpe import Merger
-from .common import Memo, chunks, u32
+from .common import Memo, chunks, loaded_once, u32
 
 #: Characters whose class the byte tables below know: ASCII but the apostrophe
 #: (contractions) and white space; Latin-1 letters, which are precomposed.
@@ -274,7 +273,6 @@ class PieceCounts:
                 yield len(self.sp.encode(text)) if cut is None else sum(counts)
 
 
-@cache
 def loaded(kind: type, path: str):
     """One encoder per worker process and file."""
-    return kind(path)
+    return loaded_once(kind, path)

@@ -11,7 +11,8 @@ import pytest
 from compare import same_result
 from llm_data import SF_SMALL, docs, empty, rows  # noqa: F401
 
-from riskloom.llm import exact_dedup, ngram_join, sharding, topk
+from riskloom.llm import exact_dedup, membership, ngram_join, sharding, topk
+from riskloom.llm.common import loaded_once, only_for
 from riskloom.llm.graph import components
 from riskloom.llm.queries import ORACLES, QUERIES
 
@@ -274,6 +275,45 @@ def test_one_per_group(spark, empty):
     assert ngram_join.one_per_group(empty).count() == 0
 
 
+@pytest.mark.parametrize("tested, most", [(1000, 1 << 29), (7, 1 << 29), (7, 1 << 6)])
+def test_shingles_of_one_class_stop_where_they_are_read(spark, tested, most, monkeypatch):
+    monkeypatch.setattr(ngram_join, "TESTED", tested)
+    monkeypatch.setattr(membership, "MOST_BITS", most)  # a full filter stops nothing, the join the rest
+    rng = random.Random(2)
+    common = [rng.getrandbits(63) - (1 << 62) for _ in range(30)]
+    data, limit = [], ngram_join.region_limit(80)
+    for cid in range(60):
+        listed = sorted({rng.getrandbits(63) - (1 << 62) for _ in range(50)} | set(rng.sample(common, cid % 4)))
+        data.append((cid, len(listed) * 3, sum(t & 0xFFFF < limit for t in listed), listed))
+    data.append((60, 1, 0, []))
+    classes = spark.createDataFrame(data, "cid long, n int, region int, listed array<long>").repartition(4)
+    df = Counter(t for *_, listed in data for t in listed)
+    shared = spark.createDataFrame([(t,) for t in df if df[t] > 1], "tok long")
+    known = membership.id_filter(shared, hashed=True)
+    some = {r.cid: (r.n, r.region, r.listed) for r in classes.mapInArrow(
+        ngram_join._perhaps_shared(known), classes.schema).collect()}
+    assert {cid: r[:2] for cid, r in some.items()} == {cid: (n, region) for cid, n, region, _ in data}
+    assert all({t for t in listed if df[t] > 1} <= set(some[cid][2]) <= set(listed) for cid, _, _, listed in data)
+    if most > 1 << 20:
+        assert sum(df[t] == 1 for *_, listed in some.values() for t in listed) < 60
+    want = set()
+    for cid, n, region, listed in data:
+        first = sorted((df[t], t) for t in listed if t & 0xFFFF < limit and df[t] > 1)
+        alone = region - len(first)
+        want |= {(cid, t) for k, (_, t) in enumerate(first, 1) if alone + k <= n - -(-n * 80 // 100) + 1}
+        want |= {(cid, t) for t in listed if t & 0xFFFF >= limit and df[t] > 1}
+    assert Counter(map(tuple, ngram_join._prefixes(classes, 80)[0].collect())) == Counter(want)
+
+
+def test_earlier_work_leaves_a_worker():
+    only_for("first")
+    kept = loaded_once(Counter)
+    only_for("first")
+    assert loaded_once(Counter) is kept
+    only_for("second")
+    assert loaded_once(Counter) is not kept
+
+
 def test_tree_finds_what_it_stores():
     rng = np.random.default_rng(0)
     sets = [np.unique(rng.integers(0, 60, size=rng.integers(1, 50))) for _ in range(80)]
