@@ -20,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -37,6 +38,8 @@ RIDGE, WORD_RIDGE, CLASSES = 1e-4, 1e-2, 512
 PAIR_ROWS = 250
 #: Cells of the score grid per unit, groups of cells with one curvature, rows held as a matrix at once.
 CELLS, GROUPS, HELD_ROWS = 64, 64, 1_024
+#: Numbers of a long sum that are added in one place (128 KB from each task).
+PIECE = 16_384
 #: Steps of the quantiles' scores per unit; children per round of their search.
 UNITS, CHILDREN = 10**9, 4_096
 NOT_LETTER = re.compile(r"[\W\d_]")
@@ -202,10 +205,22 @@ def kept_features(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFram
     return written_at(rows.mapInArrow(extract, "id long, shape binary, classes binary"), "features")
 
 
+def merged(batches, per_rows: Callable, merge: Callable):
+    """``merge`` over ``per_rows(features, good, bad)`` of a task's rows; None without rows."""
+    total = None
+    for b in batches:
+        for k in range(0, b.num_rows, HELD_ROWS):
+            part = b.slice(k, HELD_ROWS)
+            x, good, bad = unpacked(part.column(2), part.column(3)), part.column(0), part.column(1)
+            now = per_rows(x, *(c.to_numpy(zero_copy_only=False).astype(float) for c in (good, bad)))
+            total = now if total is None else merge(total, now)
+    return total
+
+
 class Labelled:
     """The kept features of all labelled rows: ``good`` and ``bad`` count how
-    often a row has each label.  Sums over them come to the driver, one per
-    task and as many tasks as cores, whatever the number of rows."""
+    often a row has each label.  Sums over them come to the driver: short ones
+    per task, with as many tasks as cores, and a single one of the curvature."""
 
     def __init__(self, rows: DataFrame):
         self.rows = rows.select("good", "bad", "shape", "classes").coalesce(rows.sparkSession.sparkContext.defaultParallelism)
@@ -214,13 +229,7 @@ class Labelled:
         """``merge`` over ``per_rows(features, good, bad)`` of all rows, in the
         order of the tasks; None without rows."""
         def run(batches):
-            total = None
-            for b in batches:
-                for k in range(0, b.num_rows, HELD_ROWS):
-                    part = b.slice(k, HELD_ROWS)
-                    x, good, bad = unpacked(part.column(2), part.column(3)), part.column(0), part.column(1)
-                    now = per_rows(x, *(c.to_numpy(zero_copy_only=False).astype(float) for c in (good, bad)))
-                    total = now if total is None else merge(total, now)
+            total = merged(batches, per_rows, merge)
             if total is not None:
                 sums = [np.ascontiguousarray(t, dtype="<f8") for t in total]
                 yield pa.RecordBatch.from_pydict({
@@ -235,6 +244,28 @@ class Labelled:
             total = now if total is None else merge(total, now)
         return total
 
+    def added(self, per_rows: Callable) -> np.ndarray:
+        """The sum of the vectors ``per_rows(features, good, bad)`` of all rows,
+        for long ones: pieces of the tasks' vectors meet by their place and are
+        added there, in the order of the tasks."""
+        def run(batches):
+            total = merged(batches, per_rows, np.add)
+            if total is not None:
+                parts = [total[k:k + PIECE].astype("<f8").tobytes() for k in range(0, len(total), PIECE)]
+                task = TaskContext.get().partitionId()
+                yield pa.RecordBatch.from_pydict({
+                    "piece": pa.array(range(len(parts)), pa.int32()), "task": pa.array([task] * len(parts), pa.int32()),
+                    "part": pa.array(parts, pa.binary())})
+
+        def add(parts: pd.DataFrame) -> pd.DataFrame:
+            inorder = parts.sort_values("task")["part"]
+            total = reduce(np.add, (np.frombuffer(p, "<f8") for p in inorder))
+            return pd.DataFrame({"piece": parts["piece"].iloc[:1], "part": [total.tobytes()]})
+
+        pieces = self.rows.mapInArrow(run, "piece int, task int, part binary")
+        got = pieces.groupBy("piece").applyInPandas(add, "piece int, part binary").collect()
+        return np.concatenate([np.frombuffer(r["part"], "<f8") for r in sorted(got, key=lambda r: r["piece"])])
+
     def moments(self):
         """Numbers of good and bad rows, mean and squared deviations of the features."""
         def per_rows(x, good, bad):
@@ -305,11 +336,18 @@ class Labelled:
             ones = np.zeros((2, n, len(s)))
             ones[:, group, np.arange(len(s))] = good, bad
             bent = good * curve_good[group] + bad * curve_bad[group]
-            return slopes @ z, (z * bent[:, None]).T @ z, ones[0] @ z, ones[1] @ z
+            bend = (z * bent[:, None]).T @ z
+            return np.concatenate((slopes @ z, bend[np.triu_indices(len(bend))], *(ones @ z)), axis=None)
 
         def bends():
-            slopes, bend, of_good, of_bad = self.sums(per_rows, lambda a, b: [x + y for x, y in zip(a, b)])
-            cross = of_good.T @ curve @ of_bad
+            width = len(weights)
+            upper = np.triu_indices(width)
+            slopes, half, of_good, of_bad = np.split(
+                self.added(per_rows), np.cumsum([width, len(upper[0]), n * width]))
+            bend = np.zeros((width, width))
+            bend[upper] = half
+            bend.T[upper] = half
+            cross = of_good.reshape(n, width).T @ curve @ of_bad.reshape(n, width)
             return ridge * weights - slopes, bend - cross - cross.T + np.diag(ridge)
 
         return loss + (ridge * weights * weights).sum() / 2, bends

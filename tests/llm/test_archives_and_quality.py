@@ -272,6 +272,40 @@ def test_the_fit_is_that_of_all_pairs_in_memory(spark):
     assert (model.score(x) < 0.7).sum() == (~good).sum()
 
 
+def test_one_curvature_comes_to_the_driver_from_all_tasks(spark, monkeypatch):
+    """A step's long sums are added where the rows are: in all, what comes back is one vector in small pieces."""
+    df = spark.createDataFrame(labelled_words(), "doc_id long, text string, quality int")
+    kept, _ = quality.kept_features(df.select("doc_id", "text"), "doc_id", "text")
+    rows = kept.join(df.select(F.col("doc_id").alias("id"), F.col("quality").cast("long").alias("good"),
+                               (1 - F.col("quality")).cast("long").alias("bad")), "id").repartition(3, "id")
+    labelled = quality.Labelled(rows)
+    assert labelled.rows.rdd.getNumPartitions() > 1
+    width = 2 * quality.SHAPES + quality.CLASSES
+    _, mean, squares = labelled.moments()
+    model = quality.Ranking(mean, np.sqrt(squares / rows.count()) + 1e-9, np.zeros(width))
+    weights, ridge = np.random.default_rng(4).normal(0, 0.05, width), quality.penalties(width - quality.SHAPES)
+    _, bends = labelled.evaluate(model, weights, ridge)
+    sizes, kind = [], type(df)
+    real = kind.collect
+
+    def heard(self):
+        out = real(self)
+        cells = [c for r in out for c in r]
+        sizes.extend(len(v) for c in cells for v in (c if isinstance(c, list) else [c]) if isinstance(v, bytes | bytearray))
+        return out
+
+    monkeypatch.setattr(kind, "collect", heard)
+    slope, bend = bends()
+    numbers = width + width * (width + 1) // 2
+    assert max(sizes) <= 8 * quality.PIECE and 8 * numbers < sum(sizes) <= 8 * (numbers + 2 * quality.GROUPS * width)
+    got = rows.toArrow().combine_chunks()
+    x = quality.unpacked(got["shape"].combine_chunks(), got["classes"].combine_chunks())
+    good = np.array(got["good"]) == 1
+    z = model.expand(x)
+    _, want_slope, want_bend = quality.pair_loss(weights, z[good], z[~good], ridge)
+    assert np.abs(slope - want_slope).max() < 1e-3 and np.abs(bend - want_bend).max() < 0.03 * np.abs(want_bend).max()
+
+
 def test_the_fit_reads_every_labelled_row(spark):
     """Each row's label counts, however many there are, and once per label of its id."""
     n = 12_000
