@@ -297,7 +297,7 @@ def test_one_curvature_comes_to_the_driver_from_all_tasks(spark, monkeypatch):
     monkeypatch.setattr(kind, "collect", heard)
     slope, bend = bends()
     numbers = width + width * (width + 1) // 2
-    assert max(sizes) <= 8 * quality.PIECE and 8 * numbers < sum(sizes) <= 8 * (numbers + 2 * quality.GROUPS * width)
+    assert max(sizes) <= 131_072 and 8 * numbers < sum(sizes) <= 8 * (numbers + 2 * quality.GROUPS * width)
     got = rows.toArrow().combine_chunks()
     x = quality.unpacked(got["shape"].combine_chunks(), got["classes"].combine_chunks())
     good = np.array(got["good"]) == 1
