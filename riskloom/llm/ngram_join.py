@@ -2,28 +2,34 @@
 
 1. Each text becomes the set of its distinct word shingles (64-bit hashes).
    Equal sets are one class, so copies cost nothing further.
-2. A global order of shingles puts a share of them (by hash) first, rarest
+2. The shingles of a class are dealt by hash into more parts than sets that link
+   can have shingles apart, so that these agree in a whole part.  A class none of
+   whose parts is equal to another's can link with nothing and ends here; the
+   others form groups.  Single shingles that many documents share by chance, the
+   more the larger the table, do not keep a class.
+3. A global order of shingles puts a share of them (by hash) first, rarest
    first, exact document frequencies counted over all classes, and the others
    after.  Two sets that reach the threshold share a shingle in their prefixes
    in any one order; with the rare ones first, passages that many documents
    share lie beyond almost every prefix.
-3. Classes that a shared prefix shingle connects, directly or not, form a
-   block; others can link with nothing.  A block is cut by length (only
-   neighbouring length bands can link) and into units of bounded size by the
-   rarest prefix shingle, and the pairs of units that share a prefix shingle
-   meet in a task each.
-4. There the sets of one unit are stored, most frequent shingle first, as a
+4. Classes of a group that a shared prefix shingle connects, directly or not,
+   form a block; others can link with nothing.  Small blocks are joined whole,
+   several in a task.  A large one is cut by length (only neighbouring length
+   bands can link) and into units of bounded size by the rarest prefix shingle,
+   and the pairs of units that share a prefix shingle meet in a task each.
+5. There the sets of one unit are stored, most frequent shingle first, as a
    prefix tree: sets share the paths they have in common.  Each set of the other
    unit walks the tree once, reusing the overlap counted on a shared path, and
    leaves a subtree when the shingles left on either side cannot reach the
    threshold any more.
-5. A task gives back spanning links and numbers of links, never all pairs.
+6. A task gives back spanning links and numbers of links, never all pairs.
 """
 
 from __future__ import annotations
 
 import math
 import uuid
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -42,8 +48,11 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 UNIT = 512
 #: Shares into which the rows of one large component are dealt when its id is looked up.
 SALTS = 8
-SETS = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("key", pa.binary()), ("region", pa.int32()),
-                  ("listed", pa.list_(pa.int64()))])
+#: Marks of parts have 48 bits: the low ones say in which of the buckets equal marks meet.
+BUCKETS, MARK_BYTES, REST_BYTES = 1 << 10, 6, 5
+SETS = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("key", pa.binary()), ("marks", pa.binary())])
+LISTED = pa.schema([("cid", pa.int64()), ("n", pa.int32()), ("region", pa.int32()), ("listed", pa.list_(pa.int64()))])
+DEALT = pa.schema([("bucket", pa.int32()), ("base", pa.int64()), ("marks", pa.binary()), ("owners", pa.binary())])
 FULL = pa.schema([("key", pa.binary()), ("set", pa.binary())])
 #: Classes whose listed shingles are tested at once.
 TESTED = 1_000
@@ -96,6 +105,68 @@ def region_limit(percent: int) -> int:
     return min(0x10000, 0x10000 * (100 - percent) // 60 + 1)
 
 
+@cache
+def size_bands(percent: int) -> list[int]:
+    """Smallest sizes of the length bands: a set links within its band and the two beside it only."""
+    edges = [1]
+    while edges[-1] < 1 << 31:
+        edges.append(edges[-1] * 100 // percent + 1)
+    return edges
+
+
+@cache
+def parts_of(band: int, percent: int) -> tuple[int, int]:
+    """Parts for links whose smaller set is of this band, and how many of them
+    agree beyond one in any such link; no parts if different sets cannot link."""
+    edges = size_bands(percent)
+    least, most = edges[band], edges[band + 1] - 1
+    apart = (most + most * 100 // percent) * (100 - percent) // (100 + percent)
+    spare = 0
+    while apart and spare < apart:
+        blank = (apart + 1 + spare) * math.exp(-least / (apart + 1 + spare))  # parts of a set without a shingle
+        if spare >= math.ceil(blank + 4 * math.sqrt(blank)):
+            break
+        spare += 1
+    return (apart + 1 + spare if apart else 0), spare
+
+
+def part_marks(s: np.ndarray, percent: int) -> np.ndarray:
+    """Marks of the parts of a set, as the smaller and as the larger one of a
+    link.  Two different sets that link have a mark in common: their shingles
+    apart leave ``spare + 1`` parts equal.  Parts without shingles have marks
+    only in a set with more than ``spare`` of them; if one of two sets has no
+    more, an equal part with shingles is left."""
+    found = [np.zeros(0, dtype=np.uint64)]
+    if percent >= 100:  # different sets never link
+        return found[0]
+    own = int(np.searchsorted(size_bands(percent), len(s), side="right")) - 1
+    for band in (own, own - 1):
+        parts, spare = parts_of(band, percent) if band >= 0 else (0, 0)
+        if not parts:
+            continue
+        at = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)  # ascending, as the set is
+        starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        sums = np.add.reduceat(s, starts)
+        if parts - len(starts) > spare:
+            blank = np.setdiff1d(np.arange(parts, dtype=np.uint64), at[starts])
+            sums = np.concatenate((sums, blank))
+        h = (sums ^ np.uint64(band)) * MIX
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        found.append((h ^ (h >> np.uint64(32))) & np.uint64(0xFFFFFFFFFFFF))
+    return np.concatenate(found)
+
+
+def packed(values: np.ndarray, size: int) -> bytes:
+    """The low ``size`` bytes of each."""
+    return np.ascontiguousarray(values, dtype="<u8").view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+
+
+def unpacked(data: bytes, size: int) -> np.ndarray:
+    out = np.zeros((len(data) // size, 8), dtype=np.uint8)
+    out[:, :size] = np.frombuffer(data, dtype=np.uint8).reshape(-1, size)
+    return out.view("<u8").ravel()
+
+
 def _summaries(percent: int, n: int):
     work = uuid.uuid4().hex
 
@@ -106,14 +177,56 @@ def _summaries(percent: int, n: int):
             rows = []
             for text in texts_of(b.column(1)):
                 s = shingle_set(text, hashes, n)
-                first = (s & np.uint64(0xFFFF)) < region_limit(percent)
-                prefix = len(s) - least_overlap(len(s), percent) + 1 if len(s) else 0
+                rows.append((len(s), set_key(s), packed(part_marks(s, percent), MARK_BYTES) if len(s) else b""))
+            yield batch_of(SETS, [b.column(0), *(list(zip(*rows)) or [[]] * 3)])
+    return run
+
+
+def _dealt(batches):
+    """The marks of the classes (``cid, marks``) by bucket: a mark's other bits
+    and, for its owner, the low 16 bits of the class beside their common base."""
+    for b in batches:
+        held = b.column(1).to_pylist()
+        marks = unpacked(b"".join(held), MARK_BYTES)
+        owner = np.repeat(b.column(0).to_numpy(), [len(x) // MARK_BYTES for x in held])
+        base, bucket = owner >> 16, (marks % np.uint64(BUCKETS)).astype(np.int64)
+        order = np.lexsort((bucket, base))
+        base, bucket, rest, low = base[order], bucket[order], (marks // np.uint64(BUCKETS))[order], (owner[order] & 0xFFFF).astype("<u2")
+        starts = np.flatnonzero(np.append(True, (base[1:] != base[:-1]) | (bucket[1:] != bucket[:-1]))) if len(base) else []
+        rows = [(int(bucket[x]), int(base[x]), packed(rest[x:y], REST_BYTES), low[x:y].tobytes())
+                for x, y in zip(starts, [*starts[1:], len(base)])]
+        yield batch_of(DEALT, list(zip(*rows)) or [[]] * 4)
+
+
+def _meet(group: pd.DataFrame) -> pd.DataFrame:
+    """Classes of a bucket that have a mark in common, each with the least of them."""
+    rest = np.concatenate([unpacked(x, REST_BYTES) for x in group["marks"]])
+    owner = np.concatenate([(int(base) << 16) + np.frombuffer(x, dtype="<u2").astype(np.int64)
+                            for base, x in zip(group["base"], group["owners"])])
+    order = np.lexsort((owner, rest))
+    rest, owner = rest[order], owner[order]
+    first = np.append(True, rest[1:] != rest[:-1])
+    least = owner[np.flatnonzero(first)[np.cumsum(first) - 1]]
+    return pd.DataFrame({"a": owner, "b": least})[owner != least].drop_duplicates()
+
+
+def _listed(percent: int):
+    """Of each set the shingles that its prefix can have."""
+    limit = region_limit(percent)
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for value in b.column(1):
+                s = np.frombuffer(value.as_py(), dtype=np.uint64)
+                first = (s & np.uint64(0xFFFF)) < limit
+                prefix = len(s) - least_overlap(len(s), percent) + 1
                 listed = s[first]
                 region = len(listed)
                 if region < prefix:
                     listed = np.concatenate((listed, s[~first][:prefix - region]))
-                rows.append((len(s), set_key(s), region, listed.view(np.int64)))
-            yield batch_of(SETS, [b.column(0), *(list(zip(*rows)) or [[]] * 4)])
+                rows.append((len(s), region, listed.view(np.int64)))
+            yield batch_of(LISTED, [b.column(0), *(list(zip(*rows)) or [[]] * 3)])
     return run
 
 
@@ -203,6 +316,10 @@ LINKS = "a long, b long, links long"
 
 def _join_units(percent: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
+        edges = [x for _, part in group.groupby("part") for x in joined(part)]
+        return pd.DataFrame(edges, columns=["a", "b", "links"]).astype("int64")
+
+    def joined(group: pd.DataFrame) -> list[tuple[int, int, int]]:
         ids, copies, sides = (group[c].to_numpy(np.int64) for c in ("cid", "copies", "side"))
         sets = [np.frombuffer(s, dtype=np.uint64) for s in group["set"]]
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
@@ -237,8 +354,8 @@ def _join_units(percent: int):
                 if a != b:
                     root[a] = b
                     edges.append((int(ids[x]), int(ids[y]), 0))
-        edges += [(int(ids[k]), int(ids[k]), int(links[k])) for k in np.flatnonzero(links)]
-        return pd.DataFrame(edges, columns=["a", "b", "links"]).astype("int64")
+        return edges + [(int(ids[k]), int(ids[k]), int(links[k])) for k in np.flatnonzero(links)]
+
     return run
 
 
@@ -301,27 +418,39 @@ def similarity_join(docs: DataFrame, percent: int = 90, words: int = 3, id_col:
     an empty table gives no rows; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    summaries, path = written_at(rows.mapInArrow(
-        _summaries(percent, words), "id long, n int, key binary, region int, listed array<long>"), "summaries")
+    summaries, path = written_at(rows.mapInArrow(_summaries(percent, words), "id long, n int, key binary, marks binary"), "summaries")
     classes = (summaries.where("n > 0").groupBy("key")
-               .agg(F.first("n").alias("n"), F.first("region").alias("region"), F.first("listed").alias("listed"),
-                    F.count("*").alias("copies"), F.min("id").alias("id"))
+               .agg(F.first("n").alias("n"), F.first("marks").alias("marks"), F.count("*").alias("copies"), F.min("id").alias("id"))
                .withColumn("cid", F.monotonically_increasing_id()))
-    classes, listed = written_at(classes, "classes")
+    classes, marked = written_at(classes, "classes")
     sets = written(summaries.select("id", "n", "key"), "sets")
     discard(rows.sparkSession, path)
-    prefixes, prefix_path = _prefixes(classes, percent)
-    classes = written(classes.drop("listed"), "class-ids")
-    discard(rows.sparkSession, listed)
-    # A star per shared prefix shingle connects its classes.
-    stars = prefixes.groupBy("tok").agg(F.min("cid").alias("b"), F.count("*").alias("c")).where("c > 1")
-    blocks = components(prefixes.join(stars, "tok").select(F.col("cid").alias("a"), "b"))
+    # Equal marks meet by bucket; the least class of a mark connects its classes.
+    alike = (classes.select("cid", "marks").mapInArrow(_dealt, "bucket int, base long, marks binary, owners binary")
+             .groupBy("bucket").applyInPandas(_meet, "a long, b long"))
+    groups = components(alike)
+    classes = written(classes.drop("marks"), "class-ids")
+    discard(rows.sparkSession, marked)
+    near = written(groups.select(F.col("node").alias("cid"), F.col("component").alias("group")).join(classes, "cid"), "near")
+    wanted = id_filter(near.select("id").distinct())
+    full = rows.select(F.xxhash64("id"), "text").mapInArrow(_full_sets(words, wanted), "key binary, set binary")
+    filled, filled_path = written_at(near.select("cid", "key").join(full, "key").dropDuplicates(["key"]).select("cid", "set"), "filled")
+    listed, listed_path = written_at(filled.mapInArrow(_listed(percent), "cid long, n int, region int, listed array<long>"), "listed")
+    prefixes, prefix_path = _prefixes(listed, percent)
+    shared, shared_path = written_at(prefixes.join(near.select("cid", "group"), "cid"), "shared-prefixes")
+    for done in (listed_path, prefix_path):
+        discard(rows.sparkSession, done)
+    # A star per prefix shingle that classes of a group share connects these.
+    stars = shared.groupBy("group", "tok").agg(F.min("cid").alias("b"), F.count("*").alias("c")).where("c > 1")
+    blocks = components(shared.join(stars, ["group", "tok"]).select(F.col("cid").alias("a"), "b"))
+    blocks = blocks.select(F.col("node").alias("cid"), F.col("component").alias("block"))
+    held = blocks.groupBy("block").agg(F.count("*").alias("held"))
     band = F.floor(F.log(F.col("n")) / -math.log(percent / 100 - 0.01)).cast("int")
-    members = blocks.select(F.col("node").alias("cid"), F.col("component").alias("block")).join(
-        classes.select("cid", "key", "id", "n", "copies"), "cid").withColumn("band", band)
+    members = blocks.join(held, "block").join(near.select("cid", "n", "copies"), "cid").withColumn("band", band)
     members = written(members, "members")
-    links = _linked(rows, members, prefixes, percent, words)
-    discard(rows.sparkSession, prefix_path)
+    links = _linked(filled, members, shared.select("cid", "tok"), percent)
+    for done in (filled_path, shared_path):
+        discard(rows.sparkSession, done)
     joined = components(links.where("a <> b").select("a", "b")).select(F.col("node").alias("cid"), "component")
     reached = classes.select("cid", "id").join(joined, "cid")
     least = reached.groupBy("component").agg(F.min("id").alias("component_id"))
@@ -340,35 +469,38 @@ def similarity_join(docs: DataFrame, percent: int = 90, words: int = 3, id_col:
                     F.coalesce("n_links", F.lit(0)).alias("n_links")))
 
 
-def _linked(rows: DataFrame, members: DataFrame, prefixes: DataFrame, percent: int, words: int) -> DataFrame:
+def _linked(filled: DataFrame, members: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
     """Spanning links (``a <> b``) and numbers of links (``a = b``) of classes."""
-    wanted = id_filter(members.select("id").distinct())
-    full = rows.select(F.xxhash64("id"), "text").mapInArrow(_full_sets(words, wanted), "key binary, set binary")
+    key = ["block", "band", "step", "unit", "unit2"]
+    columns = [*key, "cid", "copies", "part", "side"]
+    # Small blocks are parts of a task of about UNIT sets.
+    small = members.where(F.col("held") <= UNIT)
+    tasks = max(1, -(-small.count() // UNIT))
+    whole = (small.withColumn("part", F.col("block")).withColumn("block", F.pmod(F.xxhash64("block"), F.lit(tasks)).cast("long"))
+             .withColumns({"band": F.lit(-1), "step": F.lit(0), "unit": F.lit(0), "unit2": F.lit(0), "side": F.lit(0)}).select(*columns))
+    large = members.where(F.col("held") > UNIT)
     # Classes of one unit have the same rarest prefix shingle as far as it goes,
     # so that a unit shares shingles with few other units.
-    shared = prefixes.groupBy("tok").agg(F.count("*").alias("c")).where("c > 1")
-    common = written(prefixes.join(shared, "tok").join(members.select("cid", "block", "band"), "cid"), "common")
+    own = prefixes.join(large.select("cid", "block", "band"), "cid")
+    shared = own.groupBy("block", "tok").agg(F.count("*").alias("c")).where("c > 1")
+    common = written(own.join(shared, ["block", "tok"]), "common")
     homes = common.groupBy("cid").agg(F.min(F.struct("c", "tok")).alias("home"))
-    held = members.groupBy("block", "band").agg(F.ceil(F.count("*") / UNIT).cast("int").alias("parts"))
+    held = large.groupBy("block", "band").agg(F.ceil(F.count("*") / UNIT).cast("int").alias("parts"))
     crowd = F.ceil(F.col("home.c") / UNIT)
     unit = F.pmod(F.xxhash64("home.tok", F.pmod(F.xxhash64("cid"), crowd)), F.col("parts")).cast("int")
-    placed = written(members.select("cid", "block", "band", "copies", "key").join(held, ["block", "band"])
+    placed = written(large.select("cid", "block", "band", "copies").join(held, ["block", "band"])
                      .join(homes, "cid").withColumn("unit", unit).drop("parts", "home"), "placed")
-    filled, filled_path = written_at(placed.join(full, "key").dropDuplicates(["cid"])
-                                     .select("block", "band", "unit", "cid", "copies", "set"), "filled")
     # Two units meet if a class of one shares a prefix shingle with a class of the other.
     units = common.join(placed.select("cid", "unit"), "cid").groupBy("tok", "block", "band", "unit").agg(F.count("*").alias("n"))
-    pairs = _unit_pairs(written(units, "shingle-units"), placed)
-    pairs, pairs_path = written_at(pairs, "unit-pairs")
-    key = ["block", "band", "step", "unit", "unit2"]
-    left = filled.join(pairs, ["block", "band", "unit"]).select(*key, "cid", "copies", "set", F.lit(0).alias("side"))
-    right = (filled.select("block", F.col("band").alias("band2"), F.col("unit").alias("unit2"), "cid", "copies", "set")
+    pairs = written(_unit_pairs(written(units, "shingle-units"), placed), "unit-pairs")
+    placed = placed.withColumn("part", F.col("block"))
+    left = placed.join(pairs, ["block", "band", "unit"]).withColumn("side", F.lit(0)).select(*columns)
+    right = (placed.select("block", F.col("band").alias("band2"), F.col("unit").alias("unit2"), "cid", "copies", "part")
              .join(pairs.where("step = 1 or unit <> unit2"), ["block", "band2", "unit2"])
-             .select(*key, "cid", "copies", "set", F.lit(1).alias("side")))
-    found = written(left.unionByName(right).groupBy(*key).applyInPandas(_join_units(percent), LINKS), "links")
-    for path in (filled_path, pairs_path):
-        discard(rows.sparkSession, path)
-    return found
+             .withColumn("side", F.lit(1)).select(*columns))
+    # The sets join the short rows that say where they are needed, once.
+    needed = written(whole.unionByName(left).unionByName(right), "tasks")
+    return written(needed.join(filled, "cid").groupBy(*key).applyInPandas(_join_units(percent), LINKS), "links")
 
 
 def _unit_pairs(units: DataFrame, placed: DataFrame) -> DataFrame:

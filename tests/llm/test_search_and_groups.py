@@ -12,7 +12,7 @@ from compare import same_result
 from llm_data import SF_SMALL, docs, empty, rows  # noqa: F401
 
 from riskloom.llm import exact_dedup, membership, ngram_join, sharding, topk
-from riskloom.llm.common import loaded_once, only_for
+from riskloom.llm.common import loaded_once, only_for, written_at
 from riskloom.llm.graph import components
 from riskloom.llm.queries import ORACLES, QUERIES
 
@@ -252,6 +252,42 @@ def test_similarity_join(spark, percent, words, unit, monkeypatch):
     assert Counter(tuple(r) for r in got.collect()) == brute_join(rows, percent, words)
 
 
+@pytest.mark.parametrize("percent", [90, 80, 55])
+def test_sets_that_link_have_a_mark_in_common(percent):
+    rng = np.random.default_rng(percent)
+    linked = 0
+    for size in [*range(1, 40), *rng.integers(40, 900, size=400).tolist()]:
+        s = np.unique(rng.integers(0, 1 << 64, size=size, dtype=np.uint64))
+        fewer, more = size * (100 - percent) // 100, size * (100 - percent) // percent
+        for lost, new in ((fewer, 0), (0, more), (fewer // 2, more // 2), (1, 1)):
+            t = np.unique(np.concatenate((rng.permutation(s)[lost:], rng.integers(0, 1 << 64, size=new, dtype=np.uint64))))
+            k = len(np.intersect1d(s, t))
+            if len(t) and k < len(s) + len(t) - k and 100 * k >= percent * (len(s) + len(t) - k):
+                linked += 1
+                assert len(np.intersect1d(ngram_join.part_marks(s, percent), ngram_join.part_marks(t, percent)))
+    assert linked > 1000
+
+
+def test_shingles_shared_by_chance_move_no_sets(spark, monkeypatch):
+    rows, moved = {}, []
+    rng = random.Random(9)
+    for k in range(300):
+        rows[k] = rng.choices("abcdefghijkl", k=150)
+    for k in range(0, 300, 30):
+        rows[300 + k] = [*rows[k][:-1], "z"]
+    rows = [(k, " ".join(words)) for k, words in rows.items()]
+
+    def kept(df, label):
+        out = written_at(df, label)
+        moved.extend([out[0].count()] if label == "filled" else [])
+        return out
+
+    monkeypatch.setattr(ngram_join, "written_at", kept)
+    got = ngram_join.similarity_join(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(tuple(r) for r in got.collect()) == brute_join(rows, 90, 3)
+    assert moved == [20]  # sets of the near copies alone
+
+
 def test_one_per_group(spark, empty):
     rows = near_copies()
     df = spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, uid long")
